@@ -231,6 +231,111 @@ FROM customer WHERE c_custkey % 11 <> 0
 """)
 
 
+# Typed deposit requests (signup events) and withdrawal requests (click events).
+_fx("fx_deposits", """
+SELECT concat('DEP', cast(event_id AS string)) AS request_id,
+       concat('IK', cast(event_id AS string)) AS idempotency_key_id,
+       concat('U', cast(user_id AS string)) AS customer_id,
+       cast(NULL AS string) AS source_account_id,
+       concat('C', cast(user_id AS string)) AS destination_account_id,
+       'NGN' AS currency_code,
+       cast(value AS decimal(20,8)) AS amount,
+       cast(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS decimal(20,8)) AS fee_amount,
+       'paystack' AS source_system, 'deposit' AS description,
+       CASE WHEN event_id % 9 = 0 THEN '' ELSE concat('CR', cast(event_id AS string)) END
+           AS client_reference,
+       concat('DEP-', cast(event_id AS string)) AS external_reference,
+       '{}' AS metadata,
+       ts AS requested_at
+FROM events WHERE event_type = 'signup'
+""")
+
+_fx("fx_withdrawals", """
+SELECT concat('W', cast(event_id AS string)) AS request_id,
+       concat('WK', cast(event_id AS string)) AS idempotency_key_id,
+       concat('U', cast(user_id AS string)) AS customer_id,
+       concat('C', cast(user_id AS string)) AS source_account_id,
+       cast(NULL AS string) AS destination_account_id,
+       'NGN' AS currency_code,
+       cast(value AS decimal(20,8)) AS amount,
+       cast(0 AS decimal(20,8)) AS fee_amount,
+       'core' AS source_system, 'withdrawal' AS description,
+       concat('CR', cast(event_id AS string)) AS client_reference,
+       concat('WD-', cast(event_id AS string)) AS external_reference,
+       '{}' AS metadata,
+       ts AS requested_at
+FROM events WHERE event_type = 'click'
+""")
+
+# Ordered money operations for admission (F5) and balance deltas (F6):
+# signup -> deposit, purchase -> transfer to another user (fee 5), click -> hold;
+# clicks are settled one hour later (failed when event_id % 3 = 1, success when % 3 = 0).
+_fx("fx_ops", """
+SELECT concat('O', cast(event_id AS string)) AS op_id,
+       ts AS op_ts,
+       2 * event_id AS seq_key,
+       CASE event_type WHEN 'signup' THEN 'deposit' WHEN 'purchase' THEN 'transfer'
+            ELSE 'hold' END AS op_type,
+       CASE WHEN event_type = 'signup' THEN cast(NULL AS string)
+            ELSE concat('C', cast(user_id AS string)) END AS source_account_id,
+       CASE WHEN event_type = 'signup' THEN concat('C', cast(user_id AS string))
+            WHEN event_type = 'purchase'
+            THEN concat('C', cast((7 * user_id + 1) % (SELECT max(user_id) + 1 FROM events) AS string))
+       END AS destination_account_id,
+       'NGN' AS currency_code,
+       CASE WHEN event_type = 'signup'
+            THEN cast(cast(value AS decimal(20,8)) * cast(1.2 AS decimal(3,1)) AS decimal(20,8))
+            ELSE cast(value AS decimal(20,8)) END AS amount,
+       cast(CASE WHEN event_type = 'purchase' THEN 5 ELSE 0 END AS decimal(20,8)) AS fee_amount,
+       cast(NULL AS string) AS hold_op_id
+FROM events
+WHERE event_type IN ('signup', 'purchase', 'click')
+  AND NOT (event_type = 'purchase'
+           AND (7 * user_id + 1) % (SELECT max(user_id) + 1 FROM events) = user_id)
+UNION ALL
+SELECT concat('X', cast(event_id AS string)), ts + INTERVAL '1 hour', 2 * event_id + 1,
+       CASE WHEN event_id % 3 = 1 THEN 'settle_failed' ELSE 'settle_success' END,
+       concat('C', cast(user_id AS string)), cast(NULL AS string), 'NGN',
+       cast(value AS decimal(20,8)), cast(0 AS decimal(20,8)),
+       concat('O', cast(event_id AS string))
+FROM events WHERE event_type = 'click' AND event_id % 3 <> 2
+""")
+
+# Reversal transactions for posted orders with key % 50 = 0; mirrored legs, except a wrong
+# amount when key % 100 = 0.
+_fx("fx_reversal_journal", """
+SELECT concat('RV', cast(o_orderkey AS string)) AS id,
+       'reversal' AS entry_type, 'posted' AS status,
+       concat('J', cast(o_orderkey AS string)) AS reversal_of_transaction_id
+FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 50 = 0
+""")
+
+_fx("fx_reversal_lines", """
+SELECT concat('RV', substr(l.journal_transaction_id, 2), '_', cast(l.line_number AS string)) AS id,
+       concat('RV', substr(l.journal_transaction_id, 2)) AS journal_transaction_id,
+       l.line_number, l.account_id,
+       CASE WHEN l.side = 'debit' THEN 'credit' ELSE 'debit' END AS side,
+       CASE WHEN cast(substr(l.journal_transaction_id, 2) AS bigint) % 100 = 0 AND l.line_number = 2
+            THEN l.amount + cast(1 AS decimal(20,8)) ELSE l.amount END AS amount,
+       l.currency_code, l.balance_kind, l.created_at
+FROM fx_lines l JOIN fx_reversal_journal r ON r.reversal_of_transaction_id = l.journal_transaction_id
+""")
+
+# Transactions to post now: the pending transfers with an even order key (plus a few already posted).
+_fx("fx_post_ids", """
+SELECT concat('J', cast(o_orderkey AS string)) AS id FROM orders
+WHERE (o_orderstatus = 'P' AND o_orderkey % 2 = 0) OR (o_orderstatus = 'F' AND o_orderkey % 9 = 0)
+""")
+
+# Status changes for transfers, customers and accounts.
+_fx("fx_status_changes", """
+SELECT concat('T', cast(o_orderkey AS string)) AS id,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'posted' ELSE 'failed' END AS status,
+       concat('NEWEXT', cast(o_orderkey AS string)) AS external_reference
+FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 7 = 0
+""")
+
+
 def render(sql: str, dialect: str) -> str:
     ts = "timestamp_ntz" if dialect == "spark" else "timestamp"
     return sql.replace("{TS}", ts)

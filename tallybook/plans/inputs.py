@@ -64,3 +64,15 @@ class Inputs:
     @cached_property
     def projections(self) -> DataFrame:
         return conform(self.raw("fx_projections"), S.BALANCE_PROJECTIONS)
+
+    @cached_property
+    def deposits(self) -> DataFrame:
+        return self.raw("fx_deposits")
+
+    @cached_property
+    def withdrawals(self) -> DataFrame:
+        return self.raw("fx_withdrawals")
+
+    @cached_property
+    def ops(self) -> DataFrame:
+        return self.raw("fx_ops")

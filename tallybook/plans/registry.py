@@ -27,6 +27,7 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     from tallybook.plans import (  # noqa: F401
         q_balances,
+        q_posting,
     )
 
 
