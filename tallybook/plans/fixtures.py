@@ -180,7 +180,10 @@ FROM customer WHERE c_acctbal > 0
 
 # A corrupted copy of the lines: a missing leg and an amount that is off by one.
 _fx("fx_lines_bad", """
-SELECT id, journal_transaction_id, line_number, account_id, side,
+SELECT id, journal_transaction_id, line_number, account_id,
+       CASE WHEN journal_transaction_id LIKE 'J%'
+                 AND cast(substr(journal_transaction_id, 2) AS bigint) % 1000 = 3
+                 AND line_number = 2 THEN 'sideways' ELSE side END AS side,
        CASE WHEN journal_transaction_id LIKE 'J%'
                  AND cast(substr(journal_transaction_id, 2) AS bigint) % 1000 = 2
                  AND line_number = 1
@@ -336,9 +339,190 @@ FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 7 = 0
 """)
 
 
+# Provider callbacks (JSON bodies in the provider's envelope) from click/view/error events.
+# Event kind by event_id % 4; a repeat delivery when % 10 = 0; broken JSON when % 101 = 0;
+# a wrong token when % 50 = 0; an unknown provider when % 77 = 0.
+_fx("fx_callbacks", """
+WITH b AS (
+  SELECT event_id, user_id, ts, value,
+         CASE WHEN event_id % 77 = 0 THEN 'acme' WHEN user_id % 7 = 0 THEN 'flutterwave'
+              ELSE 'paystack' END AS provider,
+         CASE event_id % 4 WHEN 0 THEN 'transfer.success' WHEN 1 THEN 'transfer.failed'
+              WHEN 2 THEN 'transfer.reversed' ELSE 'charge.unknown' END AS ev,
+         CASE event_id % 4 WHEN 0 THEN 'success' WHEN 1 THEN 'failed' WHEN 2 THEN 'reversed'
+              ELSE 'unknown' END AS st
+  FROM events WHERE event_type IN ('click', 'view', 'error')),
+j AS (
+  SELECT event_id, ts, provider,
+         concat('{"event":"', ev, '","id":"evt', cast(event_id AS string),
+                '","type":"transfer","provider":"', provider,
+                '","data":{"reference":"W', cast(event_id AS string), '","status":"', st,
+                '","id":"', cast(event_id AS string), '","provider":"', provider,
+                '","Amount":"', cast(cast(value AS decimal(20,8)) AS string),
+                '","Currency":"NGN","Domain":"test","account_number":"',
+                lpad(cast(user_id AS string), 10, '0'), '","bank_code":"058","full_name":"user ',
+                cast(user_id AS string), '","failure_reason":"',
+                CASE WHEN st = 'failed' THEN 'insufficient funds at bank' ELSE '' END, '"}}') AS body
+  FROM b),
+k AS (
+  SELECT event_id, ts, provider,
+         CASE WHEN event_id % 101 = 0 THEN substr(body, 1, 40) ELSE body END AS body,
+         CASE WHEN event_id % 50 = 0 THEN 'wrong-token' ELSE concat('sk_', provider) END AS token
+  FROM j)
+SELECT concat('CB', cast(event_id AS string)) AS hook_id, provider, token, body, ts AS received_at,
+       event_id AS src_event
+FROM k
+UNION ALL
+SELECT concat('CB', cast(event_id AS string), 'r'), provider, token, body,
+       ts + INTERVAL '5 minutes', event_id
+FROM k WHERE event_id % 10 = 0
+""")
+
+_fx("fx_providers", """
+SELECT 'paystack' AS provider, 'sk_paystack' AS secret
+UNION ALL SELECT 'flutterwave', 'sk_flutterwave'
+""")
+
+# Incoming-webhook rows (already stored): withdrawal callbacks and deposit messages.
+_fx("fx_webhooks", """
+SELECT hook_id AS id, provider,
+       CASE WHEN src_event % 101 <> 0 THEN concat('evt', cast(src_event AS string)) END
+           AS external_event_id,
+       'withdrawal.webhook' AS event_type,
+       body AS payload, '{}' AS headers,
+       CASE WHEN src_event % 5 = 0 THEN 'success' ELSE 'pending' END AS status,
+       received_at AS created_at, received_at AS updated_at
+FROM fx_callbacks
+UNION ALL
+SELECT concat('DW', cast(event_id AS string)), 'paystack', concat('DEP-', cast(event_id AS string)),
+       'deposit.transfer',
+       concat('{"provider":"paystack","external_reference":"DEP-', cast(event_id AS string), '"}'),
+       '{}', 'pending', ts, ts
+FROM events WHERE event_type = 'signup'
+""")
+
+# Raw request bodies (JSON text) per scope; keys repeat (k in props is 0..99).
+# A blank customer id when event_id % 37 = 0; amount "not-a-number" when % 53 = 0.
+_fx("fx_request_bodies", """
+WITH b AS (
+  SELECT event_id, ts, user_id,
+         CASE event_type WHEN 'signup' THEN 'deposit_create' WHEN 'purchase' THEN 'transfer_create'
+              ELSE 'withdrawal_create' END AS scope,
+         CASE event_type WHEN 'signup' THEN 'deposit' WHEN 'purchase' THEN 'transfer'
+              ELSE 'withdrawal' END AS kind,
+         concat('k', regexp_extract(props, '([0-9]+)', 1)) AS idempotency_key,
+         CASE WHEN event_id % 53 = 0 THEN 'not-a-number'
+              ELSE cast(cast(floor(value / 100) AS bigint) * 100 + 100 AS string) END AS amount
+  FROM events WHERE event_type IN ('signup', 'purchase', 'click'))
+SELECT concat('R', cast(event_id AS string)) AS request_id, scope, kind, idempotency_key,
+       concat('{"idempotency_key_id":"', idempotency_key,
+              '","customer_id":"', CASE WHEN event_id % 37 = 0 THEN ''
+                                        ELSE concat('U', cast(user_id AS string)) END,
+              '","source_account_id":"C', cast(user_id AS string),
+              '","destination_account_id":"C', cast((user_id + 1) % 150 AS string),
+              '","currency_code":"NGN","amount":"', amount,
+              '","fee_amount":"0","source_system":"core","provider":"paystack",',
+              '"client_reference":"cr', idempotency_key, '","external_reference":"ext',
+              idempotency_key, '","description":"', kind, '"}') AS body,
+       ts AS arrival
+FROM b
+""")
+
+# Idempotency keys stored by an earlier run: requests that arrived before 2024-01-03.
+_fx("fx_idem_keys", """
+SELECT concat('IDK-', scope, '-', idempotency_key) AS id, idempotency_key, scope,
+       sha2(min(body), 256) AS request_hash,
+       CASE WHEN idempotency_key LIKE '%3' THEN cast(NULL AS int) ELSE 201 END AS response_code,
+       CASE WHEN idempotency_key LIKE '%3' THEN cast(NULL AS string)
+            ELSE concat('{"status":"ok","key":"', idempotency_key, '"}') END AS response_body,
+       min(arrival) AS locked_at,
+       min(arrival) + INTERVAL '24 hours' AS expires_at,
+       min(arrival) AS created_at, min(arrival) AS updated_at
+FROM fx_request_bodies WHERE arrival < cast('2024-01-03 00:00:00' AS {TS})
+GROUP BY scope, idempotency_key
+""")
+
+# Bank statement lines against posted transfers: 10% missing, amount off by 1.00 when
+# key % 7 = 0, extra unknown lines when key % 50 = 0, a repeated line when key % 97 = 0.
+_fx("fx_statement", """
+WITH t AS (
+  SELECT o_orderkey AS k, o_orderdate, cast(o_totalprice AS decimal(20,8)) AS amount
+  FROM orders WHERE o_orderstatus = 'F')
+SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END AS source_system,
+       cast(date_trunc('month', o_orderdate) AS date) AS statement_date,
+       concat('EXT', cast(k AS string)) AS external_reference, 'NGN' AS currency_code,
+       CASE WHEN k % 7 = 0 THEN amount + cast(1 AS decimal(20,8)) ELSE amount END AS amount,
+       o_orderdate AS value_at
+FROM t WHERE k % 10 <> 0
+UNION ALL
+SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END,
+       cast(date_trunc('month', o_orderdate) AS date),
+       concat('X', cast(k AS string)), 'NGN', amount, o_orderdate
+FROM t WHERE k % 50 = 0
+UNION ALL
+SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END,
+       cast(date_trunc('month', o_orderdate) AS date),
+       concat('EXT', cast(k AS string)), 'NGN', amount, o_orderdate + INTERVAL '1 second'
+FROM t WHERE k % 97 = 0 AND k % 10 <> 0
+""")
+
+# Provider attempts: three attempts (priorities 0..2) per request id.
+_fx("fx_attempts", """
+SELECT concat('R', cast(cast(floor(event_id / 3) AS bigint) AS string)) AS request_id,
+       cast(event_id % 3 AS int) AS priority,
+       concat('p', cast(user_id % 3 AS string)) AS provider,
+       event_type <> 'error' AS success,
+       value AS latency_ms,
+       ts AS attempted_at,
+       CASE WHEN event_type = 'error' THEN concat('provider error ', cast(event_id AS string)) END
+           AS error_message
+FROM events
+""")
+
+# Outbox rows; status by event type, retry_count = user_id % 8.
+_fx("fx_outbox", """
+SELECT concat('OB', cast(event_id AS string)) AS id, 'transfer' AS aggregate_type,
+       concat('T', cast(event_id AS string)) AS aggregate_id, 'transfer.posted' AS event_type,
+       CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN 'processing'
+            WHEN 'purchase' THEN 'published' ELSE 'pending' END AS status,
+       concat('{"k":', regexp_extract(props, '([0-9]+)', 1), '}') AS payload,
+       '{}' AS headers, concat('C', cast(user_id AS string)) AS partition_key,
+       cast(user_id % 8 AS int) AS retry_count,
+       CASE WHEN event_type = 'error'
+            THEN ts + cast(power(2, user_id % 8) AS bigint) * INTERVAL '1 second' END
+           AS next_retry_at,
+       ts AS created_at, ts AS updated_at
+FROM events
+""")
+
+# Delivery results of one publish attempt.
+_fx("fx_delivery", """
+SELECT id, cast(substr(id, 3) AS bigint) % 3 <> 0 AS delivered,
+       CASE WHEN cast(substr(id, 3) AS bigint) % 3 = 0 THEN 'BROKER_TIMEOUT' END AS error_code,
+       CASE WHEN cast(substr(id, 3) AS bigint) % 3 = 0 THEN 'publish timed out' END AS error_message
+FROM fx_outbox WHERE status = 'processing' OR cast(substr(id, 3) AS bigint) % 4 = 0
+""")
+
+# The journal lines as read at a later time: some deleted, some amounts changed.
+_fx("fx_lines_after", """
+SELECT id, journal_transaction_id, line_number, account_id, side,
+       CASE WHEN journal_transaction_id LIKE 'J%'
+                 AND cast(substr(journal_transaction_id, 2) AS bigint) % 333 = 0
+            THEN amount + cast(0.01 AS decimal(20,8)) ELSE amount END AS amount,
+       currency_code, balance_kind, metadata, created_at
+FROM fx_lines
+WHERE NOT (journal_transaction_id LIKE 'J%'
+           AND cast(substr(journal_transaction_id, 2) AS bigint) % 500 = 0)
+""")
+
+
 def render(sql: str, dialect: str) -> str:
     ts = "timestamp_ntz" if dialect == "spark" else "timestamp"
-    return sql.replace("{TS}", ts)
+    out = sql.replace("{TS}", ts)
+    if dialect != "spark":
+        # SHA-256 hex: sha2(x, 256) in Spark, sha256(x) in DuckDB.
+        out = re.sub(r"sha2\(([^()]*(?:\([^()]*\))?[^()]*), 256\)", r"sha256(\1)", out)
+    return out
 
 
 def _closure(names: list[str]) -> list[str]:

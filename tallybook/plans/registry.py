@@ -28,6 +28,7 @@ def load_all() -> None:
     from tallybook.plans import (  # noqa: F401
         q_balances,
         q_posting,
+        q_validate,
     )
 
 
