@@ -516,6 +516,21 @@ WHERE NOT (journal_transaction_id LIKE 'J%'
 """)
 
 
+# Queue messages as they arrive on the two intake topics.
+_fx("fx_messages", """
+SELECT hook_id AS message_id, 'withdrawal.webhook' AS topic, hook_id AS message_key, body AS value,
+       received_at AS timestamp
+FROM fx_callbacks
+UNION ALL
+SELECT concat('DM', cast(event_id AS string)), 'deposit.transfer', concat('U', cast(user_id AS string)),
+       concat('{"provider":"paystack","external_reference":"DEP-', cast(event_id AS string),
+              '","customer_id":"U', cast(user_id AS string), '","amount":"',
+              cast(cast(value AS decimal(20,8)) AS string), '"}'),
+       ts
+FROM events WHERE event_type = 'signup'
+""")
+
+
 def render(sql: str, dialect: str) -> str:
     ts = "timestamp_ntz" if dialect == "spark" else "timestamp"
     out = sql.replace("{TS}", ts)

@@ -29,6 +29,8 @@ def load_all() -> None:
         q_balances,
         q_posting,
         q_validate,
+        q_lookup,
+        q_sources,
     )
 
 

@@ -33,21 +33,31 @@ def load_ledger(spark: SparkSession, location: str, tables: Sequence[str] | None
             for k, v in (options or {}).items():
                 r = r.option(k, v)
             df = r.format(fmt).load(f"{location}/{t}")
+        # Declared columns only (drops layout helpers such as the period folder column).
+        df = df.select(*[f.name for f in schema.fields])
         if only_live and "deleted_at" in df.columns:
             df = df.filter(F.col("deleted_at").isNull())
         out[t] = df
     return out
 
 
-def append_journal(txs: DataFrame, lines: DataFrame, location: str) -> None:
+def append_journal(txs: DataFrame, lines: DataFrame, location: str,
+                   grain: str = "month", writers_per_partition: int = 1) -> None:
     """Append-only write of journal headers and lines (call after C5 passes).
 
-    Headers are partitioned by accounting_date (time-range reads prune
-    folders); lines are written sorted by account within each file so that
+    Headers are partitioned by ``accounting_period`` = accounting_date truncated
+    to ``grain`` (time-range reads prune folders; a month keeps files large
+    where a day would give thousands of small ones). Rows are first shuffled on
+    (period, hash bucket) so each folder gets ``writers_per_partition`` files
+    instead of one per task and folder; raise it when one period is too big for
+    one writer. Lines are written sorted by account within each file so that
     per-account scans skip row groups by min/max.
     """
-    txs.write.mode("append").partitionBy("accounting_date").parquet(
-        f"{location}/journal_transactions")
+    bucket = F.pmod(F.xxhash64("id"), F.lit(writers_per_partition))
+    (txs.withColumn("accounting_period", F.trunc("accounting_date", grain))
+     .repartition(F.col("accounting_period"), bucket)
+     .write.mode("append").partitionBy("accounting_period")
+     .parquet(f"{location}/journal_transactions"))
     (lines.sortWithinPartitions("account_id", "journal_transaction_id")
      .write.mode("append").parquet(f"{location}/journal_lines"))
 
@@ -93,7 +103,9 @@ def audit_from_snapshots(before: DataFrame, after: DataFrame, key: str, entity_t
         F.when(F.col("action") == "update",
                F.to_json(F.map_from_entries(F.transform("_changed", lambda p: F.struct(
                    p["k"], p["v"]))))).alias("diff"),
-        F.array_join(F.transform("_changed", lambda p: p["k"]), ",").alias("changed_columns"),
+        F.when(F.col("action") == "update",
+               F.array_join(F.transform("_changed", lambda p: p["k"]), ","))
+        .otherwise(F.lit("")).alias("changed_columns"),
         F.lit("{}").alias("metadata"), created.alias("created_at"))
 
 
