@@ -175,20 +175,21 @@ def money_integrity(expected: DataFrame, actual: DataFrame, minor_pct: float = 5
 
     ``expected``: (currency_code, amount) rows, e.g. opening deposits.
     ``actual``: (currency_code, amount) rows, e.g. balances now.
-    Verdict: ok when equal, minor when |variance| < ``minor_pct`` % of expected, else mismatch.
+    variance = expected − actual. Verdict: ok when 0; minor when money is missing
+    (variance > 0) but less than ``minor_pct`` % of expected; else mismatch.
     """
     e = expected.groupBy("currency_code").agg(total(F.sum("amount")).alias("expected_total"))
     a = actual.groupBy("currency_code").agg(total(F.sum("amount")).alias("actual_total"))
     j = e.join(a, "currency_code", "full_outer")
     exp = F.coalesce(F.col("expected_total"), F.lit(0).cast("decimal(38,8)"))
     act = F.coalesce(F.col("actual_total"), F.lit(0).cast("decimal(38,8)"))
-    var = total(act - exp)
+    var = total(exp - act)
     pct = F.when(exp != 0, F.round(var.cast("double") * 100 / exp.cast("double"), 4))
     return j.select(
         "currency_code", total(exp).alias("expected_total"), total(act).alias("actual_total"),
         var.alias("variance"), pct.alias("variance_pct"),
         F.when(var == 0, "ok")
-        .when(F.abs(var) * 100 < F.abs(exp) * F.lit(minor_pct), "minor")
+        .when((var > 0) & (var * 100 < exp * F.lit(minor_pct)), "minor")
         .otherwise("mismatch").alias("verdict"))
 
 
