@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.money import money
 from tallybook.functions.text import ts_literal
+from tallybook.schemas import TRANSFER_REQUESTS, conform
 
 SETTLEMENT_TYPE = "settlement"
 FEE_TYPE = "fee"
@@ -113,7 +114,7 @@ def create_transfer_requests(requests: DataFrame, accounts: DataFrame, kind: str
     r = requests.join(settle, "currency_code", "left")
     src = F.col("_settlement_account") if kind == "deposit" else F.col("source_account_id")
     dst = F.col("_settlement_account") if kind == "withdrawal" else F.col("destination_account_id")
-    return r.select(
+    return conform(r.select(
         F.col("request_id").alias("id"), "idempotency_key_id", "customer_id",
         src.alias("source_account_id"), dst.alias("destination_account_id"), "currency_code",
         money("amount").alias("amount"),
@@ -124,7 +125,7 @@ def create_transfer_requests(requests: DataFrame, accounts: DataFrame, kind: str
         .alias("external_reference"),
         F.coalesce(F.col("metadata"), F.lit("{}")).alias("metadata"),
         F.col("requested_at"), F.col("requested_at").alias("created_at"),
-        F.col("requested_at").alias("updated_at"))
+        F.col("requested_at").alias("updated_at")), TRANSFER_REQUESTS)
 
 
 ENTRY_TYPES = {"transfer": "transfer", "deposit": "deposit", "withdrawal": "hold"}

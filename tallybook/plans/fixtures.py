@@ -452,17 +452,19 @@ SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END AS source_system,
        cast(date_trunc('month', o_orderdate) AS date) AS statement_date,
        concat('EXT', cast(k AS string)) AS external_reference, 'NGN' AS currency_code,
        CASE WHEN k % 7 = 0 THEN amount + cast(1 AS decimal(20,8)) ELSE amount END AS amount,
-       o_orderdate AS value_at
+       o_orderdate AS value_at, concat('SL-', cast(k AS string)) AS statement_line_id
 FROM t WHERE k % 10 <> 0
 UNION ALL
 SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END,
        cast(date_trunc('month', o_orderdate) AS date),
-       concat('X', cast(k AS string)), 'NGN', amount, o_orderdate
+       concat('X', cast(k AS string)), 'NGN', amount, o_orderdate,
+       concat('SLX-', cast(k AS string))
 FROM t WHERE k % 50 = 0
 UNION ALL
 SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END,
        cast(date_trunc('month', o_orderdate) AS date),
-       concat('EXT', cast(k AS string)), 'NGN', amount, o_orderdate + INTERVAL '1 second'
+       concat('EXT', cast(k AS string)), 'NGN', amount, o_orderdate + INTERVAL '1 second',
+       concat('SLR-', cast(k AS string))
 FROM t WHERE k % 97 = 0 AND k % 10 <> 0
 """)
 
@@ -531,6 +533,87 @@ FROM events WHERE event_type = 'signup'
 """)
 
 
+# Hold transition requests against fx_holds (consume / release, some repeated or unknown).
+_fx("fx_hold_requests", """
+SELECT concat('HR', cast(event_id AS string), 'a') AS request_id,
+       concat('H', cast(event_id AS string)) AS hold_id,
+       CASE WHEN event_id % 6 = 2 THEN cast(value AS decimal(20,8)) + cast(1 AS decimal(20,8))
+            ELSE cast(value / 2 AS decimal(20,8)) END AS amount,
+       event_id * 10 AS seq,
+       CASE WHEN event_id % 6 IN (1, 4) THEN 'release' ELSE 'consume' END AS action
+FROM events WHERE event_type = 'click' AND event_id % 6 IN (0, 1, 2, 4)
+UNION ALL
+SELECT concat('HR', cast(event_id AS string), 'b'), concat('H', cast(event_id AS string)),
+       cast(0.01 AS decimal(20,8)), event_id * 10 + 1,
+       CASE WHEN event_id % 6 IN (1, 4) THEN 'release' ELSE 'consume' END
+FROM events WHERE event_type = 'click' AND event_id % 12 IN (0, 1)
+UNION ALL
+SELECT concat('HR', cast(event_id AS string), 'x'), concat('HX', cast(event_id AS string)),
+       cast(1 AS decimal(20,8)), event_id * 10 + 2, 'consume'
+FROM events WHERE event_type = 'click' AND event_id % 50 = 7
+""")
+
+# Versioned projection updates: one per customer account, a second (chained) one for some.
+_fx("fx_versions", """
+SELECT concat('C', cast(c_custkey AS string)) AS account_id,
+       CASE WHEN c_nationkey = 24 THEN 'USD' ELSE 'NGN' END AS currency_code,
+       'available' AS balance_kind,
+       cast(c_acctbal + 1000 AS decimal(20,8)) AS ledger_balance,
+       cast(c_acctbal + 1000 AS decimal(20,8)) AS available_balance,
+       cast(0 AS decimal(20,8)) AS held_balance,
+       concat('J', cast(c_custkey AS string)) AS last_transaction_id,
+       concat('L', cast(c_custkey AS string), '_1') AS last_line_id,
+       cast(c_custkey % 5 AS bigint) AS expected_version,
+       cast(c_custkey AS bigint) AS seq
+FROM customer
+UNION ALL
+SELECT concat('C', cast(c_custkey AS string)),
+       CASE WHEN c_nationkey = 24 THEN 'USD' ELSE 'NGN' END, 'available',
+       cast(c_acctbal + 2000 AS decimal(20,8)), cast(c_acctbal + 2000 AS decimal(20,8)),
+       cast(0 AS decimal(20,8)), concat('J2', cast(c_custkey AS string)),
+       concat('L2', cast(c_custkey AS string), '_1'),
+       cast(c_custkey % 5 + 1 AS bigint), cast(c_custkey AS bigint) + 1000000
+FROM customer WHERE c_custkey % 13 = 0
+""")
+
+# Account creation requests: existing refs, new refs (some repeated), new refs reusing a number.
+_fx("fx_account_requests", """
+SELECT concat('AR', cast(c_custkey AS string)) AS request_id,
+       concat('U', cast(c_custkey AS string)) AS customer_id,
+       CASE WHEN c_custkey % 3 = 0 THEN concat('acct_C', cast(c_custkey AS string))
+            ELSE concat('new_C', cast(c_custkey AS string)) END AS external_ref,
+       CASE WHEN c_custkey % 10 = 2 THEN concat('1', lpad(cast(c_custkey AS string), 9, '0'))
+            ELSE concat('9', lpad(cast(c_custkey AS string), 9, '0')) END AS account_number,
+       'customer' AS account_type, 'active' AS status, 'NGN' AS currency_code,
+       'credit' AS ledger_normal_side, '{}' AS metadata,
+       cast(c_custkey AS bigint) AS seq
+FROM customer
+UNION ALL
+SELECT concat('AR', cast(c_custkey AS string), 'dup'), concat('U', cast(c_custkey AS string)),
+       concat('new_C', cast(c_custkey AS string)),
+       concat('8', lpad(cast(c_custkey AS string), 9, '0')),
+       'customer', 'active', 'NGN', 'credit', '{}', cast(c_custkey AS bigint) + 100000
+FROM customer WHERE c_custkey % 9 = 1
+UNION ALL
+SELECT concat('AR', cast(c_custkey AS string), 'num'), concat('U', cast(c_custkey AS string)),
+       concat('other_C', cast(c_custkey AS string)),
+       concat('9', lpad(cast(c_custkey - 3 AS string), 9, '0')),
+       'customer', 'active', 'NGN', 'credit', '{}', cast(c_custkey AS bigint) + 200000
+FROM customer WHERE c_custkey % 21 = 4
+""")
+
+# The internal side of reconciliation: posted transfers with the bank they settle at.
+_fx("fx_internal", """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END AS source_system,
+       cast(date_trunc('month', o_orderdate) AS date) AS statement_date,
+       concat('EXT', cast(o_orderkey AS string)) AS external_reference, 'NGN' AS currency_code,
+       cast(o_totalprice AS decimal(20,8)) AS amount,
+       concat('J', cast(o_orderkey AS string)) AS journal_transaction_id,
+       concat('L', cast(o_orderkey AS string), '_2') AS journal_line_id
+FROM orders WHERE o_orderstatus = 'F'
+""")
+
+
 def render(sql: str, dialect: str) -> str:
     ts = "timestamp_ntz" if dialect == "spark" else "timestamp"
     out = sql.replace("{TS}", ts)

@@ -10,14 +10,7 @@ from pyspark.sql import types as T
 
 from tallybook import schemas as S
 from tallybook.plans.fixtures import fixture
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project onto ``schema``: cast present columns, add absent ones as typed nulls."""
-    have = set(df.columns)
-    return df.select([
-        (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
-        .alias(f.name) for f in schema.fields])
+from tallybook.schemas import conform  # noqa: F401  (re-export)
 
 
 class Inputs:

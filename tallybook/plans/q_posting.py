@@ -52,7 +52,10 @@ FROM fx_deposits d LEFT JOIN fx_accounts a
 @register("create_transfer_requests", oracle=_DEP_TRF)
 def q_create_transfer_requests(spark, d):
     x = Inputs(spark, d)
-    return P.create_transfer_requests(x.deposits, x.accounts, "deposit")
+    return P.create_transfer_requests(x.deposits, x.accounts, "deposit").select(
+        "id", "idempotency_key_id", "customer_id", "source_account_id", "destination_account_id",
+        "currency_code", "amount", "fee_amount", "status", "client_reference",
+        "external_reference", "metadata", "requested_at", "created_at", "updated_at")
 
 
 @register("deposit_legs", oracle=f"""

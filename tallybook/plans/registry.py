@@ -31,6 +31,7 @@ def load_all() -> None:
         q_validate,
         q_lookup,
         q_sources,
+        q_holds,
     )
 
 
