@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import ts_literal
+from tallybook.functions.text import json_is_object, ts_literal
 
 CLAIM_BATCH = 100
 STUCK_AFTER = "5 minutes"
@@ -116,8 +116,8 @@ def update_webhook_status(hooks: DataFrame, results: DataFrame, now: str) -> Dat
 def route_events(hooks: DataFrame) -> DataFrame:
     """H8: handler per webhook: transfer_success / transfer_failed for withdrawal callbacks,
     deposit for deposit messages, invalid for unparsable callbacks, else unhandled."""
-    ev = F.get_json_object("payload", "$.event")
-    ok = F.get_json_object("payload", "$").isNotNull()
+    ok = json_is_object("payload")
+    ev = F.when(ok, F.get_json_object("payload", "$.event"))
     wd = F.col("event_type") == "withdrawal.webhook"
     handler = (F.when(wd & ~ok, "invalid")
                .when(wd & (ev == "transfer.success"), "transfer_success")

@@ -32,6 +32,11 @@ def load_all() -> None:
         q_lookup,
         q_sources,
         q_holds,
+        q_idem,
+        q_recon,
+        q_outbox,
+        q_provider,
+        q_projections,
     )
 
 
