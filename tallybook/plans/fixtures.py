@@ -647,6 +647,8 @@ def with_fixtures(body: str, dialect: str = "duckdb") -> str:
         return render(body, dialect)
     ctes = ",\n".join(f"{n} AS (\n{FIXTURES[n]}\n)" for n in names)
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return render(f"WITH RECURSIVE {ctes},\n{stripped[15:]}", dialect)
     if stripped[:5].upper() == "WITH ":
         return render(f"WITH {ctes},\n{stripped[5:]}", dialect)
     return render(f"WITH {ctes}\n{body}", dialect)

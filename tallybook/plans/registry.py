@@ -37,6 +37,7 @@ def load_all() -> None:
         q_outbox,
         q_provider,
         q_projections,
+        q_admission,
     )
 
 
