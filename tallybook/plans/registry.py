@@ -38,6 +38,7 @@ def load_all() -> None:
         q_provider,
         q_projections,
         q_admission,
+        q_streaming,
     )
 
 
