@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.money import money
 from tallybook.functions.text import ts_literal
+from tallybook.schemas import (ACCOUNTS, CUSTOMERS, SYSTEM_ACCOUNTS, SYSTEM_CURRENCY,
+                               SYSTEM_CUSTOMER_REF, conform)
 from tallybook.session import cut_lineage
 
 KEY = ["account_id", "currency_code", "balance_kind"]
@@ -126,3 +128,58 @@ def get_or_create_accounts(accounts: DataFrame, requests: DataFrame, now: str
         zero.alias("ledger_balance"), zero.alias("available_balance"), zero.alias("held_balance"),
         F.lit(0).cast("long").alias("version"), t.alias("computed_at"))
     return {"results": results, "accounts": all_accounts, "projections": projections}
+
+
+def get_or_create_customers(customers: DataFrame, requests: DataFrame, now: str
+                            ) -> dict[str, DataFrame]:
+    """idempotent customer creation by external_ref (the first request of a new ref wins;
+    later ones and requests for existing refs return the stored customer)."""
+    t = ts_literal(now)
+    req = requests.withColumn("seq", F.col("seq").cast("long"))
+    known_ids = customers.select(F.col("external_ref").alias("_r"), F.col("id").alias("_cid"))
+    j = req.join(known_ids, F.col("external_ref") == F.col("_r"), "left")
+    known = j.filter(F.col("_cid").isNotNull()).select(
+        "request_id", F.col("_cid").alias("customer_id"), F.lit(False).alias("created"))
+    new = j.filter(F.col("_cid").isNull()).drop("_r", "_cid")
+    win = new.groupBy("external_ref").agg(F.min_by("request_id", F.col("seq")).alias("_w"))
+    new = new.join(win, "external_ref")
+    resolved = new.select("request_id",
+                          F.concat(F.lit("U:"), F.col("external_ref")).alias("customer_id"),
+                          (F.col("request_id") == F.col("_w")).alias("created"))
+    created = new.filter(F.col("request_id") == F.col("_w")).select(
+        F.concat(F.lit("U:"), F.col("external_ref")).alias("id"), "external_ref", "full_name",
+        "email", F.coalesce(F.col("status"), F.lit("active")).alias("status"),
+        F.coalesce(F.col("metadata"), F.lit("{}")).alias("metadata"),
+        t.alias("created_at"), t.alias("updated_at"))
+    return {"results": known.unionByName(resolved),
+            "customers": customers.unionByName(conform(created, CUSTOMERS))}
+
+
+def seed_system(customers: DataFrame, accounts: DataFrame, now: str
+                ) -> tuple[DataFrame, DataFrame]:
+    """F12 seeds: add the system customer and the four system accounts where missing
+    (``NOT EXISTS`` by external_ref, as the seed migration does). Returns the new tables."""
+    spark = customers.sparkSession
+    t = ts_literal(now)
+    sys_c = spark.createDataFrame(
+        [("SYS", SYSTEM_CUSTOMER_REF, "System Ledger Customer", "system@corebank.local",
+          "active", "{}")],
+        "id string, external_ref string, full_name string, email string, status string, "
+        "metadata string").withColumn("created_at", t).withColumn("updated_at", t)
+    new_c = sys_c.join(customers.select("external_ref"), "external_ref", "left_anti")
+    all_c = customers.unionByName(conform(new_c, CUSTOMERS))
+    owner = (all_c.filter(F.col("external_ref") == SYSTEM_CUSTOMER_REF)
+             .groupBy(F.col("external_ref").alias("owner_ref"))
+             .agg(F.min("id").alias("customer_id")))
+    seeds = spark.createDataFrame(
+        [(ref, num, typ, side, SYSTEM_CUSTOMER_REF) for ref, num, typ, side in SYSTEM_ACCOUNTS],
+        "external_ref string, account_number string, account_type string, "
+        "ledger_normal_side string, owner_ref string")
+    new_a = (seeds.join(accounts.select("external_ref"), "external_ref", "left_anti")
+             .join(owner, "owner_ref")
+             .select(F.concat(F.lit("A:"), F.col("external_ref")).alias("id"), "customer_id",
+                     "external_ref", "account_number", "account_type",
+                     F.lit("active").alias("status"), F.lit(SYSTEM_CURRENCY).alias("currency_code"),
+                     "ledger_normal_side", F.lit("{}").alias("metadata"), t.alias("opened_at"),
+                     t.alias("created_at"), t.alias("updated_at")))
+    return all_c, accounts.unionByName(conform(new_a, ACCOUNTS))

@@ -614,6 +614,17 @@ FROM orders WHERE o_orderstatus = 'F'
 """)
 
 
+# Customer creation requests: existing refs, new refs, repeated new refs.
+_fx("fx_customer_requests", """
+SELECT concat('CR', cast(c_custkey AS string)) AS request_id,
+       CASE WHEN c_custkey % 2 = 0 THEN concat('cust_', cast(c_custkey AS string))
+            ELSE concat('newcust_', cast(c_custkey % 700 AS string)) END AS external_ref,
+       c_name AS full_name, concat('new', cast(c_custkey AS string), '@x.test') AS email,
+       'active' AS status, '{}' AS metadata, cast(c_custkey AS bigint) AS seq
+FROM customer
+""")
+
+
 def render(sql: str, dialect: str) -> str:
     ts = "timestamp_ntz" if dialect == "spark" else "timestamp"
     out = sql.replace("{TS}", ts)

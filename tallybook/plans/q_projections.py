@@ -97,3 +97,32 @@ def q_get_or_create_accounts_new(spark, d):
     out = PJ.get_or_create_accounts(x.accounts, x.raw("fx_account_requests"), NOW)["accounts"]
     return out.filter(F.col("id").startswith("A:")).select("id", "external_ref",
                                                            "account_number", "status")
+
+
+@register("get_or_create_customers", oracle="""
+WITH r AS (SELECT q.*, c.id AS cid FROM fx_customer_requests q
+           LEFT JOIN fx_customers c ON c.external_ref = q.external_ref),
+w AS (SELECT external_ref, arg_min(request_id, seq) AS win FROM r WHERE cid IS NULL
+      GROUP BY external_ref)
+SELECT request_id, cid AS customer_id, false AS created FROM r WHERE cid IS NOT NULL
+UNION ALL
+SELECT r.request_id, concat('U:', r.external_ref), r.request_id = w.win
+FROM r JOIN w ON w.external_ref = r.external_ref WHERE r.cid IS NULL
+""")
+def q_get_or_create_customers(spark, d):
+    x = Inputs(spark, d)
+    return PJ.get_or_create_customers(x.customers, x.raw("fx_customer_requests"),
+                                      NOW)["results"]
+
+
+@register("seed_system_accounts", oracle="""
+SELECT id, external_ref, account_type FROM fx_accounts
+WHERE external_ref NOT IN ('system_settlement_ngn')
+UNION ALL SELECT 'A:system_settlement_ngn', 'system_settlement_ngn', 'settlement'
+""")
+def q_seed_system_accounts(spark, d):
+    """Seeds into a ledger that lacks the settlement account: only that one is added."""
+    x = Inputs(spark, d)
+    acc = x.accounts.filter(F.col("external_ref") != "system_settlement_ngn")
+    _, accounts = PJ.seed_system(x.customers, acc, NOW)
+    return accounts.select("id", "external_ref", "account_type")

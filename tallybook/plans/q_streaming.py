@@ -44,8 +44,8 @@ def _as_stream(spark: SparkSession, df: DataFrame, where: str, order: str) -> Da
         if hi is not None:
             cond = cond & (u < F.lit(int(hi)))
         df.filter(cond).coalesce(1).write.mode("append").parquet(where)
-    return (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1)
-            .parquet(where))
+    return J.read_requests(spark, fmt="parquet", path=where, schema=df.schema,
+                           options={"maxFilesPerTrigger": 1})
 
 
 def _await(q) -> None:
