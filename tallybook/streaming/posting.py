@@ -37,7 +37,8 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
     """
     parsed, bad = parse_requests(raw)
     cls = I.classify_requests(raw, keys).select("request_id", F.col("status").alias("idem"))
-    p = parsed.join(cls, "request_id")
+    # Reused by every output of the batch: computed once (one micro-batch, memory+disk).
+    p = parsed.join(cls, "request_id").persist()
     fresh = p.filter(F.col("idem") == "new")
     elig = None
     for kind in ("deposit", "transfer", "withdrawal"):
@@ -47,6 +48,7 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
             "op_type", F.lit(KIND_TO_OP[kind]))
         elig = checked if elig is None else elig.unionByName(checked)
     required_missing = fresh.join(elig.select("request_id"), "request_id", "left_anti")
+    elig = elig.persist()
     ok = elig.filter(F.col("reason").isNull())
     ops = ok.select(
         F.col("request_id").alias("op_id"), F.col("arrival").alias("op_ts"),
@@ -127,6 +129,7 @@ def stream_post(spark: SparkSession, requests: DataFrame, customers: DataFrame,
         res = post_batch(df, customers, accounts, keys, proj, now)
         for name, frame in res.items():
             frame.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+        spark.catalog.clearCache()   # this batch's persisted intermediates
         (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"))
          .write.mode("overwrite").json(f"{out}/_commits/batch={batch_id}"))
     return run(requests.writeStream.foreachBatch(each), checkpoint, trigger)
