@@ -37,3 +37,19 @@ def json_is_object(x) -> Column:
 def ts_literal(text: str) -> Column:
     """A timestamp_ntz literal that does not depend on the session time zone."""
     return F.to_timestamp_ntz(F.lit(text))
+
+
+def utc_instant(ntz) -> Column:
+    """timestamp_ntz → timestamp (instant) reading the wall time as UTC, whatever the session
+    time zone (watermarks and event-time windows need ``timestamp``)."""
+    c = _c(ntz)
+    secs = F.date_format(c, "ss.SSSSSS").cast("decimal(8,6)")
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            secs, F.lit("UTC"))
+
+
+def utc_wall(instant) -> Column:
+    """timestamp (instant) → timestamp_ntz of its UTC wall time, whatever the session zone."""
+    micros = F.unix_micros(_c(instant))
+    return (F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+            + F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)")))

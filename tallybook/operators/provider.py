@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.text import ts_literal
+from tallybook.functions.text import ts_literal, utc_instant
 from tallybook.functions.windows import chunked_running_sum
 
 # Breaker defaults as configured (3 failures, 10 s) and the SLA targets.
@@ -114,7 +114,7 @@ def sla_report(attempts: DataFrame, latency: str = "latency_ms") -> DataFrame:
         pv = (cum.filter(F.col("_cum") > idx).groupBy("provider")
               .agg(F.min("lat").alias(f"p{p}_ms")))
         out = out.join(pv, "provider", "left")
-    secs = F.unix_micros(F.col("_t1").cast("timestamp")) - F.unix_micros(F.col("_t0").cast("timestamp"))
+    secs = F.unix_micros(utc_instant("_t1")) - F.unix_micros(utc_instant("_t0"))
     rps = F.when(secs > 0, F.round(F.col("n") / (secs / F.lit(1e6)), 6))
     pct = F.round(F.col("n_success") * 100.0 / F.col("n"), 6)
     return out.select(

@@ -26,8 +26,9 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
 
 
-def _as_stream(spark: SparkSession, df: DataFrame, where: str, order: str) -> DataFrame:
-    """Write ``df`` as ``_FILES`` time ranges of ``order`` (one append per range, so file
+def _as_stream(spark: SparkSession, df: DataFrame, where: str, order: str,
+               files: int = _FILES) -> DataFrame:
+    """Write ``df`` as ``files`` time ranges of ``order`` (one append per range, so file
     modification times follow event time) and open them as a one-file-per-batch stream.
 
     Range bounds come from ``approxQuantile`` (a few numbers to the driver); each range is
@@ -35,7 +36,7 @@ def _as_stream(spark: SparkSession, df: DataFrame, where: str, order: str) -> Da
     """
     u = F.unix_micros(F.col(order).cast("timestamp"))
     bounds = df.select(u.alias("_u")).approxQuantile(
-        "_u", [i / _FILES for i in range(1, _FILES)], 0.001)
+        "_u", [i / files for i in range(1, files)], 0.001)
     edges = [None, *bounds, None]
     for lo, hi in zip(edges[:-1], edges[1:]):
         cond = F.lit(True)
@@ -174,7 +175,7 @@ def q_stream_post(spark, d):
     base = _scratch(spark, "post")
     from tallybook.schemas import IDEMPOTENCY_KEYS
     keys0 = conform(x.raw("fx_idem_keys"), IDEMPOTENCY_KEYS)
-    reqs = _as_stream(spark, x.raw("fx_request_bodies"), f"{base}/in", "arrival")
+    reqs = _as_stream(spark, x.raw("fx_request_bodies"), f"{base}/in", "arrival", files=2)
     _await(SP.stream_post(spark, reqs, x.customers, x.accounts, keys0, x.projections,
                           f"{base}/out", f"{base}/ckpt", NOW))
     done = SP.committed_batches(spark, f"{base}/out")

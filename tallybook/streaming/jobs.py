@@ -6,8 +6,10 @@ rewrites exactly its own files (idempotent, exactly-once together with the
 checkpointed source offsets). Readers take the latest version per key.
 
 Event times from the parquet inputs are ``timestamp_ntz``; watermarks need
-``timestamp``, so event-time columns are cast on the way in and back on the
-way out (same session time zone both ways, so values round-trip).
+``timestamp``, so event-time columns are turned into instants reading the wall
+time as UTC on the way in and back into UTC wall time on the way out
+(``utc_instant`` / ``utc_wall``): results and window boundaries do not depend
+on the session time zone.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tallybook.functions.text import utc_instant, utc_wall
 from tallybook.operators import outbox as O
 from tallybook.sources.messages import webhooks_from_messages
 
@@ -125,7 +128,7 @@ def stream_dedupe(hooks: DataFrame, event_time: str = "created_at",
     State is kept per key until the watermark passes the first arrival + ``within``
     (``dropDuplicatesWithinWatermark``), so it stays bounded by one window of keys.
     """
-    return (hooks.withColumn("_et", F.col(event_time).cast("timestamp"))
+    return (hooks.withColumn("_et", utc_instant(event_time))
             .withWatermark("_et", within)
             .dropDuplicatesWithinWatermark(["provider", "external_event_id"])
             .drop("_et"))
@@ -163,18 +166,18 @@ def stream_settle(withdrawals: DataFrame, callbacks: DataFrame, within: str = "2
     passes their window) — the expired, unresolved ones.
     """
     w = (withdrawals.select(F.col("request_id").alias("w_id"),
-                            F.col("requested_at").cast("timestamp").alias("w_ts"),
+                            utc_instant("requested_at").alias("w_ts"),
                             "source_account_id", "amount")
          .withWatermark("w_ts", late))
     c = (callbacks.select("hook_id", F.col("data.reference").alias("c_ref"), "event",
-                          F.col("received_at").cast("timestamp").alias("c_ts"))
+                          utc_instant("received_at").alias("c_ts"))
          .withWatermark("c_ts", late))
     cond = ((F.col("c_ref") == F.col("w_id")) & (F.col("c_ts") >= F.col("w_ts"))
             & (F.col("c_ts") <= F.col("w_ts") + F.expr(f"INTERVAL {within}")))
     j = w.join(c, cond, how)
     return j.select("w_id", "hook_id", "event", "source_account_id", "amount",
-                    F.col("w_ts").cast("timestamp_ntz").alias("requested_at"),
-                    F.col("c_ts").cast("timestamp_ntz").alias("received_at"))
+                    utc_wall("w_ts").alias("requested_at"),
+                    utc_wall("c_ts").alias("received_at"))
 
 
 # ---------------------------------------------------------------- I7
@@ -235,8 +238,8 @@ def stream_hold_timers(hold_events: DataFrame, late: str = "1 hour") -> DataFram
     (watermark passes expires_at) emits ``expired``. Grouped-map state runs per
     hold (Arrow batches), not per row; state is removed at the terminal status.
     """
-    ev = (hold_events.withColumn("event_time", F.col("event_time").cast("timestamp"))
-          .withColumn("expires_at", F.col("expires_at").cast("timestamp"))
+    ev = (hold_events.withColumn("event_time", utc_instant("event_time"))
+          .withColumn("expires_at", utc_instant("expires_at"))
           .withColumn("amount", F.col("amount").cast("string"))
           .withWatermark("event_time", late))
     return ev.groupBy("hold_id").applyInPandasWithState(
@@ -275,12 +278,12 @@ def backlog_windows(events: DataFrame, event_time: str = "ts", channel: str = "c
                     limit: int = BACKLOG_LIMIT) -> DataFrame:
     """Arrivals per channel and time window (tumbling, or sliding with ``slide``), flagged
     when above ``limit`` (the backlog at which the reference starts a second worker)."""
-    e = events.withColumn("_et", F.col(event_time).cast("timestamp")).withWatermark("_et", late)
+    e = events.withColumn("_et", utc_instant(event_time)).withWatermark("_et", late)
     w = F.window("_et", size, slide) if slide else F.window("_et", size)
     return (e.groupBy(F.col(channel).alias("channel"), w.alias("w"))
             .agg(F.count(F.lit(1)).alias("arrivals"))
-            .select("channel", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "arrivals",
+            .select("channel", utc_wall("w.start").alias("window_start"),
+                    utc_wall("w.end").alias("window_end"), "arrivals",
                     (F.col("arrivals") > limit).alias("backlog")))
 
 
