@@ -22,6 +22,9 @@ REQUEST_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in REQUEST
                               + [T.StructField("metadata", T.MapType(T.StringType(),
                                                                      T.StringType()))])
 
+# Fixed value: the header that carries the provider's request id on stored webhooks.
+REQUEST_ID_HEADER = "X-Paystack-Request-Id"
+
 # The provider envelope and its transfer data (note the capitalised keys).
 CALLBACK_DATA_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in [
     "id", "provider", "Amount", "Currency", "Domain", "account_number", "bank_code", "full_name",
@@ -92,7 +95,7 @@ def webhooks_from_messages(messages: DataFrame, id_col: str = "message_id",
         ext.alias("external_event_id"),
         F.col(topic).alias("event_type"),
         F.col(value).alias("payload"),
-        F.to_json(F.struct(ext.alias("X-Paystack-Request-Id"))).alias("headers"),
+        F.to_json(F.struct(ext.alias(REQUEST_ID_HEADER))).alias("headers"),
         F.lit("pending").alias("status"),
         F.lit(None).cast("timestamp_ntz").alias("processed_at"),
         F.lit(None).cast("string").alias("error_message"),
