@@ -39,6 +39,7 @@ def upsert_expected_version(proj: DataFrame, updates: DataFrame, now: str,
                         "computed_at", F.lit(None).cast("long").alias("_last_seq"),
                         F.lit(False).alias("_touched"))
     applied_seqs = None
+    prev_nxt = None
     for r in range(max_rounds):
         s = state.select(*KEY, F.col("version").alias("_v"), F.col("_last_seq").alias("_ls"))
         cand = (u.join(s, KEY, "left")
@@ -48,6 +49,9 @@ def upsert_expected_version(proj: DataFrame, updates: DataFrame, now: str,
                .agg(F.min_by(F.struct("seq", *VALUES), F.col("seq")).alias("_u"))
                .select(*KEY, "_u.*"))
         nxt = cut_lineage(nxt) if (r + 1) % checkpoint_every == 0 else nxt.cache()
+        if prev_nxt is not None:
+            prev_nxt.unpersist()
+        prev_nxt = nxt
         if nxt.isEmpty():
             break
         step = nxt.select(*KEY, F.col("seq").alias("_aseq"))

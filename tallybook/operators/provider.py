@@ -87,13 +87,15 @@ def provider_status(attempts: DataFrame, now: str, threshold: int = BREAKER_THRE
                     F.col("_s.opened_at").alias("last_opened_at"))
 
 
-def sla_report(attempts: DataFrame, latency: str = "latency_ms") -> DataFrame:
+def sla_report(attempts: DataFrame, latency: str = "latency_ms", exact: bool = True,
+               accuracy: int = 10000) -> DataFrame:
     """Per provider and overall ('*'): p50/p95/p99 (element at floor(n·p/100) of the sorted
     latencies, clamped), min, max, avg, throughput, success %, SLA pass flags.
 
     Exact ranks without sorting all rows of a key: latencies are counted per
     distinct value (partial aggregate), a cumulative count over the distinct
-    values finds the element at each target rank.
+    values finds the element at each target rank. ``exact=False`` uses
+    ``percentile_approx`` instead (a sketch; interpolation-free but approximate).
     """
     both = (attempts.select("provider", F.col(latency).alias("lat"), "success", "attempted_at")
             .unionByName(attempts.select(F.lit("*").alias("provider"),
@@ -104,16 +106,24 @@ def sla_report(attempts: DataFrame, latency: str = "latency_ms") -> DataFrame:
         F.min("lat").alias("min_ms"), F.max("lat").alias("max_ms"),
         F.round(F.avg("lat"), 6).alias("avg_ms"),
         F.min("attempted_at").alias("_t0"), F.max("attempted_at").alias("_t1"))
-    hist = both.groupBy("provider", "lat").agg(F.count(F.lit(1)).alias("_c"))
-    cum = chunked_running_sum(hist, ["provider"], [F.col("lat")], {"_cum": F.col("_c")},
-                              F.floor(F.col("lat") / F.lit(1000.0)))
-    cum = cum.join(stats.select("provider", "n"), "provider")
     out = stats
-    for p in (50, 95, 99):
-        idx = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100)), F.col("n") - 1)
-        pv = (cum.filter(F.col("_cum") > idx).groupBy("provider")
-              .agg(F.min("lat").alias(f"p{p}_ms")))
-        out = out.join(pv, "provider", "left")
+    if exact:
+        hist = both.groupBy("provider", "lat").agg(F.count(F.lit(1)).alias("_c"))
+        cum = chunked_running_sum(hist, ["provider"], [F.col("lat")], {"_cum": F.col("_c")},
+                                  F.floor(F.col("lat") / F.lit(1000.0)))
+        cum = cum.join(stats.select("provider", "n"), "provider")
+        for p in (50, 95, 99):
+            idx = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100)), F.col("n") - 1)
+            pv = (cum.filter(F.col("_cum") > idx).groupBy("provider")
+                  .agg(F.min("lat").alias(f"p{p}_ms")))
+            out = out.join(pv, "provider", "left")
+    else:
+        # One-pass sketch (mergeable partial aggregates): percentile_approx with ``accuracy``.
+        pa = (both.groupBy("provider")
+              .agg(F.percentile_approx("lat", [0.5, 0.95, 0.99], accuracy).alias("_p")))
+        out = out.join(pa.select("provider", F.col("_p")[0].alias("p50_ms"),
+                                 F.col("_p")[1].alias("p95_ms"),
+                                 F.col("_p")[2].alias("p99_ms")), "provider", "left")
     secs = F.unix_micros(utc_instant("_t1")) - F.unix_micros(utc_instant("_t0"))
     rps = F.when(secs > 0, F.round(F.col("n") / (secs / F.lit(1e6)), 6))
     pct = F.round(F.col("n_success") * 100.0 / F.col("n"), 6)

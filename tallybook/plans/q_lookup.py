@@ -202,3 +202,68 @@ SELECT id, customer_id, external_ref, account_number, account_type, status, curr
 """)
 def q_account_report(spark, d):
     return L.account_report(Inputs(spark, d).accounts)
+
+
+@register("lookup_customers_by_ref", oracle="""
+WITH k AS (SELECT DISTINCT concat('cust_', cast(o_custkey AS string)) AS external_ref FROM orders
+           UNION SELECT DISTINCT concat('cust_', cast(o_custkey + 1000000 AS string)) FROM orders)
+SELECT k.external_ref, c.id AS r_id, c.status AS r_status, c.id IS NOT NULL AS found
+FROM k LEFT JOIN fx_customers c ON c.external_ref = k.external_ref
+""")
+def q_lookup_customers_by_ref(spark, d):
+    x = Inputs(spark, d)
+    o = x.table("orders")
+    keys = o.select(F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"))
+                    .alias("external_ref")).union(
+        o.select(F.concat(F.lit("cust_"), (F.col("o_custkey") + 1000000).cast("string"))
+                 .alias("external_ref"))).distinct()
+    return L.lookup(x.customers, keys, "external_ref").select("external_ref", "r_id", "r_status",
+                                                             "found")
+
+
+@register("lookup_journal_by_ref", oracle="""
+WITH k AS (SELECT DISTINCT concat('REF', cast(l_orderkey AS string)) AS transaction_ref
+           FROM lineitem)
+SELECT k.transaction_ref, j.id AS r_id, j.status AS r_status, j.id IS NOT NULL AS found
+FROM k LEFT JOIN fx_journal j ON j.transaction_ref = k.transaction_ref
+""")
+def q_lookup_journal_by_ref(spark, d):
+    x = Inputs(spark, d)
+    keys = x.table("lineitem").select(
+        F.concat(F.lit("REF"), F.col("l_orderkey").cast("string")).alias("transaction_ref")
+    ).distinct()
+    return L.lookup(x.journal, keys, "transaction_ref").select("transaction_ref", "r_id",
+                                                              "r_status", "found")
+
+
+@register("lookup_projection", oracle="""
+WITH k AS (SELECT DISTINCT concat('C', cast(o_custkey AS string)) AS account_id,
+                  'NGN' AS currency_code, 'available' AS balance_kind FROM orders)
+SELECT k.account_id, k.currency_code, k.balance_kind, p.available_balance AS r_available_balance,
+       p.version AS r_version, p.account_id IS NOT NULL AS found
+FROM k LEFT JOIN fx_projections p ON p.account_id = k.account_id
+ AND p.currency_code = k.currency_code AND p.balance_kind = k.balance_kind
+""")
+def q_lookup_projection(spark, d):
+    x = Inputs(spark, d)
+    keys = x.table("orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("account_id"),
+        F.lit("NGN").alias("currency_code"), F.lit("available").alias("balance_kind")).distinct()
+    out = L.lookup(x.projections, keys, ["account_id", "currency_code", "balance_kind"])
+    return out.select("account_id", "currency_code", "balance_kind", "r_available_balance",
+                      "r_version", "found")
+
+
+@register("lookup_idempotency_key", oracle="""
+WITH k AS (SELECT DISTINCT scope, idempotency_key FROM fx_request_bodies)
+SELECT k.scope, k.idempotency_key, i.id AS r_id, i.response_code AS r_response_code,
+       i.id IS NOT NULL AS found
+FROM k LEFT JOIN fx_idem_keys i ON i.scope = k.scope AND i.idempotency_key = k.idempotency_key
+""")
+def q_lookup_idempotency_key(spark, d):
+    from tallybook.schemas import IDEMPOTENCY_KEYS, conform
+    x = Inputs(spark, d)
+    keys = x.raw("fx_request_bodies").select("scope", "idempotency_key").distinct()
+    stored = conform(x.raw("fx_idem_keys"), IDEMPOTENCY_KEYS)
+    out = L.lookup(stored, keys, ["scope", "idempotency_key"])
+    return out.select("scope", "idempotency_key", "r_id", "r_response_code", "found")
