@@ -148,8 +148,9 @@ SELECT concat('L', cast(o_orderkey AS string), '_1') AS id,
        1 AS line_number,
        concat('C', cast(o_custkey AS string)) AS account_id,
        'debit' AS side,
-       cast(o_totalprice AS decimal(20,8))
-         + cast(CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 50 END AS decimal(20,8)) AS amount,
+       cast(cast(o_totalprice AS decimal(20,8))
+         + cast(CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 50 END AS decimal(20,8))
+         AS decimal(20,8)) AS amount,
        'NGN' AS currency_code,
        CASE WHEN o_orderkey % 3 = 0 THEN 'ledger' ELSE 'available' END AS balance_kind,
        '{}' AS metadata,
@@ -187,7 +188,7 @@ SELECT id, journal_transaction_id, line_number, account_id,
        CASE WHEN journal_transaction_id LIKE 'J%'
                  AND cast(substr(journal_transaction_id, 2) AS bigint) % 1000 = 2
                  AND line_number = 1
-            THEN amount + cast(1 AS decimal(20,8)) ELSE amount END AS amount,
+            THEN cast(amount + cast(1 AS decimal(20,8)) AS decimal(20,8)) ELSE amount END AS amount,
        currency_code, balance_kind, metadata, created_at
 FROM fx_lines
 WHERE NOT (journal_transaction_id LIKE 'J%'
@@ -211,7 +212,8 @@ SELECT concat('H', cast(event_id AS string)) AS id,
        CASE WHEN event_id % 4 = 2 THEN cast(value AS decimal(20,8))
             ELSE cast(0 AS decimal(20,8)) END AS released_amount,
        CASE event_id % 4 WHEN 1 THEN cast(value AS decimal(20,8))
-            WHEN 3 THEN cast(value AS decimal(20,8)) - cast(value / 2 AS decimal(20,8))
+            WHEN 3 THEN cast(cast(value AS decimal(20,8)) - cast(value / 2 AS decimal(20,8))
+                             AS decimal(20,8))
             ELSE cast(0 AS decimal(20,8)) END AS captured_amount,
        ts + INTERVAL '24 hours' AS expires_at,
        ts AS created_at,
@@ -319,7 +321,8 @@ SELECT concat('RV', substr(l.journal_transaction_id, 2), '_', cast(l.line_number
        l.line_number, l.account_id,
        CASE WHEN l.side = 'debit' THEN 'credit' ELSE 'debit' END AS side,
        CASE WHEN cast(substr(l.journal_transaction_id, 2) AS bigint) % 100 = 0 AND l.line_number = 2
-            THEN l.amount + cast(1 AS decimal(20,8)) ELSE l.amount END AS amount,
+            THEN cast(l.amount + cast(1 AS decimal(20,8)) AS decimal(20,8)) ELSE l.amount END
+           AS amount,
        l.currency_code, l.balance_kind, l.created_at
 FROM fx_lines l JOIN fx_reversal_journal r ON r.reversal_of_transaction_id = l.journal_transaction_id
 """)
@@ -451,7 +454,8 @@ WITH t AS (
 SELECT CASE WHEN k % 2 = 0 THEN 'bank_a' ELSE 'bank_b' END AS source_system,
        cast(date_trunc('month', o_orderdate) AS date) AS statement_date,
        concat('EXT', cast(k AS string)) AS external_reference, 'NGN' AS currency_code,
-       CASE WHEN k % 7 = 0 THEN amount + cast(1 AS decimal(20,8)) ELSE amount END AS amount,
+       CASE WHEN k % 7 = 0 THEN cast(amount + cast(1 AS decimal(20,8)) AS decimal(20,8))
+            ELSE amount END AS amount,
        o_orderdate AS value_at, concat('SL-', cast(k AS string)) AS statement_line_id
 FROM t WHERE k % 10 <> 0
 UNION ALL
@@ -510,7 +514,8 @@ _fx("fx_lines_after", """
 SELECT id, journal_transaction_id, line_number, account_id, side,
        CASE WHEN journal_transaction_id LIKE 'J%'
                  AND cast(substr(journal_transaction_id, 2) AS bigint) % 333 = 0
-            THEN amount + cast(0.01 AS decimal(20,8)) ELSE amount END AS amount,
+            THEN cast(amount + cast(0.01 AS decimal(20,8)) AS decimal(20,8)) ELSE amount END
+           AS amount,
        currency_code, balance_kind, metadata, created_at
 FROM fx_lines
 WHERE NOT (journal_transaction_id LIKE 'J%'
@@ -537,7 +542,8 @@ FROM events WHERE event_type = 'signup'
 _fx("fx_hold_requests", """
 SELECT concat('HR', cast(event_id AS string), 'a') AS request_id,
        concat('H', cast(event_id AS string)) AS hold_id,
-       CASE WHEN event_id % 6 = 2 THEN cast(value AS decimal(20,8)) + cast(1 AS decimal(20,8))
+       CASE WHEN event_id % 6 = 2
+            THEN cast(cast(value AS decimal(20,8)) + cast(1 AS decimal(20,8)) AS decimal(20,8))
             ELSE cast(value / 2 AS decimal(20,8)) END AS amount,
        event_id * 10 AS seq,
        CASE WHEN event_id % 6 IN (1, 4) THEN 'release' ELSE 'consume' END AS action

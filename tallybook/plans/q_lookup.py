@@ -90,8 +90,8 @@ def q_list_page_capped(spark, d):
 
 @register("list_page_per_customer", oracle="""
 WITH r AS (SELECT id, customer_id, created_at,
-                  row_number() OVER (PARTITION BY customer_id
-                                     ORDER BY created_at DESC, id DESC) AS page_rank
+                  cast(row_number() OVER (PARTITION BY customer_id
+                                          ORDER BY created_at DESC, id DESC) AS integer) AS page_rank
            FROM fx_transfers)
 SELECT id, customer_id, created_at, page_rank FROM r WHERE page_rank > 1 AND page_rank <= 4
 """)

@@ -24,8 +24,8 @@ def q_first_success(spark, d):
 
 _SPANS = """
 WITH o AS (
-  SELECT *, SUM(CASE WHEN success THEN 1 ELSE 0 END) OVER w AS cum_success,
-            SUM(CASE WHEN success THEN 0 ELSE 1 END) OVER w AS cum_failure
+  SELECT *, cast(SUM(CASE WHEN success THEN 1 ELSE 0 END) OVER w AS bigint) AS cum_success,
+            cast(SUM(CASE WHEN success THEN 0 ELSE 1 END) OVER w AS bigint) AS cum_failure
   FROM fx_attempts
   WINDOW w AS (PARTITION BY provider ORDER BY attempted_at, request_id, priority
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
