@@ -22,6 +22,26 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for the 100 TB / ~1000-executor deployment (merged into the cluster's
+# own session config; the checkpoint folder must be shared storage).
+CLUSTER_CONF = {
+    # Many initial shuffle partitions, AQE coalesces them to ~256 MB each at runtime.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Skewed join partitions are split at runtime.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Broadcast only small sides, by measured size.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Keep shuffle files of lost executors recoverable.
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+}
+
+
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tallybook",
               extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
