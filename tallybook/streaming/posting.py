@@ -30,15 +30,19 @@ KIND_TO_OP = {"deposit": "deposit", "transfer": "transfer", "withdrawal": "hold"
 
 
 def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys: DataFrame,
-               projection: DataFrame, now: str) -> dict[str, DataFrame]:
+               projection: DataFrame, now: str, persist: bool = False
+               ) -> dict[str, DataFrame]:
     """Post one batch of raw requests (request_id, scope, kind, idempotency_key, body, arrival).
 
-    Returns outcomes (request_id, outcome, reason), legs, projection, keys, events.
+    Returns outcomes (request_id, outcome, reason), legs, leg_errors, projection, keys,
+    events. With ``persist=True`` the intermediates every output reuses are persisted
+    (memory and disk) and returned under ``"_persisted"`` for the caller to unpersist.
     """
     parsed, bad = parse_requests(raw)
     cls = I.classify_requests(raw, keys).select("request_id", F.col("status").alias("idem"))
-    # Reused by every output of the batch: computed once (one micro-batch, memory+disk).
-    p = parsed.join(cls, "request_id").persist()
+    p = parsed.join(cls, "request_id")
+    if persist:
+        p = p.persist()
     fresh = p.filter(F.col("idem") == "new")
     elig = None
     for kind in ("deposit", "transfer", "withdrawal"):
@@ -48,7 +52,8 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
             "op_type", F.lit(KIND_TO_OP[kind]))
         elig = checked if elig is None else elig.unionByName(checked)
     required_missing = fresh.join(elig.select("request_id"), "request_id", "left_anti")
-    elig = elig.persist()
+    if persist:
+        elig = elig.persist()
     ok = elig.filter(F.col("reason").isNull())
     ops = ok.select(
         F.col("request_id").alias("op_id"), F.col("arrival").alias("op_ts"),
@@ -95,9 +100,12 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
                                     F.col("status").alias("outcome"),
                                     F.when(F.col("status") == "rejected", "insufficient funds")
                                     .alias("reason"))))
-    return {"outcomes": outcome, "legs": legs_ok, "leg_errors": legs_bad,
-            "projection": conform(new_proj, BALANCE_PROJECTIONS),
-            "keys": conform(new_keys, IDEMPOTENCY_KEYS), "events": events}
+    out = {"outcomes": outcome, "legs": legs_ok, "leg_errors": legs_bad,
+           "projection": conform(new_proj, BALANCE_PROJECTIONS),
+           "keys": conform(new_keys, IDEMPOTENCY_KEYS), "events": events}
+    if persist:
+        out["_persisted"] = [p, elig]
+    return out
 
 
 def committed_batches(spark: SparkSession, out: str) -> list[int]:
@@ -126,10 +134,12 @@ def stream_post(spark: SparkSession, requests: DataFrame, customers: DataFrame,
             proj = read_table(spark, out, "projection", done[-1])
         else:
             keys, proj = keys0, projection0
-        res = post_batch(df, customers, accounts, keys, proj, now)
+        res = post_batch(df, customers, accounts, keys, proj, now, persist=True)
+        cached = res.pop("_persisted")
         for name, frame in res.items():
             frame.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
-        spark.catalog.clearCache()   # this batch's persisted intermediates
+        for frame in cached:          # this batch's intermediates only
+            frame.unpersist()
         (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"))
          .write.mode("overwrite").json(f"{out}/_commits/batch={batch_id}"))
     return run(requests.writeStream.foreachBatch(each), checkpoint, trigger)

@@ -16,6 +16,6 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     ckpt = tempfile.mkdtemp(prefix="tallybook-test-ckpt-")
     s = get_spark(master="local[4]", shuffle_partitions=4,
-                  extra={"spark.checkpoint.dir": ckpt})
+                  extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
     yield s
     s.stop()
