@@ -115,3 +115,14 @@ def test_money_is_conserved(spark):
     tot = deltas.groupBy("op_id").agg(F.sum("d_ledger").alias("s")).collect()
     # deposit: settlement (credit-normal) debited -100, A +100 → 0; transfer: -35 +30 +5 → 0
     assert all(r["s"] == Decimal(0) for r in tot)
+
+
+def test_five_concurrent_transfers(spark):
+    """Five transfers of 5000 + 50 fee from 75000: all accepted, 49750 left."""
+    rows = [("d1", 0, "deposit", None, "A", 75000, 0, None)] + [
+        (f"t{i}", 1, "transfer", "A", "B", 5000, 50, None) for i in range(5)]
+    decided, proj = _run(spark, rows, CUST)
+    assert {r["status"] for r in decided.filter(F.col("op_type") == "transfer").collect()} \
+        == {"accepted"}
+    bal = as_dict(proj, "account_id", "available_balance")
+    assert bal["A"] == D(49750) and bal["B"] == D(25000) and bal["FEE"] == D(250)
