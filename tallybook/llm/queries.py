@@ -7,10 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import chat, exact_dedup, sharding
+from tallybook.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    html_main,
+    langid,
+    near_dup,
+    packing,
+    pii,
+    quality,
+    sharding,
+)
 from tallybook.llm.common import table, text_or_empty
 
 
+def tokenizer_file() -> str:
+    """Place of the public vocabulary the packer counts tokens with."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model, limit=0.7)
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it (no row: a clean document)."""
+    return decontaminate.find_contamination(table(spark, sf_dir, "documents"),
+                                            table(spark, sf_dir, "benchmark"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -61,6 +90,29 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = langid.train(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"))
+    return langid.identify(docs, models)
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, limit=80)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 OP3_SQL = """
 with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                     'abcdefghijklmnopqrstuvwxyz') as t from documents),
@@ -89,9 +141,16 @@ from e group by conv_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_decontaminate": op2_decontaminate,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
     "op5_chat_format": op5_chat_format,
+    "op6_pii": op6_pii,
+    "op7_language": op7_language,
+    "op8_html_text": op8_html_text,
+    "op9_packing": op9_packing,
+    "op10_near_dup": op10_near_dup,
 }
 
 #: DuckDB SQL where SQL can express the operator's result.
