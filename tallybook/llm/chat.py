@@ -63,7 +63,7 @@ def fold(log: DataFrame) -> DataFrame:
             .filter(~F.coalesce(F.get(ev, F.greatest(F.col("cut"), F.lit(0)))["kind"] == "retract",
                                 F.lit(False)))
             .select("conv_id", "block", "turn", "msg",
-                    F.coalesce(F.element_at(roles, -1), F.lit("")).alias("role"),
+                    F.coalesce(F.get(roles, F.size(roles) - 1), F.lit("")).alias("role"),
                     F.array_join(F.transform(live, lambda x: F.coalesce(x["text"], F.lit(""))), "")
                     .alias("text")))
 
