@@ -8,22 +8,26 @@ Deposits are always accepted; a failed settlement gives the held amount back
 only if its hold was accepted; a successful settlement does not touch
 available and copies its hold's decision.
 
-Set-wise algorithm. Every op contributes rows per account it touches (a debit
-at the source, a credit at the destination). Each round computes, for every
+Set-wise algorithm. Every op contributes rows per (account, currency) it touches (a
+debit at the source, a credit at the destination). Each round computes, for every
 undecided debit, bounds on the balance it will see:
 
-    lo = opening + Σ accepted effects before it − Σ undecided debits before it
-    hi = opening + Σ accepted effects before it + Σ undecided credits before it
+    lo = base + Σ accepted effects before it − Σ undecided decreases before it
+    hi = base + Σ accepted effects before it + Σ undecided increases before it
 
 and accepts when lo ≥ need, rejects when hi < need. The earliest undecided op
 overall has no undecided rows before it, so lo = hi and it is always decided:
 every round makes progress and the result equals the sequential run.
 
-Per round: a two-level running sum per account (skew-safe, see
-``chunked_running_sum``) over only the accounts that still have an undecided
-debit, one join to propagate decisions, and a reliable checkpoint into the
-session's shared checkpoint folder so lineage stays one round deep and a lost
-executor recomputes at most one round.
+After each round the decided prefix of every account is folded into its ``base``
+and its rows are dropped, as are rejected rows and accounts without an open
+check, so a round works on what is still open only. The open rows are range
+partitioned by (account, order) and written to the shared folder together with
+their partition number, which serves as the chunk of the two-level running sum:
+chunks follow the volume, so a busy account is split however its ops cluster in
+time. When at most ``tail_rows`` open rows remain (a documented bound, whatever
+the input) one task runs them in order, since long dependency chains leave a
+few rows open for many rounds.
 """
 
 from __future__ import annotations
@@ -32,127 +36,192 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.windows import chunked_running_sum
-from tallybook.session import cut_lineage
+from tallybook.session import stage, unstage
 
 CHECKED = ("transfer", "hold")
 
 
-def op_rows(ops: DataFrame, chunk: str = "1 hour") -> DataFrame:
+KEYS = ["account_id", "currency_code"]
+ORDER = ["op_ts", "seq_key", "op_id"]
+_D = "decimal(22,8)"
+
+
+def _with_currency(df: DataFrame, keyed: bool) -> DataFrame:
+    """``currency_code`` as part of the key, or one blank currency where balances carry none."""
+    return df if keyed else df.withColumn("currency_code", F.lit(""))
+
+
+def op_rows(ops: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Per-account effect rows of each op on *available*.
 
     Columns: op_id, decider (the op whose decision governs the row), account_id,
-    op_ts, seq_key, delta (signed), need (for the check row), is_check, chunk.
+    currency_code, op_ts, seq_key, delta (signed), need (for the check row), is_check.
+    With ``accounts`` (id, ledger_normal_side) debits and credits are signed by the normal
+    side, as the balance deltas are; holds and their release do not depend on the side.
     """
     fee = F.coalesce(F.col("fee_amount"), F.lit(0))
     t = F.col("op_type")
-    D = "decimal(22,8)"
-    need = F.when(t == "transfer", F.col("amount") + fee).otherwise(F.col("amount")).cast(D)
-    amount = F.col("amount").cast(D)
-    no_need = F.lit(None).cast(D)
+    need = F.when(t == "transfer", F.col("amount") + fee).otherwise(F.col("amount")).cast(_D)
+    amount = F.col("amount").cast(_D)
+    no_need = F.lit(None).cast(_D)
     rows = F.array(
         # debit at the source of a transfer / hold: the row that is checked
         F.when(t.isin(*CHECKED), F.struct(
             F.col("source_account_id").alias("account_id"), (-need).alias("delta"),
-            need.alias("need"), F.lit(True).alias("is_check"), F.col("op_id").alias("decider"))),
+            need.alias("need"), F.lit(True).alias("is_check"), F.col("op_id").alias("decider"),
+            (t == "transfer").alias("sided"))),
         # credit at the destination of a transfer / deposit
         F.when(t.isin("transfer", "deposit"), F.struct(
             F.col("destination_account_id").alias("account_id"), amount.alias("delta"),
-            no_need.alias("need"),
-            F.lit(False).alias("is_check"), F.col("op_id").alias("decider"))),
+            no_need.alias("need"), F.lit(False).alias("is_check"), F.col("op_id").alias("decider"),
+            F.lit(True).alias("sided"))),
         # a failed settlement returns the held amount if its hold was accepted
         F.when(t == "settle_failed", F.struct(
             F.col("source_account_id").alias("account_id"), amount.alias("delta"),
             no_need.alias("need"), F.lit(False).alias("is_check"),
-            F.col("hold_op_id").alias("decider"))))
-    x = ops.select("op_id", "op_ts", "seq_key", F.explode(rows).alias("r")).filter(
+            F.col("hold_op_id").alias("decider"), F.lit(False).alias("sided"))))
+    x = ops.select("op_id", "currency_code", "op_ts", "seq_key", F.explode(rows).alias("r")).filter(
         F.col("r").isNotNull())
-    return x.select("op_id", F.col("r.decider").alias("decider"),
-                    F.col("r.account_id").alias("account_id"), "op_ts", "seq_key",
-                    F.col("r.delta").cast("decimal(22,8)").alias("delta"),
-                    F.col("r.need").cast("decimal(22,8)").alias("need"),
-                    F.col("r.is_check").alias("is_check"),
-                    F.window("op_ts", chunk).start.alias("chunk"))
-
-
-def admit(ops: DataFrame, opening: DataFrame, chunk: str = "1 hour", max_rounds: int = 200,
-          exclude_accounts: DataFrame | None = None) -> DataFrame:
+    x = x.select("op_id", "currency_code", "op_ts", "seq_key", "r.*")
+    if accounts is not None:
+        side = accounts.select(F.col("id").alias("account_id"), "ledger_normal_side")
+        x = x.join(side, "account_id", "left").withColumn("delta", F.when(
+            F.col("sided") & (F.col("ledger_normal_side") == "debit"), -F.col("delta"))
+            .otherwise(F.col("delta")))
+    return x.select("op_id", "decider", "account_id", "currency_code", "op_ts", "seq_key",
+                    F.col("delta").cast(_D).alias("delta"), F.col("need").cast(_D).alias("need"),
+                    "is_check")
+
+
+def _fold(rows: DataFrame) -> DataFrame:
+    """Add the decided prefix of each account to its base; keep only what is still open."""
+    order = F.struct(*ORDER)
+    open_ = F.col("st") == "U"
+    state = rows.groupBy(*KEYS).agg(
+        F.min(F.when(open_, order)).alias("_first"),
+        F.max((open_ & F.col("is_check")).cast("int")).alias("_checks"))
+    x = rows.join(state.filter("_checks = 1").drop("_checks"), KEYS)
+    before = order < F.col("_first")
+    prefix = (x.filter(before & (F.col("st") == "A")).groupBy(*KEYS)
+              .agg(F.sum("delta").alias("_folded")))
+    return (x.filter(~before & (F.col("st") != "R")).join(prefix, KEYS, "left")
+            .withColumn("base", (F.col("base") + F.coalesce("_folded", F.lit(0))).cast("decimal(38,8)"))
+            .drop("_first", "_folded"))
+
+
+def _in_order(rows):
+    """Decide the remaining open rows one after the other (pandas, one bounded group)."""
+    rows = rows.sort_values([*ORDER, "is_check"], ascending=[True, True, True, False])
+    balance, said = {}, {}
+    for r in rows.itertuples(index=False):
+        key = (r.account_id, r.currency_code)
+        have = balance.get(key, r.base)
+        if r.st == "U" and r.is_check:
+            said[r.op_id] = "A" if have >= r.need else "R"
+        if r.st == "A" or (r.st == "U" and said.get(r.decider) == "A"):
+            have += r.delta
+        balance[key] = have
+    import pandas as pd
+    return pd.DataFrame({"op_id": list(said), "new": list(said.values())}, dtype=object)
+
+
+def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
+          tail_rows: int = 20_000, exclude_accounts: DataFrame | None = None) -> DataFrame:
     """accept / reject every op in order. Returns ops with ``status`` and ``rounds``.
 
     ``ops``: op_id, op_ts, seq_key, op_type, source_account_id, destination_account_id,
-    amount, fee_amount, hold_op_id. ``opening``: account_id, available_balance.
-    ``exclude_accounts`` (id): accounts never checked (system accounts): their
-    debits are always accepted and their rows are not tracked.
+    currency_code, amount, fee_amount, hold_op_id. ``opening``: account_id, available_balance
+    and, where balances are kept per currency, currency_code. ``accounts``: see
+    :func:`op_rows`. ``exclude_accounts`` (id): accounts never checked (system accounts):
+    their debits are always accepted and their rows are not tracked.
+
+    Ops without a time have no place in the order and come out ``invalid``, without effect; a
+    settlement whose hold is missing or later than itself copies nothing.
     """
-    rows = op_rows(ops, chunk)
+    keyed = "currency_code" in opening.columns
+    timed = ops.filter(F.col("op_ts").isNotNull())
+    rows = _with_currency(op_rows(timed, accounts), keyed)
+    holds = timed.filter(F.col("op_type") == "hold").select(
+        F.col("op_id").alias("decider"), F.struct(*ORDER).alias("_held"))
+    own = F.col("decider") == F.col("op_id")
+    later = rows.filter(~own | F.col("decider").isNull()).join(holds, "decider") \
+        .filter(F.col("_held") < F.struct(*ORDER)).drop("_held")
+    rows = rows.filter(own).unionByName(later.select(*rows.columns))
+    kinds = timed.select(F.col("op_id").alias("decider"), F.col("op_type").alias("_kind"))
+    st = F.when(F.col("_kind") == "deposit", "A").otherwise("U")
+    rows = rows.join(kinds, "decider").withColumn("st", st).drop("_kind")
+    auto = None
     if exclude_accounts is not None:
-        ex = exclude_accounts.select(F.col("id").alias("account_id"))
-        sys_rows = rows.join(ex, "account_id", "left_semi")
-        rows = rows.join(ex, "account_id", "left_anti")
-        auto = sys_rows.filter("is_check").select(F.col("op_id"))
-    else:
-        auto = None
-    rows = cut_lineage(rows)
-    open_bal = opening.groupBy("account_id").agg(F.sum("available_balance").alias("opening"))
-    # Initial decisions: deposits and settle_success copy nothing to decide; checked ops are U.
-    status = ops.select("op_id", F.when(F.col("op_type") == "deposit", "A")
-                        .when(F.col("op_type").isin(*CHECKED), "U")
-                        .otherwise(F.lit(None)).alias("status"))
-    if auto is not None:
-        status = (status.join(auto.withColumn("_auto", F.lit(True)), "op_id", "left")
-                  .select("op_id", F.when(F.col("_auto"), "A").otherwise(F.col("status"))
-                          .alias("status")))
-    status = cut_lineage(status.filter(F.col("status").isNotNull()))
-    rounds = 0
+        ex = exclude_accounts.select(F.col("id").alias("account_id")).distinct()
+        auto = (rows.join(ex, "account_id", "left_semi").filter("is_check")
+                .select(F.col("op_id").alias("decider"), F.lit("A").alias("_auto")))
+        rows = (rows.join(ex, "account_id", "left_anti").join(auto, "decider", "left")
+                .withColumn("st", F.coalesce("_auto", "st")).drop("_auto"))
+    start = (_with_currency(opening, keyed).groupBy(*KEYS)
+             .agg(F.sum("available_balance").alias("_opening")))
+    rows = rows.join(start, KEYS, "left").withColumn(
+        "base", F.coalesce("_opening", F.lit(0)).cast("decimal(38,8)")).drop("_opening")
+    decisions, last, rounds = [], None, 0
     while True:
-        # Convergence test on the small, checkpointed status table only.
-        if status.filter(F.col("status") == "U").isEmpty():
+        rows_open = stage(_fold(rows).repartitionByRange(*KEYS, *ORDER)
+                          .withColumn("chunk", F.spark_partition_id()), "admit-rows")
+        unstage(last)
+        last = rows_open
+        left = rows_open.count()
+        if left == 0:
             break
-        undecided_checks = (rows.filter("is_check")
-                            .join(status.filter(F.col("status") == "U"), "op_id", "left_semi"))
-        active = undecided_checks.select("account_id").distinct()
         rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"admission did not settle within {max_rounds} rounds")
-        r = (rows.join(active, "account_id", "left_semi")
-             .join(status.withColumnRenamed("op_id", "decider"), "decider", "left"))
-        st = F.coalesce(F.col("status"), F.lit("U"))
-        r = chunked_running_sum(
-            r, ["account_id"], [F.col("op_ts"), F.col("seq_key"), F.col("op_id")],
-            {"a_net": F.when(st == "A", F.col("delta")).otherwise(F.lit(0)),
-             "u_deb": F.when((st == "U") & (F.col("delta") < 0), -F.col("delta"))
-             .otherwise(F.lit(0)),
-             "u_cred": F.when((st == "U") & (F.col("delta") > 0), F.col("delta"))
-             .otherwise(F.lit(0))},
-            F.col("chunk"), inclusive=False)
-        r = r.join(open_bal, "account_id", "left")
-        base = F.coalesce(F.col("opening"), F.lit(0)) + F.col("a_net")
-        lo, hi = base - F.col("u_deb"), base + F.col("u_cred")
-        decided = (r.filter(F.col("is_check") & (st == "U"))
-                   .select("op_id", F.when(lo >= F.col("need"), "A")
-                           .when(hi < F.col("need"), "R").alias("_new"))
-                   .filter(F.col("_new").isNotNull()))
-        status = (status.join(decided, "op_id", "left")
-                  .select("op_id", F.coalesce(F.col("_new"), F.col("status")).alias("status")))
-        status = cut_lineage(status)
+        if left <= tail_rows:
+            decided = rows_open.groupBy(F.lit(0).alias("_all")).applyInPandas(
+                lambda pdf: _in_order(pdf), "op_id string, new string")
+        else:
+            s, d = F.col("st"), F.col("delta")
+            zero = F.lit(0)
+            r = chunked_running_sum(
+                rows_open, KEYS, [F.col(c) for c in ORDER],
+                {"a_net": F.when(s == "A", d).otherwise(zero),
+                 "u_deb": F.when((s == "U") & (d < 0), -d).otherwise(zero),
+                 "u_cred": F.when((s == "U") & (d > 0), d).otherwise(zero)},
+                F.col("chunk"), inclusive=False)
+            base = F.col("base") + F.col("a_net")
+            lo, hi = base - F.col("u_deb"), base + F.col("u_cred")
+            decided = (r.filter(F.col("is_check") & (s == "U"))
+                       .select("op_id", F.when(lo >= F.col("need"), "A")
+                               .when(hi < F.col("need"), "R").alias("new"))
+                       .filter(F.col("new").isNotNull()))
+        decided = stage(decided, "admit-decided")
+        decisions.append(decided)
+        if left <= tail_rows or decided.isEmpty():
+            break
+        rows = (rows_open.drop("chunk")
+                .join(decided.withColumnRenamed("op_id", "decider"), "decider", "left")
+                .withColumn("st", F.coalesce("new", "st")).drop("new"))
+    status = timed.filter(F.col("op_type") == "deposit").select("op_id", F.lit("A").alias("_s"))
+    if auto is not None:
+        status = status.unionByName(auto.select(F.col("decider").alias("op_id"), F.col("_auto").alias("_s")))
+    for d in decisions:
+        status = status.unionByName(d.select("op_id", F.col("new").alias("_s")))
     # Settlements copy their hold's decision.
-    hold_status = status.select(F.col("op_id").alias("hold_op_id"), F.col("status").alias("_hs"))
-    out = ops.join(status, "op_id", "left").join(hold_status, "hold_op_id", "left")
-    final = F.coalesce(F.col("status"), F.col("_hs"))
+    copied = (timed.filter(F.col("op_type").isin("settle_failed", "settle_success"))
+              .select("op_id", F.struct(*ORDER).alias("_at"), F.col("hold_op_id").alias("decider"))
+              .join(holds, "decider").filter(F.col("_held") < F.col("_at"))
+              .join(status.withColumnRenamed("op_id", "decider"), "decider").select("op_id", "_s"))
+    out = ops.join(status.unionByName(copied), "op_id", "left")
     return out.select(*ops.columns,
-                      F.when(final == "A", "accepted").when(final == "R", "rejected")
-                      .alias("status"),
+                      F.when(F.col("op_ts").isNull(), "invalid").when(F.col("_s") == "A", "accepted")
+                      .when(F.col("_s") == "R", "rejected").alias("status"),
                       F.lit(rounds).alias("rounds"))
 
 
-def admitted_balances(ops_status: DataFrame, opening: DataFrame, chunk: str = "1 hour"
+def admitted_balances(ops_status: DataFrame, opening: DataFrame, accounts: DataFrame | None = None
                       ) -> DataFrame:
-    """Available balance per account after applying the accepted ops to the opening balance."""
-    rows = op_rows(ops_status.filter(F.col("op_type") != "settle_success"), chunk)
-    dec = ops_status.select(F.col("op_id").alias("decider"), F.col("status").alias("_st"))
-    eff = (rows.join(dec, "decider").filter(F.col("_st") == "accepted")
-           .groupBy("account_id").agg(F.sum("delta").alias("_d")))
-    o = opening.groupBy("account_id").agg(F.sum("available_balance").alias("_o"))
-    j = o.join(eff, "account_id", "full_outer")
-    return j.select("account_id", (F.coalesce(F.col("_o"), F.lit(0))
-                                   + F.coalesce(F.col("_d"), F.lit(0)))
+    """Available balance per account (and currency, where ``opening`` has it) after the accepted ops."""
+    keyed = "currency_code" in opening.columns
+    keys = KEYS if keyed else KEYS[:1]
+    timed = ops_status.filter(F.col("op_ts").isNotNull())
+    rows = op_rows(timed.filter(F.col("status") == "accepted"), accounts)
+    eff = rows.groupBy(*keys).agg(F.sum("delta").alias("_d"))
+    o = opening.groupBy(*keys).agg(F.sum("available_balance").alias("_o"))
+    j = o.join(eff, keys, "full_outer")
+    return j.select(*keys, (F.coalesce(F.col("_o"), F.lit(0)) + F.coalesce(F.col("_d"), F.lit(0)))
                     .cast("decimal(38,8)").alias("available_balance"))

@@ -1,85 +1,93 @@
 """Versioned projection upserts and idempotent creates.
 
-E5 applies per-key update chains in rounds: each round every key takes its
-next applicable update (the first later update whose expected version equals
-the current version) through a ``min_by`` aggregate. A round is one join and
-one partial+final aggregate, so a key with many updates never has to fit in
-one task; the number of rounds is the longest chain of successful updates of
-one key in the batch (usually one).
+E5 applies per-key update chains without replaying them one by one: a key's first applicable
+update is one aggregate; every update points at the next one it would allow (the first later
+update expecting the version after its own), and the updates really applied are those reached
+from the first along these pointers, found by pointer doubling. Rounds are logarithmic in the
+longest chain, each is one self-join of the pointers still in use, and a key with many updates
+never has to fit in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import money
 from tallybook.functions.text import ts_literal
 from tallybook.schemas import (ACCOUNTS, CUSTOMERS, SYSTEM_ACCOUNTS, SYSTEM_CURRENCY,
                                SYSTEM_CUSTOMER_REF, conform)
-from tallybook.session import cut_lineage
+from tallybook.session import stage, unstage
 
 KEY = ["account_id", "currency_code", "balance_kind"]
 VALUES = ["ledger_balance", "available_balance", "held_balance", "last_transaction_id",
           "last_line_id"]
 
 
-def upsert_expected_version(proj: DataFrame, updates: DataFrame, now: str,
-                            max_rounds: int = 64, checkpoint_every: int = 8
+def _applied(first: DataFrame, updates: DataFrame) -> DataFrame:
+    """(KEY, seq) of every applied update: those reached from each key's first one."""
+    moving = updates.join(first.withColumnRenamed("seq", "_start"), KEY).filter("seq >= _start")
+    asks = moving.select(*KEY, (F.col("expected_version") + 1).alias("_v"), "seq",
+                         F.lit(False).alias("_offers"))
+    offers = moving.select(*KEY, F.col("expected_version").alias("_v"), "seq",
+                           F.lit(True).alias("_offers"))
+    # One group is one key's updates around one version; its first offer after each ask.
+    after = (Window.partitionBy(*KEY, "_v").orderBy("seq")
+             .rowsBetween(1, Window.unboundedFollowing))
+    jump = (asks.unionByName(offers)
+            .withColumn("_to", F.min(F.when(F.col("_offers"), F.col("seq"))).over(after))
+            .filter(~F.col("_offers") & F.col("_to").isNotNull()).select(*KEY, "seq", "_to"))
+    jump = stage(jump, "upsert-jumps")
+    reached = first.select(*KEY, "seq")
+    while not jump.isEmpty():
+        step = reached.join(jump, [*KEY, "seq"]).select(*KEY, F.col("_to").alias("seq"))
+        wider = stage(reached.unionByName(step).distinct(), "upsert-reached")
+        twice = stage(jump.join(jump.select(*KEY, F.col("seq").alias("_to"),
+                                            F.col("_to").alias("_far")), [*KEY, "_to"])
+                      .select(*KEY, "seq", F.col("_far").alias("_to")), "upsert-jumps")
+        unstage(reached)
+        unstage(jump)
+        reached, jump = wider, twice
+    return reached
+
+
+def upsert_expected_version(proj: DataFrame, updates: DataFrame, now: str
                             ) -> tuple[DataFrame, DataFrame]:
     """E5: insert → version 1; update only when the stored version equals ``expected_version``
-    → version + 1; several updates of one key apply in ``seq`` order.
+    → version + 1; several updates of one key apply in ``seq`` order (``seq`` is unique per key).
 
     ``updates``: KEY, VALUES, expected_version, seq. Returns ``(projection', conflicts)``
     where conflicts are the updates that were not applied.
     """
     t = ts_literal(now)
-    u = updates.select(*KEY, *VALUES, "expected_version", F.col("seq").cast("long").alias("seq"))
-    state = proj.select(*KEY, *VALUES, F.col("version").cast("long").alias("version"),
-                        "computed_at", F.lit(None).cast("long").alias("_last_seq"),
-                        F.lit(False).alias("_touched"))
-    applied_seqs = None
-    prev_nxt = None
-    for r in range(max_rounds):
-        s = state.select(*KEY, F.col("version").alias("_v"), F.col("_last_seq").alias("_ls"))
-        cand = (u.join(s, KEY, "left")
-                .filter((F.col("_ls").isNull() | (F.col("seq") > F.col("_ls")))
-                        & (F.col("_v").isNull() | (F.col("expected_version") == F.col("_v")))))
-        nxt = (cand.groupBy(*KEY)
-               .agg(F.min_by(F.struct("seq", *VALUES), F.col("seq")).alias("_u"))
-               .select(*KEY, "_u.*"))
-        nxt = cut_lineage(nxt) if (r + 1) % checkpoint_every == 0 else nxt.cache()
-        if prev_nxt is not None:
-            prev_nxt.unpersist()
-        prev_nxt = nxt
-        if nxt.isEmpty():
-            break
-        step = nxt.select(*KEY, F.col("seq").alias("_aseq"))
-        applied_seqs = step if applied_seqs is None else applied_seqs.unionByName(step)
-        j = state.join(nxt.select(*KEY, F.col("seq").alias("_nseq"),
-                                  *[F.col(c).alias("_n_" + c) for c in VALUES]), KEY, "full_outer")
-        hit = F.col("_nseq").isNotNull()
-        state = j.select(
-            *KEY,
-            *[F.when(hit, F.col("_n_" + c)).otherwise(F.col(c)).alias(c) for c in VALUES],
-            F.when(hit, F.coalesce(F.col("version"), F.lit(0)) + 1)
-            .otherwise(F.col("version")).alias("version"),
-            F.when(hit, t).otherwise(F.col("computed_at")).alias("computed_at"),
-            F.when(hit, F.col("_nseq")).otherwise(F.col("_last_seq")).alias("_last_seq"),
-            (F.coalesce(F.col("_touched"), F.lit(False)) | hit).alias("_touched"))
-        state = cut_lineage(state) if (r + 1) % checkpoint_every == 0 else state
-    else:
-        raise RuntimeError(f"upsert chains longer than {max_rounds} rounds")
-    if prev_nxt is not None:
-        prev_nxt.unpersist()
-    out = state.select(*KEY, *[money(c).alias(c) if c.endswith("balance") else F.col(c)
-                               for c in VALUES], "version", "computed_at")
-    if applied_seqs is None:
-        conflicts = u
-    else:
-        conflicts = u.join(applied_seqs.withColumnRenamed("_aseq", "seq"), [*KEY, "seq"],
-                           "left_anti")
-    return out, conflicts
+    u = updates.select(*KEY, *VALUES, F.col("expected_version").cast("long").alias(
+        "expected_version"), F.col("seq").cast("long").alias("seq"))
+    stored = proj.select(*KEY, F.col("version").cast("long").alias("_v"), F.lit(True).alias("_old"))
+    seen = stage(u.join(stored, KEY, "left").select(
+        *KEY, "seq", "expected_version", F.col("_v"), F.col("_old").isNull().alias("_new")),
+        "upsert-updates")
+    ok = F.col("_new") | (F.col("expected_version") == F.col("_v"))
+    first = (seen.filter(ok).groupBy(*KEY).agg(F.min("seq").alias("seq"),
+                                               F.max("_new").alias("_insert")))
+    # The update that inserts a key leaves version 1 behind, as if it had expected 0.
+    chain = (seen.select(*KEY, "seq", "expected_version")
+             .join(first.filter("_insert").drop("_insert").withColumn("_zero", F.lit(True)),
+                   [*KEY, "seq"], "left")
+             .select(*KEY, "seq", F.when(F.col("_zero"), F.lit(0).cast("long"))
+                     .otherwise(F.col("expected_version")).alias("expected_version")))
+    applied = _applied(first.select(*KEY, "seq"), chain)
+    last = (u.join(applied, [*KEY, "seq"]).groupBy(*KEY)
+            .agg(F.max_by(F.struct(*VALUES), F.col("seq")).alias("_u"),
+                 F.count(F.lit(1)).alias("_n")))
+    j = proj.join(last, KEY, "full_outer")
+    hit = F.col("_n").isNotNull()
+    value = {c: F.when(hit, F.col("_u." + c)).otherwise(F.col(c)) for c in VALUES}
+    out = j.select(*KEY, *[(money(value[c]) if c.endswith("balance") else value[c]).alias(c)
+                           for c in VALUES],
+                   (F.coalesce(F.col("version").cast("long"), F.lit(0))
+                    + F.coalesce(F.col("_n"), F.lit(0))).alias("version"),
+                   F.when(hit, t).otherwise(F.col("computed_at")).alias("computed_at"))
+    return out, u.join(applied, [*KEY, "seq"], "left_anti")
 
 
 def get_or_create_accounts(accounts: DataFrame, requests: DataFrame, now: str
@@ -168,7 +176,7 @@ def seed_system(customers: DataFrame, accounts: DataFrame, now: str
     spark = customers.sparkSession
     t = ts_literal(now)
     sys_c = spark.createDataFrame(
-        [("SYS", SYSTEM_CUSTOMER_REF, "System Ledger Customer", "system@corebank.local",
+        [("SYS", SYSTEM_CUSTOMER_REF, "System Ledger Customer", "ledger-system@example.com",
           "active", "{}")],
         "id string, external_ref string, full_name string, email string, status string, "
         "metadata string").withColumn("created_at", t).withColumn("updated_at", t)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,8 +59,8 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session (``spark.checkpoint.dir``).
 
-    On a cluster this must already be set to shared storage. Only when it is
-    unset (local runs, tests) a scratch folder is created and registered.
+    On a cluster it must be set to shared storage; without it only a local session (tests, a
+    laptop) gets a scratch folder of its own, any other one is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,12 +68,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tallybook-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the cluster's shared folder (``spark.checkpoint.dir``)
+    and read it back: cuts lineage, computes expensive columns once, and survives the loss of
+    any executor because no executor's own disk holds it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tb_path = path
+    return out
+
+
+def unstage(df: DataFrame | None) -> None:
+    """Remove a staged table that nothing reads any more (no-op for other frames)."""
+    path = getattr(df, "_tb_path", None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

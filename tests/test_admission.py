@@ -5,6 +5,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from helpers import D, opening, ops
 from tallybook.operators import admission as A
 
@@ -58,13 +60,13 @@ def random_ops(seed, n, n_accounts, hot=False):
     return rows
 
 
-@pytest.mark.parametrize("seed,n,k,hot", [(1, 120, 5, False), (2, 200, 3, False),
-                                          (3, 150, 8, True), (4, 80, 2, True)])
-def test_admit_equals_sequential(spark, seed, n, k, hot):
+@pytest.mark.parametrize("seed,n,k,hot,tail", [(1, 120, 5, False, 0), (2, 200, 3, False, 10_000),
+                                               (3, 150, 8, True, 60), (4, 80, 2, True, 0)])
+def test_admit_equals_sequential(spark, seed, n, k, hot, tail):
     rows = random_ops(seed, n, k, hot)
     open_rows = [("A1", 30)]
     got = {r["op_id"]: r["status"] for r in A.admit(ops(spark, rows), opening(spark, open_rows),
-                                                    chunk="10 minutes").collect()}
+                                                    tail_rows=tail).collect()}
     assert got == sequential(rows, open_rows)
 
 
@@ -76,3 +78,29 @@ def test_admit_excludes_system_accounts(spark):
     got = {r["op_id"]: r["status"] for r in
            A.admit(ops(spark, rows), opening(spark, []), exclude_accounts=ex).collect()}
     assert got == {"o1": "accepted", "o2": "accepted", "o3": "rejected"}
+
+
+def test_admit_long_chain_and_untimed_op(spark):
+    """500 accounts, each paying the next with what it has just received; an op without a time."""
+    rows = [(f"t{i}", i, "transfer", f"A{i}", f"A{i + 1}", 10, 0, None) for i in range(500)]
+    frame = ops(spark, rows)
+    bad = frame.limit(1).withColumn("op_id", F.lit("bad")).withColumn(
+        "op_ts", F.lit(None).cast("timestamp_ntz"))
+    out = A.admit(frame.unionByName(bad), opening(spark, [("A0", 10)])).collect()
+    assert {r["op_id"]: r["status"] for r in out} == {r[0]: "accepted" for r in rows} | {"bad": "invalid"}
+
+
+def test_admit_currencies_and_sides(spark):
+    """Balances in another currency do not count; a debit-normal account grows by debits."""
+    o = ops(spark, [("o1", 0, "transfer", "A1", "A2", 10, 0, None), ("o2", 1, "hold", "D1", None, 10, 0, None),
+                    ("o3", 2, "hold", "D1", None, 10, 0, None), ("o4", 3, "settle_failed", "D1", None, 10, 0, "o3")])
+    bal = spark.createDataFrame([("A1", "USD", D(50)), ("D1", "NGN", D(15))],
+                                "account_id string, currency_code string, available_balance decimal(20,8)")
+    acc = spark.createDataFrame([("A1", "credit"), ("A2", "credit"), ("D1", "debit")],
+                                "id string, ledger_normal_side string")
+    got = A.admit(o, bal, acc)
+    assert {r["op_id"]: r["status"] for r in got.collect()} == {
+        "o1": "rejected", "o2": "accepted", "o3": "rejected", "o4": "rejected"}
+    left = {(r["account_id"], r["currency_code"]): r["available_balance"]
+            for r in A.admitted_balances(got, bal, acc).collect()}
+    assert left[("D1", "NGN")] == D(5) and left[("A1", "USD")] == D(50)

@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tallybook.plans import registry
 from tallybook.plans.fixtures import BASE_TABLES
 
 SKIP = {"stream_post", "stream_hold_timers"}   # rows-only by design
@@ -41,14 +42,14 @@ def con():
     return c
 
 
-NAMES = sorted(set(E.oracle_sql()) - SKIP)
+NAMES = sorted(set(registry.oracle_sql()) - SKIP)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_duckdb(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(registry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert _rows(sdf.columns, srows) == _rows(dcols, res.fetchall())
