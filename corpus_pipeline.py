@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybook.llm import decontaminate, exact_dedup, near_dup, packing, quality
-from tallybook.llm.common import stage, table
+from tallybook.llm.common import table
 from tallybook.llm.queries import tokenizer_file
+from tallybook.session import stage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

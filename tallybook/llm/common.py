@@ -1,13 +1,11 @@
-"""Shared helpers of the training-data operators: tables, staging in the shared folder."""
+"""Shared helpers of the training-data operators."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.session import checkpoint_dir
+from tallybook.session import stage
 
 ROW = "__tb_row"      # internal row number of staged documents
 
@@ -17,28 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the cluster's shared folder (``spark.checkpoint.dir``)
-    and read it back: cuts lineage, computes expensive columns once, and survives the loss of
-    any executor because no executor's own disk holds it."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tb_path = path
-    return out
-
-
-def unstage(df: DataFrame) -> None:
-    """Remove a staged table that nothing reads any more (no-op for other frames)."""
-    path = getattr(df, "_tb_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -23,7 +23,8 @@ import string
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import ROW, stage, text_or_empty, with_rows, without
+from tallybook.llm.common import ROW, text_or_empty, with_rows, without
+from tallybook.session import stage
 
 KEY = ["digest", "check", "n_bytes"]
 

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import bucket_of_id, stage
+from tallybook.llm.common import bucket_of_id
+from tallybook.session import stage
 
 START = 1          # three of these stand before every text
 SPACE = 32

@@ -29,8 +29,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import ROW, stage, unstage, with_rows, without
+from tallybook.llm.common import ROW, with_rows, without
 from tallybook.llm.components import connected_components
+from tallybook.session import stage, unstage
 
 BASE = 1.02        # spacing of the registers
 RATE = 20.0        # of the exponential variates

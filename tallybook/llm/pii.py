@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import stage, text_or_empty
+from tallybook.llm.common import text_or_empty
+from tallybook.session import stage
 
 KINDS = ["email", "ip", "card", "phone"]
 

@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import stage, text_or_empty
+from tallybook.llm.common import text_or_empty
+from tallybook.session import stage
 
 CELL_BITS = 16
 
