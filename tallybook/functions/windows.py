@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.session import stage
+
 
 def chunked_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                        values: dict[str, Column], chunk: Column,
+                        values: dict[str, Column], chunk: Column | None = None,
                         inclusive: bool = True) -> DataFrame:
     """Add a running sum per ``keys`` in ``order`` for every ``values`` entry (name → column).
 
     One window over a whole key would put a hot key (a system account, a busy
-    provider) into one task. Instead rows are cut into (key, chunk) groups —
-    ``chunk`` must be monotone in ``order``, e.g. a time bucket of the ordering
-    timestamp:
+    provider) into one task. Instead rows are cut into (key, chunk) groups.
+    By default the rows are range partitioned by (keys, order) and written to the
+    shared folder with their partition number as the chunk: chunks follow the
+    volume, so a key is split however its rows cluster. A ``chunk`` given instead
+    must be monotone in ``order``:
     1. per-chunk totals (partial + final aggregate);
     2. a window over the chunk totals (one row per chunk) gives each chunk's
        opening value;
@@ -25,7 +29,11 @@ def chunked_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     ``inclusive=False`` gives the sum of rows strictly before each row.
     """
     keys = list(keys)
-    x = df.withColumn("_chunk", chunk)
+    if chunk is None:
+        x = stage(df.repartitionByRange(*keys, *order)
+                  .withColumn("_chunk", F.spark_partition_id()), "chunks")
+    else:
+        x = df.withColumn("_chunk", chunk)
     for name, v in values.items():
         x = x.withColumn("_v_" + name, v)
     tot = x.groupBy(*keys, "_chunk").agg(*[F.sum("_v_" + n).alias("_t_" + n) for n in values])

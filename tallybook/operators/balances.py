@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybook.functions.windows import chunked_running_sum
 from tallybook.functions.money import money, total
 from tallybook.functions.text import ts_literal
 
@@ -236,43 +237,31 @@ def _order_key(lines: DataFrame) -> list[Column]:
 
 
 def account_statement(lines: DataFrame, txs: DataFrame, accounts: DataFrame,
-                      kinds: Sequence[str] = DEFAULT_KINDS, chunk: str = "1 hour") -> DataFrame:
+                      kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
     """Every posted movement per (account, currency) with its running balance.
 
-    Two-level prefix sum, so one hot account never lands in one task:
-    1. rows are cut into (account, currency, time chunk) groups and each chunk's
-       total is computed (a partial+final aggregate);
-    2. a window over the per-chunk totals (far fewer rows) gives each chunk's
-       opening balance;
-    3. a window over (account, currency, chunk) adds the in-chunk running sum.
-    ``chunk`` bounds the largest window group: a system account's single-hour
-    volume rather than its whole history.
+    Posted lines without a posting time count too and come first. The running sum is
+    ``chunked_running_sum`` over chunks of equal volume, so neither a hot account nor its
+    busiest hour lands in one task.
     """
     posted = txs.filter(F.col("status") == "posted").select(
         F.col("id").alias("journal_transaction_id"), "posted_at",
         F.col("created_at").alias("_tx_created_at"))
     normal = accounts.select(F.col("id").alias("account_id"), "ledger_normal_side")
     rows = (lines.filter(F.col("balance_kind").isin(list(kinds)))
+            .select("id", "journal_transaction_id", "line_number", "account_id", "currency_code",
+                    "side", "amount")
             .join(posted, "journal_transaction_id")
             .join(normal, "account_id", "left")
             .withColumn("signed_amount",
                         F.when(F.col("side") == F.coalesce(F.col("ledger_normal_side"),
                                                            F.lit("credit")),
-                               F.col("amount")).otherwise(-F.col("amount")))
-            .withColumn("_chunk", F.window("posted_at", chunk).start))
+                               F.col("amount")).otherwise(-F.col("amount"))))
     key = ["account_id", "currency_code"]
-    chunk_tot = (rows.groupBy(*key, "_chunk").agg(F.sum("signed_amount").alias("_chunk_sum")))
-    w_chunks = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    opening = chunk_tot.select(*key, "_chunk",
-                               F.coalesce(F.sum("_chunk_sum").over(w_chunks), F.lit(0))
-                               .alias("_opening"))
-    w_in = (Window.partitionBy(*key, "_chunk").orderBy(*_order_key(rows))
-            .rowsBetween(Window.unboundedPreceding, 0))
-    return (rows.withColumn("_in_chunk", F.sum("signed_amount").over(w_in))
-            .join(opening, [*key, "_chunk"])
-            .select(*key, "journal_transaction_id", "line_number", F.col("id").alias("line_id"),
-                    "posted_at", "side", "amount", money("signed_amount").alias("signed_amount"),
-                    total(F.col("_opening") + F.col("_in_chunk")).alias("running_balance")))
+    run = chunked_running_sum(rows, key, _order_key(rows), {"_run": F.col("signed_amount")})
+    return run.select(*key, "journal_transaction_id", "line_number", F.col("id").alias("line_id"),
+                      "posted_at", "side", "amount", money("signed_amount").alias("signed_amount"),
+                      total(F.col("_run")).alias("running_balance"))
 
 
 def fee_revenue(lines: DataFrame, txs: DataFrame, accounts: DataFrame,

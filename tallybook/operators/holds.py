@@ -138,7 +138,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
       ``transfer.failed``;
     * a transfer already ``failed`` skips a failure callback; a transfer already
       ``posted`` rejects a success callback; any callback finding no hold active at
-      its arrival (consumed, released or expired) is rejected;
+      its arrival (consumed, released or expired) or one that holds less than the
+      transfer's amount is rejected;
     * other events are rejected as unhandled.
 
     Returns a dict: ``outcomes`` (one row per callback), ``transfers`` (changed
@@ -150,7 +151,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
         F.col("data.reference").alias("transfer_id"),
         F.when(F.col("event").isin(SUCCESS_EVENTS), "success")
         .when(F.col("event").isin(FAILURE_EVENTS), "failure").alias("kind"))
-    trf = transfers.select(F.col("id").alias("transfer_id"), F.col("status").alias("_tst"))
+    trf = transfers.select(F.col("id").alias("transfer_id"), F.col("status").alias("_tst"),
+                           F.col("amount").alias("_amt"))
     active = holds.filter(F.col("status") == "active").select(
         "transfer_request_id", F.col("id").alias("_hold_id"), F.col("expires_at").alias("_exp"),
         F.col("remaining_amount").alias("_rem"))
@@ -162,7 +164,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
     hold_live = F.col("_hold_id").isNotNull() & (F.col("_exp").isNull()
                                                  | (F.col("_exp") > F.col("received_at")))
     applicable = (F.col("kind").isNotNull() & F.col("_tst").isNotNull()
-                  & ~F.col("_tst").isin("posted", "failed") & hold_live)
+                  & ~F.col("_tst").isin("posted", "failed") & hold_live
+                  & (F.col("_rem") >= F.col("_amt")) & (F.col("_amt") > 0))
     order = F.struct("received_at", "hook_id")
     win = (j.filter(applicable).groupBy("transfer_id")
            .agg(F.min_by(F.struct("hook_id", "kind"), order).alias("_w"),
@@ -187,6 +190,7 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
               .when((F.col("kind") == "failure") & (seen == "failed"), "transfer already failed")
               .when((F.col("kind") == "success") & (seen == "posted"),
                     "transfer already processed")
+              .when(hold_live & F.col("_word").isNull(), "insufficient hold")
               .otherwise("no active hold"))
     outcomes = x.select("hook_id", "transfer_id", "event", outcome.alias("outcome"),
                         reason.alias("reason"))

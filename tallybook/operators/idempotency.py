@@ -97,11 +97,10 @@ def upsert_keys(keys: DataFrame, requests: DataFrame, body: str = "body",
 
 
 def save_responses(keys: DataFrame, responses: DataFrame) -> DataFrame:
-    """Store response code and body by key id (last response per id wins)."""
+    """Store response code and body by key id; of several responses the one with the highest
+    ``seq`` wins (a required column: arrival order cannot be told from the codes)."""
     resp = responses.groupBy("id").agg(
-        F.max_by(F.struct("response_code", "response_body"),
-                 F.col("seq") if "seq" in responses.columns else F.col("response_code"))
-        .alias("_r"))
+        F.max_by(F.struct("response_code", "response_body"), F.col("seq")).alias("_r"))
     j = keys.join(resp.select(F.col("id").alias("_rid"), "_r"),
                   F.col("id") == F.col("_rid"), "left")
     hit = F.col("_rid").isNotNull()

@@ -28,13 +28,17 @@ def _apply(df: DataFrame, ids: DataFrame, sets: dict[str, Column], extra: list[s
                       else F.col(c) for c in df.columns])
 
 
+def is_due(now: str) -> Column:
+    """Events to send at ``now``: pending or failed, and not waiting for a later retry."""
+    return (F.col("status").isin("pending", "failed")
+            & (F.col("next_retry_at").isNull() | (F.col("next_retry_at") <= ts_literal(now))))
+
+
 def claim_events(outbox: DataFrame, now: str, n: int = CLAIM_BATCH) -> tuple[DataFrame, DataFrame]:
     """H1: the oldest ``n`` pending/failed events that are due → processing.
     Returns ``(outbox', claimed)``."""
     t = ts_literal(now)
-    due = (F.col("status").isin("pending", "failed")
-           & (F.col("next_retry_at").isNull() | (F.col("next_retry_at") <= t)))
-    claimed_ids = (outbox.filter(due).select("id", "created_at")
+    claimed_ids = (outbox.filter(is_due(now)).select("id", "created_at")
                    .orderBy("created_at", "id").limit(n).select("id"))
     out = _apply(outbox, claimed_ids, {"status": F.lit("processing"), "updated_at": t})
     claimed = out.join(claimed_ids, "id", "left_semi")
@@ -53,8 +57,10 @@ def mark_failed(outbox: DataFrame, results: DataFrame, now: str,
     """H3 + H4: undelivered events. retry_count > ``max_retries`` → dead_letter (terminal);
     otherwise failed, retry + 1, next_retry_at = now + 2^(old retry) seconds, error fields."""
     t = ts_literal(now)
-    bad = results.filter(~F.col("delivered")).select(
-        "id", F.col("error_code").alias("_ec"), F.col("error_message").alias("_em"))
+    # At-least-once results may repeat an id: one row per event.
+    bad = (results.filter(~F.col("delivered")).groupBy("id")
+           .agg(F.max(F.struct("error_code", "error_message")).alias("_e"))
+           .select("id", F.col("_e.error_code").alias("_ec"), F.col("_e.error_message").alias("_em")))
     dead = F.col("retry_count") > max_retries
     backoff = F.make_dt_interval(secs=F.pow(F.lit(2), F.col("retry_count")).cast("decimal(18,6)"))
     sets = {
@@ -99,9 +105,13 @@ def claim_webhooks(hooks: DataFrame, n: int = CLAIM_BATCH) -> DataFrame:
 
 def update_webhook_status(hooks: DataFrame, results: DataFrame, now: str) -> DataFrame:
     """H7: new status and error text; processed_at set when the new status is success or
-    processed."""
+    processed. Repeated results of one id count once: the highest ``seq`` where given, else the
+    greatest (status, error)."""
     t = ts_literal(now)
-    r = results.select("id", F.col("status").alias("_ns"), F.col("error_message").alias("_ne"))
+    said = F.struct("status", "error_message")
+    best = F.max_by(said, F.struct("seq", said)) if "seq" in results.columns else F.max(said)
+    r = (results.groupBy("id").agg(best.alias("_r"))
+         .select("id", F.col("_r.status").alias("_ns"), F.col("_r.error_message").alias("_ne")))
     k = r.withColumnRenamed("id", "_hit_id")
     j = hooks.join(k, F.col("id") == F.col("_hit_id"), "left")
     hit = F.col("_hit_id").isNotNull()

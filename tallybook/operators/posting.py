@@ -26,14 +26,28 @@ def journal_id(entry_type: str | Column, request_id: str | Column) -> Column:
 
 
 def system_accounts(accounts: DataFrame, account_type: str, alias: str) -> DataFrame:
-    """(currency_code, <alias>) of the system account of a type, one per currency.
+    """(currency_code, <alias>) of the system account of a type, the smallest id per currency.
 
-    The result is bounded by (#system account types × #currencies), so it is
-    broadcast explicitly; the min() keeps one account per currency.
+    One row per currency code in use; whether it is broadcast is left to its measured size.
     """
-    return F.broadcast(
-        accounts.filter(F.col("account_type") == account_type)
-        .groupBy("currency_code").agg(F.min("id").alias(alias)))
+    return (accounts.filter(F.col("account_type") == account_type)
+            .groupBy("currency_code").agg(F.min("id").alias(alias)))
+
+
+def missing_system_accounts(ops: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Ops whose currency lacks a system account they need (op_id, reason).
+
+    Deposits and successful settlements need a settlement account, transfers with a fee a fee
+    account. Such ops get no legs and no balance deltas.
+    """
+    settle = system_accounts(accounts, SETTLEMENT_TYPE, "_settlement_account")
+    fee_acc = system_accounts(accounts, FEE_TYPE, "_fee_account")
+    o = ops.join(settle, "currency_code", "left").join(fee_acc, "currency_code", "left")
+    reason = (F.when(F.col("op_type").isin("deposit", "settle_success")
+                     & F.col("_settlement_account").isNull(), "no settlement account")
+              .when((F.col("op_type") == "transfer") & (F.coalesce("fee_amount", F.lit(0)) > 0)
+                    & F.col("_fee_account").isNull(), "no fee account"))
+    return o.select("op_id", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def _leg(account: Column, side: str, amount: Column, kind: str, memo: str | None = None) -> Column:
@@ -63,10 +77,11 @@ def _explode_legs(df: DataFrame, tx_id: Column, legs: Column, created_at: Column
 
 def transfer_legs(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
     """debit source amount+fee, credit destination amount, credit the fee account the fee
-    (only when fee > 0); kind ``available``."""
+    (only when fee > 0); kind ``available``. No legs without the fee account a fee needs."""
     fee_acc = system_accounts(accounts, FEE_TYPE, "_fee_account")
-    t = transfers.join(fee_acc, "currency_code", "left")
     fee = F.coalesce(F.col("fee_amount"), F.lit(0))
+    t = (transfers.join(fee_acc, "currency_code", "left")
+         .filter(F.col("_fee_account").isNotNull() | (fee <= 0)))
     legs = F.array(
         _leg(F.col("source_account_id"), "debit", F.col("amount") + fee, "available"),
         _leg(F.col("destination_account_id"), "credit", F.col("amount"), "available"),
@@ -76,9 +91,10 @@ def transfer_legs(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def deposit_legs(deposits: DataFrame, accounts: DataFrame) -> DataFrame:
-    """debit settlement, credit destination, both the amount; the fee gets no leg."""
+    """debit settlement, credit destination, both the amount; the fee gets no leg.
+    No legs in a currency without a settlement account."""
     settle = system_accounts(accounts, SETTLEMENT_TYPE, "_settlement_account")
-    t = deposits.join(settle, "currency_code", "left")
+    t = deposits.join(settle, "currency_code")
     legs = F.array(_leg(F.col("_settlement_account"), "debit", F.col("amount"), "available"),
                    _leg(F.col("destination_account_id"), "credit", F.col("amount"), "available"))
     return _explode_legs(t, journal_id("deposit", "id"), legs, F.col("requested_at"))
@@ -94,9 +110,10 @@ def hold_legs(withdrawals: DataFrame) -> DataFrame:
 
 def settlement_legs(withdrawals: DataFrame, accounts: DataFrame,
                     settled_at: str | Column | None = None) -> DataFrame:
-    """on a successful callback debit the customer and credit settlement, kind ``ledger``."""
+    """on a successful callback debit the customer and credit settlement, kind ``ledger``.
+    No legs in a currency without a settlement account."""
     settle = system_accounts(accounts, SETTLEMENT_TYPE, "_settlement_account")
-    t = withdrawals.join(settle, "currency_code", "left")
+    t = withdrawals.join(settle, "currency_code")
     memo = "withdrawal settled"
     legs = F.array(_leg(F.col("source_account_id"), "debit", F.col("amount"), "ledger", memo),
                    _leg(F.col("_settlement_account"), "credit", F.col("amount"), "ledger", memo))
@@ -162,19 +179,30 @@ def post_transactions(txs: DataFrame, to_post: DataFrame, now: str) -> DataFrame
 
 
 def _touch(df: DataFrame, changes: DataFrame, key: str, sets: dict[str, Column]) -> DataFrame:
-    """Left join of a change table on ``key`` and per-column replacement where a change exists."""
-    ch = changes.select(F.col(key).alias("_ck"), *[F.col(c).alias("_new_" + c)
-                                                    for c in changes.columns if c != key])
+    """Left join of a change table on ``key`` and per-column replacement where a change exists.
+
+    Repeated changes of one id count once: the one with the highest ``seq`` where the table has it,
+    else the greatest values.
+    """
+    values = F.struct(*[F.col(c) for c in changes.columns if c not in (key, "seq")])
+    best = (F.max_by(values, F.struct("seq", values)) if "seq" in changes.columns else F.max(values))
+    ch = (changes.groupBy(F.col(key).alias("_ck")).agg(best.alias("_v"))
+          .select("_ck", *[F.col("_v." + c).alias("_new_" + c)
+                           for c in changes.columns if c not in (key, "seq")]))
     j = df.join(ch, df[key] == ch["_ck"], "left")
     hit = F.col("_ck").isNotNull()
     return j.select(*[F.when(hit, sets[c]).otherwise(F.col(c)).alias(c) if c in sets else F.col(c)
                       for c in df.columns])
 
 
+def _only(changes: DataFrame, column: str) -> DataFrame:
+    return changes.select("id", column, *[c for c in ("seq",) if c in changes.columns])
+
+
 def update_transfer_status(transfers: DataFrame, changes: DataFrame, now: str) -> DataFrame:
     """New status; posted_at = now only when the new status is ``posted``."""
     n = ts_literal(now)
-    return _touch(transfers, changes.select("id", "status"), "id", {
+    return _touch(transfers, _only(changes, "status"), "id", {
         "status": F.col("_new_status"),
         "posted_at": F.when(F.col("_new_status") == "posted", n).otherwise(F.col("posted_at")),
         "failed_at": F.when(F.col("_new_status") == "failed", n).otherwise(F.col("failed_at")),
@@ -183,20 +211,20 @@ def update_transfer_status(transfers: DataFrame, changes: DataFrame, now: str) -
 
 def update_transfer_external_ref(transfers: DataFrame, changes: DataFrame, now: str) -> DataFrame:
     """Replace external_reference."""
-    return _touch(transfers, changes.select("id", "external_reference"), "id", {
+    return _touch(transfers, _only(changes, "external_reference"), "id", {
         "external_reference": F.col("_new_external_reference"), "updated_at": ts_literal(now)})
 
 
 def update_customer_status(customers: DataFrame, changes: DataFrame, now: str) -> DataFrame:
     """Customer status."""
-    return _touch(customers, changes.select("id", "status"), "id", {
+    return _touch(customers, _only(changes, "status"), "id", {
         "status": F.col("_new_status"), "updated_at": ts_literal(now)})
 
 
 def update_account_status(accounts: DataFrame, changes: DataFrame, now: str) -> DataFrame:
     """F11d: account status; closed_at set to now on ``closed``, kept otherwise."""
     n = ts_literal(now)
-    return _touch(accounts, changes.select("id", "status"), "id", {
+    return _touch(accounts, _only(changes, "status"), "id", {
         "status": F.col("_new_status"),
         "closed_at": F.when(F.col("_new_status") == "closed", n).otherwise(F.col("closed_at")),
         "updated_at": n})
@@ -206,7 +234,9 @@ def update_account_status(accounts: DataFrame, changes: DataFrame, now: str) ->
 def balance_deltas(ops: DataFrame, accounts: DataFrame) -> DataFrame:
     """per op, the change of ledger / held / available on every account it touches.
 
-    Signs honour each account's normal side (a leg on the normal side adds).
+    Ledger moves honour each account's normal side (a leg on the normal side adds); holds and
+    their release move the amount between available and held whatever the side. Ops that lack a
+    system account (see :func:`missing_system_accounts`) have no deltas.
     Op types: deposit, transfer, hold, settle_success, settle_failed.
     """
     settle = system_accounts(accounts, SETTLEMENT_TYPE, "_settlement_account")
@@ -217,10 +247,12 @@ def balance_deltas(ops: DataFrame, accounts: DataFrame) -> DataFrame:
     src, dst = F.col("source_account_id"), F.col("destination_account_id")
     st, fa = F.col("_settlement_account"), F.col("_fee_account")
 
+    o = o.join(missing_system_accounts(ops, accounts), "op_id", "left_anti")
+
     def d(acc, side, a, ledger, held, avail):
-        # ledger/held/available flags: which balances this leg moves
-        return F.struct(acc.alias("account_id"), F.lit(side).alias("side"), a.alias("amount"),
-                        F.lit(ledger).alias("l"), F.lit(held).alias("h"), F.lit(avail).alias("v"))
+        # ledger/held/available factors of the amount; side None: not signed by the normal side
+        return F.struct(acc.alias("account_id"), F.lit(side).cast("string").alias("side"),
+                        a.alias("amount"), F.lit(ledger).alias("l"), F.lit(held).alias("h"), F.lit(avail).alias("v"))
 
     t = F.col("op_type")
     entries = (
@@ -228,17 +260,16 @@ def balance_deltas(ops: DataFrame, accounts: DataFrame) -> DataFrame:
         .when(t == "transfer", F.array(d(src, "debit", amt + fee, 1, 0, 1),
                                        d(dst, "credit", amt, 1, 0, 1),
                                        d(fa, "credit", fee, 1, 0, 1)))
-        .when(t == "hold", F.array(d(src, "debit", amt, 0, 0, 1), d(src, "credit", amt, 0, 1, 0)))
-        .when(t == "settle_success", F.array(d(src, "debit", amt, 1, 1, 0),
+        .when(t == "hold", F.array(d(src, None, amt, 0, 1, -1)))
+        .when(t == "settle_success", F.array(d(src, "debit", amt, 1, 0, 0), d(src, None, amt, 0, -1, 0),
                                              d(st, "credit", amt, 1, 0, 1)))
-        .when(t == "settle_failed", F.array(d(src, "debit", amt, 0, 1, 0),
-                                            d(src, "credit", amt, 0, 0, 1))))
+        .when(t == "settle_failed", F.array(d(src, None, amt, 0, -1, 1))))
     x = (o.select("op_id", "currency_code", F.explode(entries).alias("e"))
          .filter(F.col("e.amount") > 0)
          .select("op_id", "currency_code", "e.*"))
     normal = accounts.select(F.col("id").alias("account_id"), "ledger_normal_side")
     x = x.join(normal, "account_id", "left")
-    signed = F.when(F.col("side") == F.coalesce(F.col("ledger_normal_side"), F.lit("credit")),
+    signed = F.when(F.col("side").isNull(), F.col("amount")).when(F.col("side") == F.coalesce(F.col("ledger_normal_side"), F.lit("credit")),
                     F.col("amount")).otherwise(-F.col("amount"))
     return (x.groupBy("op_id", "account_id", "currency_code")
             .agg(money(F.sum(signed * F.col("l"))).alias("d_ledger"),
@@ -249,7 +280,8 @@ def balance_deltas(ops: DataFrame, accounts: DataFrame) -> DataFrame:
 def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind: str = "available"
                  ) -> DataFrame:
     """new projection = stored + Σ deltas per (account, currency); new keys start at 0,
-    version + 1 for every touched key, untouched keys unchanged."""
+    version + 1 for every touched key, untouched keys and other balance kinds unchanged. The last
+    transaction and line are carried along where the projection has them."""
     agg = (deltas.groupBy("account_id", "currency_code")
            .agg(F.sum("d_ledger").alias("_dl"), F.sum("d_held").alias("_dh"),
                 F.sum("d_available").alias("_dv")))
@@ -257,7 +289,8 @@ def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind:
     j = p.join(agg, ["account_id", "currency_code"], "full_outer")
     touched = F.col("_dl").isNotNull()
     z = F.lit(0)
-    return j.select(
+    last = [c for c in ("last_transaction_id", "last_line_id") if c in proj.columns]
+    moved = j.select(
         "account_id", "currency_code", F.lit(projection_kind).alias("balance_kind"),
         money(F.coalesce(F.col("ledger_balance"), z) + F.coalesce(F.col("_dl"), z))
         .alias("ledger_balance"),
@@ -267,7 +300,9 @@ def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind:
         .alias("held_balance"),
         (F.coalesce(F.col("version"), F.lit(0)).cast("bigint")
          + F.when(touched, 1).otherwise(0)).alias("version"),
-        F.when(touched, ts_literal(now)).otherwise(F.col("computed_at")).alias("computed_at"))
+        F.when(touched, ts_literal(now)).otherwise(F.col("computed_at")).alias("computed_at"), *last)
+    rest = proj.filter(~F.col("balance_kind").eqNullSafe(projection_kind))
+    return moved.unionByName(rest.select(*[F.col(f.name).cast(f.dataType) for f in moved.schema]))
 
 
 def outbox_from_transfers(transfers: DataFrame, event_types: dict[str, str] | None = None

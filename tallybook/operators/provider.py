@@ -29,17 +29,16 @@ def first_success(attempts: DataFrame) -> DataFrame:
                     "n_attempts"))
 
 
-def _ordered(attempts: DataFrame, chunk: str) -> DataFrame:
+def _ordered(attempts: DataFrame) -> DataFrame:
     order = [F.col("attempted_at"), F.col("request_id"), F.col("priority")]
     return chunked_running_sum(
         attempts, ["provider"], order,
         {"cum_success": F.col("success").cast("long"),
-         "cum_failure": (~F.col("success")).cast("long")},
-        F.window("attempted_at", chunk).start)
+         "cum_failure": (~F.col("success")).cast("long")})
 
 
 def outage_spans(attempts: DataFrame, threshold: int = BREAKER_THRESHOLD,
-                 timeout_s: int = BREAKER_TIMEOUT_S, chunk: str = "1 hour") -> DataFrame:
+                 timeout_s: int = BREAKER_TIMEOUT_S) -> DataFrame:
     """Runs of ≥ ``threshold`` consecutive failures per provider (gaps and islands).
 
     island = successes so far; a failure run is the failures of one island. The
@@ -47,7 +46,7 @@ def outage_spans(attempts: DataFrame, threshold: int = BREAKER_THRESHOLD,
     the next success (null while still failing). ``breaker_until`` = opened_at +
     timeout.
     """
-    x = _ordered(attempts, chunk)
+    x = _ordered(attempts)
     fails = x.filter(~F.col("success"))
     runs = (fails.groupBy("provider", F.col("cum_success").alias("island"))
             .agg(F.count(F.lit(1)).alias("n_failures"),
@@ -92,38 +91,42 @@ def sla_report(attempts: DataFrame, latency: str = "latency_ms", exact: bool = T
     """Per provider and overall ('*'): p50/p95/p99 (element at floor(n·p/100) of the sorted
     latencies, clamped), min, max, avg, throughput, success %, SLA pass flags.
 
-    Exact ranks without sorting all rows of a key: latencies are counted per
-    distinct value (partial aggregate), a cumulative count over the distinct
-    values finds the element at each target rank. ``exact=False`` uses
-    ``percentile_approx`` instead (a sketch; interpolation-free but approximate).
+    Exact ranks without sorting all rows of a key: latencies are counted per distinct value and
+    provider once (partial aggregate), '*' is added up from these counts, a cumulative count over
+    volume chunks of the distinct values finds the elements at the three ranks in one aggregate.
+    ``exact=False`` uses ``percentile_approx`` instead (a sketch; interpolation-free but
+    approximate).
     """
-    both = (attempts.select("provider", F.col(latency).alias("lat"), "success", "attempted_at")
-            .unionByName(attempts.select(F.lit("*").alias("provider"),
-                                         F.col(latency).alias("lat"), "success",
-                                         "attempted_at")))
-    stats = both.groupBy("provider").agg(
+    lat = F.col(latency).alias("lat")
+    own = attempts.groupBy("provider").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("success").alias("n_success"),
-        F.min("lat").alias("min_ms"), F.max("lat").alias("max_ms"),
-        F.round(F.avg("lat"), 6).alias("avg_ms"),
+        F.min(latency).alias("min_ms"), F.max(latency).alias("max_ms"),
+        F.sum(latency).alias("_sum"), F.count(latency).alias("_known"),
         F.min("attempted_at").alias("_t0"), F.max("attempted_at").alias("_t1"))
-    out = stats
+    every = own.agg(F.lit("*").alias("provider"), F.sum("n").alias("n"),
+                    F.sum("n_success").alias("n_success"), F.min("min_ms").alias("min_ms"),
+                    F.max("max_ms").alias("max_ms"), F.sum("_sum").alias("_sum"),
+                    F.sum("_known").alias("_known"), F.min("_t0").alias("_t0"),
+                    F.max("_t1").alias("_t1")).filter(F.col("n") > 0)
+    stats = own.unionByName(every).withColumn("avg_ms", F.round(F.col("_sum") / F.col("_known"), 6))
+    ranks = (50, 95, 99)
     if exact:
-        hist = both.groupBy("provider", "lat").agg(F.count(F.lit(1)).alias("_c"))
-        cum = chunked_running_sum(hist, ["provider"], [F.col("lat")], {"_cum": F.col("_c")},
-                                  F.floor(F.col("lat") / F.lit(1000.0)))
+        hist = attempts.select("provider", lat).groupBy("provider", "lat").agg(
+            F.count(F.lit(1)).alias("_c"))
+        hist = hist.unionByName(hist.groupBy("lat").agg(F.sum("_c").alias("_c"))
+                                .withColumn("provider", F.lit("*")))
+        cum = chunked_running_sum(hist, ["provider"], [F.col("lat")], {"_cum": F.col("_c")})
         cum = cum.join(stats.select("provider", "n"), "provider")
-        for p in (50, 95, 99):
-            idx = F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100)), F.col("n") - 1)
-            pv = (cum.filter(F.col("_cum") > idx).groupBy("provider")
-                  .agg(F.min("lat").alias(f"p{p}_ms")))
-            out = out.join(pv, "provider", "left")
+        at = {p: F.least(F.floor(F.col("n") * F.lit(p) / F.lit(100)), F.col("n") - 1) for p in ranks}
+        picked = cum.groupBy("provider").agg(
+            *[F.min(F.when(F.col("_cum") > at[p], F.col("lat"))).alias(f"p{p}_ms") for p in ranks])
     else:
-        # One-pass sketch (mergeable partial aggregates): percentile_approx with ``accuracy``.
-        pa = (both.groupBy("provider")
-              .agg(F.percentile_approx("lat", [0.5, 0.95, 0.99], accuracy).alias("_p")))
-        out = out.join(pa.select("provider", F.col("_p")[0].alias("p50_ms"),
-                                 F.col("_p")[1].alias("p95_ms"),
-                                 F.col("_p")[2].alias("p99_ms")), "provider", "left")
+        both = attempts.select("provider", lat).unionByName(
+            attempts.select(F.lit("*").alias("provider"), lat))
+        picked = (both.groupBy("provider")
+                  .agg(F.percentile_approx("lat", [p / 100 for p in ranks], accuracy).alias("_p"))
+                  .select("provider", *[F.col("_p")[k].alias(f"p{p}_ms") for k, p in enumerate(ranks)]))
+    out = stats.join(picked, "provider", "left")
     secs = F.unix_micros(utc_instant("_t1")) - F.unix_micros(utc_instant("_t0"))
     rps = F.when(secs > 0, F.round(F.col("n") / (secs / F.lit(1e6)), 6))
     pct = F.round(F.col("n_success") * 100.0 / F.col("n"), 6)

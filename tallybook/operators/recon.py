@@ -8,6 +8,8 @@ repeated many times never lands in one sorted window.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def match_items(statement: DataFrame, internal: DataFrame, now: str
                 ) -> tuple[DataFrame, DataFrame]:
     """One item per statement line, linked to the internal record with the same
     (batch, external reference, currency); internal records absent from the statement become
-    items too (amount = internal amount). Returns ``(items, duplicate_rejects)``.
+    items too (amount = internal amount). Of several statement lines, and of several internal records,
+    with one key the first counts and the others are rejected. Returns ``(items, duplicate_rejects)``;
+    a rejected internal record has its journal transaction as ``statement_line_id``.
 
     ``statement``: source_system, statement_date, statement_line_id, external_reference,
     currency_code, amount, value_at. ``internal``: source_system, statement_date,
@@ -50,10 +54,15 @@ def match_items(statement: DataFrame, internal: DataFrame, now: str
     dups = st.join(firsts.select("statement_line_id"), "statement_line_id", "left_anti").select(
         "statement_line_id", F.col("_batch").alias("reconciliation_batch_id"),
         "external_reference", F.lit("duplicate external reference").alias("reason"))
-    it = (internal.withColumn("_batch", batch_id(F.col("source_system"), F.col("statement_date")))
-          .groupBy(*key)
-          .agg(F.min_by(F.struct("amount", "journal_transaction_id", "journal_line_id"),
-                        F.col("journal_transaction_id")).alias("_i"))
+    own = internal.withColumn("_batch", batch_id(F.col("source_system"), F.col("statement_date")))
+    one = F.struct("journal_transaction_id", "journal_line_id", "amount")
+    it = own.groupBy(*key).agg(F.min(one).alias("_i"))
+    more = (own.join(it, key).filter(~one.eqNullSafe(F.col("_i"))).select(
+        F.col("journal_transaction_id").alias("statement_line_id"),
+        F.col("_batch").alias("reconciliation_batch_id"), "external_reference",
+        F.lit("duplicate internal record").alias("reason")))
+    dups = dups.unionByName(more)
+    it = (it
           .select(*key, F.col("_i.amount").alias("internal_amount"),
                   "_i.journal_transaction_id", "_i.journal_line_id"))
     j = firsts.join(it, key, "full_outer")
@@ -74,13 +83,13 @@ def match_items(statement: DataFrame, internal: DataFrame, now: str
     return items, dups
 
 
-def mark_matched(items: DataFrame, now: str, tolerance: float = 0.0) -> DataFrame:
+def mark_matched(items: DataFrame, now: str, tolerance: Decimal | int = 0) -> DataFrame:
     """matched_amount, variance = |statement − internal|, status matched / exception with a
     reason: missing_internal, missing_external, amount. Items are new rows (items are immutable)."""
     s, i = F.col("statement_amount"), F.col("internal_amount")
     var = money(F.abs(s - i))
     both = s.isNotNull() & i.isNotNull()
-    ok = both & (var <= F.lit(tolerance))
+    ok = both & (var <= F.lit(Decimal(tolerance)))
     reason = (F.when(i.isNull(), "missing_internal").when(s.isNull(), "missing_external")
               .when(~ok, "amount"))
     sets = {"status": F.when(ok, "matched").otherwise("exception"),
@@ -93,7 +102,8 @@ def mark_matched(items: DataFrame, now: str, tolerance: float = 0.0) -> DataFram
 
 
 def batch_rollup(batches: DataFrame, items: DataFrame, now: str) -> DataFrame:
-    """Matched / mismatch totals and counts per batch; status matched when no exception."""
+    """Matched / mismatch totals and counts per batch; status matched when every item is, and a batch
+    without any item stays as it was unless it expected none."""
     m = F.col("status") == "matched"
     agg = (items.groupBy("reconciliation_batch_id")
            .agg(total(F.sum(F.when(m, F.col("amount")).otherwise(0))).alias("matched_total_amount"),
@@ -104,8 +114,10 @@ def batch_rollup(batches: DataFrame, items: DataFrame, now: str) -> DataFrame:
     z = F.lit(0)
     return j.select(
         "id", "source_system", "statement_date",
-        F.when(F.coalesce(F.col("mismatch_total_count"), z) == 0, "matched")
-        .otherwise("mismatch").alias("status"),
+        F.when(F.col("mismatch_total_count") == 0, "matched")
+        .when(F.col("mismatch_total_count") > 0, "mismatch")
+        .when(F.col("expected_total_count") == 0, "matched")
+        .otherwise(F.col("status")).alias("status"),
         "expected_total_amount", "expected_total_count",
         F.coalesce(F.col("matched_total_amount"), z.cast("decimal(38,8)")).alias("matched_total_amount"),
         F.coalesce(F.col("matched_total_count"), z).alias("matched_total_count"),

@@ -212,18 +212,23 @@ def check_unique(df: DataFrame, keys: Sequence[str], table: str,
     ``case_insensitive`` columns compare lower-cased (citext email).
     """
     kcols = [F.lower(F.col(k)) if k in case_insensitive else F.col(k) for k in keys]
-    kexpr = F.concat_ws("|", *[c.cast("string") for c in kcols])
     notnull = None
     for k in keys:
         e = F.col(k).isNotNull()
         notnull = e if notnull is None else notnull & e
-    keyed = df.filter(notnull).withColumn("_k", kexpr)
-    dups = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    # Grouped by the columns themselves; the joined text is only the label of a violation.
+    parts = [c.alias(f"_k{i}") for i, c in enumerate(kcols)]
+    names = [f"_k{i}" for i in range(len(kcols))]
+    dups = (df.filter(notnull).select(*parts).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > 1)
+            .withColumn("_k", F.concat_ws("|", *[F.col(n).cast("string") for n in names])))
     bad = dups.select(F.lit("unique_" + "_".join(keys)).alias("rule"),
                       F.lit(table).alias("table_name"), F.col("_k").alias("key"),
                       F.concat(F.lit("rows: "), F.col("_n").cast("string")).alias("detail"))
-    valid = df.join(dups.select(F.col("_k").alias("_dk")),
-                    kexpr == F.col("_dk"), "left_anti")
+    same = None
+    for c, n in zip(kcols, names, strict=True):
+        same = (c == F.col(n)) if same is None else same & (c == F.col(n))
+    valid = df.join(dups.select(*names), same, "left_anti")
     return valid, bad
 
 
@@ -334,12 +339,13 @@ def check_append_only(before: DataFrame, after: DataFrame, key: str = "id",
                       table: str = "journal_lines") -> DataFrame:
     """Rows of an immutable table that were updated or deleted between two snapshots.
 
-    Rows are compared by a 64-bit hash of all columns (``xxhash64``) and, on a
-    hash tie, never flagged; the hash keeps the join payload to two columns.
+    Rows are compared by a 64-bit hash of all columns, each with a marker of being null (so a
+    value that moved between nullable columns shows); the hash keeps the join payload to two columns.
     """
     cols = [c for c in before.columns]
     h = lambda df: df.select(F.col(key).alias("_k"),
-                             F.xxhash64(*[F.col(c) for c in cols]).alias("_h"))
+                             F.xxhash64(*[x for c in cols for x in (F.col(c).isNull(), F.col(c))])
+                             .alias("_h"))
     b, a = h(before), h(after.select(*cols)).withColumnRenamed("_h", "_ah")
     j = b.join(a, "_k", "left")
     changed = j.filter(F.col("_ah").isNull() | (F.col("_ah") != F.col("_h")))

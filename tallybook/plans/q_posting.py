@@ -216,14 +216,13 @@ e AS (
   UNION ALL SELECT op_id, currency_code, source_account_id, 'debit', amount + fee_amount, 1, 0, 1 FROM o WHERE op_type = 'transfer'
   UNION ALL SELECT op_id, currency_code, destination_account_id, 'credit', amount, 1, 0, 1 FROM o WHERE op_type = 'transfer'
   UNION ALL SELECT op_id, currency_code, fa, 'credit', fee_amount, 1, 0, 1 FROM o WHERE op_type = 'transfer'
-  UNION ALL SELECT op_id, currency_code, source_account_id, 'debit', amount, 0, 0, 1 FROM o WHERE op_type = 'hold'
-  UNION ALL SELECT op_id, currency_code, source_account_id, 'credit', amount, 0, 1, 0 FROM o WHERE op_type = 'hold'
-  UNION ALL SELECT op_id, currency_code, source_account_id, 'debit', amount, 1, 1, 0 FROM o WHERE op_type = 'settle_success'
+  UNION ALL SELECT op_id, currency_code, source_account_id, 'none', amount, 0, 1, -1 FROM o WHERE op_type = 'hold'
+  UNION ALL SELECT op_id, currency_code, source_account_id, 'debit', amount, 1, 0, 0 FROM o WHERE op_type = 'settle_success'
+  UNION ALL SELECT op_id, currency_code, source_account_id, 'none', amount, 0, -1, 0 FROM o WHERE op_type = 'settle_success'
   UNION ALL SELECT op_id, currency_code, st, 'credit', amount, 1, 0, 1 FROM o WHERE op_type = 'settle_success'
-  UNION ALL SELECT op_id, currency_code, source_account_id, 'debit', amount, 0, 1, 0 FROM o WHERE op_type = 'settle_failed'
-  UNION ALL SELECT op_id, currency_code, source_account_id, 'credit', amount, 0, 0, 1 FROM o WHERE op_type = 'settle_failed'),
+  UNION ALL SELECT op_id, currency_code, source_account_id, 'none', amount, 0, -1, 1 FROM o WHERE op_type = 'settle_failed'),
 s AS (
-  SELECT e.*, CASE WHEN e.side = COALESCE(a.ledger_normal_side, 'credit') THEN e.amount
+  SELECT e.*, CASE WHEN e.side = 'none' THEN e.amount WHEN e.side = COALESCE(a.ledger_normal_side, 'credit') THEN e.amount
                    ELSE -e.amount END AS sa
   FROM e LEFT JOIN fx_accounts a ON a.id = e.account_id WHERE e.amount > 0)
 SELECT op_id, account_id, currency_code,
@@ -254,10 +253,15 @@ SELECT COALESCE(p.account_id, agg.account_id) AS account_id,
        COALESCE(p.version, 0) + CASE WHEN agg.dl IS NOT NULL THEN 1 ELSE 0 END AS version,
        CASE WHEN agg.dl IS NOT NULL THEN cast('{NOW}' AS timestamp) ELSE p.computed_at END AS computed_at
 FROM p FULL OUTER JOIN agg ON p.account_id = agg.account_id AND p.currency_code = agg.currency_code
+UNION ALL
+SELECT account_id, currency_code, balance_kind, ledger_balance, available_balance, held_balance, version,
+       computed_at
+FROM fx_projections WHERE balance_kind <> 'available'
 """)
 def q_apply_deltas(spark, d):
     x = Inputs(spark, d)
-    return P.apply_deltas(x.projections, P.balance_deltas(x.ops, x.accounts), NOW)
+    out = P.apply_deltas(x.projections, P.balance_deltas(x.ops, x.accounts), NOW)
+    return out.drop("last_transaction_id", "last_line_id")
 
 
 @register("outbox_from_transfers", oracle="""

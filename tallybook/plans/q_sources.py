@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tallybook import schemas as S
 from tallybook.operators import balances as B
+from tallybook.operators import outbox as O
+from tallybook.plans.fixtures import NOW
 from tallybook.plans.inputs import Inputs, conform
 from tallybook.plans.q_balances import _LEDGER
 from tallybook.plans.registry import register
@@ -98,12 +100,13 @@ def q_webhooks_from_messages(spark, d):
 
 
 @register("outbox_messages", oracle="""
-SELECT event_type AS topic, partition_key AS key, id FROM fx_outbox WHERE status = 'pending'
+SELECT event_type AS topic, partition_key AS key, id FROM fx_outbox
+WHERE status IN ('pending', 'failed') AND COALESCE(next_retry_at <= cast('""" + NOW + """' AS timestamp), true)
 """)
 def q_outbox_messages(spark, d):
     x = Inputs(spark, d)
     msgs = M.outbox_messages(conform(x.raw("fx_outbox"), S.OUTBOX_EVENTS)
-                             .filter(F.col("status") == "pending"))
+                             .filter(O.is_due(NOW)))
     return msgs.select("topic", "key", F.get_json_object("value", "$.id").alias("id"))
 
 

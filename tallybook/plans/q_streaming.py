@@ -20,6 +20,7 @@ from tallybook.streaming import jobs as J
 from tallybook.streaming import posting as SP
 
 _FILES = 4
+_PARTS = 4
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -29,10 +30,10 @@ def _scratch(spark: SparkSession, name: str) -> str:
 def _as_stream(spark: SparkSession, df: DataFrame, where: str, order: str,
                files: int = _FILES) -> DataFrame:
     """Write ``df`` as ``files`` time ranges of ``order`` (one append per range, so file
-    modification times follow event time) and open them as a one-file-per-batch stream.
+    modification times follow event time) and open them as a one-range-per-batch stream.
 
     Range bounds come from ``approxQuantile`` (a few numbers to the driver); each range is
-    written by its own distributed job.
+    written by its own distributed job as ``_PARTS`` files, which make up one micro-batch.
     """
     u = F.unix_micros(F.col(order).cast("timestamp"))
     bounds = df.select(u.alias("_u")).approxQuantile(
@@ -44,9 +45,9 @@ def _as_stream(spark: SparkSession, df: DataFrame, where: str, order: str,
             cond = cond & (u >= F.lit(int(lo)))
         if hi is not None:
             cond = cond & (u < F.lit(int(hi)))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(where)
+        df.filter(cond).repartition(_PARTS).write.mode("append").parquet(where)
     return J.read_requests(spark, fmt="parquet", path=where, schema=df.schema,
-                           options={"maxFilesPerTrigger": 1})
+                           options={"maxFilesPerTrigger": _PARTS})
 
 
 def _await(q) -> None:
@@ -78,27 +79,31 @@ def q_stream_route(spark, d):
 
 @register("stream_dedupe", oracle="""
 SELECT DISTINCT provider, external_event_id FROM fx_webhooks WHERE external_event_id IS NOT NULL
+UNION ALL
+SELECT provider, external_event_id FROM fx_webhooks WHERE external_event_id IS NULL
 """)
 def q_stream_dedupe(spark, d):
     x = Inputs(spark, d)
     base = _scratch(spark, "dedupe")
     hooks = _as_stream(spark, conform(x.raw("fx_webhooks"), INCOMING_WEBHOOKS), f"{base}/in",
                        "created_at")
-    kept = J.stream_dedupe(hooks.filter(F.col("external_event_id").isNotNull()))
+    kept = J.stream_dedupe(hooks)
     _await(J.run(kept.writeStream.foreachBatch(J.batch_sink(f"{base}/out")), f"{base}/ckpt"))
     return J.read_sink(spark, f"{base}/out").select("provider", "external_event_id")
 
 
 @register("stream_balances", oracle="""
-SELECT jl.account_id, jl.currency_code,
-       cast(SUM(CASE WHEN jl.side = a.ledger_normal_side THEN jl.amount ELSE -jl.amount END)
-            AS decimal(38,8)) AS ledger_balance,
-       count(*) AS n_lines
-FROM fx_lines jl
-JOIN fx_journal jt ON jt.id = jl.journal_transaction_id AND jt.status = 'posted'
-JOIN fx_accounts a ON a.id = jl.account_id
-WHERE jl.balance_kind IN ('ledger', 'available')
-GROUP BY jl.account_id, jl.currency_code
+WITH posted AS (SELECT id FROM fx_journal WHERE status = 'posted'),
+per_side AS (
+  SELECT account_id, currency_code, side, SUM(amount) AS moved, COUNT(*) AS n
+  FROM fx_lines
+  WHERE balance_kind IN ('ledger', 'available') AND journal_transaction_id IN (SELECT id FROM posted)
+  GROUP BY account_id, currency_code, side)
+SELECT account_id, per_side.currency_code,
+       cast(sum(CASE WHEN side = ledger_normal_side THEN 1 ELSE -1 END * moved) AS decimal(38,8))
+         AS ledger_balance, cast(sum(n) AS bigint) AS n_lines
+FROM per_side, fx_accounts WHERE fx_accounts.id = account_id
+GROUP BY account_id, per_side.currency_code
 """)
 def q_stream_balances(spark, d):
     x = Inputs(spark, d)
@@ -157,14 +162,16 @@ def q_stream_hold_timers(spark, d):
 
 
 @register("stream_outbox", oracle="""
-SELECT id, 'published' AS status FROM fx_outbox WHERE status IN ('pending', 'failed')
+SELECT id, CASE WHEN status IN ('pending', 'failed') AND COALESCE(next_retry_at <= cast('""" + NOW + """'
+                 AS timestamp), true) THEN 'published' ELSE status END AS status
+FROM fx_outbox
 """)
 def q_stream_outbox(spark, d):
     from tallybook.schemas import OUTBOX_EVENTS
     x = Inputs(spark, d)
     base = _scratch(spark, "outbox")
     ob = _as_stream(spark, conform(x.raw("fx_outbox"), OUTBOX_EVENTS), f"{base}/in", "created_at")
-    _await(J.stream_outbox(ob, f"{base}/topics", f"{base}/state", f"{base}/ckpt"))
+    _await(J.stream_outbox(ob, f"{base}/topics", f"{base}/state", f"{base}/ckpt", now=NOW))
     return J.read_sink(spark, f"{base}/state").select("id", "status")
 
 
@@ -178,9 +185,7 @@ def q_stream_post(spark, d):
     reqs = _as_stream(spark, x.raw("fx_request_bodies"), f"{base}/in", "arrival", files=2)
     _await(SP.stream_post(spark, reqs, x.customers, x.accounts, keys0, x.projections,
                           f"{base}/out", f"{base}/ckpt", NOW))
-    done = SP.committed_batches(spark, f"{base}/out")
-    return spark.read.option("basePath", f"{base}/out/outcomes").parquet(
-        *[f"{base}/out/outcomes/batch_id={b}" for b in done])
+    return SP.committed_rows(spark, f"{base}/out", "outcomes")
 
 
 @register("backlog_windows", oracle="""

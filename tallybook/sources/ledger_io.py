@@ -41,25 +41,33 @@ def load_ledger(spark: SparkSession, location: str, tables: Sequence[str] | None
     return out
 
 
-def append_journal(txs: DataFrame, lines: DataFrame, location: str,
-                   grain: str = "month", writers_per_partition: int = 1) -> None:
+def append_journal(txs: DataFrame, lines: DataFrame, location: str, grain: str = "month",
+                   rows_per_file: int = 5_000_000) -> None:
     """Append-only write of journal headers and lines (call after C5 passes).
 
-    Headers are partitioned by ``accounting_period`` = accounting_date truncated
-    to ``grain`` (time-range reads prune folders; a month keeps files large
-    where a day would give thousands of small ones). Rows are first shuffled on
-    (period, hash bucket) so each folder gets ``writers_per_partition`` files
-    instead of one per task and folder; raise it when one period is too big for
-    one writer. Lines are written sorted by account within each file so that
-    per-account scans skip row groups by min/max.
+    Both tables are partitioned by ``accounting_period`` = the header's accounting_date truncated
+    to ``grain``, so reads over a time range prune folders. Each period is spread over as many
+    writers as its rows ask for (``rows_per_file``, counted first), so a full month is never
+    written by one task. Lines are sorted by account inside files: per-account reads skip row
+    groups by min/max. Lines go first and headers last: lines whose header is not there yet are
+    invisible to every reader that joins posted headers, so a failed append leaves no half entry.
     """
-    bucket = F.pmod(F.xxhash64("id"), F.lit(writers_per_partition))
-    (txs.withColumn("accounting_period", F.trunc("accounting_date", grain))
-     .repartition(F.col("accounting_period"), bucket)
-     .write.mode("append").partitionBy("accounting_period")
-     .parquet(f"{location}/journal_transactions"))
-    (lines.sortWithinPartitions("account_id", "journal_transaction_id")
-     .write.mode("append").parquet(f"{location}/journal_lines"))
+    headers = txs.withColumn("accounting_period", F.trunc("accounting_date", grain))
+    periods = headers.select(F.col("id").alias("journal_transaction_id"), "accounting_period")
+    dated = lines.join(periods, "journal_transaction_id", "left")
+
+    def spread(df: DataFrame, name: str, sort: Sequence[str] = ()) -> None:
+        files = (df.groupBy("accounting_period").agg(F.count(F.lit(1)).alias("_n"))
+                 .select(F.col("accounting_period").alias("_p"),
+                         F.ceil(F.col("_n") / rows_per_file).alias("_files")))
+        out = (df.join(files, F.col("accounting_period").eqNullSafe(F.col("_p")))
+               .repartition(F.col("accounting_period"),
+                            F.pmod(F.xxhash64("id"), F.col("_files"))).drop("_p", "_files"))
+        if sort:
+            out = out.sortWithinPartitions("accounting_period", *sort)
+        out.write.mode("append").partitionBy("accounting_period").parquet(f"{location}/{name}")
+    spread(dated, "journal_lines", ["account_id", "journal_transaction_id"])
+    spread(headers, "journal_transactions")
 
 
 def _state(df: DataFrame, cols: Sequence[str]) -> F.Column:

@@ -126,12 +126,13 @@ def stream_dedupe(hooks: DataFrame, event_time: str = "created_at",
     """Drop repeated callbacks (same provider and external id) arriving within ``within``.
 
     State is kept per key until the watermark passes the first arrival + ``within``
-    (``dropDuplicatesWithinWatermark``), so it stays bounded by one window of keys.
+    (``dropDuplicatesWithinWatermark``), so it stays bounded by one window of keys. Callbacks
+    without an external id have nothing to be compared by and pass, outside the state.
     """
-    return (hooks.withColumn("_et", utc_instant(event_time))
-            .withWatermark("_et", within)
-            .dropDuplicatesWithinWatermark(["provider", "external_event_id"])
-            .drop("_et"))
+    known = (hooks.filter(F.col("external_event_id").isNotNull())
+             .withColumn("_et", utc_instant(event_time)).withWatermark("_et", within)
+             .dropDuplicatesWithinWatermark(["provider", "external_event_id"]).drop("_et"))
+    return known.unionByName(hooks.filter(F.col("external_event_id").isNull()))
 
 
 # ---------------------------------------------------------------- I4
@@ -197,14 +198,12 @@ def _hold_timer(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
     hold_id = key[0]
     if state.hasTimedOut:
         status, remaining, _ = state.get
+        state.remove()
         if status == "active":
-            state.remove()
             yield pd.DataFrame({"hold_id": [hold_id], "status": ["expired"],
                                 "remaining_amount": [Decimal(0)],
                                 "event_time": [pd.Timestamp(state.getCurrentWatermarkMs(),
                                                             unit="ms")]})
-        else:
-            state.remove()
         return
     if state.exists:
         status, remaining, expires_ms = state.get
@@ -216,16 +215,21 @@ def _hold_timer(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
         if r.action == "create" and status is None:
             status, remaining = "active", str(r.amount)
             expires_ms = int(pd.Timestamp(r.expires_at).value // 1_000_000)
-        elif r.action in ("consume", "release") and status == "active":
+        elif (r.action in ("consume", "release") and status == "active"
+              and (expires_ms is None or pd.Timestamp(r.event_time).value // 1_000_000 < expires_ms)
+              and 0 < Decimal(r.amount) <= Decimal(remaining)):
             status = "consumed" if r.action == "consume" else "released"
-            remaining = "0"
+            remaining = str(Decimal(remaining) - Decimal(r.amount))
         else:
             continue
         out.append((hold_id, status, Decimal(remaining), r.event_time))
-    if status is not None:
+    if status is not None and (status == "active" or expires_ms is not None):
+        # A finished hold stays as a tombstone until its expiry, so a repeated create finds it.
         state.update((status, remaining, expires_ms))
-        if status == "active" and expires_ms is not None:
+        if expires_ms is not None:
             state.setTimeoutTimestamp(max(expires_ms, state.getCurrentWatermarkMs() + 1))
+    elif state.exists:
+        state.remove()
     if out:
         yield pd.DataFrame(out, columns=["hold_id", "status", "remaining_amount", "event_time"])
 
@@ -236,7 +240,9 @@ def stream_hold_timers(hold_events: DataFrame, late: str = "1 hour") -> DataFram
     ``hold_events``: hold_id, action (create/consume/release), amount, expires_at,
     event_time, seq. Emits each transition; an active hold whose timer fires
     (watermark passes expires_at) emits ``expired``. Grouped-map state runs per
-    hold (Arrow batches), not per row; state is removed at the terminal status.
+    hold (Arrow batches). A consume or release takes its amount off the remaining one, is ignored when it
+    asks for more than is left or is dated at or after expires_at; a finished hold's state goes when its
+    timer fires, at once if it has none.
     """
     ev = (hold_events.withColumn("event_time", utc_instant("event_time"))
           .withColumn("expires_at", utc_instant("expires_at"))
@@ -250,24 +256,28 @@ def stream_hold_timers(hold_events: DataFrame, late: str = "1 hour") -> DataFram
 
 def stream_outbox(outbox_changes: DataFrame, topic_path: str, state_path: str,
                   checkpoint: str, deliver: Callable[[DataFrame], DataFrame] | None = None,
-                  now_col: str = "updated_at", trigger: dict | None = None) -> StreamingQuery:
+                  now: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """I8: publish each micro-batch of due outbox events (A3 to JSON files per topic, or a
     custom ``deliver`` returning (id, delivered, error_code, error_message)), then apply the
-    delivery results (H2-H4) and write the new outbox states."""
+    delivery results (H2-H4) and write the new outbox states. Due events are H1's at ``now`` (default:
+    the newest updated_at of the batch); the others come out unchanged."""
     from tallybook.sources.messages import outbox_messages
 
     def each(df: DataFrame, batch_id: int) -> None:
-        due = df.filter(F.col("status").isin("pending", "failed"))
+        df = df.persist()
+        at = now or df.agg(F.max("updated_at").cast("string")).first()[0] or "1970-01-01 00:00:00"
+        due = df.filter(O.is_due(at))
         msgs = outbox_messages(due)
         msgs.write.mode("overwrite").partitionBy("topic").json(f"{topic_path}/batch_id={batch_id}")
         results = (deliver(due) if deliver is not None
                    else due.select("id", F.lit(True).alias("delivered"),
                                    F.lit(None).cast("string").alias("error_code"),
                                    F.lit(None).cast("string").alias("error_message")))
-        now = due.agg(F.max(now_col)).first()[0]
-        stamp = now.strftime("%Y-%m-%d %H:%M:%S") if now is not None else "1970-01-01 00:00:00"
-        new_state = O.apply_delivery(due, results, stamp)
+        results = results.persist()      # one delivery, whatever reads its results
+        new_state = O.apply_delivery(df, results, at)
         batch_sink(state_path)(new_state, batch_id)
+        results.unpersist()
+        df.unpersist()
     return run(outbox_changes.writeStream.foreachBatch(each), checkpoint, trigger)
 
 

@@ -66,7 +66,9 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
         money(F.coalesce(F.col("fee_amount"), F.lit(0))).alias("fee_amount"),
         F.lit(None).cast("string").alias("hold_op_id"))
     proj = projection.filter(F.col("balance_kind") == "available")
-    decided = A.admit(ops, proj.select("account_id", "available_balance"))
+    lacking = P.missing_system_accounts(ops, accounts)
+    decided = A.admit(ops.join(lacking, "op_id", "left_anti"),
+                      proj.select("account_id", "currency_code", "available_balance"), accounts)
     accepted = decided.filter(F.col("status") == "accepted")
     reqs = (ok.join(accepted.select(F.col("op_id").alias("request_id")), "request_id",
                     "left_semi")
@@ -80,12 +82,16 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
             .unionByName(P.deposit_legs(trf("deposit"), accounts))
             .unionByName(P.hold_legs(trf("withdrawal"))))
     legs_ok, legs_bad = V.check_legs(legs)
-    deltas = P.balance_deltas(accepted.select("op_id", "op_type", "source_account_id",
+    # Only transactions whose legs passed the check move balances.
+    sound = legs_ok.select(F.element_at(F.split("journal_transaction_id", ":", 2), 2).alias("op_id"))
+    posted_ops = accepted.join(sound.distinct(), "op_id", "left_semi")
+    deltas = P.balance_deltas(posted_ops.select("op_id", "op_type", "source_account_id",
                                               "destination_account_id", "currency_code",
                                               "amount", "fee_amount"), accounts)
-    new_proj = P.apply_deltas(proj, deltas, now)
+    new_proj = P.apply_deltas(projection, deltas, now)
     new_keys = I.upsert_keys(keys, raw)
-    posted = trf("transfer").withColumn("status", F.lit("posted"))
+    posted = (trf("transfer").withColumn("status", F.lit("posted"))
+              .join(posted_ops.select(F.col("op_id").alias("id")), "id", "left_semi"))
     events = P.outbox_from_transfers(posted)
     outcome = (
         bad.select("request_id", F.lit("invalid").alias("outcome"), "reason")
@@ -96,6 +102,8 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
                                              F.lit("missing required fields").alias("reason")))
         .unionByName(elig.filter(F.col("reason").isNotNull()).select(
             "request_id", F.lit("ineligible").alias("outcome"), "reason"))
+        .unionByName(lacking.select(F.col("op_id").alias("request_id"),
+                                    F.lit("ineligible").alias("outcome"), "reason"))
         .unionByName(decided.select(F.col("op_id").alias("request_id"),
                                     F.col("status").alias("outcome"),
                                     F.when(F.col("status") == "rejected", "insufficient funds")
@@ -108,13 +116,28 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
     return out
 
 
-def committed_batches(spark: SparkSession, out: str) -> list[int]:
-    """Batch ids with a commit marker (a one-row table per committed batch)."""
-    try:
-        marks = spark.read.schema("batch_id LONG").json(f"{out}/_commits")
-    except Exception:  # noqa: BLE001 - no marker written yet
-        return []
-    return sorted(r["batch_id"] for r in marks.select("batch_id").distinct().collect())
+def _commits(spark: SparkSession, out: str) -> DataFrame | None:
+    """Commit markers (a one-row table per committed batch); None before the first one.
+
+    Only a missing folder means that nothing was committed; any other read error fails the batch.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/_commits")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("batch_id LONG").option("recursiveFileLookup", "true").json(f"{out}/_commits")
+
+
+def last_committed(spark: SparkSession, out: str, before: int) -> int | None:
+    """The newest committed batch below ``before``."""
+    marks = _commits(spark, out)
+    return None if marks is None else marks.filter(F.col("batch_id") < before).agg(
+        F.max("batch_id")).first()[0]
+
+
+def committed_rows(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """All rows of a per-batch table that belong to committed batches."""
+    rows = spark.read.parquet(f"{out}/{table}")
+    return rows.join(_commits(spark, out).distinct(), "batch_id", "left_semi").drop("batch_id")
 
 
 def read_table(spark: SparkSession, out: str, table: str, batch: int) -> DataFrame:
@@ -128,10 +151,10 @@ def stream_post(spark: SparkSession, requests: DataFrame, customers: DataFrame,
     from tallybook.streaming.jobs import run
 
     def each(df: DataFrame, batch_id: int) -> None:
-        done = [b for b in committed_batches(spark, out) if b < batch_id]
-        if done:
-            keys = read_table(spark, out, "keys", done[-1])
-            proj = read_table(spark, out, "projection", done[-1])
+        done = last_committed(spark, out, batch_id)
+        if done is not None:
+            keys = read_table(spark, out, "keys", done)
+            proj = read_table(spark, out, "projection", done)
         else:
             keys, proj = keys0, projection0
         res = post_batch(df, customers, accounts, keys, proj, now, persist=True)
