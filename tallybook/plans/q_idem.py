@@ -9,13 +9,11 @@ from tallybook.plans.inputs import Inputs
 from tallybook.plans.registry import register
 from tallybook.schemas import IDEMPOTENCY_KEYS, conform
 
-_BATCH_FROM = "2024-01-03 00:00:00"
 _EXPIRE_NOW = "2024-01-02 12:00:00"
 
 
 def _batch(x: Inputs):
-    return x.raw("fx_request_bodies").filter(
-        F.col("arrival") >= F.to_timestamp_ntz(F.lit(_BATCH_FROM)))
+    return x.raw("fx_request_bodies")
 
 
 def _keys(x: Inputs):
@@ -24,7 +22,7 @@ def _keys(x: Inputs):
 
 _REQ = f"""
 r AS (SELECT request_id, scope, idempotency_key, sha2(body, 256) AS h, arrival
-      FROM fx_request_bodies WHERE arrival >= cast('{_BATCH_FROM}' AS timestamp)),
+      FROM fx_request_bodies),
 f AS (SELECT scope, idempotency_key, request_id AS first_id, h AS first_h FROM (
         SELECT *, row_number() OVER (PARTITION BY scope, idempotency_key
                                      ORDER BY arrival, request_id) AS rn FROM r) WHERE rn = 1)"""
@@ -95,6 +93,10 @@ FROM fx_idem_keys
 """)
 def q_save_responses(spark, d):
     keys = _keys(Inputs(spark, d))
-    resp = keys.filter(F.col("response_code").isNull()).select(
-        "id", F.lit(201).alias("response_code"), F.lit('{"status":"done"}').alias("response_body"))
+    first = keys.filter(F.col("response_code").isNull()).select(
+        "id", F.lit(102).alias("response_code"), F.lit('{"status":"running"}').alias("response_body"),
+        F.lit(1).alias("seq"))
+    last = first.select("id", F.lit(201).alias("response_code"),
+                        F.lit('{"status":"done"}').alias("response_body"), F.lit(2).alias("seq"))
+    resp = last.unionByName(first)
     return I.save_responses(keys, resp).select("id", "response_code", "response_body")
