@@ -139,6 +139,7 @@ def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
     settlement whose hold is missing or later than itself copies nothing.
     """
     keyed = "currency_code" in opening.columns
+    ops = stage(ops, "admit-ops")          # evaluated once, read by every step below
     timed = ops.filter(F.col("op_ts").isNotNull())
     rows = _with_currency(op_rows(timed, accounts), keyed)
     holds = timed.filter(F.col("op_type") == "hold").select(

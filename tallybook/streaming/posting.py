@@ -24,6 +24,7 @@ from tallybook.operators import idempotency as I
 from tallybook.operators import posting as P
 from tallybook.operators import validate as V
 from tallybook.schemas import BALANCE_PROJECTIONS, IDEMPOTENCY_KEYS, conform
+from tallybook.session import stage, unstage
 from tallybook.sources.messages import parse_requests
 
 KIND_TO_OP = {"deposit": "deposit", "transfer": "transfer", "withdrawal": "hold"}
@@ -55,7 +56,7 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
     if persist:
         elig = elig.persist()
     ok = elig.filter(F.col("reason").isNull())
-    ops = ok.select(
+    ops = stage(ok.select(
         F.col("request_id").alias("op_id"), F.col("arrival").alias("op_ts"),
         F.xxhash64("request_id").alias("seq_key"), "op_type",
         F.when(F.col("op_type") != "deposit", F.col("source_account_id"))
@@ -64,11 +65,13 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
         .alias("destination_account_id"),
         "currency_code", money("amount").alias("amount"),
         money(F.coalesce(F.col("fee_amount"), F.lit(0))).alias("fee_amount"),
-        F.lit(None).cast("string").alias("hold_op_id"))
+        F.lit(None).cast("string").alias("hold_op_id")), "post-ops")
     proj = projection.filter(F.col("balance_kind") == "available")
     lacking = P.missing_system_accounts(ops, accounts)
-    decided = A.admit(ops.join(lacking, "op_id", "left_anti"),
-                      proj.select("account_id", "currency_code", "available_balance"), accounts)
+    # Decisions and legs feed every output: written once instead of planned again for each.
+    decided = stage(A.admit(ops.join(lacking, "op_id", "left_anti"),
+                            proj.select("account_id", "currency_code", "available_balance"),
+                            accounts), "post-decided")
     accepted = decided.filter(F.col("status") == "accepted")
     reqs = (ok.join(accepted.select(F.col("op_id").alias("request_id")), "request_id",
                     "left_semi")
@@ -81,6 +84,7 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
     legs = (P.transfer_legs(trf("transfer"), accounts)
             .unionByName(P.deposit_legs(trf("deposit"), accounts))
             .unionByName(P.hold_legs(trf("withdrawal"))))
+    legs = stage(legs, "post-legs")
     legs_ok, legs_bad = V.check_legs(legs)
     # Only transactions whose legs passed the check move balances.
     sound = legs_ok.select(F.element_at(F.split("journal_transaction_id", ":", 2), 2).alias("op_id"))
@@ -113,6 +117,7 @@ def post_batch(raw: DataFrame, customers: DataFrame, accounts: DataFrame, keys:
            "keys": conform(new_keys, IDEMPOTENCY_KEYS), "events": events}
     if persist:
         out["_persisted"] = [p, elig]
+        out["_staged"] = [ops, decided, legs]
     return out
 
 
@@ -158,11 +163,13 @@ def stream_post(spark: SparkSession, requests: DataFrame, customers: DataFrame,
         else:
             keys, proj = keys0, projection0
         res = post_batch(df, customers, accounts, keys, proj, now, persist=True)
-        cached = res.pop("_persisted")
+        cached, staged = res.pop("_persisted"), res.pop("_staged")
         for name, frame in res.items():
             frame.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
         for frame in cached:          # this batch's intermediates only
             frame.unpersist()
+        for frame in staged:
+            unstage(frame)
         (spark.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"))
          .write.mode("overwrite").json(f"{out}/_commits/batch={batch_id}"))
     return run(requests.writeStream.foreachBatch(each), checkpoint, trigger)
