@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallybook.llm.common import text_or_empty
 

@@ -3,7 +3,6 @@ import random
 from collections import Counter
 
 import numpy as np
-import pytest
 from brute import BASE, crc, personal_data, sha
 from hypothesis import given, settings
 from hypothesis import strategies as st
