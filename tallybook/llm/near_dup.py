@@ -22,6 +22,7 @@ component is kept, the first of its smallest id. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +39,13 @@ RATE = 20.0        # of the exponential variates
 LAST = 2 ** 12     # registers are 0 .. LAST; the largest sets of 10**30 shingles stay below
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 400_000   # shingles handled at once
+_SETS = 2_000      # and sets
+_BATCH = "8m"      # Arrow batch of texts; the workers stay small beside the joins' memory
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         got = self[word] = xxhash.xxh3_64_intdigest(word)
         return got
@@ -67,6 +70,11 @@ def shingle_set(text: str | None, size: int, hashes: dict[bytes, int]) -> np.nda
     return np.unique(out)
 
 
+def _fingerprint(items: np.ndarray) -> bytes | None:
+    """128-bit fingerprint of a set, None if it is empty."""
+    return xxhash.xxh3_128_digest(items.astype("<u8").tobytes()) if len(items) else None
+
+
 def registers(sets: list[np.ndarray], m: int) -> np.ndarray:
     """(sets, m) SetSketch registers; an empty set's are 0."""
     out = np.zeros((len(sets), m), np.uint16)
@@ -113,7 +121,7 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             at = 0
             while at < batch.num_rows:
                 sets, total, start = [], 0, at
-                while at < batch.num_rows and total < _CHUNK:
+                while at < batch.num_rows and total < _CHUNK and len(sets) < _SETS:
                     s = shingle_set(batch.column(2)[at].as_py(), size, hashes)
                     sets.append(s)
                     total += len(s)
@@ -122,8 +130,7 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, len(sets)), batch.column(1).slice(start, len(sets)),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) if len(s) else None
-                              for s in sets], pa.binary()),
+                    pa.array([_fingerprint(s) for s in sets], pa.binary()),
                     pa.array([r.astype("<u2").tobytes() for r in regs], pa.binary())], names=names)
     names = ["doc_id", "row", "n_shingles", "set_key", "registers"]
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -146,33 +153,97 @@ def _estimate(m: int) -> Column:
     return similarity("reg_a", "reg_b", "n_a", "n_b")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, limit: int, m: int,
+@contextmanager
+def _small_batches(spark) -> Iterator[None]:
+    """Arrow batches of ``_BATCH`` for what is run inside; the session's setting comes back after."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, _BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A written table of a few numbers a row: broadcast up to ``rows`` rows, joined by shuffle beyond."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, items): the full set of every class in ``nodes``, from the text of a document of the class.
+
+    A document is found by its id; where an id is repeated, the fingerprint tells which text it is.
+    """
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:
+                nodes, sets, total = [], [], 0
+                while at < batch.num_rows and total < _CHUNK:
+                    s = shingle_set(batch.column(2)[at].as_py(), size, hashes)
+                    if _fingerprint(s) == batch.column(1)[at].as_py():
+                        nodes.append(batch.column(0)[at].as_py())
+                        sets.append(s)
+                        total += len(s)
+                    at += 1
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                items = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(items))],
+                    names=["node", "items"])
+
+    wanted = stage(classes.join(nodes.select("node").distinct(), "node", "left_semi")
+                   .select(F.col("rep_id").alias("doc_id"), "node", "set_key"), "near-wanted")
+    found = (docs.join(_small(wanted), "doc_id").select("node", "set_key", "text")
+             .mapInArrow(fetch, "node long, items array<long>"))
+    with _small_batches(docs.sparkSession):
+        return stage(found, "near-sets")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, limit: int, m: int,
               slack: float) -> DataFrame:
     """Candidate pairs (src, dst) → those whose full sets reach ``limit`` hundredths."""
-    side = lambda x: classes.select(F.col("rep").alias("src" if x == "a" else "dst"),
+    side = lambda x: classes.select(F.col("node").alias("src" if x == "a" else "dst"),
                                     F.col("n_shingles").alias(f"n_{x}"), F.col("registers").alias(f"reg_{x}"))
     near = (pairs.join(side("a"), "src").join(side("b"), "dst")
             .filter(100 * F.least("n_a", "n_b") >= limit * F.greatest("n_a", "n_b"))
             .filter(_estimate(m) >= limit / 100 - slack).select("src", "dst"))
     near = stage(near, "near-candidates")
-
-    @F.arrow_udf("array<long>")
-    def full_set(texts: pa.Array) -> pa.Array:
-        hashes = _WordHashes()
-        return pa.array([shingle_set(t.as_py(), size, hashes).view(np.int64) for t in texts], pa.list_(pa.int64()))
-
-    wanted = near.select(F.col("src").alias("row")).union(near.select(F.col("dst").alias("row"))).distinct()
-    sets = stage(docs.join(wanted, "row", "left_semi").select("row", full_set("text").alias("items")), "near-sets")
-    both = (near.join(sets.select(F.col("row").alias("src"), F.col("items").alias("a")), "src")
-            .join(sets.select(F.col("row").alias("dst"), F.col("items").alias("b")), "dst"))
+    ends = stage(near.select(F.col("src").alias("node")).union(near.select(F.col("dst").alias("node"))).distinct(),
+                 "near-ends")
+    sets = sets.join(_small(ends), "node", "left_semi").dropDuplicates(["node"])
+    both = (near.join(sets.select(F.col("node").alias("src"), F.col("items").alias("a")), "src")
+            .join(sets.select(F.col("node").alias("dst"), F.col("items").alias("b")), "dst"))
     shared = F.size(F.array_intersect("a", "b"))
     links = stage(both.filter(100 * shared >= limit * (F.size("a") + F.size("b") - shared))
                   .select("src", "dst"), "near-links")
     unstage(near)
-    unstage(sets)
+    unstage(ends)
     return links
 
 
+def _merge(component: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, component) after new links, of which only those between components count."""
+    if component is None:
+        return stage(connected_components(links), "near-components")
+    ends = links.select(F.col("src").alias("node")).union(links.select(F.col("dst").alias("node"))).distinct()
+    known = component.unionByName(ends.join(component, "node", "left_anti")
+                                  .withColumn("component", F.col("node")))
+    known = stage(known, "near-known")
+    at = lambda x: known.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    lifted = links.join(at("src"), "src").join(at("dst"), "dst").select(
+        F.col("c_src").alias("src"), F.col("c_dst").alias("dst"))
+    joined = connected_components(lifted).select(F.col("node").alias("component"),
+                                                 F.col("component").alias("new"))
+    out = stage(known.join(joined, "component", "left").select(
+        "node", F.coalesce("new", "component").alias("component")), "near-components")
+    unstage(known)
+    unstage(component)
+    return out
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: int = 32, rows: int = 4,
                     slack: float = 0.25, row_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept and the row number.
@@ -181,56 +252,56 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: i
     smallest doc_id reachable, itself included.
     """
     m = bands * rows
-    text = F.col("text").cast("string").alias("text")
-    if row_col:
-        docs = docs.select("doc_id", F.col(row_col).alias("row"), text)
-    else:        # row numbers must be the same in both looks at the texts: number them once, in a written table
-        docs = stage(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), text), "near-texts")
-    sketched = stage(sketch(docs, shingle, bands, rows), "near-sketches")
-    # Classes of equal sets; the row that stands for a class is one of its smallest ids.
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    docs = docs.select("doc_id", row.alias("row"), F.col("text").cast("string").alias("text"))
+    with _small_batches(docs.sparkSession):
+        sketched = stage(sketch(docs, shingle, bands, rows), "near-sketches")
+    # Classes of equal sets, named by their smallest (id, row).
     named = F.struct("doc_id", "row")
     classes = stage(sketched.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
                     .groupBy("set_key", "n_shingles")
                     .agg(F.min(named).alias("low"), F.first("registers").alias("registers"))
                     .select("set_key", "n_shingles", "registers", F.col("low.row").alias("rep"),
-                            F.col("low.doc_id").alias("rep_id")), "near-classes")
-    texts = docs.select("row", "text")
+                            F.col("low.doc_id").alias("rep_id"),
+                            F.monotonically_increasing_id().alias("node")), "near-classes")
     keys = [F.xxhash64(F.lit(k), F.substring("registers", 2 * rows * k + 1, 2 * rows)) for k in range(bands)]
-    spread = classes.select(F.col("rep").alias("node"), F.explode(F.array(*keys)).alias("bucket"))
-    crowded = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    spread = classes.select("node", F.explode(F.array(*keys)).alias("bucket"))
+    crowded = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     active = stage(spread.join(crowded, "bucket"), "near-buckets")
-    links, component, hubs = None, None, 1
+    sets = _full_sets(docs, classes, active, shingle)
+    component, hubs = None, 1
     while True:
-        salt = F.pmod(F.xxhash64("node", F.lit(hubs)), F.lit(hubs))
+        # The smallest node of each of ``hubs`` parts of a bucket; all of a bucket with no more nodes.
+        salt = F.when(F.col("n") <= hubs, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(hubs)))
         hub = (active.groupBy("bucket", salt.alias("salt")).agg(F.min("node").alias("hub"))
                .select("bucket", "hub"))
-        met = active.join(hub, "bucket").filter(F.col("node") != F.col("hub"))
-        if component is None:
-            fresh = met
-        else:
-            met_by = met.join(component.select(F.col("node"), F.col("component").alias("ca")), "node", "left") \
-                .join(component.select(F.col("node").alias("hub"), F.col("component").alias("cb")), "hub", "left")
-            fresh = met_by.filter(F.coalesce("ca", "node") != F.coalesce("cb", "hub"))
+        fresh = active.drop("n").join(hub, "bucket").filter(F.col("node") != F.col("hub"))
+        if component is not None:
+            fresh = (fresh.join(component.withColumnRenamed("component", "ca"), "node", "left")
+                     .join(component.select(F.col("node").alias("hub"), F.col("component").alias("cb")), "hub", "left")
+                     .filter(F.coalesce("ca", "node") != F.coalesce("cb", "hub")))
         pairs = (fresh.select(F.least("node", "hub").alias("src"), F.greatest("node", "hub").alias("dst"))
                  .distinct())
-        found = _verified(pairs, classes, texts, shingle, limit, m, slack)
-        links = found if links is None else links.unionByName(found)
-        component = stage(connected_components(links), "near-components")
+        links = _verified(pairs, classes, sets, limit, m, slack)
+        if component is None or not links.isEmpty():
+            component = _merge(component, links)
+        unstage(links)
         # A bucket goes on while its classes that have not been hubs lie in several components.
-        rest = (active.join(hub.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
+        rest = (active.drop("n").join(hub.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
                 .join(component, "node", "left")
                 .select("bucket", "node", F.coalesce("component", "node").alias("component")))
-        open_ = (rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .filter("lo < hi").select("bucket"))
-        left = stage(rest.join(open_, "bucket").select("node", "bucket"), "near-buckets")
+        open_ = (rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                            F.count("*").alias("n")).filter("lo < hi").drop("lo", "hi"))
+        left = stage(rest.drop("component").join(open_, "bucket"), "near-buckets")
         unstage(active)
         active = left
         if active.isEmpty():
             break
-        hubs *= 4
-    by_class = (classes.join(component, classes["rep"] == component["node"], "left")
+        hubs *= 16
+    unstage(sets)
+    by_class = (classes.join(component, "node", "left")
                 .select("set_key", "n_shingles", F.struct("rep_id", "rep").alias("own"),
-                        F.coalesce("component", "rep").alias("component")))
+                        F.coalesce("component", "node").alias("component")))
     lowest = by_class.groupBy("component").agg(F.min("own").alias("low"))
     by_class = by_class.join(lowest, "component").select("set_key", "n_shingles", "low")
     alone = F.col("set_key").isNull() | F.col("doc_id").isNull()
