@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybook.session import stage
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|select|svg|iframe|object|math|title)(?![\w-])[^>]*>"
@@ -232,7 +234,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract_pages(pages: DataFrame, salts: int = 32) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    winners = host_paths(pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Written once: its measured size decides whether the pages need to move at all.
+    winners = stage(host_paths(pages), "host-paths").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = F.pmod(F.xxhash64("page_id", F.length("html")), F.lit(salts)).cast("int")
     out = (pages.withColumn("host", host_of(F.col("url"))).withColumn("salt", spread)
            .join(winners, ["host", "salt"], "left")
