@@ -8,8 +8,8 @@ in sorted arrays that are searched by bisection. The language with the lowest cr
 character wins. A calibration fold of the training texts, not counted, gives each language the
 ``calibrate`` quantile of its own cross-entropy; a text above its language's limit is not accepted.
 
-The models' size is bounded by ``max_windows`` distinct windows over all languages (the counts
-themselves cover all texts); beyond it the rarest windows are left to the lower orders.
+Every counted window is kept, whatever their number: the models grow with the distinct windows of the
+training texts. They are fetched one language at a time, and driver and executors hold all of them.
 
 Rules: null texts and those without a letter are ``und`` with score 0; rows with null text or language
 teach nothing; without any training row everything is ``und``; equal entropies go to the first
@@ -122,12 +122,10 @@ class _Order:
 class Model:
     """Interpolated Kneser-Ney model of one language from its windows."""
 
-    def __init__(self, keys: np.ndarray, n: np.ndarray, discount: float | None = None):
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
         order = np.argsort(keys)
         keys, n = keys[order], n[order]
         self.orders = [_Order(keys, n)]
-        if discount is not None:
-            self.orders[0].discount = discount
         for size in (3, 2, 1):                    # continuation counts: distinct characters before
             keys, n = np.unique(keys & np.uint64((1 << 16 * size) - 1), return_counts=True)
             self.orders.append(_Order(keys, n))
@@ -187,7 +185,7 @@ _PREDICTED = "struct<lang:string,score:double,entropy:double,accepted:boolean>"
 
 
 def predict_column(models: Models, spark, text_col: str = "text") -> Column:
-    shared = spark.sparkContext.broadcast(models)      # size bounded by max_windows
+    shared = spark.sparkContext.broadcast(models)      # every window: grows with the corpus
 
     @F.arrow_udf(_PREDICTED)
     def predict(texts: pa.Array) -> pa.Array:
@@ -199,27 +197,16 @@ def predict_column(models: Models, spark, text_col: str = "text") -> Column:
     return predict(F.col(text_col).cast("string"))
 
 
-def train(rows: DataFrame, max_windows: int = 2_000_000, calibrate: float = 0.995,
-          fold: int = 20) -> Models:
+def train(rows: DataFrame, calibrate: float = 0.995, fold: int = 20) -> Models:
     """Models from rows (doc_id, text, lang), all to be learned from; one in ``fold`` calibrates."""
     spark = rows.sparkSession
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     aside = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(fold)) == 0
     counts = stage(count_windows(rows.filter(~aside).select("lang", "text")), "langid-counts")
-    # Counts of counts per language (discounts), and from them the lowest count the bound allows.
-    spectrum = (counts.groupBy("lang", F.least("n", F.lit(1000)).alias("n"))
-                .agg(F.count("*").alias("windows")).toPandas())
-    size, least = int(spectrum["windows"].sum()), 1
-    while size > max_windows and least < 1000:
-        size -= int(spectrum.loc[spectrum["n"] == least, "windows"].sum())
-        least += 1
-    kept = counts.filter(F.col("n") >= least).toPandas()
     by_lang = {}
-    for lang, own in kept.groupby("lang"):
-        kinds = spectrum[spectrum["lang"] == lang].set_index("n")["windows"]
-        ones, twos = kinds.get(1, 0), kinds.get(2, 0)
-        by_lang[lang] = Model(own["window"].to_numpy(np.int64).view(np.uint64), own["n"].to_numpy(),
-                              ones / (ones + 2 * twos) if ones and twos else 0.5)
+    for r in counts.select("lang").distinct().collect():
+        own = counts.filter(F.col("lang") == r["lang"]).select("window", "n").toArrow()
+        by_lang[r["lang"]] = Model(own["window"].to_numpy().view(np.uint64), own["n"].to_numpy())
     models = Models(by_lang)
     if models.names:
         seen = (rows.filter(aside).select("lang", predict_column(models, spark).alias("p"))

@@ -196,6 +196,24 @@ def test_language_rules(spark, odd_docs, no_docs):
     assert {r.lang_pred for r in langid.identify(odd_docs, none).collect()} == {"und"}
 
 
+def test_language_models_keep_every_window(spark):
+    """More than two million distinct windows, nearly all seen once, and two common ones."""
+    rng = np.random.default_rng(3)
+    letters = rng.integers(0x4E00, 0x9FA0, (60, 45_000)).astype("<u4")
+    rows = spark.createDataFrame(
+        [(i, x.tobytes().decode("utf-32-le") + " same" * 9, "zh" if i % 2 else "ja") for i, x in enumerate(letters)],
+        "doc_id long, text string, lang string")
+    models = langid.train(rows)
+    learned = rows.filter("pmod(xxhash64(doc_id, lang), 20) != 0").collect()
+    for name, model in zip(models.names, models.models, strict=True):
+        keys, _, _ = langid.windows([r.text for r in learned if r.lang == name])
+        want = langid.Model(*np.unique(keys, return_counts=True))
+        for got, own in zip(model.orders, want.orders, strict=True):
+            assert np.array_equal(got.keys, own.keys) and np.array_equal(got.n, own.n)
+            assert got.discount == own.discount
+    assert sum(len(m.orders[0].keys) for m in models.models) > 2_000_000
+
+
 # ---- pages ----------------------------------------------------------------------------------
 def test_generated_pages(spark):
     """The test pages hold their article in <article>: plain extraction by that tag must agree."""
