@@ -1,7 +1,7 @@
 """Main text of web pages by consensus host paths.
 
 Pass 1 parses each page, scores its containers by the text that hangs under them (link text counts
-against, a parent gets half) and emits the page's generalised tag-class paths with their scores. Spark adds
+against, a parent gets half) and emits all its generalised tag-class paths that score above zero. Spark adds
 up the votes per (host, path), one partial aggregate, and picks each host's winner. Pass 2 re-extracts every
 page along its host's winning path; a page without it, or with no text under it, uses its own best path.
 For the second join a host's winner is replicated ``salts`` times and its pages spread over the
@@ -212,8 +212,7 @@ def page_votes(pages: pa.Array) -> pa.Array:
     out = []
     for p in pages:
         own = scores(blocks_of(p.as_py() or ""))
-        top = sorted(own, key=lambda x: (-own[x], x))[:8]
-        out.append([{"path": x, "score": own[x]} for x in top])
+        out.append([{"path": x, "score": own[x]} for x in own])
     return pa.array(out, pa.list_(pa.struct([("path", pa.string()), ("score", pa.float64())])))
 
 

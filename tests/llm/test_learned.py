@@ -264,3 +264,15 @@ def test_host_votes_outvote_a_page(spark):
     got = {r.page_id: r.text for r in html_main.extract_pages(spark.createDataFrame(
         rows, "page_id long, url string, html string")).collect()}
     assert got[9] == "short story" and got[0] == ("story " * 50).strip()
+
+
+def test_every_path_of_a_page_votes(spark):
+    """Ten page-specific containers score more than the shared one on each page, which still wins the host."""
+    def nest(names, text):
+        return "".join(f"<div class={x}>" for x in names) + f"<p>{text}</p>" + "</div>" * len(names)
+    pages, talk = [], "some words of a longer block that belongs to this one page only " * 3
+    for n, page in enumerate("klmnopqrstuv"):
+        own = "".join(nest([page + c + x for x in "xyz"], talk) for c in "abcdefghij")
+        pages.append((n, "http://w.example/a", f"<body>{nest(['one', 'two', 'story'], 'story ' * 20)}{own}</body>"))
+    got = html_main.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {("story " * 20).strip()}
