@@ -1,9 +1,12 @@
 """Main text of web pages by consensus host paths.
 
 Pass 1 parses each page, scores its containers by the text that hangs under them (link text counts
-against, a parent gets half) and emits all its generalised tag-class paths that score above zero. Spark adds
-up the votes per (host, path), one partial aggregate, and picks each host's winner. Pass 2 re-extracts every
-page along its host's winning path; a page without it, or with no text under it, uses its own best path.
+against, a parent gets half) and emits all its generalised tag-class paths with their scores. Spark adds
+up the votes per (host, path), one partial aggregate, and picks each host's winner, which is then widened:
+to its outermost ``article``, and upward (to ``main``, or without either to any container below ``body``) to
+the path with the most text under it, link text counting against, so that headlines and further parts beside
+the winner stay. Pass 2 re-extracts every page along its host's widened path; a page without it, or with no
+text under it, uses its own best path, widened alike.
 For the second join a host's winner is replicated ``salts`` times and its pages spread over the
 replicas, so a host with a third of all pages does not meet in one task.
 
@@ -186,6 +189,24 @@ def scores(blocks: list[Block]) -> dict[str, float]:
     return {p: s for p, s in total.items() if s > 0}
 
 
+def worths(blocks: list[Block]) -> dict[str, float]:
+    """Text under each generalised path of one page, at any depth, link text counting against."""
+    total: dict[str, float] = defaultdict(float)
+    for b in blocks:
+        for n in range(1, len(b.path) + 1):
+            total[">".join(b.path[:n])] += len(b.text) - 1.5 * b.links
+    return total
+
+
+def ladder(path: str) -> list[str]:
+    """Paths a winner may be widened to, deepest first."""
+    steps = path.split(">")
+    tags = [x.split(".", 1)[0] for x in steps]
+    low = tags.index("article") + 1 if "article" in tags else len(steps)
+    high = tags.index("main") + 1 if "main" in tags else low if "article" in tags else 2
+    return [">".join(steps[:n]) for n in range(low, min(low, high) - 1, -1)]
+
+
 def best_path(votes: dict[str, float]) -> str:
     return max(votes, key=lambda p: (round(votes[p], 3), p.count(">"), p), default="body")
 
@@ -198,7 +219,10 @@ def under(blocks: list[Block], path: str) -> str:
 
 def extract(page: str | None, winner: str | None) -> str:
     blocks = blocks_of(page or "")
-    return (winner and under(blocks, winner)) or under(blocks, best_path(scores(blocks)))
+    if winner and (text := under(blocks, winner)):
+        return text
+    worth = worths(blocks)
+    return under(blocks, max(ladder(best_path(scores(blocks))), key=lambda p: worth.get(p, 0.0)))
 
 
 def host_of(url: Column) -> Column:
@@ -207,13 +231,21 @@ def host_of(url: Column) -> Column:
 
 
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("path", T.StringType()),
-                                       T.StructField("score", T.DoubleType())])))
+                                       T.StructField("score", T.DoubleType()),
+                                       T.StructField("worth", T.DoubleType())])))
 def page_votes(pages: pa.Array) -> pa.Array:
     out = []
     for p in pages:
-        own = scores(blocks_of(p.as_py() or ""))
-        out.append([{"path": x, "score": own[x]} for x in own])
-    return pa.array(out, pa.list_(pa.struct([("path", pa.string()), ("score", pa.float64())])))
+        blocks = blocks_of(p.as_py() or "")
+        own = scores(blocks)
+        out.append([{"path": x, "score": own.get(x, 0.0), "worth": w} for x, w in worths(blocks).items()])
+    return pa.array(out, pa.list_(pa.struct([("path", pa.string()), ("score", pa.float64()),
+                                             ("worth", pa.float64())])))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def wider_paths(paths: pa.Array) -> pa.Array:
+    return pa.array([ladder(p.as_py()) for p in paths], pa.list_(pa.string()))
 
 
 @F.arrow_udf(T.StringType())
@@ -222,12 +254,17 @@ def page_text(pages: pa.Array, winners: pa.Array) -> pa.Array:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """Winning path of every host (host, path)."""
-    votes = (pages.select(host_of(F.col("url")).alias("host"), F.explode(page_votes(F.col("html"))).alias("v"))
-             .groupBy("host", "v.path").agg(F.sum(F.round("v.score", 3)).alias("score")))
-    rank = F.struct(F.round("score", 1), F.length(F.translate("path", "abcdefghijklmnopqrstuvwxyz", "")),
-                    F.col("path"))
-    return votes.groupBy("host").agg(F.max_by("path", rank).alias("path"))
+    """Winning path of every host, widened (host, path)."""
+    votes = stage(
+        pages.select(host_of(F.col("url")).alias("host"), F.explode(page_votes(F.col("html"))).alias("v"))
+        .groupBy("host", "v.path").agg(F.sum(F.round("v.score", 3)).alias("score"), F.sum("v.worth").alias("worth")),
+        "host-votes")
+    depth = F.length(F.translate("path", "abcdefghijklmnopqrstuvwxyz", ""))
+    best = (votes.filter("score > 0").groupBy("host")
+            .agg(F.max_by("path", F.struct(F.round("score", 1), depth, F.col("path"))).alias("best")))
+    wider = best.select("host", F.explode(wider_paths("best")).alias("path"))
+    return (wider.join(votes, ["host", "path"]).groupBy("host")
+            .agg(F.max_by("path", F.struct("worth", F.length("path"))).alias("path")))
 
 
 def extract_pages(pages: DataFrame, salts: int = 32) -> DataFrame:

@@ -276,3 +276,23 @@ def test_every_path_of_a_page_votes(spark):
         pages.append((n, "http://w.example/a", f"<body>{nest(['one', 'two', 'story'], 'story ' * 20)}{own}</body>"))
     got = html_main.extract_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
     assert {r.text for r in got} == {("story " * 20).strip()}
+
+
+def test_text_beside_the_winner_stays(spark):
+    """A headline and a lead beside the biggest child, an article in two halves, a title above the article."""
+    long = "article text " * 60
+    layouts = {
+        "a": (f"<article><h1>Head</h1><p>Lead one.</p><div class=entry-content><p>{long}</p></div></article>",
+              f"Head\nLead one.\n{long.strip()}"),
+        "b": (f"<div class=story><div class=lead><p>{long}</p></div><div class=rest><p>{long[:650]}</p></div></div>",
+              f"{long.strip()}\n{long[:650].strip()}"),
+        "c": (f"<main><h1>Head</h1><article><div><p>{long}</p></div></article></main><div class=x>Else</div>",
+              f"Head\n{long.strip()}"),
+        "d": (f"<div class=wrap><div class=list><a href=1>{'other pages ' * 9}</a></div>"
+              f"<div class=story><p>{long}</p></div></div>", long.strip())}
+    rows = [(f"{k}{n}", f"http://{k}.example/{n}", f"<body>{page}</body>")
+            for k, (page, _) in layouts.items() for n in range(3)]
+    got = html_main.extract_pages(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: layouts[i[0]][1] for i, _, _ in rows}
+    for page, want in layouts.values():
+        assert html_main.extract(page, None) == html_main.extract(page, "body>td") == want
