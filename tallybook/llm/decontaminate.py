@@ -6,16 +6,18 @@ half overlapping, so some passage holds any copied segment whole. Impacts are di
 score: a passage's score is the share of a segment's weight that it covers, and one threshold serves
 all. Per batch of passages the block maxima of their terms are first added up for every block at once (the
 shallow look of block-max WAND); only a passage with a live block walks the postings, by pivots, and
-retrieves every segment above the threshold. A retrieved item counts when ``overlap`` of the five-word
-shingles of its question and of its answer occur in the whole document; without an ``answer`` column the
-last third of an item's words stands for the answer.
+retrieves every segment above the threshold. An item with question and answer counts when ``overlap`` of the
+five-word shingles of each occur in the whole document. An item without an answer (or without a question)
+counts when that share of a retrieved segment's shingles does, so that an excerpt is enough; the largest such
+share is its ``question_overlap``, its ``answer_overlap`` is null. Items of under ``least_words`` words must
+occur word for word, question and answer each in a row.
 
 The benchmark is split by a hash into indexes of at most ``index_chars`` characters; each is small by
 that bound, travels to the tasks as it is, and costs one more look at a passage. Documents are neither
 shuffled nor collected.
 
-Rules: null text counts as empty; items of under ``least_words`` words are not searched for; repeated
-items and documents each count; an empty benchmark finds nothing. Extra columns are ignored.
+Rules: null text counts as empty; items without a word are in no document; repeated items and documents
+each count; an empty benchmark finds nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,14 +58,18 @@ class Index:
     def __init__(self, items: list[tuple], k1: float = 1.2, b: float = 0.75, block: int = 8):
         """``items``: (item id, question words, answer words)."""
         self.items = items
-        self.shingles = [(shingles(q), shingles(a)) for _, q, a in items]
+        #: Question and answer of items that have both; else the item's segments are verified.
+        self.shingles = [(shingles(q), shingles(a)) if q and a else None for _, q, a in items]
         self.item_of: list[int] = []                # item of each segment
+        self.segments: list[set | None] = []        # shingles of each segment that is verified
         counts = []
         for i, (_, q, a) in enumerate(items):
             words, parts = q + a, -(-len(q + a) // SEGMENT)
             for k in range(parts):
-                counts.append(Counter(words[len(words) * k // parts:len(words) * (k + 1) // parts]))
+                own = words[len(words) * k // parts:len(words) * (k + 1) // parts]
+                counts.append(Counter(own))
                 self.item_of.append(i)
+                self.segments.append(None if q and a else shingles(own))
         n = len(counts)
         mean = sum(c.total() for c in counts) / max(1, n)
         df = Counter(t for c in counts for t in c)
@@ -161,48 +168,77 @@ class Index:
         v = len(self.terms) or 1
         keys = np.unique(np.concatenate([at * v + ids, (at - 1) * v + ids]))
         win, term = keys // v, keys % v
-        best: dict[tuple[int, int], float] = {}
+        best: dict[tuple[int, int], tuple[float, set[int]]] = {}
         for w in self.live(win, term, base + 1, least):
             lo, hi = np.searchsorted(win, [w, w + 1])
             for segment, score in self.retrieve(term[lo:hi].tolist(), least):
                 key = (owner[w], self.item_of[segment])
-                best[key] = max(best.get(key, 0.0), score)
+                top, found = best.get(key, (0.0, set()))
+                best[key] = max(top, score), found | {segment}
         out: list[list] = [[] for _ in texts]
         seen: dict[int, set] = {}
-        for (d, item), score in sorted(best.items()):
+        for (d, item), (score, found) in sorted(best.items(), key=lambda x: x[0]):
             if d not in seen:
                 seen = {d: shingles(words[d])}
-            shares = []
-            for part in self.shingles[item]:
-                n = len(next(iter(part), ()))
-                have = seen[d] if n == SHINGLE else shingles(words[d], n)
-                shares.append(len(part & have) / len(part) if part else 1.0)
+
+            def share(part: set, d=d, seen=seen) -> float:
+                n = len(next(iter(part)))
+                return len(part & (seen[d] if n == SHINGLE else shingles(words[d], n))) / len(part)
+            if self.shingles[item]:
+                shares = [share(part) for part in self.shingles[item]]
+            else:
+                shares = [max(share(self.segments[x]) for x in found)]
             if min(shares) >= overlap:
-                out[d].append((self.items[item][0], score, *shares))
+                out[d].append((self.items[item][0], score, *shares, *[None] * (2 - len(shares))))
         return out
 
 
-def build_indexes(benchmark: DataFrame, index_chars: int = 1_000_000, least_words: int = 5) -> list[Index]:
-    """Indexes over all items, each of at most about ``index_chars`` characters."""
-    answer = text_or_empty("answer") if "answer" in benchmark.columns else F.lit(None).cast("string")
+class Exact:
+    """Short items, found where their words stand in a row."""
+
+    def __init__(self, items: list[tuple]):
+        """``items``: (item id, question words, answer words), any but both empty."""
+        self.by_run: dict[tuple, list[tuple]] = {}
+        for i, q, a in items:
+            self.by_run.setdefault(tuple(q or a), []).append((i, tuple(a) if q and a else None))
+        self.sizes = sorted({len(x) for x in self.by_run})
+
+    def search(self, texts: list[str | None], least: float, overlap: float) -> list[list]:
+        """Hits of each text as those of an :class:`Index`."""
+        out = []
+        for text in texts:
+            w = words_of(text)
+            runs = {g for n in self.sizes if n <= len(w) for g in shingles(w, n)}
+            out.append([(i, 1.0, 1.0, 1.0 if a else None) for run in sorted(runs & self.by_run.keys())
+                        for i, a in self.by_run[run] if not a or (len(a) <= len(w) and a in shingles(w, len(a)))])
+        return out
+
+
+def item_blocks(benchmark: DataFrame, index_chars: int = 1_000_000) -> Iterator[list[tuple]]:
+    """All items that have words, in blocks of at most about ``index_chars`` characters."""
+    answer = text_or_empty("answer") if "answer" in benchmark.columns else F.lit("")
     items = benchmark.select("item_id", text_or_empty("text").alias("text"), answer.alias("answer"))
-    chars = items.agg(F.sum(F.length("text") + F.coalesce(F.length("answer"), F.lit(0)))).first()[0] or 0
+    chars = items.agg(F.sum(F.length("text") + F.length("answer"))).first()[0] or 0
     parts = -(-chars // index_chars) or 1
-    out = []
     for k in range(parts):
-        block = []
-        for r in (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-                  .orderBy("item_id", "text").collect()):
-            q = words_of(r["text"])
-            if r["answer"] is None:
-                q, a = q[:len(q) - len(q) // 3], q[len(q) - len(q) // 3:]
-            else:
-                a = words_of(r["answer"])
-            if len(q) + len(a) >= least_words:
-                block.append((r["item_id"], q, a))
-        if block:
-            out.append(Index(block))
-    return out
+        block = [(r["item_id"], words_of(r["text"]), words_of(r["answer"]))
+                 for r in (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
+                           .orderBy("item_id", "text").collect())]
+        yield [x for x in block if x[1] or x[2]]
+
+
+def build_indexes(benchmark: DataFrame, index_chars: int = 1_000_000, least_words: int = 5) -> list[Index]:
+    """Indexes over all items of at least ``least_words`` words."""
+    blocks = ([x for x in block if len(x[1]) + len(x[2]) >= least_words]
+              for block in item_blocks(benchmark, index_chars))
+    return [Index(block) for block in blocks if block]
+
+
+def build_exact(benchmark: DataFrame, index_chars: int = 1_000_000, least_words: int = 5) -> list[Exact]:
+    """Tables of all items of under ``least_words`` words."""
+    blocks = ([x for x in block if len(x[1]) + len(x[2]) < least_words]
+              for block in item_blocks(benchmark, index_chars))
+    return [Exact(block) for block in blocks if block]
 
 
 def hits_type(id_type: T.DataType) -> T.ArrayType:
@@ -210,7 +246,7 @@ def hits_type(id_type: T.DataType) -> T.ArrayType:
                                      *[T.StructField(x, T.DoubleType()) for x in _SHARES]]))
 
 
-def hits_column(index: Index, id_type: T.DataType, text_col: str = "text",
+def hits_column(index: Index | Exact, id_type: T.DataType, text_col: str = "text",
                 least: float = 0.75, overlap: float = 0.5) -> Column:
     """Verified hits of a text column against one index."""
     kind = hits_type(id_type)
@@ -228,7 +264,7 @@ def hits_column(index: Index, id_type: T.DataType, text_col: str = "text",
 def all_hits(benchmark: DataFrame) -> Column | None:
     """Hits of a text against the whole benchmark (None: nothing to search for)."""
     id_type = benchmark.schema["item_id"].dataType
-    columns = [hits_column(ix, id_type) for ix in build_indexes(benchmark)]
+    columns = [hits_column(ix, id_type) for ix in [*build_indexes(benchmark), *build_exact(benchmark)]]
     return (F.concat(*columns) if len(columns) > 1 else columns[0]) if columns else None
 
 

@@ -104,6 +104,26 @@ def test_contamination_rules(spark, odd_docs, no_docs):
     assert sum(len(ix.items) for ix in split) == 2
 
 
+def test_contamination_by_excerpts_and_short_items(spark):
+    words = [f"w{k}x" for k in range(300)]
+    item, long, wide = words[:59], words[60:260], " ".join(words[260:])
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long)), (3, "Too short!"), (4, wide), (5, "?!")],
+                                  "item_id long, text string")
+    rest = "other text around the excerpt " * 40
+    texts = {1: item[:40], 2: item[-30:], 3: item[:12], 4: long[50:150], 5: ["it", "is", "too", "SHORT,", "yes"],
+             6: ["too", "very", "short"], 7: wide.split()[::-1], 8: ["too"]}
+    docs = spark.createDataFrame([(k, rest + " ".join(x) + ". " + rest) for k, x in texts.items()], "doc_id long, text string")
+    got = decontaminate.find_contamination(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 1), (4, 2), (5, 3)]
+    assert all(r.question_overlap == 1 and r.answer_overlap is None for r in got)
+    asked = spark.createDataFrame([(1, " ".join(item), "one two three four five six"), (2, "Who?", "Me too"), (3, None, "w1x w2x")],
+                                  "item_id long, text string, answer string")
+    texts = {1: item, 2: [*item, "one two three four five six"], 3: ["who", "me", "too"], 4: ["who", "too", "me"], 5: ["w1x w2x"]}
+    docs = spark.createDataFrame([(k, " ".join(x)) for k, x in texts.items()], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.find_contamination(docs, asked).collect())
+    assert got == [(1, 3), (2, 1), (2, 3), (3, 2), (5, 3)]
+
+
 # ---- personal data --------------------------------------------------------------------------
 def spans(text):
     return ",".join(f"{kind}:{s}:{e}" for s, _, e, kind in personal_data(text))
