@@ -32,7 +32,7 @@ few rows open for many rounds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.windows import chunked_running_sum
@@ -51,6 +51,17 @@ def _with_currency(df: DataFrame, keyed: bool) -> DataFrame:
     return df if keyed else df.withColumn("currency_code", F.lit(""))
 
 
+def _valid(keyed: bool) -> Column:
+    """Whether an op has a time, an amount, the accounts it touches and, where balances do, a currency."""
+    t = F.coalesce("op_type", F.lit(""))
+    moves = t.isin(*CHECKED, "deposit", "settle_failed")
+    source, dest = t.isin(*CHECKED, "settle_failed"), t.isin("transfer", "deposit")
+    told = F.col("amount").isNotNull() & (F.col("currency_code").isNotNull() | F.lit(not keyed))
+    return (F.col("op_ts").isNotNull() & (~moves | told)
+            & (~source | F.col("source_account_id").isNotNull())
+            & (~dest | F.col("destination_account_id").isNotNull()))
+
+
 def op_rows(ops: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
     """Per-account effect rows of each op on *available*.
 
@@ -135,12 +146,13 @@ def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
     :func:`op_rows`. ``exclude_accounts`` (id): accounts never checked (system accounts):
     their debits are always accepted and their rows are not tracked.
 
-    Ops without a time have no place in the order and come out ``invalid``, without effect; a
+    Ops without a time have no place in the order, and those without an amount, an account they
+    touch or the currency of their balance (settlements: failed ones only) cannot be weighed: they come out ``invalid``, without effect; a
     settlement whose hold is missing or later than itself copies nothing.
     """
     keyed = "currency_code" in opening.columns
     ops = stage(ops, "admit-ops")          # evaluated once, read by every step below
-    timed = ops.filter(F.col("op_ts").isNotNull())
+    timed = ops.filter(_valid(keyed))
     rows = _with_currency(op_rows(timed, accounts), keyed)
     holds = timed.filter(F.col("op_type") == "hold").select(
         F.col("op_id").alias("decider"), F.struct(*ORDER).alias("_held"))
@@ -192,8 +204,10 @@ def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
                        .filter(F.col("new").isNotNull()))
         decided = stage(decided, "admit-decided")
         decisions.append(decided)
-        if left <= tail_rows or decided.isEmpty():
+        if left <= tail_rows:
             break
+        if decided.isEmpty():
+            raise RuntimeError(f"no decision in round {rounds} with {left} open rows")
         rows = (rows_open.drop("chunk")
                 .join(decided.withColumnRenamed("op_id", "decider"), "decider", "left")
                 .withColumn("st", F.coalesce("new", "st")).drop("new"))
@@ -209,7 +223,7 @@ def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
               .join(status.withColumnRenamed("op_id", "decider"), "decider").select("op_id", "_s"))
     out = ops.join(status.unionByName(copied), "op_id", "left")
     return out.select(*ops.columns,
-                      F.when(F.col("op_ts").isNull(), "invalid").when(F.col("_s") == "A", "accepted")
+                      F.when(~_valid(keyed), "invalid").when(F.col("_s") == "A", "accepted")
                       .when(F.col("_s") == "R", "rejected").alias("status"),
                       F.lit(rounds).alias("rounds"))
 
@@ -219,7 +233,7 @@ def admitted_balances(ops_status: DataFrame, opening: DataFrame, accounts: DataF
     """Available balance per account (and currency, where ``opening`` has it) after the accepted ops."""
     keyed = "currency_code" in opening.columns
     keys = KEYS if keyed else KEYS[:1]
-    timed = ops_status.filter(F.col("op_ts").isNotNull())
+    timed = ops_status.filter(_valid(keyed))
     rows = op_rows(timed.filter(F.col("status") == "accepted"), accounts)
     eff = rows.groupBy(*keys).agg(F.sum("delta").alias("_d"))
     o = opening.groupBy(*keys).agg(F.sum("available_balance").alias("_o"))

@@ -104,3 +104,17 @@ def test_admit_currencies_and_sides(spark):
     left = {(r["account_id"], r["currency_code"]): r["available_balance"]
             for r in A.admitted_balances(got, bal, acc).collect()}
     assert left[("D1", "NGN")] == D(5) and left[("A1", "USD")] == D(50)
+
+
+@pytest.mark.parametrize("tail", [0, 10_000])
+def test_admit_ops_without_account_or_amount(spark, tail):
+    o = ops(spark, [("o1", 0, "transfer", None, "A1", 10, 0, None), ("o2", 1, "hold", "A1", None, 10, 0, None),
+                    ("o3", 2, "transfer", "A1", "A2", 5, 0, None), ("o4", 3, "transfer", "A1", None, 5, 0, None),
+                    ("o5", 4, "hold", "A1", None, 15, 0, None), ("o6", 5, "deposit", None, "A1", 5, 0, None)])
+    o = o.withColumn("amount", F.expr("if(op_id in ('o3', 'o6'), null, amount)"))
+    got = A.admit(o, opening(spark, [("A1", 24)]), tail_rows=tail)
+    assert {r["op_id"]: r["status"] for r in got.collect()} == {
+        "o1": "invalid", "o2": "accepted", "o3": "invalid", "o4": "invalid", "o5": "rejected", "o6": "invalid"}
+    left = {r["account_id"]: r["available_balance"]
+            for r in A.admitted_balances(got, opening(spark, [("A1", 24)])).collect()}
+    assert left == {"A1": D(14)}
