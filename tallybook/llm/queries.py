@@ -13,13 +13,17 @@ from tallybook.llm import (
     exact_dedup,
     html_main,
     langid,
+    merkle,
     near_dup,
+    oracles,
     packing,
+    part_codes,
     pii,
     quality,
     sharding,
+    vector_links,
 )
-from tallybook.llm.common import table, text_or_empty
+from tallybook.llm.common import bucket_of_id, table, text_or_empty
 
 
 def tokenizer_file() -> str:
@@ -113,6 +117,23 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, checked against documents of which every seventh has one character more."""
+    tampered = F.coalesce(bucket_of_id("doc_id", 7) == 0, F.lit(False))
+    shown = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), shown)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = part_codes.compress(table(spark, sf_dir, "embeddings"))
+    return part_codes.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(part_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+def op13_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.near_vectors(table(spark, sf_dir, "embeddings"), limit=0.9)
+
+
 OP3_SQL = """
 with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                     'abcdefghijklmnopqrstuvwxyz') as t from documents),
@@ -151,12 +172,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_packing": op9_packing,
     "op10_near_dup": op10_near_dup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_embedding_near_dup": op13_embedding_near_dup,
 }
 
 #: DuckDB SQL where SQL can express the operator's result.
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op5_chat_format": OP5_SQL,
+    "op11_merkle_manifest": oracles.merkle_sql(),
+    "op12_vector_codes": oracles.part_codes_sql(),
+    "op13_embedding_near_dup": oracles.VECTOR_LINKS_SQL,
 }
 
 
