@@ -4,14 +4,18 @@ A document's set is its distinct word shingles (64-bit hashes). Register i holds
 ``floor(1 - log_b(min of an exponential variate over the set))``, truncated to 0 .. LAST: exponentially
 spaced minima, which merge by maximum and agree with a probability close to the similarity. Equal sets
 are one class first, so copies cost one row each. Of the classes, bands of ``rows`` registers are bucket
-keys. Candidates of a bucket come in rounds, never all pairs: a few hub classes meet the other classes of
-the bucket that are not in the hub's component yet, then leave it; the number of hubs grows until each bucket
-has one component left or every class has been a hub. A candidate's similarity is first estimated by joint
-maximum likelihood from both registers and both set sizes; only when it is out of reach of the limit
-(by ``slack``, over seven standard deviations) is the pair dropped, all others are verified on the full
-sets. Components of verified links are found by alternating stars.
+keys; buckets with the same classes are one.
 
-With 32 bands of 4 registers a pair at similarity 0.8 shares no band once in 20 million pairs.
+Candidates of a bucket come in two steps, never all pairs. First every class meets the bucket's hub, its smallest class:
+the similarity is estimated by joint maximum likelihood from both registers and both set sizes, and only when it is
+out of reach of the limit (by ``slack``, four standard deviations) is the pair dropped; all others are verified on the
+full sets. Most buckets are one component after that. In the others, the classes outside the bucket's
+largest component meet the bucket's classes of other components, by their full sets, inside tasks that see one chunk of
+each side: no pair is emitted but a link, and chunks follow the number and the size of the sets. Components of
+verified links are found by alternating stars.
+
+With 40 bands of 7 registers a pair just at similarity 0.8 shares no band once in 12,000 times, one at 0.85 once in
+five million. ``tests/llm`` measures against all pairs.
 
 Rules: words are maximal runs without ASCII white space, A-Z lower-cased; a text of fewer words than a shingle is
 one shingle; texts without words (null too) have an empty set and link with nothing; a document without
@@ -38,9 +42,13 @@ BASE = 1.02        # spacing of the registers
 RATE = 20.0        # of the exponential variates
 LAST = 2 ** 12     # registers are 0 .. LAST; the largest sets of 10**30 shingles stay below
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX32 = np.uint32(0x85EBCA6B)
+_PIECE = 1 << 15   # shingles whose variates are worked out together
 _CHUNK = 400_000   # shingles handled at once
 _SETS = 2_000      # and sets
 _BATCH = "8m"      # Arrow batch of texts; the workers stay small beside the joins' memory
+CHUNK_SETS = 1024          # classes of a bucket that one side of a task holds, and about so many shingles of theirs
+CHUNK_ITEMS = 1_000_000
 
 
 class _WordHashes(dict):
@@ -76,21 +84,37 @@ def _fingerprint(items: np.ndarray) -> bytes | None:
 
 
 def registers(sets: list[np.ndarray], m: int) -> np.ndarray:
-    """(sets, m) SetSketch registers; an empty set's are 0."""
+    """(sets, m) SetSketch registers; an empty set's are 0.
+
+    Each register's variates come from a 32-bit mix of the shingles' two halves, worked out for pieces of
+    whole sets that stay in the processor's cache.
+    """
     out = np.zeros((len(sets), m), np.uint16)
     full = [k for k, s in enumerate(sets) if len(s)]
     if not full:
         return out
     every = np.concatenate([sets[k] for k in full])
-    first = np.cumsum([0] + [len(sets[k]) for k in full[:-1]])
-    seeds = np.random.default_rng(20210101).integers(1, 2 ** 63, (2, m), np.uint64)
-    low = np.empty((m, len(full)), np.float64)
-    for i in range(m):
-        v = every * (seeds[0, i] | np.uint64(1)) + seeds[1, i]
-        v ^= v >> np.uint64(32)
-        v *= _MIX
-        low[i] = np.minimum.reduceat(v, first)
-    x = -np.log1p(-(low.T + 0.5) / 2.0 ** 64) / RATE          # smallest variate of each register
+    low_half, high_half = every.astype(np.uint32), (every >> np.uint64(32)).astype(np.uint32)
+    ends = np.cumsum([len(sets[k]) for k in full])
+    first = np.concatenate([[0], ends[:-1]])
+    seeds = np.random.default_rng(20210101).integers(1, 2 ** 32, (2, m), np.uint32) | np.uint32(1)
+    least = np.empty((m, len(full)), np.uint32)
+    a = 0
+    while a < len(full):
+        b = max(a + 1, int(np.searchsorted(ends, first[a] + _PIECE, side="right")))
+        own, at = slice(first[a], ends[b - 1]), first[a:b] - first[a]
+        one, two = low_half[own], high_half[own]
+        v, t = np.empty_like(one), np.empty_like(one)
+        for i in range(m):
+            np.multiply(one, seeds[0, i], out=v)
+            np.multiply(two, seeds[1, i], out=t)
+            v += t
+            np.right_shift(v, np.uint32(15), out=t)
+            v ^= t
+            v *= _MIX32
+            least[i, a:b] = np.minimum.reduceat(v, at)
+        a = b
+    x = -np.log1p(-(least.T + 0.5) / 2.0 ** 32) / RATE          # smallest variate of each register
     out[full] = np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, LAST)
     return out
 
@@ -112,7 +136,8 @@ def likely_similarity(less: np.ndarray, more: np.ndarray, m: int, n_a: np.ndarra
 
 
 def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, row, n_shingles, set_key (fingerprint of the set, null if empty), registers of every row."""
+    """doc_id, row, text_key (hash of the text), n_shingles, set_key (fingerprint of the set, null if empty),
+    registers of every row."""
     m = bands * rows
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,13 +153,14 @@ def sketch(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     at += 1
                 regs = registers(sets, m)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(start, len(sets)), batch.column(1).slice(start, len(sets)),
+                    *(batch.column(c).slice(start, len(sets)) for c in (0, 1, 3)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_fingerprint(s) for s in sets], pa.binary()),
                     pa.array([r.astype("<u2").tobytes() for r in regs], pa.binary())], names=names)
-    names = ["doc_id", "row", "n_shingles", "set_key", "registers"]
+    names = ["doc_id", "row", "text_key", "n_shingles", "set_key", "registers"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(make, f"doc_id {kind}, row long, n_shingles long, set_key binary, registers binary")
+    return docs.select("doc_id", "row", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        make, f"doc_id {kind}, row long, text_key long, n_shingles long, set_key binary, registers binary")
 
 
 def _estimate(m: int) -> Column:
@@ -165,15 +191,16 @@ def _small_batches(spark) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A written table of a few numbers a row: broadcast up to ``rows`` rows, joined by shuffle beyond."""
+def _small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A written table of a few numbers a row (under 100 bytes): broadcast up to ``rows`` rows, about 20 MB,
+    joined by shuffle beyond."""
     return F.broadcast(df) if df.count() <= rows else df
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """(node, items): the full set of every class in ``nodes``, from the text of a document of the class.
 
-    A document is found by its id; where an id is repeated, the fingerprint tells which text it is.
+    A document is found by its id and its text's hash; the fingerprint tells whether it is the right text.
     """
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -195,11 +222,13 @@ def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int)
                     names=["node", "items"])
 
     wanted = stage(classes.join(nodes.select("node").distinct(), "node", "left_semi")
-                   .select(F.col("rep_id").alias("doc_id"), "node", "set_key"), "near-wanted")
-    found = (docs.join(_small(wanted), "doc_id").select("node", "set_key", "text")
-             .mapInArrow(fetch, "node long, items array<long>"))
+                   .select(F.col("rep_id").alias("doc_id"), "text_key", "node", "set_key"), "near-wanted")
+    found = (docs.withColumn("text_key", F.xxhash64("text")).join(_small(wanted), ["doc_id", "text_key"])
+             .select("node", "set_key", "text").mapInArrow(fetch, "node long, items array<long>"))
     with _small_batches(docs.sparkSession):
-        return stage(found, "near-sets")
+        sets = stage(found, "near-sets")
+    unstage(wanted)
+    return sets
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, limit: int, m: int,
@@ -244,8 +273,93 @@ def _merge(component: DataFrame | None, links: DataFrame) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: int = 32, rows: int = 4,
-                    slack: float = 0.25, row_col: str | None = None) -> DataFrame:
+def links_between(left: list[np.ndarray], right: list[np.ndarray] | None, left_component: np.ndarray,
+                  right_component: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Pairs (left, right) of sets that reach ``limit`` and join components; ``right`` None: left among themselves.
+
+    A pair of sets whose components earlier links have joined already is left out.
+    """
+    among = right is None
+    right = left if among else right
+    n_left, n_right = (np.array([len(s) for s in side]) for side in (left, right))
+    names = np.unique(np.concatenate(left + ([] if among else right)))
+    place = [np.searchsorted(names, s) for s in right]
+    flat, starts = np.concatenate(place), np.concatenate([[0], np.cumsum(n_right)[:-1]])
+    seen = np.zeros(len(names), bool)
+    comp = np.concatenate([left_component, left_component if among else right_component])
+    own, other = comp[:len(left)], comp[len(left):]
+    out = []
+    for x, items in enumerate(left):
+        at = place[x] if among else np.searchsorted(names, items)
+        fits = (other != own[x]) & (100 * np.minimum(n_right, n_left[x]) >= limit * np.maximum(n_right, n_left[x]))
+        if among:
+            fits[:x + 1] = False
+        if not fits.any():
+            continue
+        seen[at] = True
+        shared = np.add.reduceat(seen[flat], starts, dtype=np.int64)
+        seen[at] = False
+        for y in np.flatnonzero(fits & (100 * shared >= limit * (n_left[x] + n_right - shared))):
+            if other[y] != own[x]:
+                out.append((x, int(y)))
+                comp[comp == other[y]] = own[x]
+    return out
+
+
+def _contested(active: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
+    """Links (src, dst) of buckets whose classes beside the hub lie in several components, all of them examined."""
+    def meet(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        group = group.sort_by("node")
+        node, comp, first, second = (group[c].to_numpy() for c in ("node", "component", "first", "second"))
+        sets = [s.values.to_numpy() for s in group["items"]]
+        one, two = np.flatnonzero(first), np.flatnonzero(second)
+        among = key[1].as_py() == "others" and key[2] == key[3]
+        found = []
+        if len(one) and len(two):
+            found = links_between([sets[k] for k in one], None if among else [sets[k] for k in two], comp[one],
+                                  comp[two], limit)
+        two = one if among else two
+        return pa.table({"src": pa.array([node[one[a]] for a, _ in found], pa.int64()),
+                         "dst": pa.array([node[two[b]] for _, b in found], pa.int64())})
+
+    x = (active.filter(F.col("node") != F.col("hub")).select("bucket", "node").join(component, "node", "left")
+         .join(classes.select("node", "n_shingles"), "node")
+         .select("bucket", "node", "n_shingles", F.coalesce("component", "node").alias("component")))
+    x = stage(x, "near-members")
+    each = x.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("items"))
+    top = F.max(F.struct("n", "items", "component"))
+    per = (each.groupBy("bucket").agg(top.alias("big"), F.count("*").alias("parts"), F.sum("n").alias("n"),
+                                      F.sum("items").alias("items")).filter("parts > 1"))
+
+    def chunks(n: Column, items: Column) -> Column:
+        return F.greatest(F.ceil(n / CHUNK_SETS), F.ceil(items / CHUNK_ITEMS))
+    per = per.select("bucket", F.col("big.component").alias("big"),
+                     chunks(F.col("n") - F.col("big.n"), F.col("items") - F.col("big.items")).alias("k_other"),
+                     chunks(F.col("big.n"), F.col("big.items")).alias("k_big"))
+    y = x.join(per, "bucket").withColumn("is_big", F.col("component") == F.col("big"))
+    c = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("is_big"), F.col("k_big")).otherwise(F.col("k_other")))
+
+    def meeting(kind: str, i: Column, j: Column, first: Column, second: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("i"), j.cast("long").alias("j"),
+                        first.alias("first"), second.alias("second"))
+    yes, no = F.lit(True), F.lit(False)
+    among = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k_other") - 1), lambda j: meeting(
+        "others", F.least("c", j), F.greatest("c", j), F.col("c") <= j, F.col("c") >= j))
+    to_big = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k_big") - 1),
+                         lambda j: meeting("big", F.col("c"), j, yes, no))
+    from_big = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k_other") - 1),
+                           lambda i: meeting("big", i, F.col("c"), no, yes))
+    y = (y.withColumn("c", c).select("bucket", "node", "component", F.explode(
+        F.when(F.col("is_big"), from_big).otherwise(F.concat(among, to_big))).alias("m"))
+        .select("bucket", "node", "component", "m.*"))
+    out = stage(y.join(sets, "node").groupBy("bucket", "kind", "i", "j")
+                .applyInArrow(meet, "src long, dst long"), "near-links")
+    unstage(x)
+    return out
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: int = 40, rows: int = 7,
+                    slack: float = 0.1, row_col: str | None = None) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept and the row number.
 
     Links join documents whose sets have ``100 * intersection >= limit * union``; component_id is the
@@ -255,50 +369,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: i
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     docs = docs.select("doc_id", row.alias("row"), F.col("text").cast("string").alias("text"))
     with _small_batches(docs.sparkSession):
-        sketched = stage(sketch(docs, shingle, bands, rows), "near-sketches")
+        whole = stage(sketch(docs, shingle, bands, rows), "near-sketches")
     # Classes of equal sets, named by their smallest (id, row).
-    named = F.struct("doc_id", "row")
-    classes = stage(sketched.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
+    named = F.struct("doc_id", "row", "text_key")
+    classes = stage(whole.filter(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
                     .groupBy("set_key", "n_shingles")
                     .agg(F.min(named).alias("low"), F.first("registers").alias("registers"))
                     .select("set_key", "n_shingles", "registers", F.col("low.row").alias("rep"),
-                            F.col("low.doc_id").alias("rep_id"),
+                            F.col("low.doc_id").alias("rep_id"), F.col("low.text_key").alias("text_key"),
                             F.monotonically_increasing_id().alias("node")), "near-classes")
+    sketched = stage(whole.drop("registers", "text_key"), "near-rows")
+    unstage(whole)
     keys = [F.xxhash64(F.lit(k), F.substring("registers", 2 * rows * k + 1, 2 * rows)) for k in range(bands)]
     spread = classes.select("node", F.explode(F.array(*keys)).alias("bucket"))
-    crowded = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    active = stage(spread.join(crowded, "bucket"), "near-buckets")
+    # Buckets of two and more classes; of those with the same classes (two hashes over them agree) one.
+    crowded = (spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub"),
+                                            F.bit_xor(F.xxhash64("node")).alias("one"),
+                                            F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("two"))
+               .filter("n > 1").groupBy("n", "hub", "one", "two").agg(F.min("bucket").alias("bucket")))
+    active = stage(spread.join(crowded.select("bucket", "hub"), "bucket"), "near-buckets")
     sets = _full_sets(docs, classes, active, shingle)
-    component, hubs = None, 1
-    while True:
-        # The smallest node of each of ``hubs`` parts of a bucket; all of a bucket with no more nodes.
-        salt = F.when(F.col("n") <= hubs, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(hubs)))
-        hub = (active.groupBy("bucket", salt.alias("salt")).agg(F.min("node").alias("hub"))
-               .select("bucket", "hub"))
-        fresh = active.drop("n").join(hub, "bucket").filter(F.col("node") != F.col("hub"))
-        if component is not None:
-            fresh = (fresh.join(component.withColumnRenamed("component", "ca"), "node", "left")
-                     .join(component.select(F.col("node").alias("hub"), F.col("component").alias("cb")), "hub", "left")
-                     .filter(F.coalesce("ca", "node") != F.coalesce("cb", "hub")))
-        pairs = (fresh.select(F.least("node", "hub").alias("src"), F.greatest("node", "hub").alias("dst"))
-                 .distinct())
-        links = _verified(pairs, classes, sets, limit, m, slack)
-        if component is None or not links.isEmpty():
-            component = _merge(component, links)
-        unstage(links)
-        # A bucket goes on while its classes that have not been hubs lie in several components.
-        rest = (active.drop("n").join(hub.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
-                .join(component, "node", "left")
-                .select("bucket", "node", F.coalesce("component", "node").alias("component")))
-        open_ = (rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                            F.count("*").alias("n")).filter("lo < hi").drop("lo", "hi"))
-        left = stage(rest.drop("component").join(open_, "bucket"), "near-buckets")
-        unstage(active)
-        active = left
-        if active.isEmpty():
-            break
-        hubs *= 16
-    unstage(sets)
+    pairs = (active.filter(F.col("node") != F.col("hub")).select(F.col("hub").alias("src"), F.col("node").alias("dst"))
+             .distinct())
+    links = _verified(pairs, classes, sets, limit, m, slack)
+    component = _merge(None, links)
+    unstage(links)
+    links = _contested(active, component, classes, sets, limit)
+    if not links.isEmpty():
+        component = _merge(component, links)
+    for done in (links, sets, active):
+        unstage(done)
     by_class = (classes.join(component, "node", "left")
                 .select("set_key", "n_shingles", F.struct("rep_id", "rep").alias("own"),
                         F.coalesce("component", "node").alias("component")))
@@ -311,7 +411,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: i
               .withColumn("component_id", F.col("low.rep_id"))
               .withColumn("kept", F.col("low.rep") == F.col("row")))
     own = (sketched.filter(alone).withColumn("component_id", F.col("doc_id")).withColumn("kept", F.lit(True)))
-    return linked.select(*cols).unionByName(own.select(*cols))
+    out = stage(linked.select(*cols).unionByName(own.select(*cols)), "near-result")
+    for done in (sketched, classes, component):
+        unstage(done)
+    return out
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, limit: int = 80) -> DataFrame:
