@@ -10,6 +10,9 @@ Documents are tokenised once, in their own Spark task, and packed there in runs
 ``run_tokens`` tokens: no shuffle, memory bounded by the run and the longest document, and a lost
 task is simply run again. Text order and grouping come from the input's partitions.
 
+``pack_examples`` packs whole examples whose tokens bear loss in part (instruction data) under all three
+limits; ``pack_documents`` cuts plain documents, all of whose tokens bear loss.
+
 Rules: null text counts as empty (its document is the end id alone); repeated rows are packed each;
 an item larger than the limits is first cut into full sequences; a sequence's unused rest is padding.
 Extra columns are ignored.
@@ -19,13 +22,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallybook.llm.common import text_or_empty
 
@@ -38,9 +41,11 @@ def pack_vectors(items: np.ndarray, limits: np.ndarray, cut: bool = False,
                  least_cut: int = 8) -> list[list[tuple[int, int, int]]]:
     """Bins of (item, first token, tokens).
 
-    ``items``: (n, 3) of tokens, segments and loss tokens, each row within ``limits``. With
+    ``items``: (n, 3) of tokens, segments and loss tokens, each row within ``limits`` (else ValueError). With
     ``cut`` every token of an item must bear loss alike, as in plain documents.
     """
+    if (items > limits).any():
+        raise ValueError("an item is larger than a limit: cut it or leave it out first")
     classes: dict[tuple[int, ...], list[tuple[int, int]]] = {}
     for i, v in enumerate(map(tuple, items.tolist())):
         classes.setdefault(v, []).append((i, 0))
@@ -82,70 +87,147 @@ def pack_vectors(items: np.ndarray, limits: np.ndarray, cut: bool = False,
     return bins
 
 
+class _Pieces(dict):
+    """Number of every piece met; the ids of new ones wait in ``found``."""
+
+    def __init__(self, ids_of):
+        super().__init__({"\n": 0})                    # the mark between words has no ids
+        self.ids_of, self.found = ids_of, [[]]
+
+    def __missing__(self, piece: str) -> int:
+        got = self[piece] = len(self)
+        self.found.append(self.ids_of(piece))
+        return got
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Positions first, first + 1, .. of n entries each, one after the other."""
+    ends = np.cumsum(n)
+    return np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class WordIds:
-    """Token ids of a text as little-endian 32-bit bytes, from a word cache over the tokenizer's model.
+    """Token ids of texts, gathered from a table of pieces over the tokenizer's model.
 
-    The vocabulary's pre-tokenizer never joins across white space, so a text's ids are those of its
-    space-separated words in turn. A word of printable ASCII and Latin-1 letters is lower-cased and cut
-    by the same pattern here, and only pieces not seen yet reach the model; any other word goes
-    through the whole tokenizer. Both caches are emptied when they reach ``most`` entries.
+    The vocabulary's pre-tokenizer never joins across white space, so a text's ids are those of its words in
+    turn. Arrow splits the texts and numbers their distinct words; words of printable ASCII and Latin-1 letters
+    are lower-cased and cut into pieces by the same pattern here, and only pieces not met before reach
+    the model; any other word goes through the whole tokenizer. The ids of words, then of texts, are gathered by
+    position. Texts that hold one of the vocabulary's added tokens are cut there first, as the tokenizer does. The
+    table is emptied once it has more than ``most`` pieces.
     """
 
     #: Fixed values of the vocabulary file: its pre-tokenizer's pattern, for the letters handled here.
-    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^\s0-9a-zà-öø-ÿß]+")
-    PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^\s0-9a-zà-öø-ÿß]+|\n")
+    PLAIN = "^[\x21-\x7eÀ-ÖØ-öø-ÿ]*$"
 
-    def __init__(self, tokenizer_file: str, most: int = 250_000):
+    def __init__(self, tokenizer_file: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer_file)
-        self.tok.encode_special_tokens = True      # their strings in a text are ordinary text
         self.model, self.most = self.tok.model, most
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.added = {t.content: n for n, t in self.tok.get_added_tokens_decoder().items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letter = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self._forget()
 
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            coded = piece if piece.isascii() else "".join(map(self.letter.get, piece.encode()))
-            got = array("I", [t.id for t in self.model.tokenize(coded)]).tobytes()
-            self.pieces[piece] = got
-        return got
+    def _forget(self) -> None:
+        self.pieces = _Pieces(self._piece)
+        self.table = np.zeros(0, np.uint32)            # ids of all pieces, one after the other
+        self.first = np.zeros(1, np.int64)             # where each piece's begin, and the end
 
-    def _word(self, word: str) -> bytes:
-        if self.PLAIN.fullmatch(word):
-            got = b"".join(map(self._piece, self.PIECE.findall(word.lower())))
-        else:
-            got = array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
-        self.words[word] = got
-        return got
+    def _piece(self, piece: str) -> list[int]:
+        coded = piece if piece.isascii() else "".join(map(self.letter.get, piece.encode()))
+        return [t.id for t in self.model.tokenize(coded)]
+
+    def _cut(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words in turn and how many each has."""
+        if len(self.pieces) > self.most:
+            self._forget()
+        said = self.PIECE.findall("\n".join([*words, ""]).lower())
+        number = np.fromiter(map(self.pieces.__getitem__, said), np.int64, len(said))
+        if found := self.pieces.found:
+            self.table = np.concatenate([self.table, np.array([i for f in found for i in f], np.uint32)])
+            ends = self.first[-1] + np.cumsum([len(f) for f in found])
+            self.first = np.concatenate([self.first, ends])
+            self.pieces.found = []
+        n = self.first[number + 1] - self.first[number]
+        ids = self.table[_spread(self.first[number], n)]
+        ends = np.cumsum(n)[number == 0]
+        return ids, np.diff(ends, prepend=0)
+
+    def gather(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in turn and the position where each text's begin (one more at the end)."""
+        import pyarrow.compute as pc
+        texts = texts.cast(pa.large_string())
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words, at = coded.dictionary, coded.indices.to_numpy()
+        plain = pc.match_substring_regex(words, self.PLAIN).to_numpy(zero_copy_only=False)
+        ids, size = self._cut(words.filter(pa.array(plain)).to_pylist())
+        odd = [self.tok.encode(w, add_special_tokens=False).ids for w in words.filter(pa.array(~plain)).to_pylist()]
+        n = np.zeros(len(words), np.int64)
+        n[plain], n[~plain] = size, [len(o) for o in odd]
+        first = np.zeros(len(words), np.int64)
+        first[plain] = np.cumsum(size) - size
+        first[~plain] = len(ids) + np.cumsum(n[~plain]) - n[~plain]
+        ids = np.concatenate([ids, np.array([i for o in odd for i in o], np.uint32)])
+        ends = np.concatenate([[0], np.cumsum(n[at])])
+        ids = ids[_spread(first[at], n[at])]
+        starts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        special = np.zeros(len(texts), bool)
+        for content in self.added:
+            special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not special.any():
+            return ids, starts
+        parts = [self._with_added(texts[k].as_py()) if special[k] else ids[starts[k]:starts[k + 1]]
+                 for k in range(len(texts))]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _with_added(self, text: str) -> np.ndarray:
+        out = []
+        for k, part in enumerate(self.cut.split(text)):
+            if k % 2:
+                out.append(np.array([self.added[part]], np.uint32))
+            elif part:
+                out.append(self.gather(pa.array([part]))[0])
+        return np.concatenate([np.zeros(0, np.uint32), *out])
 
     def ids(self, text: str) -> bytes:
-        if len(self.words) >= self.most:
-            self.words.clear()
-        if len(self.pieces) >= self.most:
-            self.pieces.clear()
-        words, known = text.replace("\n", " ").split(" "), self.words
-        return b"".join([known.get(w) or self._word(w) for w in words if w])
+        return self.gather(pa.array([text]))[0].tobytes()
+
+
+def _slices(column: pa.Array, most: int = 16_000_000) -> Iterator[tuple[int, pa.Array]]:
+    """Slices of a string column of about ``most`` bytes each, one text at least."""
+    import pyarrow.compute as pc
+    ends = np.cumsum(pc.binary_length(column).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield at, column.slice(at, to - at)
+        at = to
 
 
 def _runs(batches: Iterator[pa.RecordBatch], run_tokens: int, tokenizer_file: str):
     """Runs of (ids of the documents' column, token arrays), at most about ``run_tokens`` tokens."""
     words = WordIds(tokenizer_file)
-    end = np.array([END_ID], np.uint32).tobytes()
+    end = np.array([END_ID], np.uint32)
     ids, arrays, size = [], [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-            a = np.frombuffer(words.ids(text.as_py()) + end, np.uint32)
-            ids.append(doc.as_py())
-            arrays.append(a)
-            size += len(a)
-            if size >= run_tokens:
-                yield ids, arrays
-                ids, arrays, size = [], [], 0
+        names = batch.column(0).to_pylist()
+        for at, texts in _slices(batch.column(1)):
+            tokens, starts = words.gather(texts)
+            for k in range(len(texts)):
+                a = np.concatenate([tokens[starts[k]:starts[k + 1]], end])
+                ids.append(names[at + k])
+                arrays.append(a)
+                size += len(a)
+                if size >= run_tokens:
+                    yield ids, arrays
+                    ids, arrays, size = [], [], 0
     if ids:
         yield ids, arrays
 
@@ -196,3 +278,39 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, max_tokens: int = 2048,
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(kind)
     return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(pack, schema)
+
+
+def pack_examples(examples: DataFrame, max_tokens: int = 2048, max_segments: int = 64, max_loss: int | None = None,
+                  run_examples: int = 20_000) -> DataFrame:
+    """Whole examples (example_id, tokens, loss_tokens) → the same columns with sequence_id and offset.
+
+    No sequence holds more than ``max_tokens`` tokens, ``max_segments`` examples or ``max_loss`` (default
+    ``max_tokens``) loss-bearing tokens. An example over a limit, or without a token count, fits nowhere: its
+    sequence_id and offset are null. Null loss_tokens count as none; each task packs runs of at most
+    ``run_examples`` examples, so nothing is shuffled.
+    """
+    limits = np.array([max_tokens, max_segments, max_loss or max_tokens])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sequence = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for at in range(0, batch.num_rows, run_examples):
+                run = batch.slice(at, run_examples)
+                tokens, loss = (run.column(k).fill_null(v).to_numpy() for k, v in ((1, -1), (2, 0)))
+                items = np.stack([tokens, np.ones_like(tokens), loss], axis=1)
+                fits = np.flatnonzero((tokens >= 0) & (items <= limits).all(axis=1))
+                where, offset = np.full(len(items), -1, np.int64), np.zeros(len(items), np.int64)
+                for own in pack_vectors(items[fits], limits):
+                    filled = 0
+                    for k, _, n in own:
+                        where[fits[k]], offset[fits[k]] = sequence, filled
+                        filled += n
+                    sequence += 1
+                out = where < 0
+                yield pa.RecordBatch.from_arrays(
+                    [*(run.column(k) for k in range(3)), pa.array(where, mask=out), pa.array(offset, mask=out)],
+                    names=["example_id", "tokens", "loss_tokens", "sequence_id", "offset"])
+
+    kind = examples.schema["example_id"].dataType.simpleString()
+    return (examples.select("example_id", F.col("tokens").cast("long"), F.col("loss_tokens").cast("long"))
+            .mapInArrow(pack, f"example_id {kind}, tokens long, loss_tokens long, sequence_id long, offset long"))

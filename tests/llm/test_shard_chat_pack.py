@@ -115,9 +115,7 @@ VOCAB = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(VOCAB)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCAB)
 
 
 @pytest.fixture(scope="module")
@@ -126,11 +124,12 @@ def word_ids():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(st.sampled_from(list("abZÉéß 'st\n\t.!19²½ΣİﬁÀ\x1c <|>日́")) | st.characters(codec="utf-8"), max_size=60))
+@given(st.lists(st.text(st.sampled_from(list("abZÉéß 'st\n\t.!19²½ΣİﬁÀ\x1c <|>日́")) | st.characters(codec="utf-8"), max_size=30)
+                | st.sampled_from(["<|endoftext|>", "<|startoftext|>", " <|endoftext|>", "<|ENDOFTEXT|>"]),
+                max_size=5).map("".join))
 def test_word_ids_equal_the_tokenizer(text):
     t = Tokenizer.from_file(VOCAB) if not hasattr(test_word_ids_equal_the_tokenizer, "t") else test_word_ids_equal_the_tokenizer.t
     test_word_ids_equal_the_tokenizer.t = t
-    t.encode_special_tokens = True
     w = getattr(test_word_ids_equal_the_tokenizer, "w", None) or packing.WordIds(VOCAB, most=50)
     test_word_ids_equal_the_tokenizer.w = w
     assert np.frombuffer(w.ids(text), np.uint32).tolist() == t.encode(text, add_special_tokens=False).ids
@@ -174,7 +173,7 @@ def test_packing_odd_rows(odd_docs, no_docs, tok):
 def test_pack_vectors_limits(cut):
     rng = np.random.default_rng(6)
     tokens = rng.integers(1, 900, 500)
-    loss = tokens if cut else (tokens * rng.random(500)).astype(int)
+    loss = tokens if cut else np.minimum((tokens * rng.random(500)).astype(int), 600)
     items = np.stack([tokens, np.ones(500, int), loss], axis=1)
     limits = np.array([1000, 5, 600 if not cut else 1000])
     bins = packing.pack_vectors(items, limits, cut)
@@ -187,3 +186,47 @@ def test_pack_vectors_limits(cut):
             got[i] += n
     assert (got == tokens).all()
     assert len(bins) < 1.15 * max(tokens.sum() / 1000, loss.sum() / limits[2], 100)
+
+
+def test_pack_vectors_refuses_what_fits_nowhere():
+    for cut in (False, True):
+        with pytest.raises(ValueError):
+            packing.pack_vectors(np.array([[10, 1, 700], [5, 1, 5]]), np.array([1000, 5, 600]), cut)
+
+
+def test_added_tokens_are_one_id(spark, tok):
+    texts = {1: "before <|endoftext|>after", 2: "<|startoftext|><|endoftext|>", 3: "<|ENDOFTEXT|> is plain"}
+    rows = packing.pack_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), VOCAB).collect()
+    check_pieces(rows, texts, tok)
+    assert {r.doc_tokens for r in rows if r.doc_id == 2} == {3}
+
+
+def test_many_words_outgrow_the_table(tok):
+    w = packing.WordIds(VOCAB, most=20)
+    texts = [" ".join(f"wörd{i}x{j}" for j in range(30)) for i in range(4)]
+    import pyarrow as pa
+    ids, starts = w.gather(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pack_examples_under_three_limits(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, int(n), int(n * f)) for i, (n, f) in enumerate(zip(rng.integers(1, 700, 600), rng.random(600)))]
+    rows += [(1000, 3000, 10), (1001, 900, 901), (1002, None, 5), (1003, 50, None), (1004, 0, 0)]
+    got = packing.pack_examples(spark.createDataFrame(rows, "example_id long, tokens long, loss_tokens long"), 1000, 6, 400).collect()
+    assert sorted((r.example_id, r.tokens, r.loss_tokens) for r in got if r.example_id != 1003 and r.example_id != 1002) == \
+        sorted(r for r in rows if r[0] not in (1002, 1003))
+    by = {}
+    for r in got:
+        fits = r.tokens is not None and r.tokens <= 1000 and (r.loss_tokens or 0) <= 400
+        assert (r.sequence_id is not None) == fits
+        if fits:
+            by.setdefault(r.sequence_id, []).append(r)
+    for own in by.values():
+        assert len(own) <= 6 and sum(r.loss_tokens or 0 for r in own) <= 400
+        at = 0
+        for r in sorted(own, key=lambda r: (r.offset, r.tokens)):
+            assert r.offset == at
+            at += r.tokens
+        assert at <= 1000
+    assert any(sum(r.loss_tokens or 0 for r in own) > 350 for own in by.values())   # the loss limit binds
