@@ -25,9 +25,16 @@ check, so a round works on what is still open only. The open rows are range
 partitioned by (account, order) and written to the shared folder together with
 their partition number, which serves as the chunk of the two-level running sum:
 chunks follow the volume, so a busy account is split however its ops cluster in
-time. When at most ``tail_rows`` open rows remain (a documented bound, whatever
-the input) one task runs them in order, since long dependency chains leave a
-few rows open for many rounds.
+time.
+
+Bounds decide most ops where balances are ample, but only one per round of a chain of
+accounts that each pay on what they have just received. So when a round decides less than
+one open check in ``WORTH``, what is left is replayed by the graph of accounts: accounts
+joined by an undecided op form components (``functions.graph.account_components``),
+which cannot influence each other, and each component is replayed in order in a task of its
+own. A component with more than ``slice_ops`` open ops is cut into time slices of that many;
+slice k of all components is replayed together, on the balances slice k - 1 left. So a task sees
+``slice_ops`` ops whatever the input, and the number of slices is that of the largest component.
 """
 
 from __future__ import annotations
@@ -35,10 +42,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.graph import account_components
 from tallybook.functions.windows import chunked_running_sum
 from tallybook.session import stage, unstage
 
 CHECKED = ("transfer", "hold")
+WORTH = 16              # a round of bounds goes on while it decides one open check in so many
+SLICE_OPS = 100_000     # ops that one task replays
 
 
 KEYS = ["account_id", "currency_code"]
@@ -121,7 +131,8 @@ def _fold(rows: DataFrame) -> DataFrame:
 
 
 def _in_order(rows):
-    """Decide the remaining open rows one after the other (pandas, one bounded group)."""
+    """Decide one component's open rows of a slice one after the other (pandas, a bounded group)."""
+    import pandas as pd
     rows = rows.sort_values([*ORDER, "is_check"], ascending=[True, True, True, False])
     balance, said = {}, {}
     for r in rows.itertuples(index=False):
@@ -132,12 +143,58 @@ def _in_order(rows):
         if r.st == "A" or (r.st == "U" and said.get(r.decider) == "A"):
             have += r.delta
         balance[key] = have
-    import pandas as pd
     return pd.DataFrame({"op_id": list(said), "new": list(said.values())}, dtype=object)
 
 
+def _replay(rows_open: DataFrame, slice_ops: int) -> tuple[list[DataFrame], int]:
+    """Decisions (op_id, new) for all open rows, component by component, and the number of slices."""
+    node = F.xxhash64(*KEYS)                          # accounts that share a number only share a task
+    rows = rows_open.drop("chunk").withColumn("node", node)
+    touched = rows.filter(F.col("st") == "U").select("decider", "node").distinct()
+    first = touched.groupBy("decider").agg(F.min("node").alias("b"))
+    edges = touched.join(first, "decider").select(F.col("node").alias("a"), "b").distinct()
+    component = stage(account_components(edges), "admit-components")
+    rows = stage(rows.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                 .drop("node"), "admit-graph")
+    # Slices are cut between ops, by their number in the component's order.
+    each = rows.groupBy("component", *ORDER).agg(F.lit(1).alias("one"))
+    placed = chunked_running_sum(each, ["component"], [F.col(c) for c in ORDER], {"place": F.lit(1).cast("long")},
+                                 inclusive=False)
+    sliced = stage(rows.join(placed.select("component", "op_id", F.floor(F.col("place") / slice_ops).alias("slice")),
+                             ["component", "op_id"]), "admit-slices")
+    slices = (sliced.agg(F.max("slice")).first()[0] or 0) + 1
+    said: list[DataFrame] = []
+    past = None                                       # what the slices so far did to each account
+    for k in range(slices):
+        now = sliced.filter(F.col("slice") == k)
+        if said:
+            known = said[0]
+            for more in said[1:]:
+                known = known.unionByName(more)
+            # Holds that settlements of this slice name may have been decided in an earlier one.
+            now = (now.join(known.select(F.col("op_id").alias("decider"), "new"), "decider", "left")
+                   .withColumn("st", F.coalesce("new", "st")).drop("new").filter("st <> 'R'"))
+            now = (now.join(past, KEYS, "left").withColumn(
+                "base", (F.col("base") + F.coalesce("past", F.lit(0))).cast("decimal(38,8)")).drop("past"))
+        said.append(stage(now.select(*KEYS, *ORDER, "decider", "delta", "need", "is_check", "st", "base", "component")
+                          .groupBy("component").applyInPandas(lambda pdf: _in_order(pdf), "op_id string, new string"),
+                          "admit-decided"))
+        if k + 1 < slices:
+            done = (now.join(said[-1].select(F.col("op_id").alias("decider"), "new"), "decider", "left")
+                    .filter(F.coalesce("new", "st") == "A").select(*KEYS, F.col("delta").alias("past")))
+            if past is not None:
+                done = done.unionByName(past)
+            new = stage(done.groupBy(*KEYS).agg(F.sum("past").cast(_D).alias("past")), "admit-past")
+            unstage(past)
+            past = new
+    unstage(past)
+    for done in (component, rows, sliced):
+        unstage(done)
+    return said, slices
+
+
 def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
-          tail_rows: int = 20_000, exclude_accounts: DataFrame | None = None) -> DataFrame:
+          exclude_accounts: DataFrame | None = None, slice_ops: int = SLICE_OPS) -> DataFrame:
     """accept / reject every op in order. Returns ops with ``status`` and ``rounds``.
 
     ``ops``: op_id, op_ts, seq_key, op_type, source_account_id, destination_account_id,
@@ -184,33 +241,34 @@ def admit(ops: DataFrame, opening: DataFrame, accounts: DataFrame | None = None,
         if left == 0:
             break
         rounds += 1
-        if left <= tail_rows:
-            decided = rows_open.groupBy(F.lit(0).alias("_all")).applyInPandas(
-                lambda pdf: _in_order(pdf), "op_id string, new string")
-        else:
-            s, d = F.col("st"), F.col("delta")
-            zero = F.lit(0)
-            r = chunked_running_sum(
-                rows_open, KEYS, [F.col(c) for c in ORDER],
-                {"a_net": F.when(s == "A", d).otherwise(zero),
-                 "u_deb": F.when((s == "U") & (d < 0), -d).otherwise(zero),
-                 "u_cred": F.when((s == "U") & (d > 0), d).otherwise(zero)},
-                F.col("chunk"), inclusive=False)
-            base = F.col("base") + F.col("a_net")
-            lo, hi = base - F.col("u_deb"), base + F.col("u_cred")
-            decided = (r.filter(F.col("is_check") & (s == "U"))
-                       .select("op_id", F.when(lo >= F.col("need"), "A")
-                               .when(hi < F.col("need"), "R").alias("new"))
-                       .filter(F.col("new").isNotNull()))
-        decided = stage(decided, "admit-decided")
+        checks = rows_open.filter(F.col("is_check") & (F.col("st") == "U")).count()
+        s, d = F.col("st"), F.col("delta")
+        zero = F.lit(0)
+        r = chunked_running_sum(
+            rows_open, KEYS, [F.col(c) for c in ORDER],
+            {"a_net": F.when(s == "A", d).otherwise(zero),
+             "u_deb": F.when((s == "U") & (d < 0), -d).otherwise(zero),
+             "u_cred": F.when((s == "U") & (d > 0), d).otherwise(zero)},
+            F.col("chunk"), inclusive=False)
+        base = F.col("base") + F.col("a_net")
+        lo, hi = base - F.col("u_deb"), base + F.col("u_cred")
+        decided = stage(r.filter(F.col("is_check") & (s == "U"))
+                        .select("op_id", F.when(lo >= F.col("need"), "A")
+                                .when(hi < F.col("need"), "R").alias("new"))
+                        .filter(F.col("new").isNotNull()), "admit-decided")
         decisions.append(decided)
-        if left <= tail_rows:
-            break
-        if decided.isEmpty():
-            raise RuntimeError(f"no decision in round {rounds} with {left} open rows")
+        worth = decided.count() * WORTH >= checks
         rows = (rows_open.drop("chunk")
                 .join(decided.withColumnRenamed("op_id", "decider"), "decider", "left")
                 .withColumn("st", F.coalesce("new", "st")).drop("new"))
+        if not worth:
+            rest = stage(_fold(rows), "admit-rows")
+            more, slices = _replay(rest, slice_ops)
+            decisions += more
+            rounds += slices
+            unstage(rest)
+            break
+    unstage(last)
     status = timed.filter(F.col("op_type") == "deposit").select("op_id", F.lit("A").alias("_s"))
     if auto is not None:
         status = status.unionByName(auto.select(F.col("decider").alias("op_id"), F.col("_auto").alias("_s")))

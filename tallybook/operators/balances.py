@@ -236,19 +236,13 @@ def _order_key(lines: DataFrame) -> list[Column]:
             F.col("line_number")]
 
 
-def account_statement(lines: DataFrame, txs: DataFrame, accounts: DataFrame,
-                      kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
-    """Every posted movement per (account, currency) with its running balance.
-
-    Posted lines without a posting time count too and come first. The running sum is
-    ``chunked_running_sum`` over chunks of equal volume, so neither a hot account nor its
-    busiest hour lands in one task.
-    """
+def _movements(lines: DataFrame, txs: DataFrame, accounts: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """Posted lines with their posting time and signed amount."""
     posted = txs.filter(F.col("status") == "posted").select(
         F.col("id").alias("journal_transaction_id"), "posted_at",
         F.col("created_at").alias("_tx_created_at"))
     normal = accounts.select(F.col("id").alias("account_id"), "ledger_normal_side")
-    rows = (lines.filter(F.col("balance_kind").isin(list(kinds)))
+    return (lines.filter(F.col("balance_kind").isin(list(kinds)))
             .select("id", "journal_transaction_id", "line_number", "account_id", "currency_code",
                     "side", "amount")
             .join(posted, "journal_transaction_id")
@@ -257,6 +251,17 @@ def account_statement(lines: DataFrame, txs: DataFrame, accounts: DataFrame,
                         F.when(F.col("side") == F.coalesce(F.col("ledger_normal_side"),
                                                            F.lit("credit")),
                                F.col("amount")).otherwise(-F.col("amount"))))
+
+
+def account_statement(lines: DataFrame, txs: DataFrame, accounts: DataFrame,
+                      kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
+    """Every posted movement per (account, currency) with its running balance.
+
+    Posted lines without a posting time count too and come first. The running sum is
+    ``chunked_running_sum`` over chunks of equal volume, so neither a hot account nor its
+    busiest hour lands in one task.
+    """
+    rows = _movements(lines, txs, accounts, kinds)
     key = ["account_id", "currency_code"]
     run = chunked_running_sum(rows, key, _order_key(rows), {"_run": F.col("signed_amount")})
     return run.select(*key, "journal_transaction_id", "line_number", F.col("id").alias("line_id"),
@@ -264,6 +269,104 @@ def account_statement(lines: DataFrame, txs: DataFrame, accounts: DataFrame,
                       total(F.col("_run")).alias("running_balance"))
 
 
+def balances_at(probes: DataFrame, lines: DataFrame, txs: DataFrame, accounts: DataFrame,
+                kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
+    """E9 at many instants: the balance, the number of lines and the last line each probe sees.
+
+    ``probes``: probe_id, account_id, currency_code, at. A probe sees the lines posted at or before ``at``
+    (those without a posting time always); its balance is E1 as of that instant, 0 before the first
+    line. Probes are merged into the statement as rows that move nothing and the running sum
+    over chunks of equal volume carries the balance to them, so an account with most of the lines, or
+    of the probes, is split like in the statement. The last line is the one that has the running number
+    the probe sees. A probe without a time has null results.
+    """
+    key = ["account_id", "currency_code"]
+    moves = _movements(lines, txs, accounts, kinds).select(
+        *key, F.col("posted_at").alias("at"), F.lit(False).alias("is_probe"), "_tx_created_at", "journal_transaction_id",
+        "line_number", F.col("id").alias("line_id"), F.col("signed_amount").cast("decimal(38,8)").alias("signed_amount"))
+    asked = probes.select("probe_id", *key, "at")
+    both = moves.unionByName(asked.filter(F.col("at").isNotNull()).withColumn("is_probe", F.lit(True)),
+                             allowMissingColumns=True)
+    order = [F.col(c).asc_nulls_first() for c in ("at", "is_probe", "_tx_created_at", "journal_transaction_id",
+                                                  "line_number", "line_id", "probe_id")]
+    run = chunked_running_sum(both, key, order, {
+        "_run": F.coalesce("signed_amount", F.lit(0).cast("decimal(38,8)")), "_n": (~F.col("is_probe")).cast("long")})
+    seen = run.filter("is_probe").select("probe_id", *key, "at", "_run", "_n")
+    last = run.filter("not is_probe").select(*key, "_n", F.col("line_id").alias("last_line_id"),
+                                             F.col("at").alias("last_posted_at"))
+    out = seen.join(last, [*key, "_n"], "left").select(
+        "probe_id", *key, "at", total("_run").alias("balance"), F.col("_n").alias("n_lines"), "last_line_id",
+        "last_posted_at")
+    return out.unionByName(asked.filter(F.col("at").isNull()), allowMissingColumns=True)
+
+
+def side_totals(lines: DataFrame, txs: DataFrame, kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
+    """The rollup that :func:`maintain_totals` keeps: (account_id, currency_code, debits, credits, n_lines)
+    of posted lines."""
+    return _side_totals(posted_lines(lines, txs, kinds)).select(
+        "account_id", "currency_code", *[total(F.coalesce(c, F.lit(0))).alias(c) for c in ("debits", "credits")],
+        "n_lines")
+
+
+def journal_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Change feed of two states of the journal headers: (journal_transaction_id, accounting_date, sign) of
+    the transactions that came to be posted (+1) or are no longer (-1): posted, unposted, reversed, added or
+    removed ones."""
+    def side(df: DataFrame, x: str) -> DataFrame:
+        return df.select(F.col("id").alias("journal_transaction_id"),
+                         F.coalesce(F.col("status") == "posted", F.lit(False)).alias(f"{x}_posted"),
+                         F.col("accounting_date").alias(f"{x}_date"))
+    j = side(before, "b").join(side(after, "a"), "journal_transaction_id", "full_outer")
+    was, now = (F.coalesce(f"{x}_posted", F.lit(False)) for x in "ba")
+    return j.filter(was != now).select(
+        "journal_transaction_id", F.coalesce("b_date", "a_date").alias("accounting_date"),
+        F.when(now, 1).otherwise(-1).alias("sign"))
+
+
+def maintain_totals(totals: DataFrame, changes: DataFrame, lines: DataFrame, grain: str = "month",
+                    kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
+    """E3 step by step: ``totals`` (:func:`side_totals`) after a change feed (:func:`journal_changes`).
+
+    Lines of newly posted transactions are added, those of unposted ones retracted: sums and counts are
+    groups, so the result equals a rebuild whatever the journal was split into. Only the accounting
+    periods that occur in the feed are read (``lines`` with the ``accounting_period`` folder column that
+    ``append_journal`` writes; without it, all lines are): the periods, one value per month, go to the plan as a
+    partition filter.
+    """
+    if "accounting_period" in lines.columns:
+        changes = changes.withColumn("accounting_period", F.trunc("accounting_date", grain))
+        periods = [r[0] for r in changes.select("accounting_period").distinct().collect()]
+        known = [p for p in periods if p is not None]
+        touched = F.col("accounting_period").isin(known) if known else F.lit(False)
+        lines = lines.filter(touched | F.col("accounting_period").isNull() if None in periods else touched)
+    moved = (lines.filter(F.col("balance_kind").isin(list(kinds)))
+             .join(changes.select("journal_transaction_id", "sign"), "journal_transaction_id"))
+    signed = F.col("sign") * F.col("amount")
+    delta = moved.groupBy("account_id", "currency_code").agg(
+        F.sum(F.when(F.col("side") == "debit", signed)).alias("debits"),
+        F.sum(F.when(F.col("side") == "credit", signed)).alias("credits"), F.sum("sign").alias("n_lines"))
+    cols = ["account_id", "currency_code", "debits", "credits", "n_lines"]
+    both = totals.select(*cols).unionByName(delta.select(*cols))
+    return (both.groupBy("account_id", "currency_code")
+            .agg(*[total(F.coalesce(F.sum(c), F.lit(0))).alias(c) for c in ("debits", "credits")],
+                 F.sum("n_lines").cast("long").alias("n_lines")).filter(F.col("n_lines") != 0))
+
+
+def projection_from_totals(totals: DataFrame, accounts: DataFrame, holds: DataFrame) -> DataFrame:
+    """(account_id, currency_code, ledger, held and available balance, n_lines) from kept totals."""
+    side = accounts.select(F.col("id").alias("account_id"), "ledger_normal_side")
+    own = accounts.select(F.col("id").alias("account_id"), "currency_code")
+    known = totals.join(side, "account_id").withColumn(
+        "ledger", _signed(F.col("ledger_normal_side"), F.col("debits"), F.col("credits")))
+    key = ["account_id", "currency_code"]
+    out = (own.join(known.select(*key, "ledger", "n_lines"), key, "full_outer")
+           .join(held_balance(holds), key, "full_outer"))
+    ledger, held = (F.coalesce(c, F.lit(0)) for c in ("ledger", "held_balance"))
+    return out.select(*key, money(ledger).alias("ledger_balance"), money(held).alias("held_balance"),
+                      money(ledger - held).alias("available_balance"),
+                      F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"))
+
+
 def fee_revenue(lines: DataFrame, txs: DataFrame, accounts: DataFrame,
                 kinds: Sequence[str] = DEFAULT_KINDS) -> DataFrame:
     """Fees credited to fee accounts per account, currency and month (posted only)."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.money import money
 from tallybook.functions.text import ts_literal
-from tallybook.operators.posting import journal_id, settlement_legs
+from tallybook.operators.posting import SETTLEMENT_TYPE, journal_id, settlement_legs, system_accounts
 
 HOLD_TTL = "24 hours"
 HOLD_COLS = ["id", "account_id", "transfer_request_id", "journal_transaction_id",
@@ -140,6 +140,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
       ``posted`` rejects a success callback; any callback finding no hold active at
       its arrival (consumed, released or expired) or one that holds less than the
       transfer's amount is rejected;
+    * a success in a currency without settlement account is rejected (it could post no legs); the hold
+      stays active;
     * other events are rejected as unhandled.
 
     Returns a dict: ``outcomes`` (one row per callback), ``transfers`` (changed
@@ -151,8 +153,10 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
         F.col("data.reference").alias("transfer_id"),
         F.when(F.col("event").isin(SUCCESS_EVENTS), "success")
         .when(F.col("event").isin(FAILURE_EVENTS), "failure").alias("kind"))
-    trf = transfers.select(F.col("id").alias("transfer_id"), F.col("status").alias("_tst"),
-                           F.col("amount").alias("_amt"))
+    settle = system_accounts(accounts, SETTLEMENT_TYPE, "_settlement")
+    trf = (transfers.join(settle, "currency_code", "left")
+           .select(F.col("id").alias("transfer_id"), F.col("status").alias("_tst"), F.col("amount").alias("_amt"),
+                   F.col("_settlement").isNotNull().alias("_settles")))
     active = holds.filter(F.col("status") == "active").select(
         "transfer_request_id", F.col("id").alias("_hold_id"), F.col("expires_at").alias("_exp"),
         F.col("remaining_amount").alias("_rem"))
@@ -165,7 +169,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
                                                  | (F.col("_exp") > F.col("received_at")))
     applicable = (F.col("kind").isNotNull() & F.col("_tst").isNotNull()
                   & ~F.col("_tst").isin("posted", "failed") & hold_live
-                  & (F.col("_rem") >= F.col("_amt")) & (F.col("_amt") > 0))
+                  & (F.col("_rem") >= F.col("_amt")) & (F.col("_amt") > 0)
+                  & ((F.col("kind") == "failure") | F.col("_settles")))
     order = F.struct("received_at", "hook_id")
     win = (j.filter(applicable).groupBy("transfer_id")
            .agg(F.min_by(F.struct("hook_id", "kind"), order).alias("_w"),
@@ -190,6 +195,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
               .when((F.col("kind") == "failure") & (seen == "failed"), "transfer already failed")
               .when((F.col("kind") == "success") & (seen == "posted"),
                     "transfer already processed")
+              .when(hold_live & ~after_win & (F.col("_rem") >= F.col("_amt")) & (F.col("_amt") > 0),
+                    "no settlement account")
               .when(hold_live & F.col("_word").isNull(), "insufficient hold")
               .otherwise("no active hold"))
     outcomes = x.select("hook_id", "transfer_id", "event", outcome.alias("outcome"),

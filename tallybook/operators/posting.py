@@ -277,11 +277,44 @@ def balance_deltas(ops: DataFrame, accounts: DataFrame) -> DataFrame:
                  money(F.sum(signed * F.col("v"))).alias("d_available")))
 
 
-def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind: str = "available"
-                 ) -> DataFrame:
+def last_entries_of_ops(ops: DataFrame, accounts: DataFrame) -> DataFrame:
+    """(account_id, currency_code, last_transaction_id, last_line_id) that posted ops leave on the accounts.
+
+    Per account the line of the newest op, in (op_ts, seq_key, op_id) order, that has a leg on it; a failed
+    settlement has none. Ids are those of the leg builders; ops that lack a system account have no legs.
+    """
+    settle = system_accounts(accounts, SETTLEMENT_TYPE, "_settlement_account")
+    fee_acc = system_accounts(accounts, FEE_TYPE, "_fee_account")
+    o = (ops.join(missing_system_accounts(ops, accounts), "op_id", "left_anti")
+         .join(settle, "currency_code", "left").join(fee_acc, "currency_code", "left"))
+    t = F.col("op_type")
+    src, dst, st, fa = (F.col(c) for c in ("source_account_id", "destination_account_id", "_settlement_account", "_fee_account"))
+
+    def line(n: int, account: Column) -> Column:
+        return F.struct(F.lit(n).alias("n"), account.alias("account_id"))
+    fee_line = F.when(F.coalesce("fee_amount", F.lit(0)) > 0, F.array(line(3, fa))).otherwise(F.array().cast("array<struct<n:int,account_id:string>>"))
+    lines = (F.when(t == "deposit", F.array(line(1, st), line(2, dst)))
+             .when(t == "transfer", F.concat(F.array(line(1, src), line(2, dst)), fee_line))
+             .when(t == "hold", F.array(line(1, src)))
+             .when(t == "settle_success", F.array(line(1, src), line(2, st))))
+    of = F.when(t == "settle_success", F.coalesce("hold_op_id", "op_id")).otherwise(F.col("op_id"))
+    kind = F.when(t == "settle_success", "withdrawal").otherwise(t)
+    x = (o.select("op_ts", "seq_key", "op_id", "currency_code", F.concat(kind, F.lit(":"), of).alias("tx"),
+                  F.explode(lines).alias("e"))
+         .select("*", F.col("e.account_id").alias("account_id"),
+                 F.concat("tx", F.lit("#"), F.col("e.n").cast("string")).alias("line")))
+    best = F.max_by(F.struct("tx", "line"), F.struct("op_ts", "seq_key", "op_id", -F.col("e.n")))
+    return (x.groupBy("account_id", "currency_code").agg(best.alias("b"))
+            .select("account_id", "currency_code", F.col("b.tx").alias("last_transaction_id"),
+                    F.col("b.line").alias("last_line_id")))
+
+
+def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind: str = "available",
+                 lasts: DataFrame | None = None) -> DataFrame:
     """new projection = stored + Σ deltas per (account, currency); new keys start at 0,
     version + 1 for every touched key, untouched keys and other balance kinds unchanged. The last
-    transaction and line are carried along where the projection has them."""
+    transaction and line are taken from ``lasts`` (:func:`last_entries_of_ops`), else carried along where the
+    projection has them."""
     agg = (deltas.groupBy("account_id", "currency_code")
            .agg(F.sum("d_ledger").alias("_dl"), F.sum("d_held").alias("_dh"),
                 F.sum("d_available").alias("_dv")))
@@ -289,7 +322,12 @@ def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind:
     j = p.join(agg, ["account_id", "currency_code"], "full_outer")
     touched = F.col("_dl").isNotNull()
     z = F.lit(0)
-    last = [c for c in ("last_transaction_id", "last_line_id") if c in proj.columns]
+    ids = ["last_transaction_id", "last_line_id"]
+    last = [c for c in ids if c in proj.columns]
+    if lasts is not None:
+        new = lasts.select("account_id", "currency_code", *[F.col(c).alias("_" + c) for c in ids])
+        j = j.join(new, ["account_id", "currency_code"], "left")
+        last = [F.coalesce("_" + c, *[c for _ in (0,) if c in proj.columns]).alias(c) for c in ids]
     moved = j.select(
         "account_id", "currency_code", F.lit(projection_kind).alias("balance_kind"),
         money(F.coalesce(F.col("ledger_balance"), z) + F.coalesce(F.col("_dl"), z))
@@ -302,31 +340,42 @@ def apply_deltas(proj: DataFrame, deltas: DataFrame, now: str, projection_kind:
          + F.when(touched, 1).otherwise(0)).alias("version"),
         F.when(touched, ts_literal(now)).otherwise(F.col("computed_at")).alias("computed_at"), *last)
     rest = proj.filter(~F.col("balance_kind").eqNullSafe(projection_kind))
-    return moved.unionByName(rest.select(*[F.col(f.name).cast(f.dataType) for f in moved.schema]))
+    return moved.unionByName(rest.select(*[
+        (F.col(f.name) if f.name in proj.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in moved.schema]))
 
 
-def outbox_from_transfers(transfers: DataFrame, event_types: dict[str, str] | None = None
-                          ) -> DataFrame:
-    """F16: one pending outbox event per posted / failed transfer.
+def transfer_payload() -> Column:
+    """A transfer as events and stored responses carry it."""
+    return F.to_json(F.struct(
+        F.col("id").alias("transfer_id"), "status", "source_account_id", "destination_account_id",
+        F.col("amount").cast("string").alias("amount"),
+        F.col("fee_amount").cast("string").alias("fee_amount"), "currency_code"))
+
+
+def outbox_from_transfers(transfers: DataFrame, event_types: dict[str, str] | None = None,
+                          aggregate_type: str = "transfer_request", entry_type: str = "transfer") -> DataFrame:
+    """F16: one pending outbox event per posted / failed transfer or deposit.
 
     ``event_types`` maps transfer status → event type (default posted → transfer.posted,
-    failed → transfer.failed). Partition key: destination account.
+    failed → transfer.failed). ``aggregate_type`` is ``deposit_request`` for deposits (``entry_type``
+    ``deposit``). Headers: content type, source system (``core`` unless the rows carry one), the reference of the
+    journal transaction and the client's reference. Partition key: destination account.
     """
     et = event_types or {"posted": "transfer.posted", "failed": "transfer.failed"}
     m = F.create_map(*[F.lit(x) for kv in et.items() for x in kv])
     t = transfers.filter(F.col("status").isin(list(et)))
-    payload = F.to_json(F.struct(
-        F.col("id").alias("transfer_id"), "status", "source_account_id", "destination_account_id",
-        F.col("amount").cast("string").alias("amount"),
-        F.col("fee_amount").cast("string").alias("fee_amount"), "currency_code"))
-    headers = F.to_json(F.struct(F.lit("transfer").alias("aggregate_type"),
-                                 F.col("id").alias("aggregate_id")))
+    source = F.col("source_system") if "source_system" in transfers.columns else F.lit(None)
+    headers = F.to_json(F.struct(
+        F.coalesce("client_reference", F.lit("")).alias("client_reference"),
+        F.lit("application/json").alias("content_type"),
+        F.concat(F.lit("ref:"), journal_id(entry_type, "id")).alias("event_transaction"),
+        F.coalesce(source, F.lit("core")).alias("source_system")))
     ev = m[F.col("status")]
     return t.select(
         F.concat(ev, F.lit(":"), F.col("id")).alias("id"),
-        F.lit("transfer").alias("aggregate_type"), F.col("id").alias("aggregate_id"),
+        F.lit(aggregate_type).alias("aggregate_type"), F.col("id").alias("aggregate_id"),
         ev.alias("event_type"), F.lit("pending").alias("status"), "idempotency_key_id",
-        payload.alias("payload"), headers.alias("headers"),
+        transfer_payload().alias("payload"), headers.alias("headers"),
         F.col("destination_account_id").alias("partition_key"),
         F.lit(0).alias("retry_count"),
         F.col("updated_at").alias("created_at"), F.col("updated_at").alias("updated_at"))

@@ -138,3 +138,45 @@ def sla_report(attempts: DataFrame, latency: str = "latency_ms", exact: bool = T
         (F.col("p99_ms") <= SLA["p99_ms"]).alias("p99_pass"),
         (pct >= SLA["success_pct"]).alias("error_rate_pass"),
         F.coalesce(rps >= SLA["throughput_rps"], F.lit(False)).alias("throughput_pass"))
+
+
+#: Size parameter of the latency sketches. Its rank error is about 2.296 / k^0.9021 for one quantile
+#: (the published bound of the sketch at 99 % confidence): 0.83 % at 512.
+SKETCH_K = 512
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Normalised rank error of a sketch of size ``k``, at 99 % confidence."""
+    return 2.296 / k ** 0.9021
+
+
+def latency_sketches(attempts: DataFrame, latency: str = "latency_ms", k: int = SKETCH_K) -> DataFrame:
+    """E11 in mergeable form: per provider and hour the counts and a KLL sketch of the latencies.
+
+    Kept as a table, new hours are appended; any window, of any set of providers, is merged from its rows
+    (:func:`sla_from_sketches`) without reading attempts again. Sketches are built map-side and merged, so a
+    provider with a third of the attempts shuffles one sketch per task.
+    """
+    lat = F.col(latency).cast("double")
+    return attempts.groupBy("provider", F.date_trunc("hour", "attempted_at").cast("timestamp_ntz").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("success").alias("n_success"), F.count(lat).alias("n_known"),
+        F.sum(lat).alias("total_ms"), F.min(lat).alias("min_ms"), F.max(lat).alias("max_ms"),
+        F.min("attempted_at").alias("first_at"), F.max("attempted_at").alias("last_at"),
+        F.kll_sketch_agg_double(lat, F.lit(k)).alias("sketch"))
+
+
+def sla_from_sketches(sketches: DataFrame, window: str | None = None, k: int = SKETCH_K) -> DataFrame:
+    """E11 per provider and overall ('*') from :func:`latency_sketches` rows, per ``window`` (a truncation unit
+    such as ``day``; none: all rows together): counts, success %, min, max, avg exact, p50 / p95 / p99 within
+    :func:`rank_error` of their ranks."""
+    by = [F.date_trunc(window, "hour").cast("timestamp_ntz").alias("window_start")] if window else []
+    both = sketches.unionByName(sketches.withColumn("provider", F.lit("*")))
+    merged = both.groupBy("provider", *by).agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_success", "n_known", "total_ms")], F.min("min_ms").alias("min_ms"),
+        F.max("max_ms").alias("max_ms"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+    q = F.kll_sketch_get_quantile_double("sketch", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
+    x = merged.withColumn("q", F.when(F.col("n_known") > 0, q))
+    return x.select("provider", *(["window_start"] if window else []), "n", "n_success",
+                    F.round(F.col("n_success") * 100.0 / F.col("n"), 6).alias("success_pct"),
+                    *[F.col("q")[i].alias(f"p{p}_ms") for i, p in enumerate((50, 95, 99))], "min_ms", "max_ms",
+                    F.round(F.col("total_ms") / F.col("n_known"), 6).alias("avg_ms"))

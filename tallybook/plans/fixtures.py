@@ -261,7 +261,7 @@ SELECT concat('W', cast(event_id AS string)) AS request_id,
        concat('U', cast(user_id AS string)) AS customer_id,
        concat('C', cast(user_id AS string)) AS source_account_id,
        cast(NULL AS string) AS destination_account_id,
-       'NGN' AS currency_code,
+       CASE WHEN event_id % 13 = 0 THEN 'USD' ELSE 'NGN' END AS currency_code,
        cast(value AS decimal(20,8)) AS amount,
        cast(0 AS decimal(20,8)) AS fee_amount,
        'core' AS source_system, 'withdrawal' AS description,
@@ -287,7 +287,7 @@ SELECT concat('O', cast(event_id AS string)) AS op_id,
             WHEN event_type = 'purchase'
             THEN concat('C', cast((7 * user_id + 1) % (SELECT max(user_id) + 1 FROM events) AS string))
        END AS destination_account_id,
-       'NGN' AS currency_code,
+       CASE WHEN event_id % 13 = 0 THEN 'USD' ELSE 'NGN' END AS currency_code,
        CASE WHEN event_type = 'signup'
             THEN cast(cast(value AS decimal(20,8)) * cast(1.2 AS decimal(3,1)) AS decimal(20,8))
             ELSE cast(value AS decimal(20,8)) END AS amount,
@@ -300,7 +300,8 @@ WHERE event_type IN ('signup', 'purchase', 'click')
 UNION ALL
 SELECT concat('X', cast(event_id AS string)), ts + INTERVAL '1 hour', 2 * event_id + 1,
        CASE WHEN event_id % 3 = 1 THEN 'settle_failed' ELSE 'settle_success' END,
-       concat('C', cast(user_id AS string)), cast(NULL AS string), 'NGN',
+       concat('C', cast(user_id AS string)), cast(NULL AS string),
+       CASE WHEN event_id % 13 = 0 THEN 'USD' ELSE 'NGN' END,
        cast(value AS decimal(20,8)), cast(0 AS decimal(20,8)),
        concat('O', cast(event_id AS string))
 FROM events WHERE event_type = 'click' AND event_id % 3 <> 2
@@ -538,6 +539,62 @@ FROM events WHERE event_type = 'signup'
 """)
 
 
+# The same callbacks arriving up to 29 hours later, so that some come after their hold has expired.
+_fx("fx_late_callbacks", """
+SELECT hook_id, provider, token, body, received_at + (src_event % 30) * INTERVAL '1 hour' AS received_at
+FROM fx_callbacks
+""")
+
+# Hold events as they happen: creates (every tenth hold never expires), one or two moves an hour apart,
+# some for more than is left, some after the expiry, some before the hold exists, some for unknown holds.
+_fx("fx_hold_events", """
+SELECT concat('H', cast(event_id AS string)) AS hold_id, 'create' AS action,
+       cast(value AS decimal(20,8)) AS amount,
+       CASE WHEN event_id % 10 <> 3 THEN ts + INTERVAL '24 hours' END AS expires_at,
+       ts AS event_time, event_id * 10 AS seq
+FROM events WHERE event_type = 'click'
+UNION ALL
+SELECT concat('H', cast(event_id AS string)), CASE WHEN event_id % 4 = 1 THEN 'release' ELSE 'consume' END,
+       CASE WHEN event_id % 6 = 2 THEN cast(cast(value AS decimal(20,8)) + cast(1 AS decimal(20,8)) AS decimal(20,8))
+            ELSE cast(value / 2 AS decimal(20,8)) END,
+       cast(NULL AS {TS}),
+       CASE WHEN event_id % 9 = 4 THEN ts + INTERVAL '24 hours' WHEN event_id % 9 = 5 THEN ts - INTERVAL '1 hour'
+            ELSE ts + INTERVAL '1 hour' END,
+       event_id * 10 + 1
+FROM events WHERE event_type = 'click' AND event_id % 5 <> 0
+UNION ALL
+SELECT concat('H', cast(event_id AS string)), CASE WHEN event_id % 8 = 1 THEN 'consume' ELSE 'release' END,
+       cast(0.01 AS decimal(20,8)), cast(NULL AS {TS}),
+       CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL '1 hour' ELSE ts + INTERVAL '30 hours' END, event_id * 10 + 2
+FROM events WHERE event_type = 'click' AND event_id % 7 IN (1, 2, 3)
+UNION ALL
+SELECT concat('HX', cast(event_id AS string)), 'consume', cast(1 AS decimal(20,8)), cast(NULL AS {TS}), ts,
+       event_id * 10 + 3
+FROM events WHERE event_type = 'click' AND event_id % 50 = 7
+""")
+
+# Instants at which balances are asked for: half of them on the fee account, some before the first
+# entry or in the currency of no entry, some without a time.
+_fx("fx_probes", """
+SELECT concat('P', cast(o_orderkey AS string)) AS probe_id,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'SYS_FEE' ELSE concat('C', cast(o_custkey AS string)) END AS account_id,
+       CASE WHEN o_orderkey % 19 = 1 THEN 'EUR' ELSE 'NGN' END AS currency_code,
+       CASE WHEN o_orderkey % 97 = 1 THEN cast(NULL AS {TS})
+            WHEN o_orderkey % 50 = 3 THEN cast('1980-01-01 00:00:00' AS {TS})
+            ELSE o_orderdate + (o_orderkey % 400) * INTERVAL '1 day' END AS at
+FROM orders
+""")
+
+# The journal headers at an earlier time: some entries not there yet, others in another state.
+_fx("fx_journal_before", """
+SELECT id, transaction_ref, transfer_request_id, idempotency_key_id,
+       CASE WHEN n % 7 = 0 AND status = 'posted' THEN 'pending' WHEN n % 11 = 0 AND status = 'pending' THEN 'posted'
+            WHEN n % 17 = 0 AND status = 'failed' THEN 'posted' ELSE status END AS status,
+       entry_type, accounting_date, effective_at, posted_at, source_system, source_event_id, metadata, created_at
+FROM (SELECT *, cast(regexp_extract(id, '([0-9]+)', 1) AS bigint) AS n FROM fx_journal) j
+WHERE n % 13 <> 5
+""")
+
 # Hold transition requests against fx_holds (consume / release, some repeated or unknown).
 _fx("fx_hold_requests", """
 SELECT concat('HR', cast(event_id AS string), 'a') AS request_id,
@@ -631,6 +688,151 @@ FROM customer
 """)
 
 
+# The constrained columns of every table, with rows that repeat each unique key ('~d') and rows whose
+# references lead nowhere ('~o').
+_fx("fx_cat_customers", """
+SELECT id, external_ref, email, phone, national_id FROM fx_customers
+UNION ALL SELECT concat(id, '~d'), external_ref, upper(email), '0800', 'N1' FROM fx_customers WHERE id LIKE '%7'
+""")
+_fx("fx_cat_accounts", """
+SELECT id, customer_id, external_ref, account_number FROM fx_accounts
+UNION ALL SELECT concat(id, '~d'), 'NOBODY', external_ref, account_number FROM fx_accounts WHERE id LIKE '%9'
+""")
+_fx("fx_cat_idempotency_keys", """
+SELECT id, scope, idempotency_key FROM fx_idem_keys
+UNION ALL SELECT concat(id, '~d'), scope, idempotency_key FROM fx_idem_keys WHERE id LIKE '%3'
+UNION ALL SELECT idempotency_key_id, 'transfer', id FROM fx_transfers WHERE id NOT LIKE '%44'
+""")
+_fx("fx_cat_transfer_requests", """
+SELECT id, idempotency_key_id, customer_id, source_account_id, destination_account_id, client_reference,
+       external_reference FROM fx_transfers
+UNION ALL SELECT concat(id, '~d'), idempotency_key_id, customer_id, source_account_id, destination_account_id,
+       client_reference, external_reference FROM fx_transfers WHERE id LIKE '%5'
+UNION ALL SELECT concat(id, '~o'), concat('NK', id), 'NOBODY', 'NOWHERE', 'NOWHERE', NULL, NULL
+FROM fx_transfers WHERE id LIKE '%1'
+""")
+_fx("fx_cat_journal_transactions", """
+SELECT id, transaction_ref, transfer_request_id, idempotency_key_id, cast(NULL AS string) AS reversed_transaction_id,
+       cast(NULL AS string) AS reversal_of_transaction_id, source_system, source_event_id FROM fx_journal
+UNION ALL SELECT concat(id, '~d'), transaction_ref, transfer_request_id, idempotency_key_id, id, id, source_system,
+       source_event_id FROM fx_journal WHERE id LIKE '%5'
+UNION ALL SELECT concat(id, '~o'), concat('o', transaction_ref), 'NOTHING', concat('NK', id), 'NOTHING', concat('RV', id),
+       source_system, NULL FROM fx_journal WHERE id LIKE '%1'
+""")
+_fx("fx_cat_journal_lines", """
+SELECT id, journal_transaction_id, line_number, account_id FROM fx_lines
+UNION ALL SELECT concat(id, '~d'), journal_transaction_id, line_number, account_id FROM fx_lines WHERE id LIKE '%7_1'
+UNION ALL SELECT concat(id, '~o'), concat('NJ', id), line_number, 'NOWHERE' FROM fx_lines WHERE id LIKE '%2_1'
+""")
+_fx("fx_cat_funds_holds", """
+SELECT id, account_id, transfer_request_id, journal_transaction_id, idempotency_key_id FROM fx_holds
+UNION ALL SELECT concat(id, '~d'), account_id, cast(NULL AS string), cast(NULL AS string), idempotency_key_id FROM fx_holds
+WHERE id LIKE '%4'
+UNION ALL SELECT concat(id, '~o'), 'NOWHERE', 'NOTHING', 'NOTHING', concat('NK', id) FROM fx_holds WHERE id LIKE '%6'
+""")
+_fx("fx_cat_balance_projections", """
+SELECT concat(account_id, currency_code) AS id, account_id, currency_code, balance_kind,
+       cast(NULL AS string) AS last_transaction_id, cast(NULL AS string) AS last_line_id FROM fx_projections
+UNION ALL SELECT concat(account_id, '~d'), account_id, currency_code, balance_kind, 'NOTHING', 'NOTHING' FROM fx_projections
+WHERE account_id LIKE '%2'
+UNION ALL SELECT concat(account_id, '~o'), concat('NO', account_id), currency_code, balance_kind, cast(NULL AS string),
+       cast(NULL AS string) FROM fx_projections WHERE account_id LIKE '%3'
+""")
+_fx("fx_cat_outbox_events", """
+SELECT id, CASE WHEN id LIKE '%1' THEN 'NOKEY' WHEN id LIKE '%2' THEN concat('K', substr(id, 3)) END AS idempotency_key_id
+FROM fx_outbox
+""")
+_fx("fx_cat_reconciliation_batches", """
+SELECT DISTINCT concat(source_system, cast(statement_date AS string)) AS id FROM fx_statement WHERE source_system <> 'bank_b'
+""")
+_fx("fx_cat_reconciliation_items", """
+SELECT statement_line_id AS id, concat(source_system, cast(statement_date AS string)) AS reconciliation_batch_id,
+       external_reference, concat('J', substr(external_reference, 4)) AS journal_transaction_id,
+       concat('L', substr(external_reference, 4), '_9') AS journal_line_id FROM fx_statement
+UNION ALL SELECT concat(statement_line_id, '~d'), concat(source_system, cast(statement_date AS string)), external_reference,
+       'NOTHING', cast(NULL AS string) FROM fx_statement WHERE statement_line_id LIKE '%3'
+""")
+
+
+# Tables whose rows break their domain rules one after the other.
+_fx("fx_dom_keys", """
+SELECT id, CASE WHEN id LIKE '%11' THEN ' ' WHEN id LIKE '%12' THEN NULL ELSE idempotency_key END AS idempotency_key,
+       CASE WHEN id LIKE '%13' THEN '' WHEN id LIKE '%14' THEN NULL ELSE scope END AS scope,
+       CASE WHEN id LIKE '%15' THEN NULL ELSE request_hash END AS request_hash, created_at,
+       CASE WHEN id LIKE '%16' THEN created_at WHEN id LIKE '%17' THEN NULL ELSE expires_at END AS expires_at
+FROM fx_idem_keys
+""")
+_fx("fx_dom_journal", """
+SELECT id, CASE WHEN id LIKE '%11' THEN NULL ELSE transaction_ref END AS transaction_ref,
+       CASE WHEN id LIKE '%21' THEN NULL ELSE idempotency_key_id END AS idempotency_key_id,
+       CASE WHEN id LIKE '%31' THEN NULL WHEN id LIKE '%41' THEN 'done' ELSE status END AS status,
+       CASE WHEN id LIKE '%51' THEN NULL WHEN id LIKE '%61' THEN ' ' ELSE entry_type END AS entry_type,
+       CASE WHEN id LIKE '%71' THEN NULL WHEN id LIKE '%81' THEN '' ELSE source_system END AS source_system,
+       CASE WHEN id LIKE '%91' THEN '[1]' WHEN id LIKE '%05' THEN NULL ELSE metadata END AS metadata,
+       CASE WHEN id LIKE '%15' THEN id WHEN id LIKE '%25' THEN 'J1' END AS reversed_transaction_id,
+       CASE WHEN id LIKE '%35' THEN id WHEN id LIKE '%45' THEN 'J1' END AS reversal_of_transaction_id
+FROM fx_journal
+""")
+_fx("fx_dom_projections", """
+SELECT concat('B', account_id) AS id, CASE WHEN account_id LIKE '%1' THEN NULL ELSE account_id END AS account_id,
+       CASE WHEN account_id LIKE '%2' THEN 'ngn' WHEN account_id LIKE '%3' THEN NULL ELSE currency_code END AS currency_code,
+       CASE WHEN account_id LIKE '%4' THEN 'spare' WHEN account_id LIKE '%5' THEN NULL ELSE balance_kind END AS balance_kind,
+       CASE WHEN account_id LIKE '%6' THEN cast(-1 AS decimal(20,8)) ELSE ledger_balance END AS ledger_balance,
+       CASE WHEN account_id LIKE '%7' THEN cast(available_balance + cast(1 AS decimal(20,8)) AS decimal(20,8)) ELSE available_balance END
+         AS available_balance, held_balance
+FROM fx_projections
+""")
+_fx("fx_dom_outbox", """
+SELECT id, CASE WHEN id LIKE '%11' THEN NULL WHEN id LIKE '%12' THEN ' ' ELSE aggregate_type END AS aggregate_type,
+       CASE WHEN id LIKE '%13' THEN NULL ELSE aggregate_id END AS aggregate_id,
+       CASE WHEN id LIKE '%14' THEN NULL WHEN id LIKE '%15' THEN '' ELSE event_type END AS event_type,
+       CASE WHEN id LIKE '%16' THEN NULL WHEN id LIKE '%17' THEN 'lost' ELSE status END AS status,
+       CASE WHEN id LIKE '%18' THEN NULL WHEN id LIKE '%19' THEN '[]' ELSE payload END AS payload,
+       CASE WHEN id LIKE '%21' THEN 'no json' ELSE headers END AS headers,
+       CASE WHEN id LIKE '%22' THEN -1 ELSE retry_count END AS retry_count
+FROM fx_outbox
+""")
+_fx("fx_dom_webhooks", """
+SELECT id, CASE WHEN id LIKE '%11' THEN NULL WHEN id LIKE '%12' THEN ' ' ELSE provider END AS provider,
+       CASE WHEN id LIKE '%13' THEN NULL ELSE payload END AS payload, CASE WHEN id LIKE '%14' THEN '3' ELSE headers END AS headers
+FROM fx_webhooks
+""")
+_fx("fx_dom_audit", """
+SELECT concat('AU', cast(event_id AS string)) AS id,
+       CASE event_id % 40 WHEN 1 THEN NULL WHEN 2 THEN '' ELSE 'system' END AS actor_type,
+       CASE event_id % 40 WHEN 3 THEN NULL WHEN 4 THEN 'guess' WHEN 5 THEN 'reverse' ELSE 'update' END AS action,
+       CASE event_id % 40 WHEN 6 THEN NULL WHEN 7 THEN ' ' ELSE 'journal_lines' END AS entity_type,
+       CASE event_id % 40 WHEN 8 THEN '[]' WHEN 9 THEN NULL ELSE '{}' END AS metadata,
+       CASE event_id % 40 WHEN 10 THEN '1' WHEN 11 THEN NULL ELSE '{"a":1}' END AS before_state,
+       CASE event_id % 40 WHEN 12 THEN 'x' WHEN 13 THEN NULL ELSE '{"a":2}' END AS after_state,
+       CASE event_id % 40 WHEN 14 THEN '"a"' WHEN 15 THEN NULL ELSE '{"a":{}}' END AS diff
+FROM events
+""")
+_fx("fx_dom_batches", """
+SELECT concat('RB', cast(o_orderkey AS string)) AS id,
+       CASE o_orderkey % 30 WHEN 1 THEN NULL WHEN 2 THEN '' ELSE 'bank' END AS source_system,
+       CASE o_orderkey % 30 WHEN 3 THEN NULL WHEN 4 THEN 'open' ELSE 'pending' END AS status,
+       CASE o_orderkey % 30 WHEN 5 THEN '[]' ELSE '{}' END AS metadata,
+       cast(CASE o_orderkey % 30 WHEN 6 THEN -1 ELSE 5 END AS decimal(20,8)) AS expected_total_amount,
+       cast(CASE o_orderkey % 30 WHEN 7 THEN -1 ELSE 5 END AS decimal(20,8)) AS matched_total_amount,
+       cast(CASE o_orderkey % 30 WHEN 0 THEN -1 ELSE 5 END AS decimal(20,8)) AS mismatch_total_amount,
+       cast(CASE o_orderkey % 30 WHEN 3 THEN -1 ELSE 1 END AS int) AS expected_total_count,
+       cast(CASE o_orderkey % 30 WHEN 2 THEN -1 ELSE 1 END AS int) AS matched_total_count, 0 AS mismatch_total_count
+FROM orders
+""")
+_fx("fx_dom_items", """
+SELECT concat('RI', cast(o_orderkey AS string)) AS id,
+       CASE o_orderkey % 30 WHEN 1 THEN NULL ELSE 'RB1' END AS reconciliation_batch_id,
+       CASE o_orderkey % 30 WHEN 2 THEN NULL WHEN 3 THEN 'ng' ELSE 'NGN' END AS currency_code,
+       cast(CASE o_orderkey % 30 WHEN 4 THEN NULL WHEN 5 THEN 0 ELSE 5 END AS decimal(20,8)) AS amount,
+       CASE o_orderkey % 30 WHEN 6 THEN NULL WHEN 7 THEN 'lost' ELSE 'matched' END AS status,
+       cast(CASE o_orderkey % 30 WHEN 0 THEN -1 ELSE 5 END AS decimal(20,8)) AS matched_amount,
+       cast(CASE o_orderkey % 30 WHEN 1 THEN -1 ELSE 0 END AS decimal(20,8)) AS variance_amount,
+       CASE o_orderkey % 30 WHEN 2 THEN NULL WHEN 3 THEN '{' ELSE '{}' END AS metadata
+FROM orders
+""")
+
+
 def render(sql: str, dialect: str) -> str:
     ts = "timestamp_ntz" if dialect == "spark" else "timestamp"
     out = sql.replace("{TS}", ts)

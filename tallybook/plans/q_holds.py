@@ -125,14 +125,17 @@ cb AS (SELECT hook_id, received_at, json_extract_string(body, '$.event') AS even
 cbk AS (SELECT *, CASE WHEN event = 'transfer.success' THEN 'success'
                        WHEN event IN ('transfer.failed', 'transfer.reversed') THEN 'failure' END AS kind
         FROM cb),
-trf AS (SELECT request_id AS id, 'pending' AS status FROM fx_withdrawals),
+trf AS (SELECT request_id AS id, 'pending' AS status,
+               EXISTS (SELECT 1 FROM fx_accounts a WHERE a.account_type = 'settlement'
+                       AND a.currency_code = w.currency_code) AS settles FROM fx_withdrawals w),
 hold AS (SELECT request_id AS transfer_id, concat('hold:', request_id) AS hold_id,
                 requested_at + INTERVAL '24 hours' AS exp FROM fx_withdrawals),
-j AS (SELECT cbk.*, trf.status AS tst, hold.hold_id, hold.exp FROM cbk
+j AS (SELECT cbk.*, trf.status AS tst, trf.settles, hold.hold_id, hold.exp FROM cbk
       LEFT JOIN trf ON trf.id = cbk.transfer_id LEFT JOIN hold ON hold.transfer_id = cbk.transfer_id),
 app AS (SELECT *, row_number() OVER (PARTITION BY transfer_id ORDER BY received_at, hook_id) AS rn
         FROM j WHERE kind IS NOT NULL AND tst IS NOT NULL AND tst NOT IN ('posted', 'failed')
-          AND hold_id IS NOT NULL AND (exp IS NULL OR exp > received_at)),
+          AND hold_id IS NOT NULL AND (exp IS NULL OR exp > received_at)
+          AND (kind = 'failure' OR settles)),
 w AS (SELECT transfer_id, hook_id AS win_hook, kind AS win_kind, received_at AS win_at
       FROM app WHERE rn = 1),
 x AS (SELECT j.*, w.win_hook, w.win_kind,
@@ -158,6 +161,7 @@ SELECT hook_id, transfer_id, event,
             WHEN is_win THEN NULL
             WHEN kind = 'failure' AND seen = 'failed' THEN 'transfer already failed'
             WHEN kind = 'success' AND seen = 'posted' THEN 'transfer already processed'
+            WHEN NOT after_win AND exp > received_at AND NOT settles THEN 'no settlement account'
             ELSE 'no active hold' END AS reason
 FROM y
 """)

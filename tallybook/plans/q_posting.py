@@ -105,7 +105,7 @@ def q_hold_legs(spark, d):
 
 
 @register("settlement_legs", oracle=f"""
-WITH t AS ({_WD_TRF}),
+WITH t AS ({_WD_TRF} WHERE a.id IS NOT NULL),
 legs AS (
   SELECT concat('withdrawal:', id) AS tx, 1 AS n, source_account_id AS account_id,
          'debit' AS side, amount, currency_code, requested_at FROM t
@@ -209,7 +209,9 @@ _DELTAS = """
 WITH o AS (
   SELECT o.*, s.id AS st, f.id AS fa FROM fx_ops o
   LEFT JOIN fx_accounts s ON s.account_type = 'settlement' AND s.currency_code = o.currency_code
-  LEFT JOIN fx_accounts f ON f.account_type = 'fee' AND f.currency_code = o.currency_code),
+  LEFT JOIN fx_accounts f ON f.account_type = 'fee' AND f.currency_code = o.currency_code
+  WHERE NOT (op_type IN ('deposit', 'settle_success') AND s.id IS NULL)
+    AND NOT (op_type = 'transfer' AND fee_amount > 0 AND f.id IS NULL)),
 e AS (
   SELECT op_id, currency_code, st AS account_id, 'debit' AS side, amount, 1 AS l, 0 AS h, 1 AS v FROM o WHERE op_type = 'deposit'
   UNION ALL SELECT op_id, currency_code, destination_account_id, 'credit', amount, 1, 0, 1 FROM o WHERE op_type = 'deposit'
@@ -264,16 +266,55 @@ def q_apply_deltas(spark, d):
     return out.drop("last_transaction_id", "last_line_id")
 
 
+@register("projection_after_ops", oracle=f"""
+WITH dl AS ({_DELTAS}),
+agg AS (SELECT account_id, currency_code, SUM(d_ledger) AS dl, SUM(d_held) AS dh,
+               SUM(d_available) AS dv FROM dl GROUP BY account_id, currency_code),
+sys AS (SELECT currency_code, min(id) FILTER (WHERE account_type = 'settlement') AS st,
+               min(id) FILTER (WHERE account_type = 'fee') AS fa FROM fx_accounts GROUP BY currency_code),
+o AS (SELECT f.*, st, fa FROM fx_ops f LEFT JOIN sys USING (currency_code)
+      WHERE NOT (op_type IN ('deposit', 'settle_success') AND st IS NULL)
+        AND NOT (op_type = 'transfer' AND fee_amount > 0 AND fa IS NULL)),
+n AS (SELECT *, unnest(CASE op_type WHEN 'transfer' THEN CASE WHEN fee_amount > 0 THEN [1, 2, 3] ELSE [1, 2] END
+                       WHEN 'hold' THEN [1] WHEN 'settle_failed' THEN [] ELSE [1, 2] END) AS k FROM o),
+leg AS (SELECT op_ts, seq_key, op_id, currency_code, k,
+               CASE WHEN op_type = 'deposit' AND k = 1 THEN st WHEN op_type = 'settle_success' AND k = 2 THEN st
+                    WHEN k = 1 THEN source_account_id WHEN k = 2 THEN destination_account_id ELSE fa END AS account_id,
+               CASE op_type WHEN 'settle_success' THEN concat('withdrawal:', hold_op_id)
+                    ELSE concat(op_type, ':', op_id) END AS tx FROM n),
+pick AS (SELECT account_id, currency_code, tx, concat(tx, '#', cast(k AS string)) AS line,
+                row_number() OVER (PARTITION BY account_id, currency_code
+                                   ORDER BY op_ts DESC, seq_key DESC, op_id DESC, k) AS rn FROM leg),
+p AS (SELECT * FROM fx_projections WHERE balance_kind = 'available')
+SELECT COALESCE(p.account_id, agg.account_id) AS account_id,
+       COALESCE(p.currency_code, agg.currency_code) AS currency_code,
+       cast(COALESCE(p.ledger_balance, 0) + COALESCE(agg.dl, 0) AS decimal(20,8)) AS ledger_balance,
+       cast(COALESCE(p.held_balance, 0) + COALESCE(agg.dh, 0) AS decimal(20,8)) AS held_balance,
+       COALESCE(p.version, 0) + CASE WHEN agg.dl IS NOT NULL THEN 1 ELSE 0 END AS version,
+       pick.tx AS last_transaction_id, pick.line AS last_line_id
+FROM p FULL OUTER JOIN agg ON p.account_id = agg.account_id AND p.currency_code = agg.currency_code
+LEFT JOIN pick ON pick.rn = 1 AND pick.account_id = COALESCE(p.account_id, agg.account_id)
+  AND pick.currency_code = COALESCE(p.currency_code, agg.currency_code)
+""")
+def q_projection_after_ops(spark, d):
+    x = Inputs(spark, d)
+    out = P.apply_deltas(x.projections, P.balance_deltas(x.ops, x.accounts), NOW,
+                         lasts=P.last_entries_of_ops(x.ops, x.accounts))
+    return out.filter(F.col("balance_kind") == "available").select(
+        "account_id", "currency_code", "ledger_balance", "held_balance", "version", "last_transaction_id", "last_line_id")
+
+
 @register("outbox_from_transfers", oracle="""
 SELECT concat(CASE status WHEN 'posted' THEN 'transfer.posted' ELSE 'transfer.failed' END, ':', id) AS id,
-       'transfer' AS aggregate_type, id AS aggregate_id,
+       'transfer_request' AS aggregate_type, id AS aggregate_id,
        CASE status WHEN 'posted' THEN 'transfer.posted' ELSE 'transfer.failed' END AS event_type,
        'pending' AS status, idempotency_key_id,
        concat('{"transfer_id":"', id, '","status":"', status, '","source_account_id":"',
               source_account_id, '","destination_account_id":"', destination_account_id,
               '","amount":"', cast(amount AS string), '","fee_amount":"',
               cast(fee_amount AS string), '","currency_code":"', currency_code, '"}') AS payload,
-       concat('{"aggregate_type":"transfer","aggregate_id":"', id, '"}') AS headers,
+       concat('{"client_reference":"', COALESCE(client_reference, ''), '","content_type":"application/json",'
+              || '"event_transaction":"ref:transfer:', id, '","source_system":"core"}') AS headers,
        destination_account_id AS partition_key, 0 AS retry_count,
        updated_at AS created_at, updated_at
 FROM fx_transfers WHERE status IN ('posted', 'failed')

@@ -16,6 +16,7 @@ from tallybook.plans.registry import register
 from tallybook.session import checkpoint_dir
 from tallybook.sources import ledger_io as IO
 from tallybook.sources import messages as M
+from tallybook.sources import snapshots as SN
 
 _PARSED = """
 SELECT request_id, kind, json_extract_string(body, '$.customer_id') AS customer_id,
@@ -134,3 +135,74 @@ def q_audit_from_snapshots(spark, d):
     after = conform(x.raw("fx_lines_after"), S.JOURNAL_LINES)
     audit = IO.audit_from_snapshots(x.lines, after, "id", "journal_lines")
     return audit.select("entity_id", "action", "changed_columns")
+
+
+@register("journal_append_twice", oracle=_LEDGER)
+def q_journal_append_twice(spark, d):
+    """A6 when it fails: a batch written twice, another whose marker is missing; readers see each line once."""
+    x = Inputs(spark, d)
+    where = f"{checkpoint_dir(spark)}/journal-{uuid.uuid4().hex}"
+    even = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    for batch, part in (("a", x.journal.filter(even)), ("b", x.journal.filter(~even)), ("a", x.journal.filter(even))):
+        own = part.select(F.col("id").alias("journal_transaction_id"))
+        IO.append_journal(part, x.lines.join(own, "journal_transaction_id", "left_semi"), where, batch=batch)
+    (x.lines.withColumn("accounting_period", F.lit("2024-01-01").cast("date")).write.partitionBy("accounting_period")
+     .parquet(f"{where}/journal_lines/batch=unfinished"))
+    t = IO.load_ledger(spark, where, ["journal_transactions", "journal_lines"])
+    return B.ledger_balance(t["journal_lines"], t["journal_transactions"], x.accounts)
+
+
+@register("colocated_ledger_balance", oracle=_LEDGER)
+def q_colocated_ledger_balance(spark, d):
+    """A6 into tables bucketed by transaction, each batch appended twice, then E1 on them."""
+    x = Inputs(spark, d)
+    name = f"journal_{uuid.uuid4().hex}"
+    IO.create_journal_tables(spark, name, f"{checkpoint_dir(spark)}/{name}", buckets=8)
+    even = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    for batch, part in (("a", x.journal.filter(even)), ("b", x.journal.filter(~even)), ("b", x.journal.filter(~even))):
+        own = part.select(F.col("id").alias("journal_transaction_id"))
+        IO.append_to_journal_tables(part, x.lines.join(own, "journal_transaction_id", "left_semi"), name, batch)
+    headers, lines = IO.journal_tables(spark, name)
+    return B.ledger_balance(lines, headers, x.accounts)
+
+
+def _snapshots(spark, d):
+    x = Inputs(spark, d)
+    base = f"{checkpoint_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    SN.write_snapshot(x.lines, f"{base}/before", buckets=64)
+    SN.write_snapshot(conform(x.raw("fx_lines_after"), S.JOURNAL_LINES), f"{base}/after", buckets=64)
+    return f"{base}/before", f"{base}/after"
+
+
+#: A journal line as the audit trail writes it (null columns left out).
+_LINE_JSON = """concat('{"id":"', X.id, '","journal_transaction_id":"', X.journal_transaction_id, '","line_number":',
+  cast(X.line_number AS string), ',"account_id":"', X.account_id, '","side":"', X.side, '","amount":', cast(X.amount AS string),
+  ',"currency_code":"', X.currency_code, '","balance_kind":"', X.balance_kind, '","metadata":"', X.metadata,
+  '","created_at":"', strftime(X.created_at, '%Y-%m-%dT%H:%M:%S.%g'), '"}')"""
+
+
+@register("audit_between_snapshots", oracle=f"""
+SELECT COALESCE(b.id, a.id) AS entity_id, 'journal_lines' AS entity_type,
+       CASE WHEN b.id IS NULL THEN 'insert' WHEN a.id IS NULL THEN 'delete' ELSE 'update' END AS action,
+       CASE WHEN b.id IS NOT NULL THEN {_LINE_JSON.replace('X.', 'b.')} END AS before_state,
+       CASE WHEN a.id IS NOT NULL THEN {_LINE_JSON.replace('X.', 'a.')} END AS after_state,
+       CASE WHEN b.id IS NOT NULL AND a.id IS NOT NULL
+            THEN concat('{{"amount":{{"before":"', cast(b.amount AS string), '","after":"', cast(a.amount AS string), '"}}}}') END AS diff,
+       'nightly-7' AS request_id, 'run-2024-02-01' AS correlation_id
+FROM fx_lines b FULL OUTER JOIN fx_lines_after a ON a.id = b.id
+WHERE a.id IS NULL OR b.id IS NULL OR a.amount <> b.amount
+""")
+def q_audit_between_snapshots(spark, d):
+    before, after = _snapshots(spark, d)
+    audit = SN.audit_between(spark, before, after, "journal_lines", request_id="nightly-7",
+                             correlation_id="run-2024-02-01")
+    return audit.select("entity_id", "entity_type", "action", "before_state", "after_state", "diff", "request_id",
+                        "correlation_id")
+
+
+@register("append_only_between_snapshots", oracle="""
+SELECT CASE WHEN a.id IS NULL THEN 'deleted' ELSE 'updated' END AS rule, 'journal_lines' AS table_name, b.id AS key
+FROM fx_lines b LEFT JOIN fx_lines_after a ON a.id = b.id WHERE a.id IS NULL OR a.amount <> b.amount
+""")
+def q_append_only_between_snapshots(spark, d):
+    return SN.append_only_violations(spark, *_snapshots(spark, d)).select("rule", "table_name", "key")

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs.
+"""Structured Streaming jobs (A2, I1-I4, I6, I8, I9); the stateful ones are in ``stateful``.
 
 Every sink is written with ``foreachBatch`` into a folder keyed by the batch id
 (``.../batch_id=N``) with overwrite, so a micro-batch replayed after a failure
@@ -14,15 +14,12 @@ on the session time zone.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from decimal import Decimal
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallybook.functions.text import utc_instant, utc_wall
 from tallybook.operators import outbox as O
@@ -181,77 +178,6 @@ def stream_settle(withdrawals: DataFrame, callbacks: DataFrame, within: str = "2
                     utc_wall("c_ts").alias("received_at"))
 
 
-# ---------------------------------------------------------------- I7
-
-HOLD_EVENT_OUT = T.StructType([
-    T.StructField("hold_id", T.StringType()), T.StructField("status", T.StringType()),
-    T.StructField("remaining_amount", T.DecimalType(20, 8)),
-    T.StructField("event_time", T.TimestampType())])
-HOLD_STATE = T.StructType([
-    T.StructField("status", T.StringType()), T.StructField("remaining", T.StringType()),
-    T.StructField("expires_ms", T.LongType())])
-
-
-def _hold_timer(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
-                ) -> Iterator[pd.DataFrame]:
-    """Per-hold state machine: create → (consume | release) or expiry at expires_at."""
-    hold_id = key[0]
-    if state.hasTimedOut:
-        status, remaining, _ = state.get
-        state.remove()
-        if status == "active":
-            yield pd.DataFrame({"hold_id": [hold_id], "status": ["expired"],
-                                "remaining_amount": [Decimal(0)],
-                                "event_time": [pd.Timestamp(state.getCurrentWatermarkMs(),
-                                                            unit="ms")]})
-        return
-    if state.exists:
-        status, remaining, expires_ms = state.get
-    else:
-        status, remaining, expires_ms = None, "0", None
-    out = []
-    pdf = pd.concat(list(pdfs)).sort_values(["event_time", "seq"])
-    for r in pdf.itertuples(index=False):
-        if r.action == "create" and status is None:
-            status, remaining = "active", str(r.amount)
-            expires_ms = int(pd.Timestamp(r.expires_at).value // 1_000_000)
-        elif (r.action in ("consume", "release") and status == "active"
-              and (expires_ms is None or pd.Timestamp(r.event_time).value // 1_000_000 < expires_ms)
-              and 0 < Decimal(r.amount) <= Decimal(remaining)):
-            status = "consumed" if r.action == "consume" else "released"
-            remaining = str(Decimal(remaining) - Decimal(r.amount))
-        else:
-            continue
-        out.append((hold_id, status, Decimal(remaining), r.event_time))
-    if status is not None and (status == "active" or expires_ms is not None):
-        # A finished hold stays as a tombstone until its expiry, so a repeated create finds it.
-        state.update((status, remaining, expires_ms))
-        if expires_ms is not None:
-            state.setTimeoutTimestamp(max(expires_ms, state.getCurrentWatermarkMs() + 1))
-    elif state.exists:
-        state.remove()
-    if out:
-        yield pd.DataFrame(out, columns=["hold_id", "status", "remaining_amount", "event_time"])
-
-
-def stream_hold_timers(hold_events: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Hold lifecycle per hold id with an event-time timer at expires_at.
-
-    ``hold_events``: hold_id, action (create/consume/release), amount, expires_at,
-    event_time, seq. Emits each transition; an active hold whose timer fires
-    (watermark passes expires_at) emits ``expired``. Grouped-map state runs per
-    hold (Arrow batches). A consume or release takes its amount off the remaining one, is ignored when it
-    asks for more than is left or is dated at or after expires_at; a finished hold's state goes when its
-    timer fires, at once if it has none.
-    """
-    ev = (hold_events.withColumn("event_time", utc_instant("event_time"))
-          .withColumn("expires_at", utc_instant("expires_at"))
-          .withColumn("amount", F.col("amount").cast("string"))
-          .withWatermark("event_time", late))
-    return ev.groupBy("hold_id").applyInPandasWithState(
-        _hold_timer, HOLD_EVENT_OUT, HOLD_STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
 # ---------------------------------------------------------------- I8
 
 def stream_outbox(outbox_changes: DataFrame, topic_path: str, state_path: str,
@@ -299,4 +225,4 @@ def backlog_windows(events: DataFrame, event_time: str = "ts", channel: str = "c
 
 __all__ = ["read_requests", "batch_sink", "read_sink", "latest_per_key", "run", "stream_intake",
            "stream_route", "stream_dedupe", "stream_balances", "stream_settle",
-           "stream_hold_timers", "stream_outbox", "backlog_windows"]
+           "stream_outbox", "backlog_windows"]

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import D, opening, ops
+from tallybook.functions.graph import account_components
 from tallybook.operators import admission as A
 
 
@@ -60,14 +61,45 @@ def random_ops(seed, n, n_accounts, hot=False):
     return rows
 
 
-@pytest.mark.parametrize("seed,n,k,hot,tail", [(1, 120, 5, False, 0), (2, 200, 3, False, 10_000),
-                                               (3, 150, 8, True, 60), (4, 80, 2, True, 0)])
-def test_admit_equals_sequential(spark, seed, n, k, hot, tail):
+@pytest.mark.parametrize("seed,n,k,hot,cut", [(1, 120, 5, False, 7), (2, 200, 3, False, 10_000),
+                                              (3, 150, 8, True, 40), (4, 80, 2, True, 1), (5, 300, 60, False, 25)])
+def test_admit_equals_sequential(spark, monkeypatch, seed, n, k, hot, cut):
     rows = random_ops(seed, n, k, hot)
     open_rows = [("A1", 30)]
-    got = {r["op_id"]: r["status"] for r in A.admit(ops(spark, rows), opening(spark, open_rows),
-                                                    tail_rows=tail).collect()}
-    assert got == sequential(rows, open_rows)
+    for worth in (0, 16):                    # replayed after one round of bounds, and after several
+        monkeypatch.setattr(A, "WORTH", worth)
+        got = {r["op_id"]: r["status"] for r in A.admit(ops(spark, rows), opening(spark, open_rows),
+                                                        slice_ops=cut).collect()}
+        assert got == sequential(rows, open_rows)
+
+
+def test_account_components(spark):
+    rnd = random.Random(3)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1300)]
+    links += [(2000, i) for i in range(2001, 2400)]
+    up = {}
+
+    def top(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a, b in links:
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    got = {r.node: r.component for r in account_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: top(x) for x in up}
+    assert account_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_admit_hold_settled_on_another_account(spark):
+    """The accounts that one hold and its settlements name are one component."""
+    rows = [("o1", 0, "hold", "A1", None, 10, 0, None), ("o2", 1, "settle_failed", "A2", None, 10, 0, "o1"),
+            ("o3", 2, "settle_failed", "A3", None, 10, 0, "o1"), ("o4", 3, "transfer", "A2", "A3", 10, 0, None),
+            ("o5", 4, "transfer", "A3", "A1", 20, 0, None)]
+    for cut in (1, 2, 100):
+        got = A.admit(ops(spark, rows), opening(spark, [("A1", 10)]), slice_ops=cut).collect()
+        assert {r["op_id"]: r["status"] for r in got} == {f"o{k}": "accepted" for k in range(1, 6)}
 
 
 def test_admit_excludes_system_accounts(spark):
@@ -86,7 +118,8 @@ def test_admit_long_chain_and_untimed_op(spark):
     frame = ops(spark, rows)
     bad = frame.limit(1).withColumn("op_id", F.lit("bad")).withColumn(
         "op_ts", F.lit(None).cast("timestamp_ntz"))
-    out = A.admit(frame.unionByName(bad), opening(spark, [("A0", 10)])).collect()
+    out = A.admit(frame.unionByName(bad), opening(spark, [("A0", 10)]), slice_ops=120).collect()
+    assert {r["rounds"] for r in out} == {1 + 5}           # bounds, then five slices of the one component
     assert {r["op_id"]: r["status"] for r in out} == {r[0]: "accepted" for r in rows} | {"bad": "invalid"}
 
 
@@ -106,13 +139,13 @@ def test_admit_currencies_and_sides(spark):
     assert left[("D1", "NGN")] == D(5) and left[("A1", "USD")] == D(50)
 
 
-@pytest.mark.parametrize("tail", [0, 10_000])
-def test_admit_ops_without_account_or_amount(spark, tail):
+@pytest.mark.parametrize("cut", [1, 10_000])
+def test_admit_ops_without_account_or_amount(spark, cut):
     o = ops(spark, [("o1", 0, "transfer", None, "A1", 10, 0, None), ("o2", 1, "hold", "A1", None, 10, 0, None),
                     ("o3", 2, "transfer", "A1", "A2", 5, 0, None), ("o4", 3, "transfer", "A1", None, 5, 0, None),
                     ("o5", 4, "hold", "A1", None, 15, 0, None), ("o6", 5, "deposit", None, "A1", 5, 0, None)])
     o = o.withColumn("amount", F.expr("if(op_id in ('o3', 'o6'), null, amount)"))
-    got = A.admit(o, opening(spark, [("A1", 24)]), tail_rows=tail)
+    got = A.admit(o, opening(spark, [("A1", 24)]), slice_ops=cut)
     assert {r["op_id"]: r["status"] for r in got.collect()} == {
         "o1": "invalid", "o2": "accepted", "o3": "invalid", "o4": "invalid", "o5": "rejected", "o6": "invalid"}
     left = {r["account_id"]: r["available_balance"]
