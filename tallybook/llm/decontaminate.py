@@ -1,8 +1,9 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, queried with every passage of
 every document by block-max WAND, then verified on question and answer.
 
-An item is indexed in segments of at most ``SEGMENT`` words, and a passage is a window of twice that,
-half overlapping, so some passage holds any copied segment whole. Impacts are divided by the segment's own
+An item is indexed in segments of at most ``SEGMENT`` words, each half over the next, and a passage is a window of
+twice that, half overlapping: an excerpt of ``SEGMENT`` words, wherever it starts, covers three quarters of some
+segment and lies in some passage whole. Impacts are divided by the segment's own
 score: a passage's score is the share of a segment's weight that it covers, and one threshold serves
 all. Per batch of passages the block maxima of their terms are first added up for every block at once (the
 shallow look of block-max WAND); only a passage with a live block walks the postings, by pivots, and
@@ -12,9 +13,10 @@ counts when that share of a retrieved segment's shingles does, so that an excerp
 share is its ``question_overlap``, its ``answer_overlap`` is null. Items of under ``least_words`` words must
 occur word for word, question and answer each in a row.
 
-The benchmark is split by a hash into indexes of at most ``index_chars`` characters; each is small by
-that bound, travels to the tasks as it is, and costs one more look at a passage. Documents are neither
-shuffled nor collected.
+The benchmark is split by a hash into parts of about ``index_chars`` characters. One part at a time is fetched,
+indexed and sent to the tasks, its hits are written before the next part is fetched: neither the driver nor a task ever
+holds more than one part, however large the benchmark, and each part costs one look at the documents, which are
+neither shuffled nor collected.
 
 Rules: null text counts as empty; items without a word are in no document; repeated items and documents
 each count; an empty benchmark finds nothing. Extra columns are ignored.
@@ -27,6 +29,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tallybook.llm.common import text_or_empty
+from tallybook.session import stage
 
 _WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -52,6 +56,14 @@ def shingles(words: list[str], n: int = SHINGLE) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
+def segments_of(words: list[str]) -> list[list[str]]:
+    """Segments of equal size, ``SEGMENT`` words at most, each half over the next."""
+    n = len(words)
+    halves = 2 * -(-n // SEGMENT)
+    at = [n * k // halves for k in range(halves + 1)] if n else []
+    return [words[a:b] for a, b in zip(at, at[2:])]
+
+
 class Index:
     """Inverted index of the segments of some items, with block maxima."""
 
@@ -64,9 +76,7 @@ class Index:
         self.segments: list[set | None] = []        # shingles of each segment that is verified
         counts = []
         for i, (_, q, a) in enumerate(items):
-            words, parts = q + a, -(-len(q + a) // SEGMENT)
-            for k in range(parts):
-                own = words[len(words) * k // parts:len(words) * (k + 1) // parts]
+            for own in segments_of(q + a):
                 counts.append(Counter(own))
                 self.item_of.append(i)
                 self.segments.append(None if q and a else shingles(own))
@@ -214,31 +224,24 @@ class Exact:
         return out
 
 
-def item_blocks(benchmark: DataFrame, index_chars: int = 1_000_000) -> Iterator[list[tuple]]:
-    """All items that have words, in blocks of at most about ``index_chars`` characters."""
+def item_parts(benchmark: DataFrame, index_chars: int = 1_000_000) -> Iterator[list[tuple]]:
+    """All items that have words, in parts of about ``index_chars`` characters, one fetched at a time."""
     answer = text_or_empty("answer") if "answer" in benchmark.columns else F.lit("")
     items = benchmark.select("item_id", text_or_empty("text").alias("text"), answer.alias("answer"))
     chars = items.agg(F.sum(F.length("text") + F.length("answer"))).first()[0] or 0
     parts = -(-chars // index_chars) or 1
     for k in range(parts):
-        block = [(r["item_id"], words_of(r["text"]), words_of(r["answer"]))
-                 for r in (items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-                           .orderBy("item_id", "text").collect())]
-        yield [x for x in block if x[1] or x[2]]
-
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).orderBy("item_id", "text").collect()
+        block = [(r["item_id"], words_of(r["text"]), words_of(r["answer"])) for r in rows]
+        if block := [x for x in block if x[1] or x[2]]:
+            yield block
 
-def build_indexes(benchmark: DataFrame, index_chars: int = 1_000_000, least_words: int = 5) -> list[Index]:
-    """Indexes over all items of at least ``least_words`` words."""
-    blocks = ([x for x in block if len(x[1]) + len(x[2]) >= least_words]
-              for block in item_blocks(benchmark, index_chars))
-    return [Index(block) for block in blocks if block]
 
-
-def build_exact(benchmark: DataFrame, index_chars: int = 1_000_000, least_words: int = 5) -> list[Exact]:
-    """Tables of all items of under ``least_words`` words."""
-    blocks = ([x for x in block if len(x[1]) + len(x[2]) < least_words]
-              for block in item_blocks(benchmark, index_chars))
-    return [Exact(block) for block in blocks if block]
+def searchers(items: list[tuple], least_words: int = 5) -> list[Index | Exact]:
+    """What finds the items of one part: an index, and a table of items of under ``least_words`` words."""
+    long = [x for x in items if len(x[1]) + len(x[2]) >= least_words]
+    short = [x for x in items if len(x[1]) + len(x[2]) < least_words]
+    return ([Index(long)] if long else []) + ([Exact(short)] if short else [])
 
 
 def hits_type(id_type: T.DataType) -> T.ArrayType:
@@ -261,22 +264,33 @@ def hits_column(index: Index | Exact, id_type: T.DataType, text_col: str = "text
     return hits(F.col(text_col).cast("string"))
 
 
-def all_hits(benchmark: DataFrame) -> Column | None:
-    """Hits of a text against the whole benchmark (None: nothing to search for)."""
+def part_hits(benchmark: DataFrame, index_chars: int = 1_000_000) -> Iterator[Column]:
+    """Hits of a text against one part of the benchmark after the other."""
     id_type = benchmark.schema["item_id"].dataType
-    columns = [hits_column(ix, id_type) for ix in [*build_indexes(benchmark), *build_exact(benchmark)]]
-    return (F.concat(*columns) if len(columns) > 1 else columns[0]) if columns else None
+    for items in item_parts(benchmark, index_chars):
+        columns = [hits_column(x, id_type) for x in searchers(items)]
+        yield F.concat(*columns) if len(columns) > 1 else columns[0]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, index_chars: int = 1_000_000) -> DataFrame:
     """One row per document and verified item: doc_id, item_id, score, question_overlap, answer_overlap."""
-    hits = all_hits(benchmark)
-    if hits is None:
-        hits = F.array().cast(hits_type(benchmark.schema["item_id"].dataType))
-    return docs.select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.*")
+    none = F.array().cast(hits_type(benchmark.schema["item_id"].dataType))
+
+    def rows(hits: Column) -> DataFrame:
+        return docs.select("doc_id", F.explode(hits).alias("h")).select("doc_id", "h.*")
+    found, last = [], none
+    for hits in part_hits(benchmark, index_chars):
+        if last is not none:
+            found.append(stage(rows(last), "contamination"))
+        last = hits
+    return reduce(DataFrame.unionByName, found, rows(last))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, index_chars: int = 1_000_000) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    hits = all_hits(benchmark)
-    return docs if hits is None else docs.filter(F.size(hits) == 0)
+    last = None
+    for hits in part_hits(benchmark, index_chars):
+        if last is not None:
+            docs = stage(docs.filter(F.size(last) == 0), "clean-docs")
+        last = hits
+    return docs if last is None else docs.filter(F.size(last) == 0)

@@ -43,17 +43,17 @@ def _merge(runs: DataFrame, best) -> DataFrame:
 
 def resolve(entries: DataFrame, keep: str = "largest", fan_in: int = 16) -> DataFrame:
     """Staged (doc_id, row, run, digest key) → the same rows with ``win`` and ``n`` of the group."""
-    sign = F.lit(1 if keep == "largest" else -1)
+    # Ids of any ordered type: the greatest known id by maximum, the least by minimum, unknown ones last.
+    best, known = (F.max, F.col("doc_id").isNotNull()) if keep == "largest" else (F.min, F.col("doc_id").isNull())
     last = entries.agg(F.max("run")).first()[0] or 0
     rounds = 1
     while fan_in ** rounds <= last:
         rounds += 1
-    level = _merge(entries.withColumn("win", F.struct(
-        F.col("doc_id").isNotNull().alias("known"), (sign * F.col("doc_id")).alias("rank"),
-        F.col("row"))).withColumn("n", F.lit(1).cast("long")), F.max)
+    level = _merge(entries.withColumn("win", F.struct(known.alias("known"), F.col("doc_id").alias("rank"), F.col("row")))
+                   .withColumn("n", F.lit(1).cast("long")), best)
     levels = [level]
     for _ in range(rounds):
-        level = _merge(level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")), F.max)
+        level = _merge(level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")), best)
         levels.append(level)
     verdict = levels.pop()
     for lower in reversed(levels):
@@ -61,7 +61,7 @@ def resolve(entries: DataFrame, keep: str = "largest", fan_in: int = 16) -> Data
         verdict = (lower.select("run", *KEY, F.floor(F.col("run") / fan_in).cast("int").alias("up"))
                    .join(up, ["up", *KEY]).drop("up"))
     return (entries.join(verdict, ["run", *KEY])
-            .withColumn("keep_id", sign * F.col("win.rank")))
+            .withColumn("keep_id", F.col("win.rank")))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -11,7 +11,10 @@ For the second join a host's winner is replicated ``salts`` times and its pages
 replicas, so a host with a third of all pages does not meet in one task.
 
 Left out everywhere: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments,
-known by tag or by a word of their class, id or role. Character references are decoded, white space
+known by tag or by a word of their class, id or role. A word inside a longer class name does not condemn an element that
+wraps the article (``class="post comments-open"``): if another class does not say so, and the element holds most of
+the page's unlinked text while little, and no ``article`` or ``main``, stands outside all elements marked like it, it
+counts as unmarked. A ``header`` inside ``article`` or ``main`` is the article's own. Character references are decoded, white space
 inside a block becomes one space, blocks are joined by line feeds in page order; ``br`` is white space.
 
 Rules: null html is an empty page with empty text; pages with null or odd URLs vote under their own host
@@ -38,7 +41,7 @@ _TOKEN = re.compile(
     r"|<(?P<raw>script|style|noscript|template|textarea|select|svg|iframe|object|math|title)(?![\w-])[^>]*>"
     r".*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>",
     re.S | re.I)
 _ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
@@ -69,28 +72,58 @@ class Block(NamedTuple):
     path: tuple[str, ...]      # generalised containers from body down
 
 
-def _names(tag: str, attrs: str) -> tuple[str, bool]:
-    """Generalised classes of a tag and whether its attributes mark boilerplate (never the article's)."""
-    label, boiler = "", False
+def _names(tag: str, attrs: str) -> tuple[str, int]:
+    """Generalised classes of a tag and whether its attributes mark boilerplate: 0 no, 1 perhaps, 2 yes.
+
+    Perhaps: only a word inside a longer class name does, or the tag is the article's, and another class does not.
+    """
+    label, mark = "", 0
     if "=" in attrs:
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "role":
-                boiler |= value in BOILER_ROLES
+                mark = max(mark, 2 * (value in BOILER_ROLES))
+                continue
+            own = [c for c in value.split() if not c.startswith(("no-", "has-", "with-"))]
+            bad = [c for c in own if not BOILER_WORDS.isdisjoint(_WORDS.findall(c))]
+            if bad:
+                part = tag in ("article", "main") or not any(c in BOILER_WORDS for c in bad)
+                mark = max(mark, 1 if part and len(bad) < len(own) else 2)
+            if name == "class":
+                label = "".join("." + re.sub(r"[0-9]+", "#", c) for c in sorted(value.split()))
+    return label, mark
+
+
+def _unmarked(out: list[tuple[Block, tuple[int, ...]]]) -> list[Block]:
+    """Blocks outside marked elements, where an element that wraps the article does not count as marked."""
+    free: set[int] = set()
+    while True:
+        held: dict[int, int] = defaultdict(int)
+        outside = total = 0
+        article = False
+        for b, marks in out:
+            worth = max(len(b.text) - b.links, 0)
+            total += worth
+            first = next((m for m in marks if m not in free), None)
+            if first is None:
+                outside += worth
+                article |= any(x.startswith(("article", "main")) for x in b.path)
             else:
-                boiler |= any(not BOILER_WORDS.isdisjoint(_WORDS.findall(c)) for c in value.split()
-                              if not c.startswith(("no-", "has-", "with-")))
-                if name == "class":
-                    label = "".join("." + re.sub(r"[0-9]+", "#", c) for c in sorted(value.split()))
-    return label, boiler and tag not in ("article", "main")
+                held[first] += worth
+        big = max(held, key=lambda m: (held[m], -m), default=None)
+        if big is None or article or 2 * held[big] <= total or 4 * outside >= held[big]:
+            return [b for b, marks in out if free.issuperset(marks)]
+        free.add(big)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page outside boilerplate, with their container paths."""
-    out: list[Block] = []
-    # Open elements: tag, path label (containers only), boilerplate depth.
-    stack: list[tuple[str, str, bool]] = []
+    out: list[tuple[Block, tuple[int, ...]]] = []
+    # Open elements: tag, path label (containers only), whether the tag is boilerplate, its mark (0: none).
+    stack: list[tuple[str, str, bool, int]] = []
     path: tuple[str, ...] = ("body",)
+    marks: tuple[int, ...] = ()
+    marked = 0
     boiler = links = 0
     parts: list[str] = []
     linked = 0
@@ -99,14 +132,18 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         if parts:
             if text := " ".join(html.unescape("".join(parts)).split()):
-                out.append(Block(text, min(linked, len(text)), path))
+                out.append((Block(text, min(linked, len(text)), path), marks))
             parts.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal boiler, links, path
-        tag, label, bad = stack.pop()
+        nonlocal boiler, links, path, marks
+        if stack[-1][3]:
+            flush()
+        tag, label, bad, mark = stack.pop()
         boiler -= bad
+        if mark:
+            marks = marks[:-1]
         links -= tag == "a"
         if label:
             path = path[:-1]
@@ -161,17 +198,24 @@ def blocks_of(page: str) -> list[Block]:
             say(" ")
         if tag in VOID or tag in ("body", "html"):
             continue
-        label, bad = _names(tag, m["attrs"])
-        bad = bad or tag in BOILER_TAGS
+        label, named = _names(tag, m["attrs"])
+        bad = named == 2 or (tag in BOILER_TAGS and not (
+            tag == "header" and any(x[0] in ("article", "main") for x in stack)))
+        mark = 0
+        if named and not bad:
+            flush()
+            marked += 1
+            mark = marked
+            marks = (*marks, mark)
         boiler += bad
         links += tag == "a"
         own = tag + label if tag in CONTAINERS else ""
         if own:
             path = (*path, own)
-        stack.append((tag, own, bad))
+        stack.append((tag, own, bad, mark))
     say(page[at:])
     flush()
-    return out
+    return _unmarked(out)
 
 
 def scores(blocks: list[Block]) -> dict[str, float]:

@@ -44,6 +44,9 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mark = chr(START) * 3 + " "
     joined = mark + mark.join(t.replace(chr(START), " ") + " " for t in texts)
     c = np.frombuffer(joined.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    private = (c >= 0xE000) & (c < 0xF900)            # no letters; their codes stand for far ones below
+    if private.any():
+        c = np.where(private, SPACE, c).astype(np.uint32)
     if c.max(initial=0) > 0xFFFF:
         far = c > 0xFFFF
         kinds, where = np.unique(c[far], return_inverse=True)

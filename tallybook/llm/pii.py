@@ -2,11 +2,12 @@
 
 One Arrow pass reads each whole text once: base spans by pattern (seeds) and, around them and around
 every other identifier-like token, the words next to it. Two lexical patterns per slot, ``w2 w1 _`` and
-``w1 _ v1``, link to the slot's token: the pattern-instance graph. Spark scores it in rounds: a pattern's
+``w1 _ v1``, link to the slot's token: the pattern-instance graph. A slot is a base span, an identifier-like
+token, or a run of neighbouring number tokens (``(030) 1234 5678``). Spark scores the graph in rounds: a pattern's
 confidence for a kind is the share of its distinct instances known to be of that kind (``support`` of
 them at least); an unknown instance's score is the noisy-or of its patterns' confidences; instances at
-``accept`` or above are known in the next round. Occurrences of the instances found this way are added
-to the base spans, which always stay.
+``accept`` or above are known in the next round, and rounds go on until one adds none. Occurrences of the instances
+found this way are added to the base spans, which always stay.
 
 The graph holds identifier-like tokens only, edges are reduced to distinct (pattern, instance) pairs before
 anything is counted, and every step is a partial aggregate or an equi-join, so no frequent pattern or token
@@ -19,14 +20,16 @@ repeated ids included. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.common import text_or_empty
-from tallybook.session import stage
+from tallybook.session import stage, unstage
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -39,7 +42,9 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@]")
 _EDGE = ".,;:!?()[]{}\"'|<>*&%$#=`"
-_REACH = 120      # code points looked at on either side for the neighbouring words
+_WORD = re.compile(r"\S+")
+_NUMBERS = re.compile(r"[ \t\u00a0]([0-9(][0-9()./-]*)(?=[\s.,;:!?]|\Z)")   # a number token after a single blank
+_NUMBER = re.compile(r"[0-9(][0-9()./-]*")
 
 
 def _luhn(digits: str) -> bool:
@@ -80,39 +85,64 @@ def _like_identifier(token: str) -> bool:
     return len(token) >= 5 and ("@" in token or sum(c in "0123456789" for c in token) >= 3)
 
 
-def _patterns(text: str, start: int, end: int) -> list[str]:
-    left = [w for x in text[max(0, start - _REACH):start].split()[-2:] if (w := x.strip(_EDGE).lower())]
-    right = [w for x in text[end:end + _REACH].split()[:1] if (w := x.strip(_EDGE).lower())]
-    out = []
-    if len(left) == 2:
-        out.append(f"{left[0]} {left[1]} _")
-    if left and right:
-        out.append(f"{left[-1]} _ {right[0]}")
-    return out
+class _Words:
+    """Words of a text by position, found once for all its slots."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.spans = [m.span() for m in _WORD.finditer(text)]
+        self.starts = [s for s, _ in self.spans]
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Lexical patterns of a slot: the two words (or parts of words) before it, the one after."""
+        k = bisect_left(self.starts, start)
+        left = [self.text[s:min(e, start)] for s, e in self.spans[max(k - 2, 0):k]]
+        j = bisect_left(self.starts, end)
+        if j and self.spans[j - 1][1] > end:          # the rest of the word the slot ends in
+            right = [self.text[end:self.spans[j - 1][1]]]
+        else:
+            right = [self.text[s:e] for s, e in self.spans[j:j + 1]]
+        left = [w for x in left if (w := x.strip(_EDGE).lower())]
+        right = [w for x in right if (w := x.strip(_EDGE).lower())]
+        out = []
+        if len(left) == 2:
+            out.append(f"{left[0]} {left[1]} _")
+        if left and right:
+            out.append(f"{left[-1]} _ {right[0]}")
+        return out
 
 
 def slots_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """(start, end, kind or -1, instance, patterns) of base spans and other identifier-like tokens."""
-    out = [(s, e, k, text[s:e].lower(), _patterns(text, s, e)) for s, e, k in base]
+    """(start, end, kind or -1, instance, patterns) of base spans, other identifier-like tokens and number runs."""
+    if not base and not _HINT.search(text):
+        return []
+    words = _Words(text)
+    out = [(s, e, k, text[s:e].lower(), words.patterns(s, e)) for s, e, k in base]
     taken, over = sorted(base), 0
     done = 0
     for m in _HINT.finditer(text):
         if m.start() < done:
             continue
-        s, e = m.start(), m.end()
-        while s > done and not text[s - 1].isspace():
-            s -= 1
-        while e < len(text) and not text[e].isspace():
-            e += 1
-        done = e
+        k = bisect_left(words.starts, m.end()) - 1
+        s, e = words.spans[k]
+        s = max(s, done)
         token = text[s:e]
-        s += len(token) - len(token.lstrip(_EDGE))
-        token = token.strip(_EDGE)
+        if _NUMBER.fullmatch(token):
+            while run := _NUMBERS.match(text, e):
+                e = run.end()
+            token = text[s:e]
+        done = e
+        lead = len(token) - len(token.lstrip(_EDGE.replace("(", "")))
+        s += lead
+        token = token[lead:].rstrip(_EDGE.replace(")", ""))
+        if token.count("(") != token.count(")"):
+            s += len(token) - len(token.lstrip("()"))
+            token = token.strip("()")
         e = s + len(token)
         while over < len(taken) and taken[over][1] <= s:
             over += 1
         if _like_identifier(token) and not any(x[0] < e and x[1] > s for x in taken[over:over + 4]):
-            out.append((s, e, -1, token.lower(), _patterns(text, s, e)))
+            out.append((s, e, -1, token.lower(), words.patterns(s, e)))
     return out
 
 
@@ -144,16 +174,18 @@ def scan(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(look, schema)
 
 
-def bootstrap(slots: DataFrame, rounds: int = 2, support: int = 3, confident: float = 0.5,
-              accept: float = 0.75) -> DataFrame:
-    """Slots (kind, instance, patterns) → newly known (instance, kind, score)."""
-    edges = (slots.select("instance", F.explode("patterns").alias("pattern"), "kind")
-             .groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
-    seeds = slots.groupBy("instance").agg(F.max("kind").alias("kind")).filter(F.col("kind") >= 0)
-    found = None
+def bootstrap(slots: DataFrame, support: int = 3, confident: float = 0.5, accept: float = 0.75) -> DataFrame:
+    """Slots (kind, instance, patterns) → newly known (instance, kind, score), until a round adds none.
+
+    Every round's instances are a written table; a round without new ones ends the search, so their number is
+    the longest chain of patterns and instances, whatever it is.
+    """
+    edges = stage(slots.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pii-edges")
+    seeds = stage(slots.groupBy("instance").agg(F.max("kind").alias("kind")).filter(F.col("kind") >= 0), "pii-seeds")
+    found: list[DataFrame] = []
     known = seeds
-    for _ in range(rounds):
-        marked = edges.drop("kind").join(known, "instance", "left")
+    while True:
+        marked = edges.join(known, "instance", "left")
         shares = [F.struct((F.sum((F.col("kind") == k).cast("int")) / F.count("*")).alias("share"),
                            F.sum((F.col("kind") == k).cast("int")).alias("n"),
                            F.lit(k).alias("kind")) for k in range(len(KINDS))]
@@ -167,9 +199,14 @@ def bootstrap(slots: DataFrame, rounds: int = 2, support: int = 3, confident: fl
                   .groupBy("instance").agg(F.max(F.struct("score", -F.col("kind"))).alias("b"))
                   .select("instance", (-F.col("b.col2")).alias("kind"), F.col("b.score").alias("score"))
                   .filter(F.col("score") >= accept))
-        found = scored if found is None else found.unionByName(scored)
+        scored = stage(scored, "pii-found")
+        found.append(scored)
+        if scored.isEmpty():
+            break
         known = known.unionByName(scored.select("instance", "kind"))
-    return found
+    unstage(edges)
+    unstage(seeds)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _joined(spans: Column) -> Column:
@@ -178,11 +215,11 @@ def _joined(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_personal_data(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (base and found), n_found of every row."""
     seen = stage(scan(docs), "pii-scan")
     slots = seen.select("row", F.explode("slots").alias("s")).select("row", "s.*")
-    found = bootstrap(slots.select("kind", "instance", "patterns"), rounds)
+    found = bootstrap(slots.select("kind", "instance", "patterns"))
     added = (slots.filter(F.col("kind") < 0).select("row", "start", "end", "instance")
              .join(found.select("instance", "kind"), "instance")
              .groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("added")))

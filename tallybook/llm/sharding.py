@@ -21,9 +21,10 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.functions.windows import chunked_running_sum
 from tallybook.llm.common import text_or_empty
 from tallybook.session import stage
 
@@ -88,9 +89,10 @@ def assign_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, load_fact
     counts = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     ranges = lay_out(counts, shards, vnodes, load_factor)
     plan = spark.createDataFrame(ranges, "cell long, lo long, hi long, shard long, base long")
-    rank = F.row_number().over(Window.partitionBy("cell")
-                               .orderBy("pos", "doc_id", "text_crc32", "size")) - 1
-    return (rows.withColumn("rank", rank)
+    # A cell's rank is a two-level running count: a cell that holds one id's many rows is split like any other.
+    ranked = chunked_running_sum(rows, ["cell"], [F.col(c) for c in ("pos", "doc_id", "text_crc32", "size")],
+                                 {"rank": F.lit(1).cast("long")}, inclusive=False)
+    return (ranked
             .join(F.broadcast(plan.withColumn("cell", F.col("cell").cast("int"))), "cell")
             .filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
             .select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),

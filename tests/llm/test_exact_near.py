@@ -49,6 +49,49 @@ def test_exact_dedup_many_runs(spark):
     assert len(out) == 3000 and all(want[r.t] == (r.keep_id, r.n) for r in out)
 
 
+def test_exact_dedup_text_ids(spark):
+    rows = [("b", "x"), ("a", "X"), ("c", "y"), (None, "x"), ("a", "x"), (None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    for keep, want in (("largest", "b"), ("smallest", "a")):
+        got = exact_dedup(docs, keep=keep).collect()
+        assert {r.keep_id for r in got if r.group_size == 4} == {want}
+        assert sorted((r.doc_id or "", r.group_size) for r in got if r.kept) == sorted(((want, 4), ("c", 1), ("", 1)))
+    assert drop_exact_copies(docs).count() == 3
+
+
+def test_near_dup_repeated_ids(spark):
+    """Rows of one id with different texts, and the same row many times."""
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(1, text + f" t{k}") for k in range(20)] + [(1, text)] * 20 + [(2, "alone here with words")] * 3 + [(3, text)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()
+    assert len(got) == len(rows) and sum(r.kept for r in got) == 2
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 2), (3, 1)}
+
+
+def test_links_between_sets():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 10 ** 6, 60)).astype(np.int64)
+
+    def edit(n):
+        keep = rng.permutation(base)[n:]
+        return np.sort(np.concatenate([keep, rng.integers(10 ** 6, 10 ** 7, n)]))
+    left, right = [edit(n) for n in (0, 3, 9, 20)], [edit(n) for n in (1, 2, 8, 30, 4)]
+    near = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))
+    found = near_dup.links_between(left, right, np.arange(4), np.arange(10, 15), 80)
+    up = {x: x for x in [*range(4), *range(10, 15)]}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    for a, b in found:
+        assert near(left[a], right[b]) and top(a) != top(b + 10)
+        up[top(b + 10)] = top(a)
+    assert all(top(a) == top(b + 10) for a in range(4) for b in range(5) if near(left[a], right[b]))
+    same = near_dup.links_between(left, None, np.zeros(4, int), np.zeros(4, int), 80)
+    assert same == []
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1060)]

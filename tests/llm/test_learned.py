@@ -100,8 +100,11 @@ def test_contamination_rules(spark, odd_docs, no_docs):
     assert decontaminate.find_contamination(no_docs, bench).count() == 0
     left = decontaminate.drop_contaminated(odd_docs, bench)
     assert left.columns == odd_docs.columns and left.count() == 14
-    split = decontaminate.build_indexes(bench, index_chars=60)
-    assert sum(len(ix.items) for ix in split) == 2
+    split = [decontaminate.searchers(x) for x in decontaminate.item_parts(bench, index_chars=60)]
+    assert len(split) > 1 and sum(len(ix.items) for x in split for ix in x if isinstance(ix, decontaminate.Index)) == 2
+    parted = decontaminate.find_contamination(docs, bench, index_chars=60)
+    assert sorted((r.doc_id, r.item_id) for r in parted.collect()) == got
+    assert decontaminate.drop_contaminated(docs, bench, index_chars=60).count() == 5
 
 
 def test_contamination_by_excerpts_and_short_items(spark):
@@ -124,6 +127,28 @@ def test_contamination_by_excerpts_and_short_items(spark):
     assert got == [(1, 3), (2, 1), (2, 3), (3, 2), (5, 3)]
 
 
+def test_excerpts_of_a_segments_length_are_found(spark):
+    """Recall of excerpts of 32 words and more, wherever they start and wherever they stand."""
+    rng = random.Random(12)
+    items = [(r.item_id, decontaminate.words_of(r.text)) for r in table(spark, SF_MID, "benchmark").collect()]
+    items += [(10_000 + k, [f"v{rng.randrange(3000)}" for _ in range(n)]) for k, n in enumerate((33, 40, 48, 63, 64, 65, 90, 200))]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    rows, want = [], set()
+    for i, w in items:
+        for n in (32, 45):
+            if len(w) > n:
+                at = rng.randrange(len(w) - n + 1)
+                lead = [f"u{rng.randrange(5000)}" for _ in range(rng.randrange(90))]
+                want.add((len(rows), i))
+                rows.append((len(rows), " ".join(lead + w[at:at + n] + [f"u{rng.randrange(5000)}" for _ in range(50)])))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert len(want) > 10 and len(want & got) >= 0.9 * len(want)
+    for n in (0, 1, 32, 33, 47, 64, 100):
+        parts = decontaminate.segments_of(list(range(n)))
+        assert all(0 < len(p) <= 32 for p in parts) and {x for p in parts for x in p} == set(range(n))
+
+
 # ---- personal data --------------------------------------------------------------------------
 def spans(text):
     return ",".join(f"{kind}:{s}:{e}" for s, _, e, kind in personal_data(text))
@@ -316,3 +341,53 @@ def test_text_beside_the_winner_stays(spark):
     assert {r.page_id: r.text for r in got} == {i: layouts[i[0]][1] for i, _, _ in rows}
     for page, want in layouts.values():
         assert html_main.extract(page, None) == html_main.extract(page, "body>td") == want
+
+
+def test_wrappers_headers_and_odd_attributes():
+    """An article whose wrapper's class holds a boilerplate word; its own header; quotes inside unquoted values."""
+    text = "This is the article and it goes on for a while. " * 20
+    junk = "A reader says something here that is long enough. " * 200
+    for wrap in ('div class="post hentry category-social"', 'div class="post comments-open"', 'div class="story search-engines"',
+                 'article class="post promo"', "section id=x1 class='news entry-related'"):
+        tag = wrap.split()[0]
+        head = "<header><h1>Headline</h1></header>" if tag == "article" else "<h1>Headline</h1>"
+        page = (f"<body><div class=nav-menu>Home Shop</div><{wrap}>{head}<p data-x=it's>{text}</p>"
+                f"<div class=share>Share this</div><div class='comments'><p>{junk}</p></div></{tag}><footer>Imprint</footer></body>")
+        got = html_main.extract(page, None)
+        assert got == "Headline\n" + text.strip(), wrap
+    side = f"<body><article><p>{text}</p></article><div class='comment-list wide'><p>{junk}</p></div><header><p>Site name</p></header></body>"
+    assert html_main.extract(side, None) == text.strip()
+
+
+def test_third_hop_and_number_runs(spark):
+    """Patterns and instances linked over several rounds; an identifier of several tokens."""
+    rows, k = [], 0
+
+    def say(text):
+        nonlocal k
+        rows.append((k, text))
+        k += 1
+    for i in range(64):
+        say(f"please write to user{i}@mail.example now")                          # seeds: "write to _"
+    for hop, (n, a, b) in enumerate(((16, "write to", "reach me"), (4, "reach me", "ask for"), (1, "ask for", "find us"))):
+        for i in range(n):
+            say(f"you {a} token{hop}x{i}99887 first")
+            say(f"they {b} token{hop}x{i}99887 then")
+    for i in range(16):
+        say(f"call me under +49 30 12345{i}7 today")
+    for i in range(4):
+        say(f"call me under (030) 1234 56{i}8 today")
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    third = [i for i, t in rows if "token2" in t]
+    assert third and all(got[i].n_found == 1 for i in third)
+    runs = {i: t for i, t in rows if "(030)" in t}
+    for i, t in runs.items():
+        s, e = t.index("(030)"), t.index(" today")
+        assert got[i].spans == f"phone:{s}:{e}"
+
+
+def test_private_use_characters_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, "palabras de una lengua", "es") for i in range(6)], "doc_id long, text string, lang string")
+    models = langid.train(docs)
+    assert models.predict(["\ue000\ue001 \uf8ff", "\ue000 lengua"])[0][0] == "und"
+    assert models.predict(["\ue000 lengua"])[0][0] == "es"

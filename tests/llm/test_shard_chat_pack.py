@@ -41,6 +41,24 @@ def test_sharding_odd_rows(odd_docs, no_docs):
     assert sharding.assign_shards(no_docs).count() == 0
 
 
+def test_sharding_one_hot_id(spark):
+    """All rows of one id, or of none, still fill every shard evenly."""
+    docs = spark.createDataFrame([(7, f"t{k % 5}") for k in range(150)] + [(None, "x")] * 90, "doc_id long, text string")
+    check_shards(sharding.assign_shards(docs, shards=7).collect(), 7)
+
+
+def test_little_moves_when_a_shard_is_added():
+    rng = np.random.default_rng(4)
+    counts = {c: int(n) for c, n in enumerate(rng.integers(1, 4, 1 << 12))}
+
+    def where(n):
+        return {(r.cell, x): r.shard for r in sharding.lay_out({c << 4: v for c, v in counts.items()}, n, 64, 1.25).itertuples()
+                for x in range(r.lo, r.hi)}
+    old, new = where(16), where(17)
+    moved = sum(old[k] != new[k] for k in old) / len(old)
+    assert moved < 3 / 17
+
+
 def test_bounded_loads_follow_the_ring():
     """Every cell goes to its home shard until that is full, then clockwise to the next with room."""
     rng = np.random.default_rng(2)
