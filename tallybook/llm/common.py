@@ -30,6 +30,13 @@ def with_rows(docs: DataFrame, tag: str) -> DataFrame:
     return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), tag)
 
 
-def without(docs: DataFrame, losers: DataFrame) -> DataFrame:
-    """``docs`` (from :func:`with_rows`) without the row numbers in ``losers``."""
-    return docs.join(losers, ROW, "left_anti").drop(ROW)
+def without(docs: DataFrame, losers: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``docs`` (from :func:`with_rows`) without the row numbers in ``losers``.
+
+    The numbers are written first. Up to ``most`` of them (8 bytes each) go to every task, so that no text
+    moves; beyond that both sides are joined by shuffle.
+    """
+    gone = stage(losers.select(ROW), "row-numbers")
+    if gone.count() <= most:
+        gone = F.broadcast(gone)
+    return docs.join(gone, ROW, "left_anti").drop(ROW)
