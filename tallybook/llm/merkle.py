@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.windows import chunked_running_sum
-from tallybook.session import stage
+from tallybook.session import stage, unstage
 
 BITS = 10            # levels folded by one group of a round
 RUN = 2048           # leaves of a partition that shares one multiproof
@@ -231,9 +231,11 @@ def ordered_leaves(docs: DataFrame, shown: Column | None = None) -> DataFrame:
             # A null language sorts before the empty one.
             .withColumn("run_key", F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("")))
             .select("doc_id", "lang", "row", "digest", "shown", "run_key", F.lit(0).alias("all")))
+    rows = stage(rows, "merkle-digests")               # texts are read once; what follows moves digests only
     order = [F.col("run_key"), F.col("doc_id").asc_nulls_first(), F.col("digest"), F.col("row")]
     placed = stage(chunked_running_sum(rows, ["all"], order, {"place": F.lit(1).cast("long")}, inclusive=False)
                    .drop("all", "row"), "merkle-leaves")
+    unstage(rows)
     langs = placed.groupBy("run_key").agg(F.count("*").alias("n"), F.min("place").alias("begin"))
     numbered = stage(chunked_running_sum(langs.withColumn("all", F.lit(0)), ["all"], [F.col("run_key")],
                                          {"tree": F.lit(1).cast("long")}, inclusive=False).drop("all"),

@@ -319,12 +319,13 @@ def compress(vectors: DataFrame, parts: int = 8, entries: int = 16, rounds: int
     v = F.col("embedding")
     kept = vectors.filter(usable(v)).select("vec_id", "label", _scaled(v, scale).alias("parts"))
     order = [F.col("vec_id").asc_nulls_last(), F.col("parts")]
-    first = kept.orderBy(*order).select(F.size("parts")).first()
-    width = first[0] if first else parts
+    seeds = [r.parts for r in kept.orderBy(*order).limit(entries).collect()]
+    width = len(seeds[0]) if seeds else parts
     if not width or width % parts:
         raise ValueError(f"vectors of length {width} cannot be cut into {parts} equal parts")
     kept = kept.filter(F.size("parts") == width)
-    seeds = [r.parts for r in kept.orderBy(*order).limit(entries).collect()]
+    if any(len(s) != width for s in seeds):
+        seeds = [r.parts for r in kept.orderBy(*order).limit(entries).collect()]
     books = np.split(np.array(seeds, np.int64).reshape(-1, width), parts, axis=1)
     with _small_batches(vectors.sparkSession):
         blocks = stage(_blocks(kept, parts, block), "part-trees")

@@ -42,6 +42,7 @@ COUNTED = 32         # projections whose windows are counted
 WIDE = 2.0           # half-width of a counted window, in deviations of a pair at the limit
 REACH = 0.25         # half-width of the window at a cut, in the same unit
 DEEPEST = 24         # levels of a tree at most; more blocks than 2**24 a tree are cut by chunks
+MOVED = 400          # a vector moved to a block costs about as much as so many pairs
 SEED = 20180413
 
 
@@ -69,7 +70,7 @@ def plan(n: int, spread: float, s: float, recall: float) -> tuple[int, int]:
         together = stays ** levels
         trees = 1 if together >= recall else math.ceil(math.log(1 - recall) / math.log(1 - together)) if together > 0 else 10 ** 6
         rows = n * copies ** levels
-        work = trees * (rows * rows / 2 ** levels / 2 + 400 * rows)     # a moved row costs about 400 pairs
+        work = trees * (rows * rows / 2 ** levels / 2 + MOVED * rows)
         best = min(best, (work, levels, trees))
     return best[1], best[2]
 
@@ -138,38 +139,66 @@ def _means(classes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
     return out
 
 
-def _cells(classes: DataFrame, means: dict[int, tuple[int, np.ndarray]], s: float, recall: float) -> DataFrame:
+class Trees:
+    """Number, depth and cuts of the trees per vector length, and where they put vectors."""
+
+    def __init__(self, means: dict[int, tuple[int, np.ndarray]], s: float, recall: float):
+        self.means, self.reach = means, REACH * s
+        self.shapes = {w: plan(n, math.sqrt(max(1 - float(m @ m), 0.0)), s, recall) for w, (n, m) in means.items()}
+
+    def place(self, vectors: pa.Array, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, tree, cell) of every copy, and (rows, trees, 2) the levels where a vector is left or right only."""
+        levels, trees = self.shapes[w]
+        at = _matrix(pa.chunked_array([vectors]), w) - self.means[w][1]
+        value = (at @ directions(w, levels * trees, 1)).reshape(len(at), trees, levels)
+        bits = (1 << np.arange(levels)).astype(np.int64)
+        left = ((value < -self.reach) * bits).sum(axis=2)
+        right = ((value > self.reach) * bits).sum(axis=2)
+        row, tree, cell = [], [], []
+        for t in range(trees):
+            r, c = np.arange(len(value)), right[:, t]
+            for k in range(levels):                  # a vector whose window crosses the cut is on both sides
+                both = ((left[r, t] | right[r, t]) >> k & 1) == 0
+                r, c = np.concatenate([r, r[both]]), np.concatenate([c, c[both] | 1 << k])
+            row.append(r)
+            tree.append(np.full(len(r), t))
+            cell.append(c)
+        return np.concatenate(row), np.concatenate(tree), np.concatenate(cell), np.stack([left, right], axis=2)
+
+
+def _by_width(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    widths = batch.column("width").to_numpy()
+    for w in np.unique(widths).tolist():
+        yield w, batch.filter(pa.array(widths == w))
+
+
+def _crowds(classes: DataFrame, trees: Trees) -> DataFrame:
+    """(width, tree, cell, chunks) of the cells with more than ``BLOCK`` classes."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w, own in _by_width(batch):
+                _, tree, cell, _ = trees.place(own.column("vector"), w)
+                key, n = np.unique(tree.astype(np.int64) << 32 | cell, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), w), pa.int32()), pa.array(key >> 32, pa.int32()),
+                     pa.array(key & 0xFFFFFFFF, pa.int32()), pa.array(n, pa.int64())],
+                    names=["width", "tree", "cell", "n"])
+    return (classes.select("width", "vector").mapInArrow(count, "width int, tree int, cell int, n long")
+            .groupBy("width", "tree", "cell").agg(F.sum("n").alias("n")).filter(F.col("n") > BLOCK)
+            .select("width", "tree", "cell", F.ceil(F.col("n") / BLOCK).alias("chunks")))
+
+
+def _cells(classes: DataFrame, trees: Trees) -> DataFrame:
     """One row per class, tree and cell: node, weight, width, vector, tree, cell and the sides in all trees.
 
     ``sides`` holds two bit masks per tree: the levels where the class is on the left only, on the right only.
     """
-    shapes = {w: plan(n, math.sqrt(max(1 - float(m @ m), 0.0)), s, recall) for w, (n, m) in means.items()}
-
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            widths = batch.column("width").to_numpy()
-            for w in np.unique(widths).tolist():
-                own = batch.filter(pa.array(widths == w))
-                levels, trees = shapes[w]
-                at = _matrix(pa.chunked_array([own.column("vector")]), w) - means[w][1]
-                value = (at @ directions(w, levels * trees, 1)).reshape(len(at), trees, levels)
-                bits = (1 << np.arange(levels)).astype(np.int64)
-                left = ((value < -REACH * s) * bits).sum(axis=2)
-                right = ((value > REACH * s) * bits).sum(axis=2)
-                sides = np.stack([left, right], axis=2).astype("<i4")
-                row, tree, cell = [], [], []
-                for t in range(trees):
-                    r, c = np.arange(len(value)), right[:, t]
-                    for k in range(levels):          # a class whose window crosses the cut is on both sides
-                        both = ((left[r, t] | right[r, t]) >> k & 1) == 0
-                        r, c = np.concatenate([r, r[both]]), np.concatenate([c, c[both] | 1 << k])
-                    row.append(r)
-                    tree.append(np.full(len(r), t))
-                    cell.append(c)
-                row = np.concatenate(row)
-                packed = [x.tobytes() for x in sides]
+            for w, own in _by_width(batch):
+                row, tree, cell, sides = trees.place(own.column("vector"), w)
+                packed = [x.tobytes() for x in sides.astype("<i4")]
                 # Copies leave in slices, so that a batch with many of them is never whole in memory twice.
-                tree, cell = np.concatenate(tree), np.concatenate(cell)
                 for a in range(0, len(row), 20_000):
                     r = pa.array(row[a:a + 20_000])
                     yield pa.RecordBatch.from_arrays(
@@ -256,11 +285,10 @@ def class_links(classes: DataFrame, limit: float, recall: float) -> DataFrame:
     means = _means(classes)
     if not means:
         return classes.sparkSession.createDataFrame([], "node long, links long, low long")
-    placed = _cells(classes, means, s, recall)
-    crowd = stage(placed.groupBy("width", "tree", "cell").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK)
-                  .withColumn("chunks", F.ceil(F.col("n") / BLOCK)), "vector-crowds")
+    trees = Trees(means, s, recall)
+    crowd = stage(_crowds(classes, trees), "vector-crowds")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1))
-    blocks = (placed.join(crowd.drop("n"), ["width", "tree", "cell"], "left")
+    blocks = (_cells(classes, trees).join(crowd, ["width", "tree", "cell"], "left")
               .withColumn("chunk", F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1))))
               .withColumn("other", other)
               .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))

@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from odd_rows import no_docs, odd_docs  # noqa: F401
 from conftest import SF_MID, SF_SMALL
 from tallybook.llm import near_dup
-from tallybook.llm.common import ROW, table, with_rows
+from tallybook.llm.common import ROW, table, with_rows, without
 from tallybook.llm.components import connected_components
 from tallybook.llm.exact_dedup import drop_exact_copies, exact_dedup, resolve
 from pyspark.sql import functions as F
@@ -175,4 +175,8 @@ def test_shingle_sets_match_words():
 
 def test_with_rows_numbers_each_row(odd_docs):
     rows = with_rows(odd_docs, "t")
+    few = rows.filter("doc_id = 3").select(ROW)
+    for most in (0, 100):                    # joined by shuffle, broadcast
+        left = without(rows, few, most)
+        assert left.columns == odd_docs.columns and left.count() == 12 and left.filter("doc_id = 3").count() == 0
     assert rows.select(ROW).distinct().count() == 14

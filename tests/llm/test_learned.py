@@ -41,6 +41,51 @@ def test_flattened_trees_walk_like_nodes():
     assert np.allclose(model.score(x), want) and np.mean((model.score(x) > 0.5) == y) > 0.97
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.text(st.sampled_from(list("aB1 #!|.,;:?\n\t$é_")), max_size=120))
+def test_statistics_by_hand(text):
+    raw = text.encode()
+    got = dict(zip(quality.STATS, quality.statistics(text), strict=True))
+    words, n = text.replace("\t", " ").replace("\n", " ").split(" "), max(1, len(raw))
+    words = [w.encode() for w in words if w]
+    lines = [x for x in text.split("\n") if x.strip()]
+    m = max(1, len(words))
+    want = {"log_bytes": math.log(len(raw) + 1), "log_words": math.log(len(words) + 1), "word_len": sum(map(len, words)) / m,
+            "upper": sum(65 <= b <= 90 for b in raw) / n, "digit": sum(48 <= b <= 57 for b in raw) / n,
+            "exclaim": raw.count(b"!") / n, "bar": raw.count(b"|") / n, "mark": sum(raw.count(x) for x in (b",", b";", b":")) / n,
+            "stop": (raw.count(b".") + raw.count(b"?")) / n, "distinct": len(set(words)) / m,
+            "top_word": max([words.count(w) for w in words], default=0) / m,
+            "repeat_next": sum(a == b for a, b in zip(words, words[1:])) / m,
+            "distinct_pairs": len({(a, b) for a, b in zip(words, words[1:])}) / m, "lines": math.log(len(lines) + 1),
+            "distinct_lines": len(set(lines)) / max(1, len(lines)),
+            "short_lines": sum(len(x.encode()) < 30 for x in lines) / max(1, len(lines))}
+    assert all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+
+
+def test_histogram_split_is_the_best_of_all():
+    """A stump's cut has the largest gain among all statistics and all edges, tried one by one."""
+    rng = np.random.default_rng(6)
+    for seed in range(5):
+        x = np.round(rng.random((200, 4)), 2)
+        y = (x[:, seed % 4] + 0.3 * rng.random(200) > 0.7).astype(float)
+        model = quality.grow(x, y, trees=1, depth=1, bins=16)
+        p = 1 / (1 + math.exp(-model.base))
+        grad, hess = p - y, np.full(200, p * (1 - p))
+
+        def gain(j, limit):
+            left = x[:, j] <= limit
+            if hess[left].sum() < 4 or hess[~left].sum() < 4:
+                return 0.0
+            part = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + 1)
+            return part(left) + part(~left) - part(np.ones(200, bool))
+        edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[1:-1])) for j in range(4)]
+        best = max(gain(j, e) for j in range(4) for e in edges[j])
+        assert best > 0 and abs(gain(model.feature[0, 0], model.limit[0, 0]) - best) < 1e-9
+        left = x[:, model.feature[0, 0]] <= model.limit[0, 0]
+        for side, value in ((left, model.leaf[0, 0]), (~left, model.leaf[0, 1])):
+            assert abs(value + 0.15 * grad[side].sum() / (hess[side].sum() + 1)) < 1e-9
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 0), (3, None, 0), (None, 1, 0), (6, 0, 1), (99, 1, 1)],
                                    "doc_id long, quality int, toxic int")
@@ -359,6 +404,51 @@ def test_wrappers_headers_and_odd_attributes():
     assert html_main.extract(side, None) == text.strip()
 
 
+def test_bootstrap_against_a_plain_graph(spark):
+    rng = random.Random(5)
+    slots = []
+    for _ in range(900):
+        kind = rng.choice([0, 0, 1, -1, -1, -1])
+        name = f"{'ab'[kind] if kind >= 0 else 'u'}{rng.randrange(40)}"
+        slots.append((kind, name, [f"p{rng.randrange(25) if kind else rng.randrange(8)}" for _ in range(rng.randrange(3))]))
+    edges, known = {}, {}
+    for kind, name, patterns in slots:
+        edges.setdefault(name, set()).update(patterns)
+        if kind >= 0:
+            known[name] = max(kind, known.get(name, -1))
+    want = {}
+    while True:
+        by = {}
+        for name, patterns in edges.items():
+            for p in patterns:
+                by.setdefault(p, []).append(known.get(name))
+        sure = {}
+        for p, kinds in by.items():
+            share, n, kind = max((kinds.count(k) / len(kinds), kinds.count(k), k) for k in range(4))
+            if share >= 0.5 and n >= 3:
+                sure[p] = (kind, min(share, 0.999))
+        new = {}
+        for name, patterns in edges.items():
+            if name in known:
+                continue
+            miss = {}
+            for p in patterns & sure.keys():
+                kind, c = sure[p]
+                miss[kind] = miss.get(kind, 1.0) * (1 - c)
+            if miss:
+                score, kind = max((1 - v, -k) for k, v in miss.items())
+                if score >= 0.75:
+                    new[name] = (-kind, score)
+        if not new:
+            break
+        want |= new
+        known |= {n: k for n, (k, _) in new.items()}
+    df = spark.createDataFrame(slots, "kind int, instance string, patterns array<string>")
+    got = {r.instance: (r.kind, r.score) for r in pii.bootstrap(df).collect()}
+    assert want and got.keys() == want.keys()
+    assert all(got[n][0] == k and abs(got[n][1] - s) < 1e-9 for n, (k, s) in want.items())
+
+
 def test_third_hop_and_number_runs(spark):
     """Patterns and instances linked over several rounds; an identifier of several tokens."""
     rows, k = [], 0

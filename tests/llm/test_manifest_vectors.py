@@ -250,6 +250,7 @@ def test_links_odd_rows(spark):
 def test_links_against_all_pairs(spark, monkeypatch):
     """Small blocks, so that trees, chunks and pairs that meet in several blocks all occur."""
     monkeypatch.setattr(vector_links, "BLOCK", 40)
+    monkeypatch.setattr(vector_links, "MOVED", 1)
     rng = np.random.default_rng(9)
     x = np.concatenate([families(rng, 40, 8, 0.35), families(rng, 2, 90, 0.2), rng.normal(size=(700, 32))]).astype(np.float32)
     rows = [(int(i), [float(c) for c in v]) for i, v in zip(rng.permutation(len(x)), x)]
