@@ -1,4 +1,4 @@
-"""Skew-safe running sums (two-level prefix sums)."""
+"""Skew-safe windows: two-level running sums, the next value after a row."""
 
 from __future__ import annotations
 
@@ -51,3 +51,21 @@ def chunked_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
         x = x.withColumn(n, F.col("_o_" + n) + F.col("_i_" + n))
     drop = ["_chunk"] + [p + n for n in values for p in ("_v_", "_i_", "_o_")]
     return x.drop(*drop)
+
+
+def chunked_next(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str) -> DataFrame:
+    """Add the first non-null ``value`` that comes strictly after a row, per ``keys`` in ``order``.
+
+    ``value`` must not fall along ``order`` (as the order column itself, where a condition holds), so the first is
+    the least. Rows are cut into chunks of equal volume as in :func:`chunked_running_sum`: the answer is the least value
+    later in the row's chunk, or that of the key's following chunks (one row per chunk).
+    """
+    keys = list(keys)
+    x = stage(df.withColumn("_val", value).repartitionByRange(*keys, order)
+              .withColumn("_chunk", F.spark_partition_id()), "chunks")
+    later = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    follow = (x.groupBy(*keys, "_chunk").agg(F.min("_val").alias("_low"))
+              .withColumn("_next", F.min("_low").over(later)).drop("_low"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    return (x.withColumn("_in", F.min("_val").over(inside)).join(follow, [*keys, "_chunk"])
+            .withColumn(name, F.coalesce("_in", "_next")).drop("_val", "_chunk", "_in", "_next"))

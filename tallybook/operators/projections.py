@@ -4,17 +4,18 @@ E5 applies per-key update chains without replaying them one by one: a key's firs
 update is one aggregate; every update points at the next one it would allow (the first later
 update expecting the version after its own), and the updates really applied are those reached
 from the first along these pointers, found by pointer doubling. Rounds are logarithmic in the
-longest chain, each is one self-join of the pointers still in use, and a key with many updates
-never has to fit in one task.
+longest chain, each is one self-join of the pointers still in use, and a key with many updates, or with many
+that expect one version, never has to fit in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import money
 from tallybook.functions.text import ts_literal
+from tallybook.functions.windows import chunked_next
 from tallybook.schemas import (ACCOUNTS, CUSTOMERS, SYSTEM_ACCOUNTS, SYSTEM_CURRENCY,
                                SYSTEM_CUSTOMER_REF, conform)
 from tallybook.session import stage, unstage
@@ -31,11 +32,10 @@ def _applied(first: DataFrame, updates: DataFrame) -> DataFrame:
                          F.lit(False).alias("_offers"))
     offers = moving.select(*KEY, F.col("expected_version").alias("_v"), "seq",
                            F.lit(True).alias("_offers"))
-    # One group is one key's updates around one version; its first offer after each ask.
-    after = (Window.partitionBy(*KEY, "_v").orderBy("seq")
-             .rowsBetween(1, Window.unboundedFollowing))
-    jump = (asks.unionByName(offers)
-            .withColumn("_to", F.min(F.when(F.col("_offers"), F.col("seq"))).over(after))
+    # Per key and version the first offer after each ask; a version that most updates of a hot key expect is
+    # split by volume.
+    both = asks.unionByName(offers).withColumn("_at", 2 * F.col("seq") + F.when(F.col("_offers"), 0).otherwise(1))
+    jump = (chunked_next(both, [*KEY, "_v"], "_at", F.when(F.col("_offers"), F.col("seq")), "_to")
             .filter(~F.col("_offers") & F.col("_to").isNotNull()).select(*KEY, "seq", "_to"))
     jump = stage(jump, "upsert-jumps")
     reached = first.select(*KEY, "seq")

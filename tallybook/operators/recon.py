@@ -57,10 +57,13 @@ def match_items(statement: DataFrame, internal: DataFrame, now: str
     own = internal.withColumn("_batch", batch_id(F.col("source_system"), F.col("statement_date")))
     one = F.struct("journal_transaction_id", "journal_line_id", "amount")
     it = own.groupBy(*key).agg(F.min(one).alias("_i"))
-    more = (own.join(it, key).filter(~one.eqNullSafe(F.col("_i"))).select(
-        F.col("journal_transaction_id").alias("statement_line_id"),
-        F.col("_batch").alias("reconciliation_batch_id"), "external_reference",
-        F.lit("duplicate internal record").alias("reason")))
+    # Every further record is rejected, copies of the first one too.
+    each = own.groupBy(*key, one.alias("_one")).agg(F.count(F.lit(1)).alias("_n")).join(it, key)
+    extra = F.col("_n") - F.col("_one").eqNullSafe(F.col("_i")).cast("long")
+    more = (each.filter(extra > 0).select("*", F.explode(F.sequence(F.lit(1).cast("long"), extra)))
+            .select(F.col("_one.journal_transaction_id").alias("statement_line_id"),
+                    F.col("_batch").alias("reconciliation_batch_id"), "external_reference",
+                    F.lit("duplicate internal record").alias("reason")))
     dups = dups.unionByName(more)
     it = (it
           .select(*key, F.col("_i.amount").alias("internal_amount"),

@@ -100,15 +100,29 @@ def q_webhooks_from_messages(spark, d):
                        "created_at")
 
 
-@register("outbox_messages", oracle="""
-SELECT event_type AS topic, partition_key AS key, id FROM fx_outbox
-WHERE status IN ('pending', 'failed') AND COALESCE(next_retry_at <= cast('""" + NOW + """' AS timestamp), true)
+def _told(c: str) -> str:
+    """An instant as the message carries it, left out where there is none."""
+    return f"""CASE WHEN {c} IS NULL THEN '' ELSE concat(',"{c}":"', strftime({c}, '%Y-%m-%dT%H:%M:%S.%g'), '"') END"""
+
+
+def _quoted(c: str) -> str:
+    return f"""replace(replace({c}, '\\', '\\\\'), '"', '\\"')"""
+
+
+@register("outbox_messages", oracle=f"""
+SELECT event_type AS topic, partition_key AS key, id,
+       concat('{{"id":"', id, '","aggregate_type":"', aggregate_type, '","aggregate_id":"', aggregate_id, '","event_type":"', event_type,
+              '","status":"', status, '","payload":"', {_quoted('payload')}, '","headers":"', {_quoted('headers')},
+              '","partition_key":"', partition_key, '","retry_count":', cast(retry_count AS string), {_told('next_retry_at')},
+              {_told('created_at')}, {_told('updated_at')}, '}}') AS value
+FROM fx_outbox
+WHERE status IN ('pending', 'failed') AND COALESCE(next_retry_at <= cast('{NOW}' AS timestamp), true)
 """)
 def q_outbox_messages(spark, d):
     x = Inputs(spark, d)
     msgs = M.outbox_messages(conform(x.raw("fx_outbox"), S.OUTBOX_EVENTS)
                              .filter(O.is_due(NOW)))
-    return msgs.select("topic", "key", F.get_json_object("value", "$.id").alias("id"))
+    return msgs.select("topic", "key", F.get_json_object("value", "$.id").alias("id"), "value")
 
 
 @register("journal_roundtrip_balance", oracle=_LEDGER)

@@ -27,6 +27,16 @@ NOTHING = Decimal(0)
 STUCK_US = 300_000_000          # H5's five minutes
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _typed_state(df: DataFrame) -> DataFrame:
+    """``df`` in a session whose new streams keep their state in RocksDB, which processors with several state
+    variables and timers need. Streams that restart keep the store their checkpoint names."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return df
+
+
 def timer_of(us: int) -> int:
     """The first timer (ms) that lies after a time in microseconds."""
     return us // 1000 + 1
@@ -127,7 +137,7 @@ def stream_hold_timers(hold_events: DataFrame, late: str = "1 hour", release_rem
           .select("hold_id", "action", F.col("amount").cast(MONEY).alias("amount"),
                   _us("expires_at").alias("expires_us"), "event_time", F.unix_micros("event_time").alias("event_us"),
                   F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq")))
-    out = ev.groupBy("hold_id").transformWithState(HoldLifecycle(release_remainder), HoldLifecycle.OUT, "append",
+    out = _typed_state(ev).groupBy("hold_id").transformWithState(HoldLifecycle(release_remainder), HoldLifecycle.OUT, "append",
                                                    "EventTime")
     return out.withColumn("event_time", _wall("event_us")).drop("event_us")
 
@@ -222,7 +232,7 @@ def stream_settlement(withdrawals: DataFrame, callbacks: DataFrame, accounts: Da
     rows = joined.select(
         F.col("w_id").alias("transfer_id"), "w_ts", "hook_id", "event", "source_account_id", "currency_code", "amount",
         "settles", F.unix_micros("c_ts").alias("received_us"), F.unix_micros(F.col("w_ts") + span).alias("expires_us"))
-    out = rows.groupBy("transfer_id").transformWithState(Settlement(), Settlement.OUT, "append", "EventTime")
+    out = _typed_state(rows).groupBy("transfer_id").transformWithState(Settlement(), Settlement.OUT, "append", "EventTime")
     return out.withColumn("event_time", _wall("event_us")).drop("event_us")
 
 
@@ -323,7 +333,7 @@ def stream_outbox_retries(outbox_changes: DataFrame, deliver: Deliver = always,
         "id", "status", F.coalesce("retry_count", F.lit(0)).cast("int").alias("retry_count"), "event_time",
         F.unix_micros("event_time").alias("changed_us"), _us("next_retry_at").alias("next_retry_us"),
         "event_type", "partition_key", "payload")
-    out = ev.groupBy("id").transformWithState(OutboxRetry(deliver, max_retries, event_time), OutboxRetry.OUT,
+    out = _typed_state(ev).groupBy("id").transformWithState(OutboxRetry(deliver, max_retries, event_time), OutboxRetry.OUT,
                                               "append", time_mode)
     return (out.withColumn("attempted_at", _wall("at_us")).withColumn("next_retry_at", _wall("next_retry_us"))
             .drop("at_us", "next_retry_us"))

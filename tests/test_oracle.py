@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 from tallybook.plans import registry
 from tallybook.plans.fixtures import BASE_TABLES
 
-SKIP = {"stream_post", "stream_hold_timers"}   # rows-only by design
+SKIP = {"stream_post"}   # rows-only by design
 
 
 def _norm(v):

@@ -36,3 +36,14 @@ def test_long_chains_equal_a_replay(spark):
     assert state["A"][0] == 205
     again, none = PJ.upsert_expected_version(proj, ups.limit(0), "2024-02-01 00:00:00")
     assert none.count() == 0 and again.agg(F.sum("version")).first()[0] == 7
+
+
+def test_many_updates_expect_one_version(spark):
+    """300 updates of one key expect version 1; one of them applies, after the update that leads there."""
+    rows = [("A", 1, q) for q in range(100)] + [("A", 0, 100)] + [("A", 1, q) for q in range(101, 300)] + [("A", 2, 300)]
+    proj = S.conform(spark.createDataFrame([dict(account_id="A", currency_code="NGN", balance_kind="available", ledger_balance=D(0),
+                                                 available_balance=D(0), held_balance=D(0), version=0)]), S.BALANCE_PROJECTIONS)
+    ups = spark.createDataFrame([(k, "NGN", "available", D(q), D(q), D(0), None, f"l{q}", e, q) for k, e, q in rows], UPDATES)
+    out, bad = PJ.upsert_expected_version(proj, ups, "2024-02-01 00:00:00")
+    assert [(r["version"], r["last_line_id"]) for r in out.collect()] == [(3, "l300")]
+    assert {r["seq"] for r in bad.collect()} == set(range(300)) - {100, 101}
