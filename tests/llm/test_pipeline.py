@@ -58,15 +58,16 @@ def test_run_and_odd_rows(spark, odd_docs, no_docs):
 
 def test_registered():
     names = E.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(registry.queries()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op3_exact_dedup", "op5_chat_format"])
+@pytest.mark.parametrize("name", ["op3_exact_dedup", "op5_chat_format", "op11_merkle_manifest", "op12_vector_codes",
+                                  "op13_embedding_near_dup"])
 def test_matches_duckdb(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
     want = con.execute(E.oracle_sql()[name]).df()
     got = E.queries()[name](spark, SF_SMALL).toPandas()
