@@ -103,7 +103,9 @@ class _Pieces(dict):
 def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Positions first, first + 1, .. of n entries each, one after the other."""
     ends = np.cumsum(n)
-    return np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+    out = np.repeat((first - (ends - n)).astype(np.int32), n)      # tables and slices are far below 2**31
+    out += np.arange(len(out), dtype=np.int32)
+    return out
 
 
 class WordIds:
@@ -121,7 +123,7 @@ class WordIds:
     PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^\s0-9a-zà-öø-ÿß]+|\n")
     PLAIN = "^[\x21-\x7eÀ-ÖØ-öø-ÿ]*$"
 
-    def __init__(self, tokenizer_file: str, most: int = 1_000_000):
+    def __init__(self, tokenizer_file: str, most: int = 300_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(tokenizer_file)
         self.model, self.most = self.tok.model, most
@@ -199,7 +201,7 @@ class WordIds:
         return self.gather(pa.array([text]))[0].tobytes()
 
 
-def _slices(column: pa.Array, most: int = 16_000_000) -> Iterator[tuple[int, pa.Array]]:
+def _slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, pa.Array]]:
     """Slices of a string column of about ``most`` bytes each, one text at least."""
     import pyarrow.compute as pc
     ends = np.cumsum(pc.binary_length(column).to_numpy(), dtype=np.int64)
