@@ -26,7 +26,6 @@ component is kept, the first of its smallest id. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import ROW, with_rows, without
+from tallybook.llm.common import ROW, small_batches, with_rows, without
 from tallybook.llm.components import connected_components
 from tallybook.session import stage, unstage
 
@@ -179,18 +178,6 @@ def _estimate(m: int) -> Column:
     return similarity("reg_a", "reg_b", "n_a", "n_b")
 
 
-@contextmanager
-def _small_batches(spark) -> Iterator[None]:
-    """Arrow batches of ``_BATCH`` for what is run inside; the session's setting comes back after."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, _BATCH)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """A written table of a few numbers a row (under 100 bytes): broadcast up to ``rows`` rows, about 20 MB,
     joined by shuffle beyond."""
@@ -225,7 +212,7 @@ def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int)
                    .select(F.col("rep_id").alias("doc_id"), "text_key", "node", "set_key"), "near-wanted")
     found = (docs.withColumn("text_key", F.xxhash64("text")).join(_small(wanted), ["doc_id", "text_key"])
              .select("node", "set_key", "text").mapInArrow(fetch, "node long, items array<long>"))
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, _BATCH):
         sets = stage(found, "near-sets")
     unstage(wanted)
     return sets
@@ -368,7 +355,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, limit: int = 80, bands: i
     m = bands * rows
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     docs = docs.select("doc_id", row.alias("row"), F.col("text").cast("string").alias("text"))
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, _BATCH):
         whole = stage(sketch(docs, shingle, bands, rows), "near-sketches")
     # Classes of equal sets, named by their smallest (id, row).
     named = F.struct("doc_id", "row", "text_key")

@@ -7,7 +7,7 @@ most of goes first. Where cutting is allowed, what remains of a bin is filled wi
 largest item left, so only the last bin of a run of documents is padded noticeably.
 
 Documents are tokenised once, in their own Spark task, and packed there in runs of at most
-``run_tokens`` tokens: no shuffle, memory bounded by the run and the longest document, and a lost
+``run_tokens`` tokens; the pieces, some numbers each, are written: no shuffle, memory bounded by the run and the longest document, and a lost
 task is simply run again. Text order and grouping come from the input's partitions.
 
 ``pack_examples`` packs whole examples whose tokens bear loss in part (instruction data) under all three
@@ -30,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import text_or_empty
+from tallybook.llm.common import small_batches, text_or_empty
+from tallybook.session import stage
 
 END_ID = 1
 PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -279,7 +280,9 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, max_tokens: int = 2048,
     names = [x.split()[0] for x in schema.split(", ")]
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(kind)
-    return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(pack, schema)
+    packed = docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(pack, schema)
+    with small_batches(docs.sparkSession):       # few texts at once in the workers; the pieces are written once
+        return stage(packed, "packed")
 
 
 def pack_examples(examples: DataFrame, max_tokens: int = 2048, max_segments: int = 64, max_loss: int | None = None,

@@ -27,13 +27,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.llm.common import small_batches
 from tallybook.session import stage
 
 BLOCK = 4096         # rows whose parts share one tree
@@ -209,17 +209,6 @@ def assign(tree: Tree, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entry[back], error[back]
 
 
-@contextmanager
-def _small_batches(spark) -> Iterator[None]:
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, _BATCH)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def usable(vector: Column) -> Column:
     """Not null and all components finite."""
     return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x)
@@ -279,7 +268,7 @@ def train(blocks: DataFrame, books: list[np.ndarray], rounds: int) -> list[np.nd
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                              names=["part", "entry", "at", "total", "n"])
-        with _small_batches(blocks.sparkSession):
+        with small_batches(blocks.sparkSession, _BATCH):
             got = (blocks.select("trees").mapInArrow(total, "part long, entry long, at long, total long, n long")
                    .groupBy("part", "entry", "at").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect())
         books = [b.copy() for b in books]
@@ -327,7 +316,7 @@ def compress(vectors: DataFrame, parts: int = 8, entries: int = 16, rounds: int
     if any(len(s) != width for s in seeds):
         seeds = [r.parts for r in kept.orderBy(*order).limit(entries).collect()]
     books = np.split(np.array(seeds, np.int64).reshape(-1, width), parts, axis=1)
-    with _small_batches(vectors.sparkSession):
+    with small_batches(vectors.sparkSession, _BATCH):
         blocks = stage(_blocks(kept, parts, block), "part-trees")
         books = train(blocks, books, rounds)
         kinds = [vectors.schema[c].dataType for c in ("vec_id", "label")]

@@ -41,7 +41,7 @@ BLOCK = 1024         # vectors on each side of a block
 COUNTED = 32         # projections whose windows are counted
 WIDE = 2.0           # half-width of a counted window, in deviations of a pair at the limit
 REACH = 0.25         # half-width of the window at a cut, in the same unit
-DEEPEST = 24         # levels of a tree at most; more blocks than 2**24 a tree are cut by chunks
+DEEPEST = 30         # levels of a tree at most (sides are 32-bit masks); cells beyond are cut by chunks
 MOVED = 400          # a vector moved to a block costs about as much as so many pairs
 SEED = 20180413
 
