@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -214,9 +215,15 @@ def _slices(column: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, pa.A
         at = to
 
 
+@cache
+def word_ids(tokenizer_file: str) -> WordIds:
+    """One table per Python worker, kept from task to task."""
+    return WordIds(tokenizer_file)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], run_tokens: int, tokenizer_file: str):
     """Runs of (ids of the documents' column, token arrays), at most about ``run_tokens`` tokens."""
-    words = WordIds(tokenizer_file)
+    words = word_ids(tokenizer_file)
     end = np.array([END_ID], np.uint32)
     ids, arrays, size = [], [], 0
     for batch in batches:
