@@ -10,6 +10,7 @@ them exact and free of any session time zone; timers have milliseconds and fire
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from decimal import Decimal
 
@@ -248,7 +249,12 @@ def always(message: dict) -> None:
 
 
 class OutboxRetry(StatefulProcessor):
-    """One outbox event: attempts at its due times until it is delivered or dead."""
+    """The outbox events of one bucket: attempts at their due times until they are delivered or dead.
+
+    A call to the state store costs more than the work on an event, so the open events of a bucket are one state
+    value (JSON: id → status, retry_count, due_us, changed_us, attempt, message columns) that a batch reads and
+    writes once, with one timer at the earliest due time. A delivered or dead event leaves it.
+    """
 
     OUT = ("id string, attempt int, at_us long, status string, retry_count int, next_retry_us long, "
            "error_code string, error_message string, event_type string, partition_key string, payload string")
@@ -258,55 +264,76 @@ class OutboxRetry(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.event = handle.getValueState(
-            "event", "status string, retry_count int, due_us long, changed_us long, attempt int, event_type string, "
-                     "partition_key string, payload string")
-
-    def _schedule(self, value: tuple) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.event.update(value)
-        self.handle.registerTimer(timer_of(value[2]))
+        self.open = handle.getValueState("open", "events string, timer_ms long")
+
+    def _load(self) -> tuple[dict, int | None]:
+        """The bucket's open events and the timer that is set for them."""
+        kept = self.open.get()
+        return ({}, None) if kept is None else (json.loads(kept[0]), kept[1])
+
+    def _save(self, events: dict, timer: int | None, fired: int | None = None) -> None:
+        due = min((timer_of(e[2]) for e in events.values()), default=None)
+        if due != timer:
+            if timer is not None and timer != fired:      # the one that fired is gone with its handler
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if events:
+            self.open.update((json.dumps(events), due))
+        elif timer is not None:
+            self.open.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        newest = max(rows, key=lambda r: (r.changed_us, r.retry_count))
-        old = self.event.get() if self.event.exists() else None
-        if old is not None and old[3] > newest.changed_us:
-            return iter(())                           # an older state of the event
-        if newest.status in ("pending", "failed", "processing"):
-            due = (newest.changed_us + STUCK_US if newest.status == "processing"
-                   else max(newest.changed_us, newest.next_retry_us or newest.changed_us))
-            self._schedule((newest.status, newest.retry_count, due, newest.changed_us, old[4] if old else 0,
-                            newest.event_type, newest.partition_key, newest.payload))
-        elif old is not None:                         # published or dead elsewhere
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.event.clear()
+        newest = {}
+        for r in rows:
+            known = newest.get(r.id)
+            if known is None or (r.changed_us, r.retry_count) > (known.changed_us, known.retry_count):
+                newest[r.id] = r
+        events, timer = self._load()
+        changed = False
+        for r in newest.values():
+            old = events.get(r.id)
+            if old is not None and old[3] > r.changed_us:
+                continue                                  # an older state of the event
+            if r.status in ("pending", "failed", "processing"):
+                due = (r.changed_us + STUCK_US if r.status == "processing"
+                       else max(r.changed_us, r.next_retry_us or r.changed_us))
+                events[r.id] = (r.status, r.retry_count, due, r.changed_us, old[4] if old else 0, r.event_type,
+                                r.partition_key, r.payload)
+                changed = True
+            elif old is not None:                         # published or dead elsewhere
+                del events[r.id]
+                changed = True
+        if changed:
+            self._save(events, timer)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        upto, out = _passed(timerValues, expiredTimerInfo, self.event_time), []
-        while self.event.exists():
-            status, retry, due, changed, attempt, *rest = self.event.get()
-            if timer_of(due) > upto:                  # put off since this timer was set, or a later attempt
-                break
-            if not self.event_time:
-                due = max(due, timerValues.getCurrentProcessingTimeInMs() * 1000)
-            if status == "processing":                # H5: nobody finished it
-                retry += 1
-            attempt += 1
-            failed = self.deliver({"id": key[0], "retry_count": retry, "event_type": rest[0], "partition_key": rest[1],
-                                   "payload": rest[2]})
-            again = due + (1 << retry) * 1_000_000 if failed and retry <= self.max_retries else None
-            said = "published" if not failed else "failed" if again else "dead_letter"
-            out.append(Row(id=key[0], attempt=attempt, at_us=due, status=said, retry_count=retry + bool(again),
-                           next_retry_us=again, error_code=failed[0] if failed else None,
-                           error_message=failed[1] if failed else None, event_type=rest[0], partition_key=rest[1],
-                           payload=rest[2]))
-            if again:
-                self._schedule(("failed", retry + 1, again, changed, attempt, *rest))
-            else:
-                self.event.clear()
+        upto, fired = _passed(timerValues, expiredTimerInfo, self.event_time), expiredTimerInfo.getExpiryTimeInMs()
+        clock = 0 if self.event_time else timerValues.getCurrentProcessingTimeInMs() * 1000
+        events, timer = self._load()
+        out = []
+        for id_ in [i for i, e in events.items() if timer_of(e[2]) <= upto]:
+            status, retry, due, changed, attempt, *rest = events.pop(id_)
+            while timer_of(due) <= upto:
+                due = max(due, clock)
+                if status == "processing":                # H5: nobody finished it
+                    retry += 1
+                attempt += 1
+                failed = self.deliver({"id": id_, "retry_count": retry, "event_type": rest[0], "partition_key": rest[1],
+                                       "payload": rest[2]})
+                again = due + (1 << retry) * 1_000_000 if failed and retry <= self.max_retries else None
+                said = "published" if not failed else "failed" if again else "dead_letter"
+                out.append(Row(id=id_, attempt=attempt, at_us=due, status=said, retry_count=retry + bool(again),
+                               next_retry_us=again, error_code=failed[0] if failed else None,
+                               error_message=failed[1] if failed else None, event_type=rest[0], partition_key=rest[1],
+                               payload=rest[2]))
+                if not again:
+                    break
+                status, retry, due = "failed", retry + 1, again
+            else:                                         # its next attempt lies ahead
+                events[id_] = (status, retry, due, changed, attempt, *rest)
+        self._save(events, timer, fired)
         return iter(out)
 
     def close(self) -> None:
@@ -314,14 +341,15 @@ class OutboxRetry(StatefulProcessor):
 
 
 def stream_outbox_retries(outbox_changes: DataFrame, deliver: Deliver = always, max_retries: int = MAX_RETRIES,
-                          late: str = "1 hour", time_mode: str = "EventTime") -> DataFrame:
+                          late: str = "1 hour", time_mode: str = "EventTime", buckets: int = 4096) -> DataFrame:
     """I8 with its retry loop: every attempt of every outbox event, fed back by a timer at next_retry_at.
 
     A pending or failed event is tried when due (H1), one stuck in ``processing`` five minutes after its last
     change, with one retry more (H5). A failed attempt comes back after 2^retry seconds (H3) until its
     retry_count is above ``max_retries`` (H4). ``deliver`` runs in the task that holds the event's state, at least
     once per attempt; a newer change row of the event replaces its schedule, ``published`` or ``dead_letter`` ends it.
-    ``time_mode``: ``EventTime`` follows the watermark (replays), ``ProcessingTime`` the clock (live).
+    ``time_mode``: ``EventTime`` follows the watermark (replays), ``ProcessingTime`` the clock (live). State is kept per
+    bucket of ids: ``buckets`` is chosen so that a bucket's open events fit a task, and fixed while a checkpoint lives.
     One row per attempt: id, attempt, attempted_at, status, retry_count, next_retry_at, error_code, error_message and
     the message's columns.
     """
@@ -333,7 +361,8 @@ def stream_outbox_retries(outbox_changes: DataFrame, deliver: Deliver = always,
         "id", "status", F.coalesce("retry_count", F.lit(0)).cast("int").alias("retry_count"), "event_time",
         F.unix_micros("event_time").alias("changed_us"), _us("next_retry_at").alias("next_retry_us"),
         "event_type", "partition_key", "payload")
-    out = _typed_state(ev).groupBy("id").transformWithState(OutboxRetry(deliver, max_retries, event_time), OutboxRetry.OUT,
-                                              "append", time_mode)
+    ev = ev.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+    out = _typed_state(ev).groupBy("bucket").transformWithState(OutboxRetry(deliver, max_retries, event_time),
+                                                                OutboxRetry.OUT, "append", time_mode)
     return (out.withColumn("attempted_at", _wall("at_us")).withColumn("next_retry_at", _wall("next_retry_us"))
             .drop("at_us", "next_retry_us"))
