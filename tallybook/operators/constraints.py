@@ -3,8 +3,8 @@
 ``UNIQUE`` and ``REFERENCES`` are data; :func:`check_ledger` compiles them, with the domain rules of
 :mod:`validate`, to one projection per table that turns a row into its entries: the keys it must not
 share, the parents it names, the rows that name it as a parent, and the domain rules it breaks. All tables'
-entries meet in one aggregate: keys are counted before the shuffle, so an account that most lines name, or a
-value repeated a billion times, is one entry per task.
+entries meet in one aggregate, by a number of the constraint group and the key: keys are counted before the
+shuffle, so an account that most lines name, or a value repeated a billion times, is one entry per task.
 """
 
 from __future__ import annotations
@@ -47,12 +47,7 @@ REFERENCES: dict[str, dict[str, str]] = {
     "reconciliation_items": {"reconciliation_batch_id": "reconciliation_batches",
                              "journal_transaction_id": "journal_transactions", "journal_line_id": "journal_lines"},
 }
-ENTRY = ["kind", "subject", "rule", "key"]
-
-
-def _entry(kind: str, subject: str, rule: str | None, key: Column, when: Column) -> Column:
-    return F.when(when, F.struct(F.lit(kind).alias("kind"), F.lit(subject).alias("subject"),
-                                 F.lit(rule).cast("string").alias("rule"), key.cast("string").alias("key")))
+THERE = -1              # the slot of a parent's own rows
 
 
 def _joined(table: str, cols: list[str]) -> Column:
@@ -63,20 +58,44 @@ def _joined(table: str, cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for p in parts])
 
 
-def row_entries(table: str, parents: set[str], domains: bool = True) -> list[Column]:
-    """What a row of ``table`` says about the constraints, one column per entry (null: nothing)."""
-    out = []
-    for cols in UNIQUE.get(table, []):
-        there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-        out.append(_entry("unique", table, "unique_" + "_".join(cols), _joined(table, cols), there))
-    for col, parent in REFERENCES.get(table, {}).items():
-        if parent in parents:
-            out.append(_entry("names", parent, f"{table}.fk_{col}", F.col(col), F.col(col).isNotNull()))
-    if any(table == p for fks in REFERENCES.values() for p in fks.values()):
-        out.append(_entry("names", table, None, F.col("id"), F.col("id").isNotNull()))
+def constraints(tables: dict[str, DataFrame], domains: bool = True) -> list[tuple[str, str, list[tuple[str, str]]]]:
+    """The groups whose entries meet by key: (kind, subject, the (rule, table) of each slot).
+
+    Unique keys and domain rules have a group each; all references to one parent share one.
+    """
+    out = [("unique", t, [("unique_" + "_".join(cols), t)]) for t in tables for cols in UNIQUE.get(t, [])]
+    for parent in tables:
+        named = [(f"fk_{col}", t) for t in tables for col, p in REFERENCES.get(t, {}).items() if p == parent]
+        out += [("names", parent, named)] if named else []
     if domains:
-        out += [_entry("domain", table, rule, F.coalesce(F.col("id").cast("string"), F.lit("")),
-                       ~F.coalesce(ok, F.lit(True))) for rule, ok in domain_rules(table)]
+        out += [("domain", t, [(rule, t)]) for t in tables for rule, _ in domain_rules(t)]
+    return out
+
+
+def row_entries(table: str, groups: list[tuple[str, str, list[tuple[str, str]]]]) -> list[Column]:
+    """What a row of ``table`` says about the constraints: (group, slot, key) each, with a null key where it says nothing.
+
+    The broken domain rules are read from the row's ``_broken``.
+    """
+    unique = {"unique_" + "_".join(cols): cols for cols in UNIQUE.get(table, [])}
+    out = []
+
+    def say(group: int, slot: int, key: Column) -> None:
+        out.append(F.struct(F.lit(group).alias("group"), F.lit(slot).alias("slot"), key.cast("string").alias("key")))
+
+    for g, (kind, subject, slots) in enumerate(groups):
+        if kind == "names" and subject == table:
+            say(g, THERE, F.col("id"))
+        for s, (rule, of) in enumerate(slots):
+            if of != table:
+                continue
+            if kind == "unique":
+                there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unique[rule]])
+                say(g, s, F.when(there, _joined(table, unique[rule])))
+            elif kind == "names":
+                say(g, s, F.col(rule.removeprefix("fk_")))
+            else:
+                say(g, s, F.when(F.col("_broken")[rule], F.coalesce(F.col("id").cast("string"), F.lit(""))))
     return out
 
 
@@ -90,25 +109,30 @@ def check_ledger(tables: dict[str, DataFrame], domains: bool = True) -> tuple[Da
     on the violations has run.
     """
     said, seen = [], {}
+    groups = constraints(tables, domains)
     for table, df in tables.items():
         missing = [f.name for f in TABLES[table].fields if f.name not in df.columns]
         df = df.select("*", *[F.lit(None).cast(TABLES[table][c].dataType).alias(c) for c in missing])
-        entries = row_entries(table, set(tables), domains)
-        counts = [F.count_if(~F.coalesce(ok, F.lit(True))).alias(rule) for rule, ok in domain_rules(table)] if domains else []
+        counts = []
+        if domains:                   # worked out once, then counted and told
+            rules = domain_rules(table)
+            df = df.withColumn("_broken", F.struct(*[(~F.coalesce(ok, F.lit(True))).alias(rule) for rule, ok in rules]))
+            counts = [F.count_if(F.col("_broken")[rule]).alias(rule) for rule, _ in rules]
         seen[table] = Observation(f"constraints-{table}")
         df = df.observe(seen[table], F.count(F.lit(1)).alias("rows"), *counts)
-        found = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")) if entries else None
-        if found is not None:
-            said.append(found.select(*[f"e.{c}" for c in ENTRY]))
-    each = reduce(DataFrame.unionByName, said).groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("rows"))
-    # What was said of one key: at most one entry per constraint of the table. A null rule is the parent itself.
-    met = each.groupBy("kind", "subject", "key").agg(
-        F.bool_or(F.col("rule").isNull()).alias("there"),
-        F.collect_list(F.when(F.col("rule").isNotNull(), F.struct("rule", "rows"))).alias("by"))
-    v = (met.filter("kind <> 'names' or not there").select("kind", "subject", "key", F.explode("by").alias("v"))
-         .filter("kind <> 'unique' or v.rows > 1"))
-    fk = F.col("kind") == "names"
-    return v.select(
-        F.when(fk, F.substring_index("v.rule", ".", -1)).otherwise(F.col("v.rule")).alias("rule"),
-        F.when(fk, F.substring_index("v.rule", ".", 1)).otherwise(F.col("subject")).alias("table_name"),
-        "key", F.col("v.rows").alias("rows")), seen
+        entries = row_entries(table, groups)
+        if entries:
+            said.append(df.select(F.inline(F.array(*entries))).filter(F.col("key").isNotNull()))
+    # One aggregate of fixed width: a count per slot of the key's group.
+    width = max(len(slots) for _, _, slots in groups)
+    met = reduce(DataFrame.unionByName, said).groupBy("group", "key").agg(
+        F.bool_or(F.col("slot") == THERE).alias("there"),
+        *[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in range(width)])
+    kinds = {k: [g for g, (kind, _, _) in enumerate(groups) if kind == k] for k in ("unique", "names")}
+    broken = met.filter(F.when(F.col("group").isin(kinds["unique"]), F.col("n0") > 1)
+                        .when(F.col("group").isin(kinds["names"]), ~F.col("there")).otherwise(True))
+    v = broken.select("group", "key", F.posexplode(F.array(*[F.col(f"n{s}") for s in range(width)])).alias("slot", "rows"))
+    names = F.create_map(*[F.lit(x) if isinstance(x, int) else F.struct(F.lit(x[0]).alias("rule"), F.lit(x[1]).alias("table"))
+                           for g, (_, _, slots) in enumerate(groups) for s, of in enumerate(slots) for x in (g * width + s, of)])
+    return v.filter("rows > 0").withColumn("of", names[F.col("group") * width + F.col("slot")]).select(
+        F.col("of.rule").alias("rule"), F.col("of.table").alias("table_name"), "key", "rows"), seen
