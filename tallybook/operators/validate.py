@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions.text import json_is_object
 from tallybook.schemas import ENUMS
+from tallybook.session import BROADCAST_ROWS, stage
 
 VIOLATION_COLS = ["rule", "table_name", "key", "detail"]
 
@@ -234,9 +235,16 @@ def check_unique(df: DataFrame, keys: Sequence[str], table: str,
 
 def check_references(df: DataFrame, fk: str, parent: DataFrame, parent_key: str, table: str,
                      key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """C4: rows whose non-null foreign key has no parent row (anti join)."""
+    """C4: rows whose non-null foreign key has no parent row.
+
+    Each key named meets the parents once (anti join of distinct keys), however many rows name it; rows then look
+    for their key among the missing ones, which are few in a sound ledger and broadcast up to a checked number.
+    """
     pk = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    orphans = df.filter(F.col(fk).isNotNull()).join(pk, F.col(fk) == F.col("_pk"), "left_anti")
+    named = df.filter(F.col(fk).isNotNull()).select(F.col(fk).alias("_fk")).distinct()
+    missing = stage(named.join(pk.hint("shuffle_hash"), F.col("_fk") == F.col("_pk"), "left_anti"), "missing-parents")
+    few = missing.count() <= BROADCAST_ROWS
+    orphans = df.join(F.broadcast(missing) if few else missing.hint("shuffle_hash"), F.col(fk) == F.col("_fk"), "left_semi")
     bad = orphans.select(F.lit(f"fk_{fk}").alias("rule"), F.lit(table).alias("table_name"),
                          F.col(key).cast("string").alias("key"),
                          F.col(fk).cast("string").alias("detail"))

@@ -87,6 +87,16 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+ROWS_PER_TASK = 1_000_000     # rows that one task sorts or keeps in a hash table
+BROADCAST_ROWS = 200_000      # rows of a few narrow columns that every task may hold
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Partitions that give a task at most ``ROWS_PER_TASK`` rows. Sizes in bytes do not: ids compress so well in
+    a shuffle that adaptive execution makes one task of tens of millions of them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
 def unstage(df: DataFrame | None) -> None:
     """Remove a staged table that nothing reads any more (no-op for other frames)."""
     path = getattr(df, "_tb_path", None)
