@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.money import money_text
+from tallybook.session import BROADCAST_ROWS, tasks_for
 
 DEFAULT_LIMIT = 50
 MAX_LIMIT = 1000
@@ -95,10 +96,22 @@ def list_page_per_key(df: DataFrame, key: str = "customer_id", limit: int | None
 
 
 def lines_for_transactions(lines: DataFrame, txs: DataFrame) -> DataFrame:
-    """The lines of the given transactions, ordered by transaction and line number."""
-    ids = txs.select(F.col("id").alias("_tx")).distinct()
+    """The lines of the given transactions, ordered by transaction and line number.
+
+    Lines meet the ids, and are put in order, in as many tasks as there are rows for (counted first); a task keeps
+    its ids in a hash table and sorts its range of the result only.
+    """
+    spark = lines.sparkSession
+    ids = txs.select(F.col("id").alias("_tx"))
+    n_ids, n = ids.count(), tasks_for(spark, lines.count())
+    if n_ids <= BROADCAST_ROWS:
+        ids = F.broadcast(ids.distinct())
+    else:
+        lines = lines.repartition(n, "journal_transaction_id")
+        ids = ids.repartition(n, "_tx").distinct().hint("shuffle_hash")
+    order = ["journal_transaction_id", "line_number"]
     return (lines.join(ids, F.col("journal_transaction_id") == F.col("_tx"), "left_semi")
-            .orderBy("journal_transaction_id", "line_number"))
+            .repartitionByRange(n, *order).sortWithinPartitions(*order))
 
 
 def active_holds(holds: DataFrame, accounts: DataFrame | None = None,
