@@ -86,8 +86,8 @@ def append_journal(txs: DataFrame, lines: DataFrame, location: str, grain: str =
 
     Inside a batch both are partitioned by ``accounting_period`` = the header's accounting_date truncated
     to ``grain``, so reads over a time range prune folders. Each period is spread over as many
-    writers as its rows ask for (``rows_per_file``, counted first), so a full month is never
-    written by one task. Lines are sorted by account inside files: per-account reads skip row
+    writers as its volume asks for (rebalanced in one pass, no count first; a file has at most ``rows_per_file``
+    rows), so a full month is never written by one task. Lines are sorted by account inside files: per-account reads skip row
     groups by min/max.
     """
     spark = txs.sparkSession
@@ -97,15 +97,11 @@ def append_journal(txs: DataFrame, lines: DataFrame, location: str, grain: str =
     dated = lines.join(periods, "journal_transaction_id", "left")
 
     def spread(df: DataFrame, name: str, sort: Sequence[str] = ()) -> None:
-        files = (df.groupBy("accounting_period").agg(F.count(F.lit(1)).alias("_n"))
-                 .select(F.col("accounting_period").alias("_p"),
-                         F.ceil(F.col("_n") / rows_per_file).alias("_files")))
-        out = (df.join(files, F.col("accounting_period").eqNullSafe(F.col("_p")))
-               .repartition(F.col("accounting_period"),
-                            F.pmod(F.xxhash64("id"), F.col("_files"))).drop("_p", "_files"))
+        out = df.hint("rebalance", "accounting_period")
         if sort:
             out = out.sortWithinPartitions("accounting_period", *sort)
-        out.write.mode("overwrite").partitionBy("accounting_period").parquet(f"{location}/{name}/batch={batch}")
+        (out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("accounting_period")
+         .parquet(f"{location}/{name}/batch={batch}"))
     spread(dated, "journal_lines", ["account_id", "journal_transaction_id"])
     spread(headers, "journal_transactions")
     spark.range(1).select(F.lit(batch).alias("batch")).write.mode("overwrite").json(f"{location}/_commits/{batch}")
