@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.money import money
 from tallybook.functions.text import ts_literal
 from tallybook.operators.posting import SETTLEMENT_TYPE, journal_id, settlement_legs, system_accounts
+from tallybook.session import stage
 
 HOLD_TTL = "24 hours"
 HOLD_COLS = ["id", "account_id", "transfer_request_id", "journal_transaction_id",
@@ -164,7 +165,8 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
     active = (active.groupBy("transfer_request_id")
               .agg(F.min_by(F.struct("_hold_id", "_exp", "_rem"), F.col("_hold_id")).alias("_h"))
               .select(F.col("transfer_request_id").alias("transfer_id"), "_h.*"))
-    j = cb.join(trf, "transfer_id", "left").join(active, "transfer_id", "left")
+    # Parsed and joined once, though every output reads it; so are the winners below.
+    j = stage(cb.join(trf, "transfer_id", "left").join(active, "transfer_id", "left"), "settle-callbacks")
     hold_live = F.col("_hold_id").isNotNull() & (F.col("_exp").isNull()
                                                  | (F.col("_exp") > F.col("received_at")))
     applicable = (F.col("kind").isNotNull() & F.col("_tst").isNotNull()
@@ -201,7 +203,7 @@ def settle_callbacks(callbacks: DataFrame, transfers: DataFrame, holds: DataFram
               .otherwise("no active hold"))
     outcomes = x.select("hook_id", "transfer_id", "event", outcome.alias("outcome"),
                         reason.alias("reason"))
-    winners = x.filter(is_win).select("transfer_id", "kind", "_hold_id")
+    winners = stage(x.filter(is_win).select("transfer_id", "kind", "_hold_id"), "settle-winners")
 
     t = transfers.join(winners.select(F.col("transfer_id").alias("_t"), "kind"),
                        transfers["id"] == F.col("_t"))
