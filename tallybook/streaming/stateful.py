@@ -2,7 +2,8 @@
 
 Each is a processor with typed state per key and event-time timers. Events are kept in a map state
 under their own time until the watermark has passed it and are applied in event order then, so results
-do not depend on how the input was cut into micro-batches or in which order rows of a batch came. A timer
+do not depend on how the input was cut into micro-batches or in which order rows of a batch came (I8 keeps the newest
+state of an event only, and the events of a bucket of ids together). A timer
 handles all that the watermark has passed, what it sets off itself included.
 A key's state is gone when its last timer has fired. Times travel as microseconds (``*_us``), which keeps
 them exact and free of any session time zone; timers have milliseconds and fire just after.
