@@ -159,3 +159,75 @@ def test_settlement_reads_the_callbacks_once(spark):
     assert {r.id: r.status for r in out["holds"].collect()} == {"hold:w0": "consumed", "hold:w1": "released",
                                                                 "hold:w2": "active", "hold:w3": "consumed"}
     assert out["legs"].count() == 4 and out["outcomes"].count() == 5 and seen.value == 5
+
+
+def _hold_row(hold_id, action, amount, expires_us, at_us, seq):
+    import json
+    from pyspark.sql import Row
+    cells = (hold_id, at_us, seq, action, amount, expires_us)
+    return Row(bucket=0, event=json.dumps([None if c is None else str(c) for c in cells]))
+
+
+def _holds_said(batches, release_remainder=True):
+    """Transitions of one bucket, with the watermark a millisecond behind each batch and far ahead at the end; and its store."""
+    store, said = _Store(), []
+    job = ST.HoldLifecycle(release_remainder)
+    job.init(store)
+    ends = [max(b[4] for b in rows) // 1000 - 1 if rows else 0 for rows in batches[:-1]] + [10 ** 12]
+    for rows, end in zip(batches, ends):
+        list(job.handleInputRows((0,), iter([_hold_row(*r) for r in rows]), _Clock(0)))
+        while store.timers and min(store.timers) <= end:
+            fired = min(store.timers)
+            for row in job.handleExpiredTimer((0,), _Clock(end), _Clock(fired)):
+                said += [tuple(t.values()) for t in row.said]
+            store.timers.discard(fired)
+            assert len(store.timers) <= 1
+    return sorted(said, key=str), store
+
+
+def test_hold_state_calls_do_not_grow_with_the_holds():
+    ms = 1000
+    rows = [(f"H{i}", "create", "10.00000000", 90_000 * ms if i % 2 else None, i * ms, 1) for i in range(200)]
+    rows += [(f"H{i}", "consume", "4.00000000", None, (500 + i) * ms, 2) for i in range(0, 200, 4)]
+    got, store = _holds_said([rows, [("~", "tick", None, None, 10 ** 6 * ms, 0)]])
+    assert store.calls < 30
+    assert [sum(t[1] == s for t in got) for s in ("active", "consumed", "expired")] == [200, 50, 100]
+    assert ("H4", "consumed", D(0), D(4), D(6), 504 * ms) in got and ("H1", "expired", D(0), D(0), D(10), 90_000 * ms) in got
+    assert store.value is not None and not store.timers            # the 50 that never expire stay open
+    keep, _ = _holds_said([rows], release_remainder=False)
+    assert ("H4", "consumed", D(6), D(4), D(0), 504 * ms) in keep
+
+
+def test_hold_bucket_does_not_depend_on_batches():
+    """Odd ids, repeats, holds opened again and expiries between batches: as if each hold were alone, in one batch."""
+    import random
+    rnd = random.Random(7)
+    ids = [None, "null", 'a"],["b', "é\n", *(f"H{k}" for k in range(8))]
+    rows = sorted((((rnd.choice(ids), rnd.choice(["create", "create", "consume", "release", "tick"]),
+                     rnd.choice([None, "-1", "0E-8", "3.50000000", "7.00000001"]),
+                     rnd.choice([None, at + 20_000, at + 90_000, at - 1]), at, seq))
+                   for seq, at in enumerate(rnd.randrange(0, 400_000) for _ in range(600))), key=lambda r: r[4])
+    whole, _ = _holds_said([rows])
+    assert {t[1] for t in whole} == {"active", "consumed", "released", "expired"}
+    alone = [t for i in ids for t in _holds_said([[r for r in rows if r[0] == i]])[0]]
+    assert sorted(alone, key=str) == whole
+    cuts = [0, 1, 150, 150, 160, 480, 600]
+    parts = [rnd.sample(rows[a:b], b - a) + rows[b - 3:b] * (b > a) for a, b in zip(cuts, cuts[1:])]
+    assert _holds_said(parts)[0] == whole
+
+
+def test_hold_rows_travel_as_one_text_each(spark, tmp_path):
+    from datetime import timedelta
+    from test_streaming import _drain, _stream
+    t = lambda h: T0 + timedelta(hours=h)
+    parts = [[('q"],[', "create", D(10), t(24), t(0), None), (None, "create", D(3), None, t(0), 1), ("h", None, D(1), None, t(0), 1),
+              ("x", "create", D("0.00000001"), t(5), t(1), 1)],
+             [('q"],[', "release", D(4), None, t(2), 2), ("late", "create", D(1), None, None, 1), ("m", "tick", None, None, t(20), 1)],
+             [(None, "consume", D(3), None, t(20), 2), ("~end", "tick", None, None, t(1000), 0)]]
+    schema = "hold_id string, action string, amount decimal(20,8), expires_at timestamp_ntz, event_time timestamp_ntz, seq long"
+    got = _drain(spark, ST.stream_hold_timers(_stream(spark, tmp_path, parts, schema), buckets=2), tmp_path)
+    assert {tuple(r) for r in got} == {
+        ('q"],[', "active", D(10), D(0), D(0), t(0)), ('q"],[', "released", D(6), D(0), D(4), t(2)),
+        (None, "active", D(3), D(0), D(0), t(0)), (None, "consumed", D(0), D(3), D(0), t(20)),
+        ("x", "active", D("0.00000001"), D(0), D(0), t(1)), ("x", "expired", D(0), D(0), D("0.00000001"), t(5))}
+    assert len(got) == 6
